@@ -8,6 +8,7 @@ wide decimal first.
 """
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from paymart.functions._col import col
 
@@ -16,8 +17,13 @@ WIDE_DECIMAL = "decimal(38,18)"
 
 
 def to_int(c: "str | Column") -> Column:
-    """String to INT; unparsable or out-of-range text is NULL, fractions truncate."""
-    return col(c).try_cast(WIDE_DECIMAL).try_cast("int")
+    """String to INT; unparsable or out-of-range text is NULL, fractions truncate.
+
+    Plain integers take the cheap direct cast; only text that fails it goes
+    through the wide-decimal parse.
+    """
+    x = col(c)
+    return F.coalesce(x.try_cast("int"), x.try_cast(WIDE_DECIMAL).try_cast("int"))
 
 
 def to_decimal(c: "str | Column", precision: int = 10, scale: int = 2) -> Column:
