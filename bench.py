@@ -95,6 +95,7 @@ def main() -> None:
         .write.format("noop").mode("overwrite").save()
     )
     total = sum(times.values())
+    stages = {k: round(v, 3) for k, v in lake.seconds.items()}
     print(json.dumps({
         "metric": "pipeline_plus_reports_seconds",
         "value": round(total, 3),
@@ -102,6 +103,7 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": int(cpus),
+        "pipeline_stages": stages,
     }))
     spark.stop()
 

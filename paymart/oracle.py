@@ -605,6 +605,7 @@ def _layer_counts_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_ingest"] = _with(f"SELECT *, {_audit('transactions', DAY2)} FROM raw_transactions", ["raw_transactions"])
+    q["bronze_stream"] = q["bronze_ingest"]
     q["bronze_roundtrip"] = _with(
         f"SELECT *, {_audit('transactions', DAY1)} FROM raw_transactions "
         f"UNION ALL SELECT *, {_audit('transactions', DAY2)} FROM raw_transactions",

@@ -13,6 +13,7 @@ lost executor only recomputes from the last written table.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from paymart.sources.storage import new_table_path, read_table, write_table
 class Lakehouse:
     root: str
     tables: dict[str, str] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)  # wall time per written table
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return read_table(spark, self.tables[name])
@@ -39,14 +41,20 @@ class Lakehouse:
 
 def _land(spark: SparkSession, lake: Lakehouse, source: str, df: DataFrame, day: str) -> None:
     csv_path = f"{lake.root}/landing/{day}/{source}"
+    t = time.perf_counter()
     write_csv(df, csv_path)
+    lake.seconds[f"landing.{source}.{day}"] = time.perf_counter() - t
+    t = time.perf_counter()
     ingest_csv(spark, source, csv_path, f"{lake.root}/bronze", day)
+    lake.seconds[f"bronze.{source}.{day}"] = time.perf_counter() - t
     lake.tables[f"bronze.{source}"] = f"{lake.root}/bronze/{BRONZE_TABLES[source]}"
 
 
 def _save(spark: SparkSession, lake: Lakehouse, name: str, df: DataFrame, partition_by=None) -> DataFrame:
     path = f"{lake.root}/{name.replace('.', '/')}"
+    t = time.perf_counter()
     write_table(df, path, partition_by=partition_by, dynamic=bool(partition_by))
+    lake.seconds[name] = time.perf_counter() - t
     lake.tables[name] = path
     return read_table(spark, path)
 

@@ -5,14 +5,26 @@ builds the first dimension images.  Day 2 (``DAY2``) lands customer
 snapshot 2 plus the updates feed (applied to silver by the
 update-only merge), merchant and payment-method snapshot 2 and the
 transactions, merges every dimension and builds the fact.  Every frame is
-lazy and derived from the parquet tables in ``sf_dir``; nothing is cached,
-so each query re-reads exactly what it needs.
+derived from the parquet tables in ``sf_dir``.
+
+Dimension images and the silver customer snapshots are *staged* so that each
+is computed once per query even though several steps read it (the broadcast
+size check, the joins, the next day's merge):
+
+* ``stage="cache"`` (default): ``persist(MEMORY_AND_DISK)``; the first action
+  fills it, a lost block is recomputed from its (deterministic) lineage;
+* ``stage="write"``: written as parquet under the shared storage root and
+  read back, as the pipeline does; this also cuts the lineage;
+* ``stage=None``: fully lazy.
+
+Silver transactions and the fact stay lazy.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from paymart.operators.calendar import dim_date_covering
@@ -20,15 +32,32 @@ from paymart.plans import gold, silver
 from paymart.sources import fixtures
 from paymart.sources.bronze import add_audit_columns
 from paymart.sources.fixtures import DAY1, DAY2
+from paymart.sources.storage import new_table_path, read_table, write_table
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, initial_start: str = "created_date", **fact_options):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        initial_start: str = "created_date",
+        stage: str | None = "cache",
+        **fact_options,
+    ):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.initial_start = initial_start
+        self.staging = stage
         self.fact_options = fact_options
 
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Stage a frame that several later steps read (see module docstring)."""
+        if self.staging == "cache":
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.staging == "write":
+            return read_table(self.spark, write_table(df, new_table_path(self.spark, name)))
+        return df
+
     # ---- raw and bronze ------------------------------------------------------
     def raw(self, source: str, snapshot: int = 1) -> DataFrame:
         s, d = self.spark, self.sf_dir
@@ -46,7 +75,7 @@ class Warehouse:
     # ---- silver --------------------------------------------------------------
     @cached_property
     def customers_day1(self) -> DataFrame:
-        return silver.silver_customers(self.bronze("customers", DAY1), DAY1)
+        return self.stage("silver_customers_day1", silver.silver_customers(self.bronze("customers", DAY1), DAY1))
 
     @cached_property
     def customers_day2_before_updates(self) -> DataFrame:
@@ -54,9 +83,9 @@ class Warehouse:
 
     @cached_property
     def customers_day2(self) -> DataFrame:
-        return silver.apply_customer_updates(
+        return self.stage("silver_customers", silver.apply_customer_updates(
             self.customers_day2_before_updates, self.raw("customer_updates"), DAY2
-        )
+        ))
 
     def merchants(self, snapshot: int) -> DataFrame:
         day = DAY1 if snapshot == 1 else DAY2
@@ -77,31 +106,35 @@ class Warehouse:
     # ---- gold ----------------------------------------------------------------
     @cached_property
     def dim_merchant_day1(self) -> DataFrame:
-        return gold.load_type1("merchant", None, self.merchants(1), DAY1)
+        return self.stage("dim_merchant_day1", gold.load_type1("merchant", None, self.merchants(1), DAY1))
 
     @cached_property
     def dim_merchant(self) -> DataFrame:
-        return gold.load_type1("merchant", self.dim_merchant_day1, self.merchants(2), DAY2)
+        return self.stage("dim_merchant", gold.load_type1("merchant", self.dim_merchant_day1, self.merchants(2), DAY2))
 
     @cached_property
     def dim_payment_day1(self) -> DataFrame:
-        return gold.load_type1("payment_method", None, self.payment_methods(1), DAY1)
+        return self.stage("dim_payment_day1", gold.load_type1("payment_method", None, self.payment_methods(1), DAY1))
 
     @cached_property
     def dim_payment(self) -> DataFrame:
-        return gold.load_type1("payment_method", self.dim_payment_day1, self.payment_methods(2), DAY2)
+        return self.stage(
+            "dim_payment", gold.load_type1("payment_method", self.dim_payment_day1, self.payment_methods(2), DAY2)
+        )
 
     @cached_property
     def dim_customer_day1(self) -> DataFrame:
-        return gold.load_customers(None, self.customers_day1, DAY1, self.initial_start)
+        return self.stage("dim_customer_day1", gold.load_customers(None, self.customers_day1, DAY1, self.initial_start))
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return gold.load_customers(self.dim_customer_day1, self.customers_day2, DAY2, self.initial_start)
+        return self.stage(
+            "dim_customer", gold.load_customers(self.dim_customer_day1, self.customers_day2, DAY2, self.initial_start)
+        )
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dim_date_covering(self.transactions, "txn_date")
+        return self.stage("dim_date", dim_date_covering(self.transactions, "txn_date"))
 
     @cached_property
     def fact(self) -> DataFrame:

@@ -27,11 +27,12 @@ from paymart.operators.keys import dense_keys
 from paymart.operators.quality import drop_null_keys, valid_transactions
 from paymart.plans import gold, pipeline, reports, silver
 from paymart.plans.scenario import Warehouse
-from paymart.schemas import CUSTOMER_TRACKED, DIM_CUSTOMER_COLUMNS, FACT_COLUMNS, MERCHANT_TRACKED
+from paymart.schemas import CUSTOMER_TRACKED, DIM_CUSTOMER_COLUMNS, FACT_COLUMNS, MERCHANT_TRACKED, bronze_schema
 from paymart.sources.bronze import add_audit_columns, ingest_csv, read_bronze
 from paymart.sources.csv import read_csv_strings, write_csv
 from paymart.sources.fixtures import DAY1, DAY2
 from paymart.sources.storage import new_table_path, read_table, write_table
+from paymart.streaming.landing import stream_landing_to_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +72,16 @@ def q_bronze_roundtrip(spark, sf_dir):
     return read_bronze(spark, root, "transactions")
 
 
+def q_bronze_stream(spark, sf_dir):
+    """Land transactions under load_date=DAY2 and ingest them with an available-now stream."""
+    w = _w(spark, sf_dir)
+    root = new_table_path(spark, "stream")
+    write_csv(w.raw("transactions"), f"{root}/landing/load_date={DAY2}")
+    q = stream_landing_to_bronze(spark, "transactions", f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint")
+    q.awaitTermination()
+    return read_table(spark, f"{root}/bronze", bronze_schema("transactions"))
+
+
 # ---- scalar functions ------------------------------------------------------------
 
 def q_cast_int(spark, sf_dir):
@@ -373,6 +384,7 @@ def q5b_version_split(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "bronze_ingest": q_bronze_ingest,
     "bronze_roundtrip": q_bronze_roundtrip,
+    "bronze_stream": q_bronze_stream,
     "cast_int": q_cast_int,
     "cast_decimal": q_cast_decimal,
     "cast_date": q_cast_date,

@@ -15,6 +15,8 @@ keys, so every silver rule has rows to act on.  The rules are data, not
 behaviour of the warehouse.
 """
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +41,11 @@ TXN_CODES = [" upi", "Wallet ", "CARD_DEBIT", "netbanking", "BNPL"]
 UNKNOWN_CODE = "CRYPTO"
 
 
+@lru_cache(maxsize=128)
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # One lazy scan per table and session: listing files and reading footers
+    # once instead of at every use.
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(index: Column, values: list[str]) -> Column:
