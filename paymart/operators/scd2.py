@@ -129,9 +129,9 @@ def _emitted(image, src, natural_key, key_col, tracked, columns, as_of, initial_
         return F.struct(*fields, F.lit(kind).alias("_kind"))
 
     cls = F.col("_class")
+    first_seen = day if initial_start == "as_of" else F.coalesce(F.col(f"_s_{initial_start}").cast("date"), day)
     first = (
-        F.when(cls == "new", from_source(F.lit(None), _first_start(f"_s_{initial_start}", as_of)
-                                         if initial_start != "as_of" else day, "insert"))
+        F.when(cls == "new", from_source(F.lit(None), first_seen, "insert"))
         .when(F.col("_in_place"), from_source(F.col(key_col), F.col("effective_start"), "replaced"))
         .when(cls == "changed", from_target(F.date_sub(day, 1), F.lit(0), "expired"))
         .otherwise(from_target(F.col("effective_end"), F.col("is_current"), "keep"))

@@ -279,8 +279,7 @@ def q_join_dim_date(spark, sf_dir):
 
 def q_join_dim_merchant(spark, sf_dir):
     w = _w(spark, sf_dir)
-    t = gold.with_date_key(w.transactions)
-    return lookup_join(t, w.dim_merchant.select("merchant_id", "merchant_key"), "merchant_id").select(
+    return lookup_join(w.transactions, w.dim_merchant.select("merchant_id", "merchant_key"), "merchant_id").select(
         "transaction_id", "merchant_id", "merchant_key")
 
 

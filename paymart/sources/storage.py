@@ -22,17 +22,15 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def storage_root(spark: SparkSession) -> str:
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(
             f"set {CHECKPOINT_CONF} to a folder shared by all executors before running paymart jobs"
         )
-    root = tempfile.mkdtemp(prefix="paymart-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paymart-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
@@ -45,12 +43,23 @@ def write_table(
     path: str,
     partition_by: list[str] | None = None,
     dynamic: bool = False,
+    rebalance: bool = True,
 ) -> str:
     """Overwrite ``path`` with ``df`` as parquet.
 
     ``dynamic=True`` replaces only the partitions present in ``df`` (a re-run
     of one load date leaves the other dates alone).
+
+    Partitioned writes go through a REBALANCE on the partition columns: AQE
+    groups each partition value's rows into advisory-size tasks, coalescing
+    small ones and splitting a large (skewed) value over several tasks.  Each
+    directory thus gets a few right-sized files instead of one small file per
+    upstream task, and no single task has to write a whole month.
+    ``rebalance=False`` skips that shuffle when the input splits already have
+    the right size (a one-day ingest of landed files).
     """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -7,7 +7,8 @@ from paymart.sources.storage import new_table_path, storage_root
 
 
 def test_storage_root_comes_from_session(spark):
-    assert storage_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    want = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert storage_root(spark) == want.rstrip("/")
 
 
 def test_csv_landing_keeps_text_exactly(spark):
