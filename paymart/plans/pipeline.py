@@ -16,7 +16,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.operators.calendar import dim_date_covering
@@ -34,6 +34,7 @@ class Lakehouse:
     root: str
     tables: dict[str, str] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)  # wall time per written table
+    rows: dict[str, int] = field(default_factory=dict)  # rows written, observed during the write
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return read_table(spark, self.tables[name])
@@ -51,10 +52,18 @@ def _land(spark: SparkSession, lake: Lakehouse, source: str, df: DataFrame, day:
 
 
 def _save(spark: SparkSession, lake: Lakehouse, name: str, df: DataFrame, partition_by=None) -> DataFrame:
+    """Write one table image and re-read it.
+
+    The row count is observed while the write runs (no second pass over the
+    data, unlike a ``count()`` after the write).
+    """
     path = f"{lake.root}/{name.replace('.', '/')}"
+    obs = Observation(name)
     t = time.perf_counter()
-    write_table(df, path, partition_by=partition_by, dynamic=bool(partition_by))
+    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by,
+                dynamic=bool(partition_by))
     lake.seconds[name] = time.perf_counter() - t
+    lake.rows[name] = obs.get["rows"]
     lake.tables[name] = path
     return read_table(spark, path)
 

@@ -82,5 +82,7 @@ def test_pipeline_writes_every_layer(spark, duck, sf_small):
     got = pipeline.layer_counts(pipeline.lakehouse_frames(spark, lake))
     want = duck.execute(oracle_sql()["pipeline_end_to_end"]).fetchall()
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    observed = {name: lake.rows[entry] for _, name, entry in pipeline.LAYER_TABLES if entry in lake.rows}
+    assert observed and all(observed[n] == c for _, n, c in want if n in observed)
     fact = lake.read(spark, "gold.fact_transaction")
     assert fact.count() == fact.select("transaction_id").distinct().count()  # grain kept
