@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,10 +73,13 @@ def as_of_join(
         out = fact.join(F.broadcast(v), (F.col(key) == F.col("_v_key")) & cond_range, how)
         return out.drop("_v_key")
 
+    # One map-side combined pass over the fact finds the hot keys; the small
+    # result is kept so the size check and the join do not recompute it.
     hot = (
         fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") >= hot_key_rows)
         .select(F.col(key).alias("_hot_key"), F.lit(True).alias("_is_hot"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     hot = checked_broadcast(hot, max_broadcast_rows)
     f = (

@@ -572,10 +572,6 @@ _SILVER_TXN_COLS = [
     "silver_loaded_at",
 ]
 _MONEY = ["txn_amount", "platform_fee", "cashback_amount", "net_revenue"]
-_RAW_TXN_COLS = [
-    "transaction_id", "customer_id", "merchant_id", "method_code", "txn_date", "txn_amount",
-    "platform_fee", "cashback_amount", "txn_status", "failure_reason", "is_fraud_flag",
-]
 
 
 def _layer_counts_sql() -> str:

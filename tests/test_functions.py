@@ -1,7 +1,6 @@
 import datetime
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from paymart.functions.casts import to_date, to_decimal, to_int
 from paymart.functions.clean import initcap_trim, lower_trim, upper_trim

@@ -1,6 +1,5 @@
 import datetime
 
-from pyspark.sql import functions as F
 
 from paymart.operators import scd2
 from paymart.operators.scd1 import scd1_initial, scd1_merge
