@@ -681,6 +681,30 @@ def oracle_sql() -> dict[str, str]:
               FROM typed_transactions) t""",
         ["typed_transactions"],
     )
+    q["dq_rejects_dims"] = _with(
+        "\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS rows_in, count(*) FILTER (WHERE {k} IS NULL) AS null_key_rejects, "
+            f"count({k}) - count(DISTINCT {k}) AS duplicate_rejects, count(DISTINCT {k}) AS rows_out FROM {src}"
+            for t, k, src in [("customers", "customer_id", "raw_customers_2"),
+                              ("merchants", "merchant_id", "raw_merchants_2"),
+                              ("payment_methods", "method_id", "raw_payment_methods_2")]
+        ),
+        ["raw_customers_2", "raw_merchants_2", "raw_payment_methods_2"],
+    )
+    q["update_matches"] = _with(
+        """
+        SELECT sum(n) AS update_rows, count(*) AS distinct_ids,
+               count(*) FILTER (WHERE hit) AS matched_customers,
+               count(*) FILTER (WHERE NOT hit) AS unmatched_ids,
+               count(*) FILTER (WHERE n > 1) AS ids_with_several_updates
+        FROM (SELECT u.customer_id, count(*) AS n,
+                     bool_or(c.customer_id IS NOT NULL) AS hit
+              FROM raw_customer_updates u
+              LEFT JOIN (SELECT DISTINCT customer_id FROM silver_customers_2_base) c ON u.customer_id = c.customer_id
+              WHERE u.customer_id IS NOT NULL
+              GROUP BY u.customer_id) t""",
+        ["raw_customer_updates", "silver_customers_2_base"],
+    )
     q["dim_date"] = _with("SELECT * FROM dim_date", ["dim_date"])
     q["fiscal_calendar"] = _with("SELECT full_date, fiscal_year, fiscal_quarter FROM dim_date", ["dim_date"])
     q["date_key"] = _with(

@@ -192,6 +192,17 @@ def transaction_rejects(bronze: DataFrame) -> DataFrame:
     )
 
 
+def key_rejects(bronze: DataFrame, table: str, key: str) -> DataFrame:
+    """One-row profile of a dimension feed: rows in, NULL keys, duplicate keys, rows kept."""
+    return bronze.agg(
+        F.lit(table).alias("table_name"),
+        F.count(F.lit(1)).cast("bigint").alias("rows_in"),
+        count_if(F.col(key).isNull()).alias("null_key_rejects"),
+        (F.count(F.col(key)) - F.count_distinct(F.col(key))).cast("bigint").alias("duplicate_rejects"),
+        F.count_distinct(F.col(key)).cast("bigint").alias("rows_out"),
+    )
+
+
 # ---- customer updates (update-only merge) -------------------------------------
 
 def typed_customer_updates(raw: DataFrame) -> DataFrame:
@@ -212,6 +223,24 @@ def typed_customer_updates(raw: DataFrame) -> DataFrame:
 UPDATE_COLUMNS = ["kyc_tier", "wallet_limit", "customer_segment", "city", "state"]
 
 
+def update_matches(customers: DataFrame, updates_raw: DataFrame) -> DataFrame:
+    """How the updates feed meets the customers: rows, distinct ids, matched, unmatched.
+
+    ``matched_customers`` is the number of customers the merge changes (the
+    original job reported the feed size instead).
+    """
+    upd = updates_raw.filter(F.col("customer_id").isNotNull()).select("customer_id")
+    per_id = upd.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
+    hit = per_id.join(customers.select("customer_id", F.lit(True).alias("_hit")), "customer_id", "left")
+    return hit.agg(
+        F.sum("_n").cast("bigint").alias("update_rows"),
+        F.count(F.lit(1)).cast("bigint").alias("distinct_ids"),
+        count_if(F.col("_hit").isNotNull()).alias("matched_customers"),
+        count_if(F.col("_hit").isNull()).alias("unmatched_ids"),
+        count_if(F.col("_n") > 1).alias("ids_with_several_updates"),
+    )
+
+
 def apply_customer_updates(
     customers: DataFrame,
     updates_raw: DataFrame,

@@ -45,8 +45,22 @@ def as_doubles(df: DataFrame) -> DataFrame:
     )
 
 
+_SHARED: dict[tuple[str, str], Warehouse] = {}
+
+
 def _w(spark: SparkSession, sf_dir: str, **opts) -> Warehouse:
-    return Warehouse(spark, sf_dir, **opts)
+    """The scenario for ``sf_dir``, shared by all default-option queries of a session.
+
+    Its staged frames (dimension images, silver customer snapshots) are then
+    built, size-checked and persisted once per session instead of once per
+    query.  A new session (new application id) gets a fresh scenario.
+    """
+    if opts:
+        return Warehouse(spark, sf_dir, **opts)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _SHARED:
+        _SHARED[key] = Warehouse(spark, sf_dir)
+    return _SHARED[key]
 
 
 _CUST_ARGS = ("customer_id", "customer_key", CUSTOMER_TRACKED, DIM_CUSTOMER_COLUMNS)
@@ -188,6 +202,21 @@ def q_merge_update_only(spark, sf_dir):
     return _w(spark, sf_dir).customers_day2
 
 
+def q_dq_rejects_dims(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    parts = [
+        silver.key_rejects(w.bronze("customers", DAY2, 2), "customers", "customer_id"),
+        silver.key_rejects(w.bronze("merchants", DAY2, 2), "merchants", "merchant_id"),
+        silver.key_rejects(w.bronze("payment_methods", DAY2, 2), "payment_methods", "method_id"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_update_matches(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    return silver.update_matches(w.customers_day2_before_updates, w.raw("customer_updates"))
+
+
 def q_dq_rejects(spark, sf_dir):
     return silver.transaction_rejects(_w(spark, sf_dir).bronze_transactions)
 
@@ -400,6 +429,8 @@ QUERIES: dict[str, Query] = {
     "silver_transactions": q_silver_transactions,
     "merge_update_only": q_merge_update_only,
     "dq_rejects": q_dq_rejects,
+    "dq_rejects_dims": q_dq_rejects_dims,
+    "update_matches": q_update_matches,
     "dim_date": q_dim_date,
     "fiscal_calendar": q_fiscal_calendar,
     "date_key": q_date_key,
