@@ -10,8 +10,8 @@ Keys with at least ``hot_key_rows`` facts are found by a map-side combined
 count; their facts are spread over ``salt_buckets`` sub-keys by a hash of the
 row (deterministic, so recomputed tasks route rows identically) and their
 few dimension versions are replicated to every sub-key.  The hot-key table
-is bounded by ``fact_rows / hot_key_rows`` and is broadcast only behind the
-same size check.
+is bounded by ``fact_rows / hot_key_rows``; it is checked against its own
+bound (``max_hot_keys``) and then always broadcast.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_HOT_KEY_ROWS = 5_000_000
 DEFAULT_SALT_BUCKETS = 64
+DEFAULT_MAX_HOT_KEYS = 1_000_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -59,6 +60,7 @@ def as_of_join(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
 ) -> DataFrame:
     """Attach the version valid at ``fact[at]``: ``start <= at`` and (``end`` NULL or ``at <= end``).
 
@@ -74,20 +76,26 @@ def as_of_join(
         return out.drop("_v_key")
 
     # One map-side combined pass over the fact finds the hot keys; the small
-    # result is kept so the size check and the join do not recompute it.
+    # result is kept so the size check and the joins do not recompute it.  It
+    # must be broadcast: a shuffle join on the key would send a hot key's
+    # facts to one task, which is what the salting avoids.
     hot = (
         fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") >= hot_key_rows)
         .select(F.col(key).alias("_hot_key"), F.lit(True).alias("_is_hot"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    hot = checked_broadcast(hot, max_broadcast_rows)
+    if not fits(hot, max_hot_keys):
+        raise ValueError(
+            f"more than {max_hot_keys} keys have >= {hot_key_rows} rows; raise hot_key_rows or max_hot_keys"
+        )
+    hot = F.broadcast(hot)
     f = (
         fact.join(hot, F.col(key) == F.col("_hot_key"), "left")
         .withColumn(
             "_salt",
             F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt_buckets)))
-            .otherwise(F.lit(0)),
+            .otherwise(F.lit(0)).cast("int"),
         )
         .drop("_hot_key", "_is_hot")
     )

@@ -27,7 +27,7 @@ day.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,6 +141,9 @@ def _emitted(image, src, natural_key, key_col, tracked, columns, as_of, initial_
     return rows
 
 
+Stage = Callable[[DataFrame], DataFrame]
+
+
 def scd2_expire(image, src, natural_key, key_col, tracked, columns, as_of, initial_start="created_date") -> DataFrame:
     """The versions closed by this load (``is_current = 0``, end ``as_of - 1``)."""
     rows = _emitted(image, src, natural_key, key_col, tracked, columns, as_of, initial_start)
@@ -154,9 +157,18 @@ def scd2_inserts(image, src, natural_key, key_col, tracked, columns, as_of, init
     return dense_keys(fresh, natural_key, key_col, offset=max_key(image, key_col)).select(*columns)
 
 
-def scd2_merge(image, src, natural_key, key_col, tracked, columns, as_of, initial_start="created_date") -> DataFrame:
-    """The next image: history + kept/expired/replaced rows + keyed inserts."""
+def scd2_merge(
+    image, src, natural_key, key_col, tracked, columns, as_of, initial_start="created_date", stage: Stage | None = None
+) -> DataFrame:
+    """The next image: history + kept/expired/replaced rows + keyed inserts.
+
+    The emitted rows feed three consumers (kept rows, the per-bucket key
+    counts and the key numbering).  ``stage`` may materialise them once
+    (write and re-read, or persist), so the join is not evaluated three times.
+    """
     rows = _emitted(image, src, natural_key, key_col, tracked, columns, as_of, initial_start)
+    if stage is not None:
+        rows = stage(rows)
     history = image.filter(F.col("is_current") == 0).select(*columns)
     touched = rows.filter(F.col("_kind") != "insert").select(*columns)
     fresh = rows.filter(F.col("_kind") == "insert").drop(key_col, "_kind")

@@ -55,12 +55,14 @@ def load_type1(name: str, old: DataFrame | None, silver: DataFrame, as_of: str)
     return scd1_merge(old, silver, nk, key, tracked, cols, as_of)
 
 
-def load_customers(old: DataFrame | None, silver: DataFrame, as_of: str, initial_start: str = "created_date") -> DataFrame:
-    """Initial load when there is no image yet, else an SCD2 merge."""
+def load_customers(
+    old: DataFrame | None, silver: DataFrame, as_of: str, initial_start: str = "created_date", stage=None
+) -> DataFrame:
+    """Initial load when there is no image yet, else an SCD2 merge (``stage``: see ``scd2_merge``)."""
     nk, key, tracked, cols = DIMENSIONS["customer"]
     if old is None:
         return scd2_initial(silver, nk, key, tracked, cols, as_of, initial_start)
-    return scd2_merge(old, silver, nk, key, tracked, cols, as_of, initial_start)
+    return scd2_merge(old, silver, nk, key, tracked, cols, as_of, initial_start, stage=stage)
 
 
 def with_date_key(txn: DataFrame) -> DataFrame:

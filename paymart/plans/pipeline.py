@@ -103,7 +103,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> L
                 partition_by=["txn_year", "txn_month"])
     dim_m = _save(s, lake, "gold.dim_merchant", gold.load_type1("merchant", dim_m1, merch2, DAY2))
     dim_p = _save(s, lake, "gold.dim_payment_method", gold.load_type1("payment_method", dim_p1, pay2, DAY2))
-    dim_c = _save(s, lake, "gold.dim_customer", gold.load_customers(dim_c1, cust2, DAY2))
+    scratch = lambda df: read_table(s, write_table(df, f"{root}/_work/scd2_rows_{DAY2}"))
+    dim_c = _save(s, lake, "gold.dim_customer", gold.load_customers(dim_c1, cust2, DAY2, stage=scratch))
     _save(s, lake, "gold.dim_date", dim_date_covering(txn, "txn_date"))
     _save(s, lake, "gold.fact_transaction", gold.fact_transaction(txn, dim_c, dim_m, dim_p, DAY2),
           partition_by=["txn_year", "txn_month"])

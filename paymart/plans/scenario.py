@@ -129,7 +129,11 @@ class Warehouse:
     @cached_property
     def dim_customer(self) -> DataFrame:
         return self.stage(
-            "dim_customer", gold.load_customers(self.dim_customer_day1, self.customers_day2, DAY2, self.initial_start)
+            "dim_customer",
+            gold.load_customers(
+                self.dim_customer_day1, self.customers_day2, DAY2, self.initial_start,
+                stage=lambda rows: self.stage("scd2_rows", rows),
+            ),
         )
 
     @cached_property
