@@ -43,7 +43,7 @@ def _hash(cols: list[str], null_safe: bool = False) -> str:
 
 
 def _key_order(nk: str) -> str:
-    return f"substr(md5({nk}), 1, 2), {nk}"
+    return f"substr(md5({nk}), 1, 4), {nk}"
 
 
 def _avg(sum_sql: str, n_sql: str) -> str:
