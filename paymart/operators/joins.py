@@ -1,9 +1,11 @@
 """Dimension lookups and the point-in-time (as-of) join.
 
 Broadcast policy: a dimension is broadcast only after a measured check that
-it holds at most ``max_rows`` rows (``limit(max_rows + 1).count()``, which
-stops reading once the bound is exceeded).  Above the bound the join stays a
-shuffle join, and AQE may still re-plan it from runtime sizes.
+it holds at most ``max_rows`` rows.  The check is a plain distributed
+``count()`` (partial counts per task, one row each to the driver; nearly
+metadata-only on a stored parquet table), not ``limit(n).count()``, which
+funnels up to n rows per partition into a single task.  Above the bound the
+join stays a shuffle join, and AQE may still re-plan it from runtime sizes.
 
 Skew policy for the as-of join: a customer may own a third of all facts.
 Keys with at least ``hot_key_rows`` facts are found by a map-side combined
@@ -29,8 +31,8 @@ DEFAULT_MAX_HOT_KEYS = 1_000_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (one distributed count)."""
+    return df.count() <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

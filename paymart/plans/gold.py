@@ -99,10 +99,11 @@ def fact_transaction(
 def fact_quality(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """One-pass profile: NULL keys, calendar misses and the fact grain.
 
-    The calendar holds at most 366 rows per year, so broadcasting it is bounded.
+    The calendar (at most 366 rows per covered year) is broadcast behind the
+    size check.
     """
     cal = dim_date.select("date_key", F.lit(True).alias("_in_calendar"))
-    f = fact.join(F.broadcast(cal), "date_key", "left")
+    f = lookup_join(fact, cal, "date_key")
     return f.agg(
         F.count(F.lit(1)).cast("bigint").alias("total_rows"),
         count_if(F.col("customer_key").isNull()).alias("null_customer_key"),

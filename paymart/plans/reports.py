@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paymart.functions.money import pct_rate, round_avg
+from paymart.operators.joins import checked_broadcast
 from paymart.operators.quality import count_if
 
 
@@ -39,8 +40,9 @@ def monthly_gmv(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.sum("cashback_amount").alias("_cb"),
         F.sum("net_revenue").alias("_net"),
     )
-    # The calendar is bounded by 366 rows per year.
-    cal = F.broadcast(dim_date.select("date_key", "year", "month", "month_name"))
+    # The calendar holds at most 366 rows per covered year; its range comes
+    # from the data, so it is broadcast behind the same size check.
+    cal = checked_broadcast(dim_date.select("date_key", "year", "month", "month_name"))
     g = pre.join(cal, "date_key").groupBy("year", "month", "month_name").agg(
         F.sum("_n").cast("bigint").alias("total_transactions"),
         F.sum("_amt").alias("_amt"),

@@ -302,8 +302,8 @@ def q_scd2_rerun_noop(spark, sf_dir):
 def q_join_dim_date(spark, sf_dir):
     w = _w(spark, sf_dir)
     t = gold.with_date_key(w.transactions).select("transaction_id", "date_key")
-    cal = F.broadcast(w.dim_date.select("date_key", "year", "month", "month_name", "fiscal_year", "fiscal_quarter"))
-    return t.join(cal, "date_key", "left")
+    cal = w.dim_date.select("date_key", "year", "month", "month_name", "fiscal_year", "fiscal_quarter")
+    return lookup_join(t, cal, "date_key")
 
 
 def q_join_dim_merchant(spark, sf_dir):
