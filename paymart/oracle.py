@@ -693,7 +693,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["update_matches"] = _with(
         """
-        SELECT sum(n) AS update_rows, count(*) AS distinct_ids,
+        SELECT CAST(sum(n) AS BIGINT) AS update_rows, count(*) AS distinct_ids,
                count(*) FILTER (WHERE hit) AS matched_customers,
                count(*) FILTER (WHERE NOT hit) AS unmatched_ids,
                count(*) FILTER (WHERE n > 1) AS ids_with_several_updates
