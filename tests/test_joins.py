@@ -53,3 +53,35 @@ def test_checked_broadcast_respects_bound(spark):
     small = lookup_join(fact, dim, "k", max_broadcast_rows=100)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert checked_broadcast(dim, 10) is dim  # over the bound: no hint
+
+
+def test_salting_spreads_a_customer_with_a_third_of_all_facts(spark):
+    """One customer owns 1/3 of the facts: with salting no reduce task gets them all."""
+    hot_rows, n_cold = 3000, 300
+    rows = [(f"h{i}", "HOT", D(2021, 1, 1) + datetime.timedelta(days=i % 300)) for i in range(hot_rows)]
+    rows += [(f"c{i}", f"C{i % n_cold}", D(2021, 6, 1)) for i in range(2 * hot_rows)]
+    facts = spark.createDataFrame(rows, "transaction_id string, customer_id string, txn_date date")
+    versions = spark.createDataFrame(
+        [("HOT", 1, D(2020, 1, 1), None)] + [(f"C{i}", 10 + i, D(2020, 1, 1), None) for i in range(n_cold)],
+        "customer_id string, customer_key int, effective_start date, effective_end date",
+    )
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "64"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+
+        def biggest_task(**kw):
+            out = as_of_join(facts, versions, "customer_id", "txn_date", max_broadcast_rows=0, **kw)
+            sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert sum(r["count"] for r in sizes) == len(rows)
+            return max(r["count"] for r in sizes)
+
+        plain = biggest_task(hot_key_rows=10**9)
+        salted = biggest_task(hot_key_rows=1000, salt_buckets=16)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plain >= hot_rows             # without salting one task holds every hot fact
+    assert salted < hot_rows / 2         # with salting they spread over several tasks
