@@ -1,14 +1,16 @@
-"""The whole warehouse as one job sequence with real tables (P1).
-
-Day 1 lands customer, merchant and payment-method snapshot 1 as CSV, ingests
-them into bronze (partition ``load_date=DAY1``), builds silver and the first
-dimension images.  Day 2 lands the second snapshots, the customer updates and
-the transactions, rebuilds silver, merges every dimension from the stored day-1
-images, builds the calendar and the fact (partitioned by year and month).
-
-Every table image is written to a fresh directory under the shared storage
-root and re-read from there, which also cuts the lineage between stages: a
-lost executor only recomputes from the last written table.
+"""The warehouse as daily jobs over real tables (P1).
+
+``load_day`` is one daily run: it reads the bronze partitions landed for that
+day, rebuilds silver, merges every dimension into its latest stored image
+(initial load when there is none), and rebuilds the calendar and the fact
+when transactions arrived.  Every image is written to a fresh directory per
+day under the shared storage root and re-read from there.  That also cuts the
+lineage between stages: a lost executor only recomputes from the last written
+table.
+
+``run_pipeline`` is the two-day test scenario: land the day-1 feeds (customer,
+merchant and payment-method snapshot 1) and load day 1; land the day-2 feeds
+(second snapshots, customer updates, transactions) and load day 2.
 """
 
 from __future__ import annotations
@@ -32,15 +34,19 @@ from paymart.sources.storage import new_table_path, read_table, write_table
 @dataclass
 class Lakehouse:
     root: str
-    tables: dict[str, str] = field(default_factory=dict)
+    tables: dict[str, str] = field(default_factory=dict)  # name -> latest image; "name@day" -> that day's image
     seconds: dict[str, float] = field(default_factory=dict)  # wall time per written table
     rows: dict[str, int] = field(default_factory=dict)  # rows written, observed during the write
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return read_table(spark, self.tables[name])
 
+    def latest(self, spark: SparkSession, name: str) -> DataFrame | None:
+        return self.read(spark, name) if name in self.tables else None
+
 
-def _land(spark: SparkSession, lake: Lakehouse, source: str, df: DataFrame, day: str) -> None:
+def land(spark: SparkSession, lake: Lakehouse, source: str, df: DataFrame, day: str) -> None:
+    """Land one feed for ``day`` as CSV and ingest it into its bronze table."""
     csv_path = f"{lake.root}/landing/{day}/{source}"
     t = time.perf_counter()
     write_csv(df, csv_path)
@@ -51,64 +57,75 @@ def _land(spark: SparkSession, lake: Lakehouse, source: str, df: DataFrame, day:
     lake.tables[f"bronze.{source}"] = f"{lake.root}/bronze/{BRONZE_TABLES[source]}"
 
 
-def _save(spark: SparkSession, lake: Lakehouse, name: str, df: DataFrame, partition_by=None) -> DataFrame:
-    """Write one table image and re-read it.
+def _save(spark: SparkSession, lake: Lakehouse, name: str, day: str, df: DataFrame, partition_by=None) -> DataFrame:
+    """Write the ``day`` image of table ``name`` and re-read it.
 
     The row count is observed while the write runs (no second pass over the
     data, unlike a ``count()`` after the write).
     """
-    path = f"{lake.root}/{name.replace('.', '/')}"
-    obs = Observation(name)
+    path = f"{lake.root}/{name.replace('.', '/')}/as_of={day}"
+    obs = Observation(f"{name}@{day}")
     t = time.perf_counter()
     write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by,
                 dynamic=bool(partition_by))
-    lake.seconds[name] = time.perf_counter() - t
-    lake.rows[name] = obs.get["rows"]
-    lake.tables[name] = path
+    lake.seconds[f"{name}@{day}"] = time.perf_counter() - t
+    lake.rows[f"{name}@{day}"] = lake.rows[name] = obs.get["rows"]
+    lake.tables[f"{name}@{day}"] = lake.tables[name] = path
     return read_table(spark, path)
 
 
+def load_day(spark: SparkSession, lake: Lakehouse, day: str, sources: set[str]) -> Lakehouse:
+    """One daily run over the feeds in ``sources`` landed in bronze for ``day``."""
+    s, bronze = spark, f"{lake.root}/bronze"
+    if "customers" in sources:
+        cust = silver.silver_customers(read_bronze(s, bronze, "customers", day), day)
+        if "customer_updates" in sources:
+            updates = read_bronze(s, bronze, "customer_updates", day).drop("load_timestamp", "source_file", "load_date")
+            cust = silver.apply_customer_updates(cust, updates, day)
+        cust = _save(s, lake, "silver.customers", day, cust)
+        # The SCD2 merge reads its joined rows three times: stage them once.
+        scratch = lambda df: read_table(s, write_table(df, f"{lake.root}/_work/scd2_rows/as_of={day}"))
+        _save(s, lake, "gold.dim_customer", day,
+              gold.load_customers(lake.latest(s, "gold.dim_customer"), cust, day, stage=scratch))
+    if "merchants" in sources:
+        merch = _save(s, lake, "silver.merchants", day,
+                      silver.silver_merchants(read_bronze(s, bronze, "merchants", day), day))
+        _save(s, lake, "gold.dim_merchant", day,
+              gold.load_type1("merchant", lake.latest(s, "gold.dim_merchant"), merch, day))
+    if "payment_methods" in sources:
+        pay = _save(s, lake, "silver.payment_methods", day,
+                    silver.silver_payment_methods(read_bronze(s, bronze, "payment_methods", day), day))
+        _save(s, lake, "gold.dim_payment_method", day,
+              gold.load_type1("payment_method", lake.latest(s, "gold.dim_payment_method"), pay, day))
+    if "transactions" in sources:
+        txn = _save(s, lake, "silver.transactions", day,
+                    silver.silver_transactions(read_bronze(s, bronze, "transactions", day), day),
+                    partition_by=["txn_year", "txn_month"])
+        _save(s, lake, "gold.dim_date", day, dim_date_covering(txn, "txn_date"))
+        dims = [lake.read(s, n) for n in ("gold.dim_customer", "gold.dim_merchant", "gold.dim_payment_method")]
+        _save(s, lake, "gold.fact_transaction", day, gold.fact_transaction(txn, *dims, day),
+              partition_by=["txn_year", "txn_month"])
+    return lake
+
+
+DAY1_FEEDS = {"customers", "merchants", "payment_methods"}
+DAY2_FEEDS = {"customers", "customer_updates", "merchants", "payment_methods", "transactions"}
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> Lakehouse:
-    root = root or new_table_path(spark, "lakehouse")
-    lake = Lakehouse(root)
+    """The two-day scenario over the test tables in ``sf_dir`` (see module docstring)."""
+    lake = Lakehouse(root or new_table_path(spark, "lakehouse"))
     s, d = spark, sf_dir.rstrip("/")
-
-    # ---- day 1 -----------------------------------------------------------------
-    _land(s, lake, "customers", fixtures.raw_customers(s, d, 1), DAY1)
-    _land(s, lake, "merchants", fixtures.raw_merchants(s, d, 1), DAY1)
-    _land(s, lake, "payment_methods", fixtures.raw_payment_methods(s, d, 1), DAY1)
-    cust1 = _save(s, lake, "silver.customers_day1",
-                  silver.silver_customers(read_bronze(s, f"{root}/bronze", "customers", DAY1), DAY1))
-    merch1 = silver.silver_merchants(read_bronze(s, f"{root}/bronze", "merchants", DAY1), DAY1)
-    pay1 = silver.silver_payment_methods(read_bronze(s, f"{root}/bronze", "payment_methods", DAY1), DAY1)
-    dim_m1 = _save(s, lake, "gold.dim_merchant_day1", gold.load_type1("merchant", None, merch1, DAY1))
-    dim_p1 = _save(s, lake, "gold.dim_payment_method_day1", gold.load_type1("payment_method", None, pay1, DAY1))
-    dim_c1 = _save(s, lake, "gold.dim_customer_day1", gold.load_customers(None, cust1, DAY1))
-
-    # ---- day 2 -----------------------------------------------------------------
-    _land(s, lake, "customers", fixtures.raw_customers(s, d, 2), DAY2)
-    _land(s, lake, "customer_updates", fixtures.raw_customer_updates(s, d), DAY2)
-    _land(s, lake, "merchants", fixtures.raw_merchants(s, d, 2), DAY2)
-    _land(s, lake, "payment_methods", fixtures.raw_payment_methods(s, d, 2), DAY2)
-    _land(s, lake, "transactions", fixtures.raw_transactions(s, d), DAY2)
-    bronze = f"{root}/bronze"
-    updates = read_bronze(s, bronze, "customer_updates", DAY2).drop("load_timestamp", "source_file", "load_date")
-    cust2 = _save(s, lake, "silver.customers", silver.apply_customer_updates(
-        silver.silver_customers(read_bronze(s, bronze, "customers", DAY2), DAY2), updates, DAY2))
-    merch2 = _save(s, lake, "silver.merchants", silver.silver_merchants(read_bronze(s, bronze, "merchants", DAY2), DAY2))
-    pay2 = _save(s, lake, "silver.payment_methods",
-                 silver.silver_payment_methods(read_bronze(s, bronze, "payment_methods", DAY2), DAY2))
-    txn = _save(s, lake, "silver.transactions",
-                silver.silver_transactions(read_bronze(s, bronze, "transactions", DAY2), DAY2),
-                partition_by=["txn_year", "txn_month"])
-    dim_m = _save(s, lake, "gold.dim_merchant", gold.load_type1("merchant", dim_m1, merch2, DAY2))
-    dim_p = _save(s, lake, "gold.dim_payment_method", gold.load_type1("payment_method", dim_p1, pay2, DAY2))
-    scratch = lambda df: read_table(s, write_table(df, f"{root}/_work/scd2_rows_{DAY2}"))
-    dim_c = _save(s, lake, "gold.dim_customer", gold.load_customers(dim_c1, cust2, DAY2, stage=scratch))
-    _save(s, lake, "gold.dim_date", dim_date_covering(txn, "txn_date"))
-    _save(s, lake, "gold.fact_transaction", gold.fact_transaction(txn, dim_c, dim_m, dim_p, DAY2),
-          partition_by=["txn_year", "txn_month"])
-    return lake
+    land(s, lake, "customers", fixtures.raw_customers(s, d, 1), DAY1)
+    land(s, lake, "merchants", fixtures.raw_merchants(s, d, 1), DAY1)
+    land(s, lake, "payment_methods", fixtures.raw_payment_methods(s, d, 1), DAY1)
+    load_day(s, lake, DAY1, DAY1_FEEDS)
+    land(s, lake, "customers", fixtures.raw_customers(s, d, 2), DAY2)
+    land(s, lake, "customer_updates", fixtures.raw_customer_updates(s, d), DAY2)
+    land(s, lake, "merchants", fixtures.raw_merchants(s, d, 2), DAY2)
+    land(s, lake, "payment_methods", fixtures.raw_payment_methods(s, d, 2), DAY2)
+    land(s, lake, "transactions", fixtures.raw_transactions(s, d), DAY2)
+    return load_day(s, lake, DAY2, DAY2_FEEDS)
 
 
 # (layer, table, lakehouse entry) reported by ``layer_counts``; bronze counts

@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, ".")
 from paymart.plans import gold, pipeline, reports, silver  # noqa: E402
 from paymart.sources.bronze import read_bronze  # noqa: E402
-from paymart.sources.fixtures import DAY2  # noqa: E402
+from paymart.sources.fixtures import DAY1, DAY2  # noqa: E402
 
 KEEP = re.compile(r"Exchange|Join|Aggregate|WindowGroupLimit|Window |TakeOrdered|Scan|PushedFilters|"
                   r"PartitionFilters|ReadSchema|Generate|Expand|Union")
@@ -39,9 +39,9 @@ def main() -> None:
                             r("gold.dim_payment_method"), r("gold.dim_date"))
     jobs = {
         "silver_transactions": silver.silver_transactions(read_bronze(spark, f"{lake.root}/bronze", "transactions", DAY2), DAY2),
-        "scd2_merge": gold.load_customers(r("gold.dim_customer_day1"), r("silver.customers"), DAY2,
+        "scd2_merge": gold.load_customers(r(f"gold.dim_customer@{DAY1}"), r("silver.customers"), DAY2,
                                           stage=lambda rows: rows.persist()),
-        "scd1_merge": gold.load_type1("merchant", r("gold.dim_merchant_day1"), r("silver.merchants"), DAY2),
+        "scd1_merge": gold.load_type1("merchant", r(f"gold.dim_merchant@{DAY1}"), r("silver.merchants"), DAY2),
         "fact_transaction": gold.fact_transaction(r("silver.transactions"), dc, dm, dp, DAY2),
         "fact_transaction_salted": gold.fact_transaction(r("silver.transactions"), dc, dm, dp, DAY2,
                                                          max_broadcast_rows=0, hot_key_rows=1000),
