@@ -98,3 +98,6 @@ def test_pipeline_writes_every_layer(spark, duck, sf_small):
     assert sorted(sql.collect()) == sorted(df.collect())
     fact = lake.read(spark, "gold.fact_transaction")
     assert fact.count() == fact.select("transaction_id").distinct().count()  # grain kept
+    from pyspark.sql import functions as F
+    money = [F.sum(c).alias(c) for c in ("txn_amount", "platform_fee", "cashback_amount", "net_revenue")]
+    assert fact.agg(*money).first() == lake.read(spark, "silver.transactions").agg(*money).first()  # totals kept
