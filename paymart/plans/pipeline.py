@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.operators.calendar import dim_date_covering
+from paymart.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, fits
 from paymart.plans import gold, silver
 from paymart.schemas import BRONZE_TABLES
 from paymart.sources import fixtures
@@ -57,7 +58,9 @@ def land(spark: SparkSession, lake: Lakehouse, source: str, df: DataFrame, day:
     lake.tables[f"bronze.{source}"] = f"{lake.root}/bronze/{BRONZE_TABLES[source]}"
 
 
-def _save(spark: SparkSession, lake: Lakehouse, name: str, day: str, df: DataFrame, partition_by=None) -> DataFrame:
+def _save(
+    spark: SparkSession, lake: Lakehouse, name: str, day: str, df: DataFrame, partition_by=None, rebalance=True
+) -> DataFrame:
     """Write the ``day`` image of table ``name`` and re-read it.
 
     The row count is observed while the write runs (no second pass over the
@@ -67,7 +70,7 @@ def _save(spark: SparkSession, lake: Lakehouse, name: str, day: str, df: DataFra
     obs = Observation(f"{name}@{day}")
     t = time.perf_counter()
     write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by,
-                dynamic=bool(partition_by))
+                dynamic=bool(partition_by), rebalance=rebalance)
     lake.seconds[f"{name}@{day}"] = time.perf_counter() - t
     lake.rows[f"{name}@{day}"] = lake.rows[name] = obs.get["rows"]
     lake.tables[f"{name}@{day}"] = lake.tables[name] = path
@@ -103,8 +106,13 @@ def load_day(spark: SparkSession, lake: Lakehouse, day: str, sources: set[str])
                     partition_by=["txn_year", "txn_month"])
         _save(s, lake, "gold.dim_date", day, dim_date_covering(txn, "txn_date"))
         dims = [lake.read(s, n) for n in ("gold.dim_customer", "gold.dim_merchant", "gold.dim_payment_method")]
+        # With every dimension broadcast the fact plan has no shuffle: each task
+        # reads silver files of one or a few months and writes those months, so
+        # the file layout carries over and a rebalance would only add a full
+        # shuffle of the largest table.  Shuffle joins scatter months: rebalance.
+        all_broadcast = all(fits(d, DEFAULT_MAX_BROADCAST_ROWS) for d in dims)
         _save(s, lake, "gold.fact_transaction", day, gold.fact_transaction(txn, *dims, day),
-              partition_by=["txn_year", "txn_month"])
+              partition_by=["txn_year", "txn_month"], rebalance=not all_broadcast)
     return lake
 
 
