@@ -7,7 +7,7 @@ OP1 = r"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id,
          list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+                     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sets AS MATERIALIZED (
   SELECT r, doc_id,

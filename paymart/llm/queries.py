@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paymart.llm import minhash
+from paymart.llm import chat, line_crf, minhash, packing, secrets, shards
 from paymart.llm.common import table
 
 
@@ -14,6 +15,39 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(chat.injected(spark))
+    return chat.read_back(chat.format_turns(rows.withColumn("parts", chat.text_parts(F.col("text")))))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+def op8_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    return shards.uniform_shards(rows, ["doc_id", "size", "text_crc32"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_line_quality": op2_line_quality,
+    "op3_chat_formatting": op3_chat_formatting,
+    "op4_secret_scan": op4_secret_scan,
+    "op8_uniform_shards": op8_uniform_shards,
+    "op10_hierarchical_packing": op10_hierarchical_packing,
 }
