@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paymart.llm import chat, line_crf, minhash, packing, secrets, shards
+from paymart.llm import chat, line_crf, minhash, packing, rans, secrets, shards
 from paymart.llm.common import table
 
 
@@ -28,6 +28,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op5_rans_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = rans.encoded_path(spark)
+    rans.write_ids(table(spark, sf_dir, "documents"), path)
+    return rans.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -48,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_quality": op2_line_quality,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_secret_scan": op4_secret_scan,
+    "op5_rans_token_ids": op5_rans_token_ids,
     "op8_uniform_shards": op8_uniform_shards,
     "op10_hierarchical_packing": op10_hierarchical_packing,
 }
