@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paymart.llm import chat, line_crf, minhash, packing, rans, secrets, shards
+from paymart.llm import caps, chat, line_crf, minhash, packing, rans, secrets, shards
 from paymart.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op5_rans_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_cap_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_secret_scan": op4_secret_scan,
     "op5_rans_token_ids": op5_rans_token_ids,
+    "op6_cap_near_vectors": op6_cap_near_vectors,
     "op8_uniform_shards": op8_uniform_shards,
     "op10_hierarchical_packing": op10_hierarchical_packing,
 }
