@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paymart.llm import caps, chat, line_crf, minhash, packing, rans, secrets, shards
+from paymart.llm import caps, chat, lattice, line_crf, minhash, packing, pii, rans, secrets, shards
 from paymart.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op6_cap_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents"))
+
+
 def op8_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -49,6 +53,11 @@ def op8_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sampled = lattice.sample_segmentations(table(spark, sf_dir, "documents"))
+    return sampled.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -60,6 +69,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_rans_token_ids": op5_rans_token_ids,
     "op6_cap_near_vectors": op6_cap_near_vectors,
+    "op7_feistel_pseudonyms": op7_feistel_pseudonyms,
     "op8_uniform_shards": op8_uniform_shards,
+    "op9_gumbel_segmentations": op9_gumbel_segmentations,
     "op10_hierarchical_packing": op10_hierarchical_packing,
 }
