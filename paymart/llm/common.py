@@ -67,6 +67,26 @@ def texts_of(column: pa.Array) -> Iterator[np.ndarray | None]:
         yield data[at[i] : at[i + 1]] if valid[i] else None
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Rows that come sorted by integer ``keys``, one table a key; holds one group and one batch at a time."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        now = pa.concat_tables([rest, now]) if rest is not None else now
+        if not now.num_rows:
+            continue
+        new = np.zeros(now.num_rows - 1, bool)
+        for key in keys:
+            value = now.column(key).to_numpy()
+            new |= value[1:] != value[:-1]
+        ends = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for at, to in zip(ends[:-1], ends[1:], strict=True):
+            yield now.slice(at, to - at)
+        rest = now.slice(ends[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A fixed 64-bit finalizer (a bijection that spreads every input bit over the word)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
