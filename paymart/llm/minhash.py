@@ -12,7 +12,7 @@ shingle of all its words).  384 minima per set give
   Candidates under 0.75 - 0.10 by estimate (over 4 deviations) are not
   verified.
 
-Links are found in two rounds, so that no bucket emits all its pairs:
+Links are found in three rounds, so that no bucket emits all its pairs:
 
 1. every member of a bucket is compared with the bucket's smallest member; of
    the candidates of one set the most similar one is verified on full sets.
@@ -20,7 +20,11 @@ Links are found in two rounds, so that no bucket emits all its pairs:
 2. in buckets that still hold several components, only pairs from different
    components can add anything.  They are estimated in blocks of at most
    2 x BLOCK members (a larger bucket is cut into blocks, and every pair of
-   blocks is one group), and those over the margin are verified on full sets.
+   blocks is one group).  The most similar partner of each set is verified;
+3. what then still lies in a bucket with another component meets every partner,
+   each pair once, on a signature of 1,408 minima (1,024 more, made for members
+   of shared buckets only; deviation below 0.0121), and is verified if the
+   estimate is over 0.75 - 0.055.
 
 Equal sets are one node from the start; nodes are 64-bit hashes of whole sets.
 """
@@ -32,10 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paymart.llm.common import WordHashes, mix64, shuffle_partitions, staged, texts_of, word_bounds
+from paymart.llm.common import WordHashes, groups, mix64, shuffle_partitions, staged, texts_of, word_bounds
 from paymart.llm.components import connected_components
 
 WORDS = 5
@@ -44,13 +48,14 @@ MINIMA = BANDS * ROWS
 BITS = 4
 SHARE_PERCENT = 75
 MARGIN = 0.10
+WIDE, WIDE_MARGIN = 1024, 0.055
 BLOCK = 1024
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _rng = np.random.default_rng(20240607)
-_MULTIPLY = _rng.integers(1 << 31, size=MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_ADD = _rng.integers(1 << 32, size=MINIMA, dtype=np.uint32)
+_MULTIPLY = _rng.integers(1 << 31, size=MINIMA + WIDE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _rng.integers(1 << 32, size=MINIMA + WIDE, dtype=np.uint32)
 _PLACE = _rng.integers(1 << 63, size=max(WORDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND = mix64(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -77,12 +82,14 @@ class Shingles:
         return np.unique(mix64(total))
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
+def minima(hashes: np.ndarray, family: slice = slice(0, MINIMA)) -> np.ndarray:
+    """The smallest value of the set under each function of the family."""
     x = (hashes ^ (hashes >> np.uint64(32))).astype(np.uint32)
-    low = np.full(MINIMA, 0xFFFFFFFF, np.uint32)
+    multiply, add = _MULTIPLY[family], _ADD[family]
+    low = np.full(len(add), 0xFFFFFFFF, np.uint32)
     for at in range(0, len(x), 256):
-        y = np.multiply.outer(x[at : at + 256], _MULTIPLY)
-        y += _ADD
+        y = np.multiply.outer(x[at : at + 256], multiply)
+        y += add
         np.minimum(low, y.min(axis=0), out=low)
     return low
 
@@ -112,7 +119,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         x = (x | x >> np.uint64(2)) & ones
         equal += 16 - np.bitwise_count(x).astype(np.int32)
     chance = 1 / (1 << BITS)
-    return (equal / MINIMA - chance) / (1 - chance)
+    return (equal / (16 * a.shape[-1]) - chance) / (1 - chance)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,16 +147,19 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node wanted, text) to (node, sorted hashes), where the text has that node."""
+    """(node wanted, text) to (node, sorted hashes, wide signature), where the text has that node."""
     shingles = Shingles()
     for batch in batches:
-        nodes, sets = [], []
+        nodes, sets, wide = [], [], []
         for wanted, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
             found = shingles(text)
             if len(found) and node_of(found) == wanted:
                 nodes.append(wanted)
                 sets.append(found.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "hashes"])
+                wide.append(pack(minima(found, slice(MINIMA, None))))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary()), pa.array(wide, pa.binary())], names=["node", "hashes", "wide"]
+        )
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,44 +181,58 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
-def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, i, j, block, node, label, sig) sorted by (key, i, j): pairs between labels over the margin, group by group."""
-    floor = SHARE_PERCENT / 100 - MARGIN
+class _Block:
+    """A bucket, or two blocks of one: rows (key, i, j, block, node, label, sig)."""
 
-    def pairs(group: pa.Table) -> pa.RecordBatch:
-        node, label, block = (group.column(k).to_numpy() for k in ("node", "label", "block"))
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint64).reshape(len(node), -1)
+    def __init__(self, group: pa.Table) -> None:
+        self.node, self.label, block = (group.column(k).to_numpy() for k in ("node", "label", "block"))
+        self.sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint64).reshape(len(self.node), -1)
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        names, where = np.unique(label, return_inverse=True)
-        common = np.bincount(where).argmax()  # rows of the commonest label meet all others as the other side
-        found_a, found_b = [], []
-        for one, two in ((left, right),) if i == j else ((left, right), (right, left)):
-            one = one[where[one] != common]
+        _, self.where = np.unique(self.label, return_inverse=True)
+        common = np.bincount(self.where).argmax()  # members of the commonest label are met by all others
+        sides = ((left, right),) if i == j else ((left, right), (right, left))
+        self.sides = [(one[self.where[one] != common], two) for one, two in sides]
+
+    def shares(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, columns, estimated similarity, -1 within a label), some rows at a time."""
+        for one, two in self.sides:
             for at in range(0, len(one), 256):
                 part = one[at : at + 256]
-                share = estimate(sig[part][:, None, :], sig[two][None, :, :])
-                x, y = np.nonzero((share >= floor) & (where[part][:, None] != where[two][None, :]))
-                found_a.append(node[part[x]])
-                found_b.append(node[two[y]])
-        a, b = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (found_a, found_b))
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["node", "center"])
-
-    rest: pa.Table | None = None
-    for batch in batches:
-        now = pa.Table.from_batches([batch])
-        now = pa.concat_tables([rest, now]) if rest is not None else now
-        if not now.num_rows:
-            continue
-        key, i, j = (now.column(k).to_numpy() for k in ("key", "i", "j"))
-        new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        ends = [0, *new.tolist()]
-        for at, to in zip(ends[:-1], ends[1:], strict=True):
-            yield pairs(now.slice(at, to - at))
-        rest = now.slice(ends[-1])
-    if rest is not None and rest.num_rows:
-        yield pairs(rest)
+                share = estimate(self.sig[part][:, None, :], self.sig[two][None, :, :])
+                share[self.where[part][:, None] == self.where[two][None, :]] = -1
+                yield part, two, share
+
+
+def _best_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each member off the commonest label, its most similar member of another label, if over the margin."""
+    for group in groups(batches, ("key", "i", "j")):
+        block = _Block(group)
+        for part, two, share in block.shares():
+            if len(two):
+                best = share.argmax(axis=1)
+                top = share[np.arange(len(part)), best]
+                ok = top >= SHARE_PERCENT / 100 - MARGIN
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block.node[part[ok]]), pa.array(block.node[two[best[ok]]]), pa.array(top[ok])], names=["node", "center", "share"]
+                )
+
+
+def _all_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every pair of members of different labels over the margin, in the first band that the two share."""
+    for group in groups(batches, ("key", "i", "j")):
+        block = _Block(group)
+        keys = np.array(group.column("keys").combine_chunks().flatten()).reshape(-1, BANDS)
+        band = int((keys[0] == group.column("key")[0].as_py()).argmax())
+        for part, two, share in block.shares():
+            x, y = np.nonzero(share >= SHARE_PERCENT / 100 - WIDE_MARGIN)
+            x, y = part[x], two[y]
+            first = np.zeros(len(x), bool)
+            for at in range(0, len(x), 8192):
+                first[at : at + 8192] = (keys[x[at : at + 8192]] == keys[y[at : at + 8192]]).argmax(axis=1) == band
+            a, b = block.node[x[first]], block.node[y[first]]
+            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["node", "center"])
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -220,6 +244,22 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _mixed(members: DataFrame, label: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, in sorted groups (key, i, j) of two blocks at most."""
+    named = members.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    several = (
+        named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+        .where("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    return (
+        named.join(several, "key").join(sigs, "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "sig", "keys")
+        .repartition(shuffle_partitions(members.sparkSession), "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    )
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -240,13 +280,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     members = staged(bands.join(several, "key").groupBy("key", "node").agg(F.first("center").alias("center")), "members")
     nodes = members.select("node").distinct()
-    sigs = staged(signed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("sig").alias("sig")), "sigs")
+    sigs = staged(signed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("sig").alias("sig"), F.min("keys").alias("keys")), "sigs")
 
     one = signed.groupBy("node").agg(F.min("doc_id").alias("first_id"))
     wanted = one.join(nodes, "node", "left_semi")
     sets = staged(
         text.join(wanted, text["doc_id"].eqNullSafe(wanted["first_id"])).select("node", "text")
-        .mapInArrow(_sets, "node long, hashes binary").groupBy("node").agg(F.min("hashes").alias("hashes")),
+        .mapInArrow(_sets, "node long, hashes binary, wide binary")
+        .groupBy("node").agg(F.min("hashes").alias("hashes"), F.min("wide").alias("wide")),
         "sets",
     )
 
@@ -260,20 +301,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = staged(_verify(best, sets), "links1")
     label = connected_components(links, "node", "center")
 
-    named = members.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = (
-        named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
-        .where("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    blocks = (
-        named.join(mixed, "key").join(sigs, "node")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "sig")
-        .repartition(shuffle_partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    mixed = _mixed(members, label, sigs).drop("keys")
+    most = (
+        mixed.mapInArrow(_best_across, "node long, center long, share double")
+        .groupBy("node").agg(F.max_by("center", F.struct("share", "center")).alias("center"))
     )
-    more = staged(blocks.mapInArrow(_crossing, "node long, center long").distinct(), "pairs2")
-    links = links.union(staged(_verify(more, sets), "links2"))
+    links = staged(links.union(_verify(most, sets)), "links2")
+    label = connected_components(links, "node", "center")
+
+    whole = sigs.join(sets, "node").select("node", F.concat("sig", "wide").alias("sig"), "keys")
+    more = staged(_mixed(members, label, whole).mapInArrow(_all_across, "node long, center long").distinct(), "pairs3")
+    links = links.union(staged(_verify(more, sets), "links3"))
     label = connected_components(links, "node", "center")
 
     classes = one.where("node is not null").join(label, "node", "left").select("node", "first_id", F.coalesce("label", "node").alias("label"))
@@ -285,3 +323,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.col("doc_id").eqNullSafe(F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, any others) that stay: of each group of near copies the one of smallest doc_id.
+
+    Blank texts are in no group and all stay.  Of rows that repeat a doc_id within a group, the one of
+    smallest text stays.  A row without an id goes by a number made from its text, above usual ids.
+    """
+    nameless = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), nameless))
+    found = near_duplicates(keyed, id_col="_key").where("kept").groupBy(F.col("doc_id").alias("_kept")).agg(F.max("n_shingles").alias("_shingles"))
+    stay = keyed.join(found, keyed["_key"] == found["_kept"])
+    first = F.row_number().over(Window.partitionBy("_key").orderBy("text"))
+    return stay.withColumn("_nth", first).where("_nth = 1 OR _shingles = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
