@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> None:
     }
     for title, df in shows.items():
         print(f"\n== {title}")
-        df.show(24, truncate=False)
+        df.show(max(1, df.count()), truncate=False)  # a report, all its rows
 
 
 if __name__ == "__main__":

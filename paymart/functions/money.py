@@ -3,9 +3,8 @@
 Measures are DECIMAL(10,2).  Averages and rates are rounded HALF_UP to two
 places on the exact rational value: the quotient is formed with integer
 division over DECIMAL(38,0) operands (no overflow at any realistic volume)
-and only the final two-place result becomes a DOUBLE.  Floating-point
-rounding therefore never decides a digit, and the value is identical across
-engines.  Inputs are non-negative (the silver layer rejects negative
+and the result is a DECIMAL(22,2).  Floating-point rounding therefore never
+decides a digit, and the value is identical across engines.  Inputs are non-negative (the silver layer rejects negative
 amounts), which the floor-division formula relies on.
 
 The helpers take the *names* of aggregated columns, because they run after
@@ -16,11 +15,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def money_sum(c: str) -> Column:
-    """Exact decimal sum of ``c``, reported as DOUBLE."""
-    return F.sum(F.col(c)).cast("double")
-
-
 def _half_up_div(num_sql: str, den_sql: str) -> str:
     # floor((2*num + den) / (2*den)) == round_half_up(num / den) for num >= 0, den > 0
     num = f"cast({num_sql} as decimal(38,0))"
@@ -28,12 +22,12 @@ def _half_up_div(num_sql: str, den_sql: str) -> str:
 
 
 def round_avg(sum_col: str, n_col: str) -> Column:
-    """sum / n (a DECIMAL(p,2) sum over n rows), HALF_UP to 0.01, as DOUBLE."""
+    """sum / n (a DECIMAL(p,2) sum over n rows), HALF_UP to 0.01, as DECIMAL(22,2)."""
     q = _half_up_div(f"{sum_col} * 100", n_col)
-    return F.expr(f"cast({q} as double) / 100.0")
+    return F.expr(f"cast(cast({q} as decimal(20,0)) * 0.01 as decimal(22,2))")
 
 
 def pct_rate(flag_sum_col: str, n_col: str) -> Column:
-    """flag_sum * 100 / n, HALF_UP to two places, as DOUBLE."""
+    """flag_sum * 100 / n, HALF_UP to two places, as DECIMAL(22,2)."""
     q = _half_up_div(f"{flag_sum_col} * 10000", n_col)
-    return F.expr(f"cast({q} as double) / 100.0")
+    return F.expr(f"cast(cast({q} as decimal(20,0)) * 0.01 as decimal(22,2))")

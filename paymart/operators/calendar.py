@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from paymart.functions.dates import date_key, fiscal_quarter, fiscal_year, is_we
 # The default calendar range.
 DEFAULT_START = "2018-01-01"
 DEFAULT_END = "2030-12-31"
+#: Dates outside this range are taken for errors by ``dim_date_covering``.
+EARLIEST, LATEST = "1900-01-01", "2100-12-31"
 
 DIM_DATE_COLUMNS = [
     "full_date", "date_key", "year", "quarter", "month", "month_name",
@@ -37,27 +41,25 @@ def _attributes(days: DataFrame) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
-    """Every day from ``start`` to ``end`` inclusive."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("INTERVAL 1 DAY"))).alias("full_date")
-    )
+    """Every day from ``start`` to ``end`` inclusive, made by a distributed range."""
+    first, last = datetime.date.fromisoformat(start), datetime.date.fromisoformat(end)
+    days = spark.range((last - first).days + 1).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date"))
     return _attributes(days)
 
 
-def dim_date_covering(dates: DataFrame, date_col: str) -> DataFrame:
-    """Whole calendar years spanning the min..max of ``date_col`` (NULLs ignored).
+def dim_date_covering(
+    dates: DataFrame, date_col: str, earliest: str = EARLIEST, latest: str = LATEST, also: tuple[str, str] | None = None
+) -> DataFrame:
+    """Whole calendar years spanning the min..max of ``date_col`` (and of ``also``, a range to keep covered).
 
-    The range is found by one global min/max aggregate; the calendar then holds
-    at most 366 rows per covered year, independent of the data volume.
+    NULLs and dates outside ``earliest`` .. ``latest`` (typing errors such as
+    the year 9999) are left out of the range; ``fact_quality`` counts facts
+    whose date has no calendar row.  The range is one distributed min/max; the
+    calendar holds at most 366 rows per covered year.
     """
-    bounds = dates.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).filter(F.col("lo").isNotNull())
-    days = bounds.select(
-        F.explode(
-            F.sequence(
-                F.make_date(F.year("lo"), F.lit(1), F.lit(1)),
-                F.make_date(F.year("hi"), F.lit(12), F.lit(31)),
-                F.expr("INTERVAL 1 DAY"),
-            )
-        ).alias("full_date")
-    )
-    return _attributes(days)
+    sane = F.col(date_col).between(F.lit(earliest).cast("date"), F.lit(latest).cast("date"))
+    lo, hi = dates.where(sane).agg(F.min(date_col), F.max(date_col)).first()
+    bounds = [d for d in (lo, hi) if d is not None] + [datetime.date.fromisoformat(d) for d in also or ()]
+    if not bounds:
+        return dim_date(dates.sparkSession, "2000-01-02", "2000-01-01")  # no days
+    return dim_date(dates.sparkSession, f"{min(bounds).year:04d}-01-01", f"{max(bounds).year:04d}-12-31")

@@ -35,6 +35,8 @@ def dense_keys(
     ``offset`` is an optional one-row, one-column DataFrame holding the value
     to start after (NULL counts as 0).
     """
+    if not 1 <= bucket_digits <= 5:
+        raise ValueError("bucket_digits must be 1 to 5: the bucket counts pass one task and are broadcast")
     b = "_key_bucket"
     rows = df.withColumn(b, F.substring(F.md5(F.col(natural_key).cast("string")), 1, bucket_digits))
     counts = rows.groupBy(b).agg(F.count(F.lit(1)).cast("bigint").alias("_n"))

@@ -27,11 +27,3 @@ def valid_transactions(df: DataFrame) -> DataFrame:
 
 def count_if(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1))).cast("bigint")
-
-
-def null_counts(df: DataFrame, cols: Sequence[str], total_alias: str = "total_rows") -> DataFrame:
-    """One aggregate: total rows and the NULL count of each column."""
-    return df.agg(
-        F.count(F.lit(1)).cast("bigint").alias(total_alias),
-        *[count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols],
-    )

@@ -16,7 +16,7 @@ Merge rules, per natural key:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,8 @@ from paymart.functions.hashing import record_hash
 from paymart.operators.keys import dense_keys, max_key
 from paymart.sources.bronze import load_stamp
 
+Stage = Callable[[DataFrame], DataFrame]
+
 
 def with_record_hash(df: DataFrame, tracked: Sequence[str], null_safe: bool = False) -> DataFrame:
     return df.withColumn("record_hash", record_hash(list(tracked), null_safe=null_safe))
@@ -37,9 +39,10 @@ def scd1_initial(
     tracked: Sequence[str],
     columns: Sequence[str],
     as_of: str,
+    null_safe: bool = False,
 ) -> DataFrame:
     """First image: every source row, its hash, a dense key and the load stamp."""
-    h = with_record_hash(src, tracked).withColumn("updated_at", F.lit(load_stamp(as_of)))
+    h = with_record_hash(src, tracked, null_safe).withColumn("updated_at", F.lit(load_stamp(as_of)))
     return dense_keys(h, natural_key, key_col).select(*columns)
 
 
@@ -51,22 +54,28 @@ def scd1_merge(
     tracked: Sequence[str],
     columns: Sequence[str],
     as_of: str,
+    stage: Stage | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Next image after upserting ``src`` into ``old`` (see module rules)."""
+    """Next image after upserting ``src`` into ``old`` (see module rules).
+
+    One full outer join yields every row of the next image, inserts without a
+    key.  They are read three times (kept rows, key counts, numbering);
+    ``stage`` may materialise them once (write and re-read, or persist).
+    """
     value_cols = [c for c in columns if c != key_col]
-    s = with_record_hash(src, tracked).withColumn("updated_at", F.lit(load_stamp(as_of))).select(*value_cols)
-    sp = s.select(*[F.col(c).alias(f"_s_{c}") for c in value_cols])
-    # Both joins shuffle ``old`` and ``src`` on the natural key; the exchanges
-    # are identical, so Spark reuses them.
-    j = old.select(*columns).join(sp, F.col(natural_key) == F.col(f"_s_{natural_key}"), "left")
+    s = with_record_hash(src, tracked, null_safe).withColumn("updated_at", F.lit(load_stamp(as_of)))
+    s = s.select(*[F.col(c).alias(f"_s_{c}") for c in value_cols])
+    j = old.select(*columns).join(s, F.col(natural_key) == F.col(f"_s_{natural_key}"), "full_outer")
+    fresh = F.col(natural_key).isNull()
     changed = F.col(f"_s_{natural_key}").isNotNull() & ~F.col("record_hash").eqNullSafe(F.col("_s_record_hash"))
     updated = set(tracked) | {"record_hash", "updated_at"}
-    kept = j.select(
-        *[
-            (F.when(changed, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in updated else F.col(c)).alias(c)
-            for c in columns
-        ]
+    rows = j.select(
+        key_col,
+        *[F.when(fresh | changed if c in updated else fresh, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in value_cols],
     )
-    fresh = s.join(old.select(natural_key), natural_key, "left_anti")
-    inserts = dense_keys(fresh, natural_key, key_col, offset=max_key(old, key_col)).select(*columns)
-    return kept.unionByName(inserts)
+    if stage is not None:
+        rows = stage(rows)
+    inserts = rows.filter(F.col(key_col).isNull()).drop(key_col)
+    inserts = dense_keys(inserts, natural_key, key_col, offset=max_key(old, key_col)).select(*columns)
+    return rows.filter(F.col(key_col).isNotNull()).select(*columns).unionByName(inserts)

@@ -27,13 +27,13 @@ day.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paymart.operators.keys import dense_keys, max_key
-from paymart.operators.scd1 import with_record_hash
+from paymart.operators.scd1 import Stage, with_record_hash
 
 VERSION_COLUMNS = ["effective_start", "effective_end", "is_current"]
 
@@ -53,10 +53,11 @@ def scd2_initial(
     columns: Sequence[str],
     as_of: str,
     initial_start: str = "created_date",
+    null_safe: bool = False,
 ) -> DataFrame:
     """First image: one open, current version per source row."""
     h = (
-        with_record_hash(src, tracked)
+        with_record_hash(src, tracked, null_safe)
         .withColumn("effective_start", _first_start(initial_start, as_of))
         .withColumn("effective_end", F.lit(None).cast("date"))
         .withColumn("is_current", F.lit(1))
@@ -64,10 +65,10 @@ def scd2_initial(
     return dense_keys(h, natural_key, key_col).select(*columns)
 
 
-def _joined(image: DataFrame, src: DataFrame, natural_key: str, tracked: Sequence[str], columns: Sequence[str], as_of: str):
+def _joined(image: DataFrame, src: DataFrame, natural_key: str, tracked: Sequence[str], columns: Sequence[str], as_of: str, null_safe: bool = False):
     value_cols = [c for c in columns if c not in VERSION_COLUMNS]
     src_cols = [c for c in value_cols if c in src.columns or c == "record_hash"]
-    s = with_record_hash(src, tracked).select(*src_cols)
+    s = with_record_hash(src, tracked, null_safe).select(*src_cols)
     sp = s.select(*[F.col(c).alias(f"_s_{c}") for c in src_cols])
     cur = image.filter(F.col("is_current") == 1).select(*columns)
     j = cur.join(sp, F.col(natural_key) == F.col(f"_s_{natural_key}"), "full_outer")
@@ -95,13 +96,13 @@ def scd2_source_rows(image: DataFrame, src: DataFrame, natural_key: str, tracked
     return j.filter(F.col("_class") == change_class).select(*[F.col(f"_s_{c}").alias(c) for c in src_cols])
 
 
-def _emitted(image, src, natural_key, key_col, tracked, columns, as_of, initial_start):
+def _emitted(image, src, natural_key, key_col, tracked, columns, as_of, initial_start, null_safe=False):
     """Rows emitted by the current-vs-source join, tagged by ``_kind``.
 
     Kinds: ``keep`` (unchanged/missing), ``expired``, ``replaced`` (same-day
     change, keeps its key), ``insert`` (needs a key).
     """
-    j, src_cols = _joined(image, src, natural_key, tracked, columns, as_of)
+    j, src_cols = _joined(image, src, natural_key, tracked, columns, as_of, null_safe)
     day = F.to_date(F.lit(as_of))
     types = dict(image.select(*columns).dtypes)
 
@@ -141,9 +142,6 @@ def _emitted(image, src, natural_key, key_col, tracked, columns, as_of, initial_
     return rows
 
 
-Stage = Callable[[DataFrame], DataFrame]
-
-
 def scd2_expire(image, src, natural_key, key_col, tracked, columns, as_of, initial_start="created_date") -> DataFrame:
     """The versions closed by this load (``is_current = 0``, end ``as_of - 1``)."""
     rows = _emitted(image, src, natural_key, key_col, tracked, columns, as_of, initial_start)
@@ -157,23 +155,37 @@ def scd2_inserts(image, src, natural_key, key_col, tracked, columns, as_of, init
     return dense_keys(fresh, natural_key, key_col, offset=max_key(image, key_col)).select(*columns)
 
 
-def scd2_merge(
-    image, src, natural_key, key_col, tracked, columns, as_of, initial_start="created_date", stage: Stage | None = None
-) -> DataFrame:
-    """The next image: history + kept/expired/replaced rows + keyed inserts.
+def scd2_step(
+    current: DataFrame, src: DataFrame, natural_key, key_col, tracked, columns, as_of, initial_start="created_date",
+    stage: Stage | None = None, null_safe: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(next current versions, versions this load closes), from the current versions alone.
 
-    The emitted rows feed three consumers (kept rows, the per-bucket key
-    counts and the key numbering).  ``stage`` may materialise them once
-    (write and re-read, or persist), so the join is not evaluated three times.
+    Closed history is neither read nor rewritten, so the cost follows the
+    current versions, not the history.  The largest key always belongs to a
+    current version (a closed one is followed by a newer one with a larger
+    key), so numbering goes on without the history too.  The emitted rows feed
+    four consumers; ``stage`` may materialise them once (write and re-read, or
+    persist).
     """
-    rows = _emitted(image, src, natural_key, key_col, tracked, columns, as_of, initial_start)
+    rows = _emitted(current, src, natural_key, key_col, tracked, columns, as_of, initial_start, null_safe)
     if stage is not None:
         rows = stage(rows)
+    kind = F.col("_kind")
+    fresh = rows.filter(kind == "insert").drop(key_col, "_kind")
+    inserts = dense_keys(fresh, natural_key, key_col, offset=max_key(current, key_col)).select(*columns)
+    stay = rows.filter(kind.isin("keep", "replaced")).select(*columns).unionByName(inserts)
+    return stay, rows.filter(kind == "expired").select(*columns)
+
+
+def scd2_merge(
+    image, src, natural_key, key_col, tracked, columns, as_of, initial_start="created_date", stage: Stage | None = None, null_safe: bool = False
+) -> DataFrame:
+    """The next image: history + kept/expired/replaced rows + keyed inserts (see ``scd2_step``)."""
+    current = image.filter(F.col("is_current") == 1)
+    stay, closed = scd2_step(current, src, natural_key, key_col, tracked, columns, as_of, initial_start, stage, null_safe)
     history = image.filter(F.col("is_current") == 0).select(*columns)
-    touched = rows.filter(F.col("_kind") != "insert").select(*columns)
-    fresh = rows.filter(F.col("_kind") == "insert").drop(key_col, "_kind")
-    inserts = dense_keys(fresh, natural_key, key_col, offset=max_key(image, key_col)).select(*columns)
-    return history.unionByName(touched).unionByName(inserts)
+    return history.unionByName(closed).unionByName(stay)
 
 
 def scd2_counts(image: DataFrame) -> DataFrame:

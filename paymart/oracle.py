@@ -13,7 +13,7 @@ the Spark side too), averages and rates use the same exact HALF_UP rule.
 
 from __future__ import annotations
 
-from paymart.sources.fixtures import DAY1, DAY2, UPDATES_DATE
+from paymart.sources.fixtures import DAY1, DAY2, DAY3, UPDATES_DATE
 
 # ---------------------------------------------------------------------------
 # expression helpers
@@ -145,6 +145,7 @@ def _customer_rows(updates: bool) -> str:
         JOIN region r ON n.n_regionkey = r.r_regionkey"""
 
 
+cte("raw_customers_0", [], _customer_rows(False))
 cte("raw_customers_1", [], _customer_rows(False) + " WHERE c.c_custkey % 11 <> 0")
 cte("raw_customers_2", [], _customer_rows(False) + " WHERE c.c_custkey % 23 <> 0")
 cte("raw_customer_updates", [], _customer_rows(True) + " WHERE c.c_custkey % 7 = 0")
@@ -156,7 +157,7 @@ def _merchant_rows(snapshot: int) -> str:
     cat = f"CASE WHEN {even} % 6 = 0 THEN 'food' WHEN {even} % 6 = 2 THEN 'Retail ' ELSE 'TRAVEL' END"
     if snapshot == 2:
         cat = f"CASE WHEN {k} % 5 = 0 THEN 'health' ELSE {cat} END"
-    where = f"{k} % 13 <> 0" if snapshot == 1 else f"{k} % 11 <> 0"
+    where = "TRUE" if snapshot == 0 else f"{k} % 13 <> 0" if snapshot == 1 else f"{k} % 11 <> 0"
     return f"""
         SELECT 'MERCH-' || printf('%04d', {k}) AS merchant_id,
                ' Merchant ' || CAST({even} AS VARCHAR) AS merchant_name,
@@ -170,6 +171,7 @@ def _merchant_rows(snapshot: int) -> str:
         FROM supplier WHERE {where}"""
 
 
+cte("raw_merchants_0", [], _merchant_rows(0))
 cte("raw_merchants_1", [], _merchant_rows(1))
 cte("raw_merchants_2", [], _merchant_rows(2))
 
@@ -195,10 +197,8 @@ cte("raw_payment_methods_1", [], _payment_rows(1))
 cte("raw_payment_methods_2", [], _payment_rows(2))
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(10,2))"
-cte(
-    "raw_transactions",
-    [],
-    f"""
+def _raw_transactions(where: str = "TRUE") -> str:
+    return f"""
     SELECT 'TXN-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id,
            CASE WHEN l_partkey % 109 = 0 THEN NULL ELSE 'CUST-' || printf('%06d', o_custkey) END AS customer_id,
            'MERCH-' || printf('%04d', l_suppkey) AS merchant_id,
@@ -219,8 +219,14 @@ cte(
            CASE WHEN l_returnflag = 'R' THEN CASE WHEN l_linestatus = 'F' THEN 'timeout' ELSE 'BANK_DECLINED ' END
                 END AS failure_reason,
            CASE WHEN l_quantity >= 49 THEN '1' ELSE '0' END AS is_fraud_flag
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-)
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {where}"""
+
+
+# The feed, and its two parts with rows in common.
+cte("raw_transactions", [], _raw_transactions())
+cte("raw_transactions_a", [], _raw_transactions("l_partkey % 3 <> 2"))
+cte("raw_transactions_b", [], _raw_transactions("l_partkey % 3 <> 0"))
+
 
 # ---- silver ----------------------------------------------------------------
 
@@ -243,6 +249,7 @@ def _silver_customers(raw: str, day: str) -> str:
     WHERE rn = 1"""
 
 
+cte("silver_customers_0", ["raw_customers_0"], _silver_customers("raw_customers_0", DAY1))
 cte("silver_customers_1", ["raw_customers_1"], _silver_customers("raw_customers_1", DAY1))
 cte("silver_customers_2_base", ["raw_customers_2"], _silver_customers("raw_customers_2", DAY2))
 cte(
@@ -286,6 +293,7 @@ def _silver_merchants(raw: str, day: str) -> str:
     WHERE rn = 1"""
 
 
+cte("silver_merchants_0", ["raw_merchants_0"], _silver_merchants("raw_merchants_0", DAY1))
 cte("silver_merchants_1", ["raw_merchants_1"], _silver_merchants("raw_merchants_1", DAY1))
 cte("silver_merchants_2", ["raw_merchants_2"], _silver_merchants("raw_merchants_2", DAY2))
 
@@ -306,10 +314,8 @@ def _silver_payments(raw: str, day: str) -> str:
 cte("silver_payment_methods_1", ["raw_payment_methods_1"], _silver_payments("raw_payment_methods_1", DAY1))
 cte("silver_payment_methods_2", ["raw_payment_methods_2"], _silver_payments("raw_payment_methods_2", DAY2))
 
-cte(
-    "typed_transactions",
-    ["raw_transactions"],
-    f"""
+def _typed_transactions(raw: str) -> str:
+    return f"""
     SELECT transaction_id, customer_id, merchant_id, trim(upper(method_code)) AS method_code,
            TRY_CAST(txn_date AS DATE) AS txn_date,
            {_dec('txn_amount')} AS txn_amount_typed,
@@ -318,27 +324,25 @@ cte(
            coalesce({_dec('cashback_amount')}, CAST(0 AS DECIMAL(10,2))) AS cashback_amount,
            trim(upper(txn_status)) AS txn_status, trim(upper(failure_reason)) AS failure_reason,
            coalesce({_to_int('is_fraud_flag')}, 0) AS is_fraud_flag
-    FROM raw_transactions""",
-)
-cte(
-    "valid_transactions",
-    ["typed_transactions"],
-    """
+    FROM {raw}"""
+
+
+def _valid_transactions(typed: str) -> str:
+    return f"""
     SELECT transaction_id, customer_id, merchant_id, method_code, txn_date, txn_amount, platform_fee,
            cashback_amount, txn_status, failure_reason, is_fraud_flag,
            platform_fee - cashback_amount AS net_revenue,
            CAST(year(txn_date) AS INTEGER) AS txn_year, CAST(month(txn_date) AS INTEGER) AS txn_month
-    FROM typed_transactions
+    FROM {typed}
     WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL AND merchant_id IS NOT NULL
-      AND txn_amount >= 0 AND txn_status IN ('SUCCESS', 'FAILED', 'PENDING')""",
-)
-cte(
-    "silver_transactions",
-    ["valid_transactions"],
-    f"""
+      AND txn_amount >= 0 AND txn_status IN ('SUCCESS', 'FAILED', 'PENDING')"""
+
+
+def _silver_transactions(valid: str, day: str) -> str:
+    return f"""
     SELECT transaction_id, customer_id, merchant_id, method_code, txn_date, txn_amount, platform_fee,
            cashback_amount, txn_status, failure_reason, is_fraud_flag, net_revenue, txn_year, txn_month,
-           {_audit('transactions', DAY2)}, {_stamp(DAY2)} AS silver_loaded_at
+           {_audit('transactions', day)}, {_stamp(day)} AS silver_loaded_at
     FROM (SELECT *, row_number() OVER (
                 PARTITION BY transaction_id
                 ORDER BY txn_date DESC NULLS LAST, txn_amount DESC NULLS LAST,
@@ -346,10 +350,23 @@ cte(
                          platform_fee ASC NULLS LAST, cashback_amount ASC NULLS LAST,
                          txn_status ASC NULLS LAST, failure_reason ASC NULLS LAST,
                          is_fraud_flag ASC NULLS LAST) AS rn
-          FROM valid_transactions) d
-    WHERE rn = 1""",
+          FROM {valid}) d
+    WHERE rn = 1"""
+
+
+for _part in ("", "_a", "_b"):
+    cte(f"typed_transactions{_part}", [f"raw_transactions{_part}"], _typed_transactions(f"raw_transactions{_part}"))
+    cte(f"valid_transactions{_part}", [f"typed_transactions{_part}"], _valid_transactions(f"typed_transactions{_part}"))
+cte("silver_transactions", ["valid_transactions"], _silver_transactions("valid_transactions", DAY2))
+cte("silver_transactions_a", ["valid_transactions_a"], _silver_transactions("valid_transactions_a", DAY2))
+cte(
+    "silver_transactions_b",
+    ["valid_transactions_b", "silver_transactions_a"],
+    f"SELECT * FROM ({_silver_transactions('valid_transactions_b', DAY3)}) b "
+    "WHERE NOT EXISTS (SELECT 1 FROM silver_transactions_a a WHERE a.transaction_id = b.transaction_id)",
 )
 
+
 # ---- calendar --------------------------------------------------------------
 
 
@@ -515,21 +532,40 @@ _scd2_parts("scd2_rerun", "dim_customer", "silver_customers_2", DAY2)
 
 # ---- fact ----------------------------------------------------------------------
 
-cte(
-    "fact",
-    ["silver_transactions", "dim_merchant", "dim_payment", "dim_customer"],
-    f"""
+
+
+def _fact(txn: str, day: str, payments: str = "dim_payment") -> str:
+    return f"""
     SELECT c.customer_key, m.merchant_key, p.payment_method_key,
            CAST(strftime(t.txn_date, '%Y%m%d') AS INTEGER) AS date_key,
            t.transaction_id, t.txn_date, t.txn_status, t.failure_reason, t.method_code, t.txn_amount,
            t.platform_fee, t.cashback_amount, t.net_revenue, t.is_fraud_flag, t.txn_year, t.txn_month,
-           {_stamp(DAY2)} AS created_at, t.customer_id, t.merchant_id
-    FROM silver_transactions t
+           {_stamp(day)} AS created_at, t.customer_id, t.merchant_id
+    FROM {txn} t
     LEFT JOIN dim_merchant m ON t.merchant_id = m.merchant_id
-    LEFT JOIN dim_payment p ON t.method_code = p.method_code
+    LEFT JOIN {payments} p ON t.method_code = p.method_code
     LEFT JOIN dim_customer c ON t.customer_id = c.customer_id AND t.txn_date >= c.effective_start
-                             AND (c.effective_end IS NULL OR t.txn_date <= c.effective_end)""",
+                             AND (c.effective_end IS NULL OR t.txn_date <= c.effective_end)"""
+
+
+_DIMS = ["dim_merchant", "dim_payment", "dim_customer"]
+cte("fact", ["silver_transactions", *_DIMS], _fact("silver_transactions", DAY2))
+cte("fact_a", ["silver_transactions_a", *_DIMS], _fact("silver_transactions_a", DAY2))
+cte("fact_b", ["silver_transactions_b", *_DIMS], _fact("silver_transactions_b", DAY3))
+# Two methods with one code, and the lookup that takes the smaller method id.
+cte(
+    "dim_payment_shared",
+    ["dim_payment"],
+    "SELECT method_id, payment_method_key, CASE WHEN method_id = 'PM-002' THEN 'UPI' ELSE method_code END AS method_code FROM dim_payment",
 )
+cte(
+    "payment_lookup_shared",
+    ["dim_payment_shared"],
+    "SELECT method_code, arg_min(payment_method_key, method_id) AS payment_method_key FROM dim_payment_shared "
+    "WHERE method_code IS NOT NULL GROUP BY method_code",
+)
+cte("fact_shared", ["silver_transactions", "payment_lookup_shared", *_DIMS], _fact("silver_transactions", DAY2, "payment_lookup_shared"))
+cte("short_dim_date", [], _calendar("SELECT CAST(unnest(generate_series(DATE '1992-01-01', DATE '1996-12-31', INTERVAL 1 DAY)) AS DATE) AS d"))
 
 FACT_OUT = [
     "customer_key", "merchant_key", "payment_method_key", "date_key", "transaction_id", "txn_date",
@@ -598,6 +634,21 @@ def _layer_counts_sql() -> str:
     return _with(sql, [p[2] for p in parts])
 
 
+_DQ_REJECTS = """
+        SELECT count(*) AS rows_in,
+               count(*) FILTER (WHERE nk) AS null_key_rejects,
+               count(*) FILTER (WHERE NOT nk AND neg) AS negative_amount_rejects,
+               count(*) FILTER (WHERE NOT nk AND NOT neg AND NOT ok_status) AS invalid_status_rejects,
+               count(*) FILTER (WHERE NOT nk AND NOT neg AND ok_status) AS rows_valid,
+               count(DISTINCT CASE WHEN NOT nk AND NOT neg AND ok_status THEN transaction_id END)
+                   AS distinct_valid_ids,
+               count(*) FILTER (WHERE txn_amount_typed IS NULL) AS amount_defaulted
+        FROM (SELECT *, (transaction_id IS NULL OR customer_id IS NULL OR merchant_id IS NULL) AS nk,
+                     txn_amount < 0 AS neg,
+                     coalesce(txn_status IN ('SUCCESS', 'FAILED', 'PENDING'), FALSE) AS ok_status
+              FROM typed_transactions) t"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_ingest"] = _with(f"SELECT *, {_audit('transactions', DAY2)} FROM raw_transactions", ["raw_transactions"])
@@ -609,8 +660,8 @@ def oracle_sql() -> dict[str, str]:
     )
     q["cast_int"] = _with(
         f"SELECT customer_id, wallet_limit AS wallet_limit_text, {_to_int('wallet_limit')} AS wallet_limit "
-        "FROM raw_customers_1",
-        ["raw_customers_1"],
+        "FROM raw_customers_0",
+        ["raw_customers_0"],
     )
     q["cast_decimal"] = _with(
         "SELECT transaction_id, txn_amount AS txn_amount_text, "
@@ -625,14 +676,14 @@ def oracle_sql() -> dict[str, str]:
     q["clean_strings"] = _with(
         f"SELECT customer_id, trim(full_name) AS full_name, trim(lower(email)) AS email, "
         f"trim({_initcap('city')}) AS city, trim(upper(state)) AS state, trim(upper(kyc_tier)) AS kyc_tier, "
-        f"trim(upper(customer_segment)) AS customer_segment FROM raw_customers_1",
-        ["raw_customers_1"],
+        f"trim(upper(customer_segment)) AS customer_segment FROM raw_customers_0",
+        ["raw_customers_0"],
     )
     q["fill_defaults"] = _with(
         f"SELECT merchant_id, coalesce(trim({_initcap('city')}), 'UNKNOWN') AS city, "
         f"coalesce(trim(upper(state)), 'UNKNOWN') AS state, coalesce({_to_int('is_active')}, 1) AS is_active "
-        "FROM raw_merchants_2",
-        ["raw_merchants_2"],
+        "FROM raw_merchants_0",
+        ["raw_merchants_0"],
     )
     q["fill_measures"] = _with(
         "SELECT transaction_id, CAST(txn_amount AS DOUBLE) AS txn_amount, CAST(platform_fee AS DOUBLE) AS platform_fee, "
@@ -659,37 +710,22 @@ def oracle_sql() -> dict[str, str]:
         "txn_year, txn_month FROM silver_transactions",
         ["silver_transactions"],
     )
-    q["silver_customers"] = _with("SELECT * FROM silver_customers_1", ["silver_customers_1"])
-    q["silver_merchants"] = _with("SELECT * FROM silver_merchants_1", ["silver_merchants_1"])
+    q["silver_customers"] = _with("SELECT * FROM silver_customers_0", ["silver_customers_0"])
+    q["silver_merchants"] = _with("SELECT * FROM silver_merchants_0", ["silver_merchants_0"])
     q["silver_payment_methods"] = _with("SELECT * FROM silver_payment_methods_2", ["silver_payment_methods_2"])
     q["silver_transactions"] = _with(_select_money("silver_transactions", _SILVER_TXN_COLS, _MONEY),
                                      ["silver_transactions"])
     q["merge_update_only"] = _with("SELECT * FROM silver_customers_2", ["silver_customers_2"])
-    q["dq_rejects"] = _with(
-        """
-        SELECT count(*) AS rows_in,
-               count(*) FILTER (WHERE nk) AS null_key_rejects,
-               count(*) FILTER (WHERE NOT nk AND neg) AS negative_amount_rejects,
-               count(*) FILTER (WHERE NOT nk AND NOT neg AND NOT ok_status) AS invalid_status_rejects,
-               count(*) FILTER (WHERE NOT nk AND NOT neg AND ok_status) AS rows_valid,
-               count(DISTINCT CASE WHEN NOT nk AND NOT neg AND ok_status THEN transaction_id END)
-                   AS distinct_valid_ids,
-               count(*) FILTER (WHERE txn_amount_typed IS NULL) AS amount_defaulted
-        FROM (SELECT *, (transaction_id IS NULL OR customer_id IS NULL OR merchant_id IS NULL) AS nk,
-                     txn_amount < 0 AS neg,
-                     coalesce(txn_status IN ('SUCCESS', 'FAILED', 'PENDING'), FALSE) AS ok_status
-              FROM typed_transactions) t""",
-        ["typed_transactions"],
-    )
+    q["dq_rejects"] = _with(_DQ_REJECTS, ["typed_transactions"])
     q["dq_rejects_dims"] = _with(
         "\nUNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS rows_in, count(*) FILTER (WHERE {k} IS NULL) AS null_key_rejects, "
             f"count({k}) - count(DISTINCT {k}) AS duplicate_rejects, count(DISTINCT {k}) AS rows_out FROM {src}"
-            for t, k, src in [("customers", "customer_id", "raw_customers_2"),
-                              ("merchants", "merchant_id", "raw_merchants_2"),
+            for t, k, src in [("customers", "customer_id", "raw_customers_0"),
+                              ("merchants", "merchant_id", "raw_merchants_0"),
                               ("payment_methods", "method_id", "raw_payment_methods_2")]
         ),
-        ["raw_customers_2", "raw_merchants_2", "raw_payment_methods_2"],
+        ["raw_customers_0", "raw_merchants_0", "raw_payment_methods_2"],
     )
     q["update_matches"] = _with(
         """
@@ -700,10 +736,10 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT u.customer_id, count(*) AS n,
                      bool_or(c.customer_id IS NOT NULL) AS hit
               FROM raw_customer_updates u
-              LEFT JOIN (SELECT DISTINCT customer_id FROM silver_customers_2_base) c ON u.customer_id = c.customer_id
+              LEFT JOIN (SELECT DISTINCT customer_id FROM silver_customers_0) c ON u.customer_id = c.customer_id
               WHERE u.customer_id IS NOT NULL
               GROUP BY u.customer_id) t""",
-        ["raw_customer_updates", "silver_customers_2_base"],
+        ["raw_customer_updates", "silver_customers_0"],
     )
     q["dim_date"] = _with("SELECT * FROM dim_date", ["dim_date"])
     q["fiscal_calendar"] = _with("SELECT full_date, fiscal_year, fiscal_quarter FROM dim_date", ["dim_date"])
@@ -714,13 +750,13 @@ def oracle_sql() -> dict[str, str]:
     )
     q["record_hash"] = _with(
         f"SELECT merchant_id, {_hash(MERCHANT_TRACKED)} AS record_hash, "
-        f"{_hash(MERCHANT_TRACKED, null_safe=True)} AS record_hash_null_safe FROM silver_merchants_2",
-        ["silver_merchants_2"],
+        f"{_hash(MERCHANT_TRACKED, null_safe=True)} AS record_hash_null_safe FROM silver_merchants_0",
+        ["silver_merchants_0"],
     )
     q["surrogate_key"] = _with(
         f"SELECT customer_id, row_number() OVER (ORDER BY {_key_order('customer_id')}) AS customer_key "
-        "FROM silver_customers_1",
-        ["silver_customers_1"],
+        "FROM silver_customers_0",
+        ["silver_customers_0"],
     )
     q["scd1_initial"] = _with("SELECT * FROM dim_merchant_1", ["dim_merchant_1"])
     q["scd1_merge"] = _with("SELECT * FROM dim_merchant", ["dim_merchant"])
@@ -760,37 +796,57 @@ def oracle_sql() -> dict[str, str]:
     q["as_of_join_salted"] = q["point_in_time_join"]
     q["fact_transaction"] = _with(_select_money("fact", FACT_OUT, _MONEY), ["fact"])
     q["fact_partition_roundtrip"] = q["fact_transaction"]
-    q["fact_quality"] = _with(
-        """
+    def quality(cal: str) -> str:
+        return f"""
         SELECT count(*) AS total_rows,
                count(*) FILTER (WHERE customer_key IS NULL) AS null_customer_key,
                count(*) FILTER (WHERE merchant_key IS NULL) AS null_merchant_key,
                count(*) FILTER (WHERE payment_method_key IS NULL) AS null_payment_method_key,
                count(*) FILTER (WHERE date_key IS NULL) AS null_date_key,
                count(*) FILTER (WHERE date_key IS NOT NULL
-                                AND date_key NOT IN (SELECT date_key FROM dim_date)) AS date_key_not_in_calendar,
+                                AND date_key NOT IN (SELECT date_key FROM {cal})) AS date_key_not_in_calendar,
                count(DISTINCT transaction_id) AS distinct_transactions
-        FROM fact""",
-        ["fact", "dim_date"],
+        FROM fact"""
+
+    q["fact_quality"] = _with(quality("dim_date"), ["fact", "dim_date"])
+    q["fact_quality_short_calendar"] = _with(quality("short_dim_date"), ["fact", "short_dim_date"])
+    q["fact_shared_method_code"] = _with(_select_money("fact_shared", FACT_OUT, _MONEY), ["fact_shared"])
+    q["payment_code_conflicts"] = _with(
+        "SELECT method_code, count(*) AS methods FROM dim_payment_shared WHERE method_code IS NOT NULL GROUP BY method_code HAVING count(*) > 1",
+        ["dim_payment_shared"],
+    )
+    q["fact_spread_joins"] = q["fact_transaction"]
+    q["bronze_stream_then_batch"] = q["bronze_roundtrip"]
+    q["bronze_reordered_header"] = q["bronze_ingest"]
+    q["pipeline_fact"] = q["fact_transaction"]
+    q["pipeline_dim_customer"] = q["pipeline_rerun_day"] = q["pipeline_reopen"] = q["scd2_merge"]
+    q["pipeline_dim_payment"] = q["scd1_merge_payment"]
+    q["pipeline_silver_customers"] = q["merge_update_only"]
+    q["pipeline_silver_merchants"] = _with("SELECT * FROM silver_merchants_2", ["silver_merchants_2"])
+    profiles = _with(f"SELECT * FROM ({_DQ_REJECTS}) a, ({quality('dim_date')}) b", ["typed_transactions", "fact", "dim_date"])
+    q["pipeline_quality"] = profiles
+    q["fact_two_days"] = _with(
+        f"{_select_money('fact_a', FACT_OUT, _MONEY)} UNION ALL {_select_money('fact_b', FACT_OUT, _MONEY)}", ["fact_a", "fact_b"]
     )
     q["layer_row_counts"] = _layer_counts_sql()
     q["pipeline_end_to_end"] = q["layer_row_counts"]
 
     n = "COUNT(f.transaction_id)"
-    q["q1_monthly_gmv"] = _with(
-        f"""
+    def q1(cal: str) -> str:
+        return f"""
         SELECT d.year, d.month_name, d.month, {n} AS total_transactions,
                CAST(SUM(f.txn_amount) AS DOUBLE) AS gross_merchandise_value,
                CAST(SUM(f.platform_fee) AS DOUBLE) AS total_platform_revenue,
                CAST(SUM(f.cashback_amount) AS DOUBLE) AS total_cashback,
                CAST(SUM(f.net_revenue) AS DOUBLE) AS net_revenue,
                {_avg('SUM(f.txn_amount)', n)} AS avg_transaction_value
-        FROM fact f JOIN dim_date d ON f.date_key = d.date_key
+        FROM fact f JOIN {cal} d ON f.date_key = d.date_key
         WHERE f.txn_status = 'SUCCESS'
         GROUP BY d.year, d.month, d.month_name
-        ORDER BY d.year, d.month""",
-        ["fact", "dim_date"],
-    )
+        ORDER BY d.year, d.month"""
+
+    q["q1_monthly_gmv"] = _with(q1("dim_date"), ["fact", "dim_date"])
+    q["q1_short_calendar"] = _with(q1("short_dim_date"), ["fact", "short_dim_date"])
     failed = "SUM(CASE WHEN f.txn_status = 'FAILED' THEN 1 ELSE 0 END)"
     ok = "SUM(CASE WHEN f.txn_status = 'SUCCESS' THEN 1 ELSE 0 END)"
     q["q2_top_merchants"] = _with(
@@ -856,4 +912,5 @@ def oracle_sql() -> dict[str, str]:
         ORDER BY c.kyc_tier, c.is_current""",
         ["fact", "dim_customer"],
     )
+    q["sql_views_q5b"] = q["q5b_version_split"]
     return q

@@ -1,11 +1,12 @@
 """Gold layer: dimensions and the transaction fact.
 
 Fact build: silver transactions get an integer ``date_key``, then the merchant
-and payment-method surrogate keys (equi lookups, broadcast behind a size
-check) and the customer version valid on the transaction date (as-of join,
-salted for hot customers when the dimension is too large to broadcast).  No
-join can multiply fact rows: lookups are on unique keys and customer versions
-do not overlap; ``fact_quality`` checks the grain.
+and payment-method surrogate keys (equi lookups) and the customer version valid
+on the transaction date (as-of join).  Each join broadcasts its dimension behind
+a size check, or else shuffles with hot and missing keys spread.  No join can
+multiply fact rows: merchants are unique on their id, payment methods are
+reduced to one per code, and customer versions do not overlap; ``fact_quality``
+checks the grain.
 
 The calendar join of the original design only re-attached ``date_key`` (a
 no-op that still costs a join); membership in the calendar is reported by
@@ -21,13 +22,16 @@ from paymart.functions.dates import date_key
 from paymart.operators.joins import (
     DEFAULT_HOT_KEY_ROWS,
     DEFAULT_MAX_BROADCAST_ROWS,
+    DEFAULT_MAX_HOT_KEYS,
     DEFAULT_SALT_BUCKETS,
     as_of_join,
+    fits,
+    hot_keys,
     lookup_join,
 )
 from paymart.operators.quality import count_if
 from paymart.operators.scd1 import scd1_initial, scd1_merge
-from paymart.operators.scd2 import scd2_initial, scd2_merge
+from paymart.operators.scd2 import scd2_initial, scd2_merge, scd2_step
 from paymart.schemas import (
     CUSTOMER_TRACKED,
     DIM_CUSTOMER_COLUMNS,
@@ -47,28 +51,53 @@ DIMENSIONS = {
 }
 
 
-def load_type1(name: str, old: DataFrame | None, silver: DataFrame, as_of: str) -> DataFrame:
-    """Initial load when there is no image yet, else an SCD1 merge."""
+def load_type1(name: str, old: DataFrame | None, silver: DataFrame, as_of: str, stage=None, null_safe: bool = False) -> DataFrame:
+    """Initial load when there is no image yet, else an SCD1 merge (``stage``: see ``scd1_merge``)."""
     nk, key, tracked, cols = DIMENSIONS[name]
     if old is None:
-        return scd1_initial(silver, nk, key, tracked, cols, as_of)
-    return scd1_merge(old, silver, nk, key, tracked, cols, as_of)
+        return scd1_initial(silver, nk, key, tracked, cols, as_of, null_safe)
+    return scd1_merge(old, silver, nk, key, tracked, cols, as_of, stage, null_safe)
 
 
 def load_customers(
-    old: DataFrame | None, silver: DataFrame, as_of: str, initial_start: str = "created_date", stage=None
+    old: DataFrame | None, silver: DataFrame, as_of: str, initial_start: str = "created_date", stage=None, null_safe: bool = False
 ) -> DataFrame:
-    """Initial load when there is no image yet, else an SCD2 merge (``stage``: see ``scd2_merge``)."""
+    """Initial load when there is no image yet, else an SCD2 merge (``stage``: see ``scd2_step``)."""
     nk, key, tracked, cols = DIMENSIONS["customer"]
     if old is None:
-        return scd2_initial(silver, nk, key, tracked, cols, as_of, initial_start)
-    return scd2_merge(old, silver, nk, key, tracked, cols, as_of, initial_start, stage=stage)
+        return scd2_initial(silver, nk, key, tracked, cols, as_of, initial_start, null_safe)
+    return scd2_merge(old, silver, nk, key, tracked, cols, as_of, initial_start, stage, null_safe)
+
+
+def step_customers(
+    current: DataFrame, silver: DataFrame, as_of: str, initial_start: str = "created_date", stage=None, null_safe: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(next current versions, versions closed by this load) of the customer dimension."""
+    nk, key, tracked, cols = DIMENSIONS["customer"]
+    return scd2_step(current, silver, nk, key, tracked, cols, as_of, initial_start, stage, null_safe)
 
 
 def with_date_key(txn: DataFrame) -> DataFrame:
     return txn.withColumn("date_key", date_key("txn_date"))
 
 
+def payment_lookup(dim_payment: DataFrame) -> DataFrame:
+    """(method_code, payment_method_key), one row per code.
+
+    The dimension is unique on ``method_id``; of methods that share a code the
+    one of smallest id is looked up.  ``payment_code_conflicts`` counts them.
+    """
+    first = F.min(F.struct("method_id", "payment_method_key"))
+    coded = dim_payment.where(F.col("method_code").isNotNull())
+    return coded.groupBy("method_code").agg(first.alias("_m")).select("method_code", F.col("_m.payment_method_key").alias("payment_method_key"))
+
+
+def payment_code_conflicts(dim_payment: DataFrame) -> DataFrame:
+    """(method_code, methods) of the codes that several methods share."""
+    coded = dim_payment.where(F.col("method_code").isNotNull())
+    return coded.groupBy("method_code").agg(F.count(F.lit(1)).cast("bigint").alias("methods")).where("methods > 1")
+
+
 def fact_transaction(
     txn: DataFrame,
     dim_customer: DataFrame,
@@ -78,21 +107,20 @@ def fact_transaction(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
 ) -> DataFrame:
+    """Hot merchants and customers are counted on ``txn`` itself, before any join, and only if a join has to shuffle."""
+    merchants = dim_merchant.select("merchant_id", "merchant_key")
+    payments = payment_lookup(dim_payment)
+    customers = dim_customer.select("customer_id", "customer_key", "effective_start", "effective_end")
+    steps = {}
+    for dim, key in ((merchants, "merchant_id"), (payments, "method_code"), (customers, "customer_id")):
+        small = fits(dim, max_broadcast_rows)
+        steps[key] = {"small": small, "hot": None if small else hot_keys(txn, key, hot_key_rows, max_hot_keys), "salt_buckets": salt_buckets}
     t = with_date_key(txn)
-    t = lookup_join(t, dim_merchant.select("merchant_id", "merchant_key"), "merchant_id",
-                    max_broadcast_rows=max_broadcast_rows)
-    t = lookup_join(t, dim_payment.select("method_code", "payment_method_key"), "method_code",
-                    max_broadcast_rows=max_broadcast_rows)
-    t = as_of_join(
-        t,
-        dim_customer.select("customer_id", "customer_key", "effective_start", "effective_end"),
-        key="customer_id",
-        at="txn_date",
-        max_broadcast_rows=max_broadcast_rows,
-        hot_key_rows=hot_key_rows,
-        salt_buckets=salt_buckets,
-    )
+    t = lookup_join(t, merchants, "merchant_id", **steps["merchant_id"])
+    t = lookup_join(t, payments, "method_code", **steps["method_code"])
+    t = as_of_join(t, customers, key="customer_id", at="txn_date", **steps["customer_id"])
     return t.withColumn("created_at", F.lit(load_stamp(as_of))).select(*FACT_COLUMNS)
 
 

@@ -1,12 +1,23 @@
 """The warehouse as daily jobs over real tables (P1).
 
 ``load_day`` is one daily run: it reads the bronze partitions landed for that
-day, rebuilds silver, merges every dimension into its latest stored image
-(initial load when there is none), and rebuilds the calendar and the fact
-when transactions arrived.  Every image is written to a fresh directory per
-day under the shared storage root and re-read from there.  That also cuts the
-lineage between stages: a lost executor only recomputes from the last written
-table.
+day, rebuilds that day's silver, merges every dimension into its image from
+before the day (initial load when there is none), extends the calendar and
+builds the day's facts.
+
+Storage.  Every table image is written to a fresh folder and never touched
+again.  A catalog table under the root records (name, day, path, rows, schema);
+a day's entries are appended to it in one write after everything of the day
+succeeded, so a failed run leaves the warehouse as it was, a repeated run of a
+day replaces that day's entries, and another process continues from the catalog
+(``Lakehouse.open``).  Snapshot tables are read at their latest day.  Transactions
+and facts are kept by load day: reading them unites the days, and an id stored
+on another day is not loaded again.  Closed customer versions are kept by the
+day that closed them and are never rewritten.
+
+Quality.  Each transaction day is profiled (rejects of the feed, NULL keys and
+calendar misses of the facts); ``fail_above`` stops the day, before anything of
+it becomes visible, when a count exceeds its share of the rows.
 
 ``run_pipeline`` is the two-day test scenario: land the day-1 feeds (customer,
 merchant and payment-method snapshot 1) and load day 1; land the day-2 feeds
@@ -15,35 +26,113 @@ merchant and payment-method snapshot 1) and load day 1; land the day-2 feeds
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from paymart.operators.calendar import dim_date_covering
-from paymart.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, fits
+from paymart.operators.calendar import dim_date, dim_date_covering
 from paymart.plans import gold, silver
-from paymart.schemas import BRONZE_TABLES
 from paymart.sources import fixtures
 from paymart.sources.bronze import ingest_csv, read_bronze
 from paymart.sources.csv import write_csv
 from paymart.sources.fixtures import DAY1, DAY2
 from paymart.sources.storage import new_table_path, read_table, write_table
 
+CATALOG = "seq long, name string, day string, path string, rows long, schema string"
+
+# Tables kept by load day; all others are snapshots read at their latest day.
+BY_DAY = {"silver.transactions", "gold.fact_transaction", "gold.dim_customer_closed"}
+CUSTOMER_PARTS = ("gold.dim_customer_current", "gold.dim_customer_closed")
+
+
+class DataQualityError(ValueError):
+    """A day's profile exceeds a limit of ``fail_above``."""
+
+
+@dataclass
+class Image:
+    seq: int
+    name: str
+    day: str
+    path: str
+    rows: int
+    schema: str
+
 
 @dataclass
 class Lakehouse:
     root: str
-    tables: dict[str, str] = field(default_factory=dict)  # name -> latest image; "name@day" -> that day's image
-    seconds: dict[str, float] = field(default_factory=dict)  # wall time per written table
-    rows: dict[str, int] = field(default_factory=dict)  # rows written, observed during the write
+    images: dict[tuple[str, str], Image] = field(default_factory=dict)  # (name, day) -> its image
+    seconds: dict[str, float] = field(default_factory=dict)  # wall time per table, planning and staging included
+    quality: dict[str, dict[str, dict[str, int]]] = field(default_factory=dict)  # day -> profile -> counts
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> Lakehouse:
+        """The warehouse stored under ``root``, as its catalog has it."""
+        lake = cls(root)
+        try:
+            rows = spark.read.schema(CATALOG).parquet(f"{root}/_catalog").orderBy("seq").collect()  # one row a table and day
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = []
+        for r in rows:
+            lake.images[r["name"], r["day"]] = Image(**r.asDict())
+        return lake
+
+    def commit(self, spark: SparkSession, images: list[Image]) -> None:
+        """Make a day's images visible: one append to the catalog."""
+        seq = max((i.seq for i in self.images.values()), default=0)
+        for n, image in enumerate(images, 1):
+            image.seq = seq + n
+        rows = [(i.seq, i.name, i.day, i.path, i.rows, i.schema) for i in images]
+        spark.createDataFrame(rows, CATALOG).coalesce(1).write.mode("append").parquet(f"{self.root}/_catalog")
+        for image in images:
+            self.images[image.name, image.day] = image
+
+    def days(self, name: str) -> list[str]:
+        return sorted(day for n, day in self.images if n == name)
+
+    def _load(self, spark: SparkSession, name: str, days: list[str]) -> DataFrame | None:
+        found = [self.images[name, d] for d in days]
+        if not found:
+            return None
+        schema = StructType.fromJson(json.loads(found[-1].schema))
+        reader = spark.read.schema(schema).option("basePath", f"{self.root}/{name.replace('.', '/')}")
+        return reader.parquet(*[i.path for i in found]).select(*schema.names)
+
+    def image(self, spark: SparkSession, name: str, until: str | None = None, before: str | None = None) -> DataFrame | None:
+        """A table as of a day (``until``: that day included), or None if it has no image yet."""
+        days = [d for d in self.days(name) if (until is None or d <= until) and (before is None or d < before)]
+        if name == "gold.dim_customer":
+            current, closed = (self.image(spark, part, until, before) for part in CUSTOMER_PARTS)
+            return current if closed is None or current is None else current.unionByName(closed)
+        return self._load(spark, name, days if name in BY_DAY else days[-1:])
+
+    def other_days(self, spark: SparkSession, name: str, day: str) -> DataFrame | None:
+        return self._load(spark, name, [d for d in self.days(name) if d != day])
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return read_table(spark, self.tables[name])
+        found = self.image(spark, name)
+        if found is None:
+            raise KeyError(name)
+        return found
 
-    def latest(self, spark: SparkSession, name: str) -> DataFrame | None:
-        return self.read(spark, name) if name in self.tables else None
+    @property
+    def rows(self) -> dict[str, int]:
+        """Rows of each stored table: of its latest image, or of all days."""
+        out: dict[str, int] = {}
+        for name in {n for n, _ in self.images}:
+            days = self.days(name)
+            out[name] = sum(self.images[name, d].rows for d in (days if name in BY_DAY else days[-1:]))
+        return out
 
 
 def land(spark: SparkSession, lake: Lakehouse, source: str, df: DataFrame, day: str) -> None:
@@ -55,64 +144,115 @@ def land(spark: SparkSession, lake: Lakehouse, source: str, df: DataFrame, day:
     t = time.perf_counter()
     ingest_csv(spark, source, csv_path, f"{lake.root}/bronze", day)
     lake.seconds[f"bronze.{source}.{day}"] = time.perf_counter() - t
-    lake.tables[f"bronze.{source}"] = f"{lake.root}/bronze/{BRONZE_TABLES[source]}"
 
 
-def _save(
-    spark: SparkSession, lake: Lakehouse, name: str, day: str, df: DataFrame, partition_by=None, rebalance=True
-) -> DataFrame:
-    """Write the ``day`` image of table ``name`` and re-read it.
+class _Day:
+    """The tables one load writes; visible to later steps of the load at once, to others after ``commit``."""
+
+    def __init__(self, spark: SparkSession, lake: Lakehouse, day: str) -> None:
+        self.spark, self.lake, self.day = spark, lake, day
+        self.images: list[Image] = []
 
-    The row count is observed while the write runs (no second pass over the
-    data, unlike a ``count()`` after the write).
+    def scratch(self, df: DataFrame) -> DataFrame:
+        path = f"{self.lake.root}/_work/{self.day}-{uuid.uuid4().hex[:12]}"
+        return read_table(self.spark, write_table(df, path), df.schema)
+
+    def save(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None, rebalance: bool = True) -> DataFrame:
+        """Build and write one image.  Its rows are observed while the write runs (no second pass)."""
+        t = time.perf_counter()
+        df = build()
+        path = f"{self.lake.root}/{name.replace('.', '/')}/load_day={self.day}/image={uuid.uuid4().hex[:12]}"
+        seen = Observation(f"{name}@{self.day}")
+        write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by, rebalance=rebalance)
+        self.lake.seconds[f"{name}@{self.day}"] = time.perf_counter() - t
+        rows = seen.get["rows"] if df.schema else 0
+        self.images.append(Image(0, name, self.day, path, rows, df.schema.json()))
+        return read_table(self.spark, path, df.schema)
+
+    def profile(self, name: str, df: DataFrame, total: str, fail_above: dict[str, float]) -> None:
+        t = time.perf_counter()
+        counts = df.first().asDict()
+        self.lake.seconds[f"{name}@{self.day}"] = time.perf_counter() - t
+        self.lake.quality.setdefault(self.day, {})[name] = counts
+        for metric, share in fail_above.items():
+            if counts.get(metric, 0) > share * counts[total]:
+                raise DataQualityError(f"{self.day}: {metric} is {counts[metric]} of {counts[total]} rows, over {share:.2%}")
+
+
+def load_day(
+    spark: SparkSession,
+    lake: Lakehouse,
+    day: str,
+    sources: set[str],
+    rebalance: bool = True,
+    fail_above: dict[str, float] | None = None,
+    calendar: tuple[str, str] | None = None,
+) -> Lakehouse:
+    """One daily run over the feeds in ``sources`` landed in bronze for ``day``.
+
+    ``rebalance``: size the month files of transactions and facts by a shuffle
+    (without it they follow the tasks).  ``fail_above``: profile count -> largest
+    share of the rows.  ``calendar``: its first and last day (default: the whole
+    years of all transactions so far).
     """
-    path = f"{lake.root}/{name.replace('.', '/')}/as_of={day}"
-    obs = Observation(f"{name}@{day}")
-    t = time.perf_counter()
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by,
-                dynamic=bool(partition_by), rebalance=rebalance)
-    lake.seconds[f"{name}@{day}"] = time.perf_counter() - t
-    lake.rows[f"{name}@{day}"] = lake.rows[name] = obs.get["rows"]
-    lake.tables[f"{name}@{day}"] = lake.tables[name] = path
-    return read_table(spark, path)
+    s, bronze, limits = spark, f"{lake.root}/bronze", fail_above or {}
+    run = _Day(s, lake, day)
+    months = {"partition_by": ["txn_year", "txn_month"], "rebalance": rebalance}
+    fresh: dict[str, DataFrame] = {}
 
+    def dimension(name: str) -> DataFrame:
+        return fresh[name] if name in fresh else lake.image(s, name, until=day)
 
-def load_day(spark: SparkSession, lake: Lakehouse, day: str, sources: set[str]) -> Lakehouse:
-    """One daily run over the feeds in ``sources`` landed in bronze for ``day``."""
-    s, bronze = spark, f"{lake.root}/bronze"
     if "customers" in sources:
-        cust = silver.silver_customers(read_bronze(s, bronze, "customers", day), day)
-        if "customer_updates" in sources:
-            updates = read_bronze(s, bronze, "customer_updates", day).drop("load_timestamp", "source_file", "load_date")
-            cust = silver.apply_customer_updates(cust, updates, day)
-        cust = _save(s, lake, "silver.customers", day, cust)
-        # The SCD2 merge reads its joined rows three times: stage them once.
-        scratch = lambda df: read_table(s, write_table(df, f"{lake.root}/_work/scd2_rows/as_of={day}"))
-        _save(s, lake, "gold.dim_customer", day,
-              gold.load_customers(lake.latest(s, "gold.dim_customer"), cust, day, stage=scratch))
-    if "merchants" in sources:
-        merch = _save(s, lake, "silver.merchants", day,
-                      silver.silver_merchants(read_bronze(s, bronze, "merchants", day), day))
-        _save(s, lake, "gold.dim_merchant", day,
-              gold.load_type1("merchant", lake.latest(s, "gold.dim_merchant"), merch, day))
-    if "payment_methods" in sources:
-        pay = _save(s, lake, "silver.payment_methods", day,
-                    silver.silver_payment_methods(read_bronze(s, bronze, "payment_methods", day), day))
-        _save(s, lake, "gold.dim_payment_method", day,
-              gold.load_type1("payment_method", lake.latest(s, "gold.dim_payment_method"), pay, day))
+        def customers() -> DataFrame:
+            out = silver.silver_customers(read_bronze(s, bronze, "customers", day), day)
+            if "customer_updates" in sources:
+                updates = read_bronze(s, bronze, "customer_updates", day).drop("load_timestamp", "source_file", "load_date")
+                out = silver.apply_customer_updates(out, updates, day)
+            return out
+
+        cust = run.save("silver.customers", customers)
+        old = lake.image(s, CUSTOMER_PARTS[0], before=day)
+        if old is None:
+            current = run.save(CUSTOMER_PARTS[0], lambda: gold.load_customers(None, cust, day))
+            closed = run.save(CUSTOMER_PARTS[1], lambda: current.limit(0))
+        else:
+            t = time.perf_counter()
+            stay, gone = gold.step_customers(old, cust, day, stage=run.scratch)
+            lake.seconds[f"gold.dim_customer_join@{day}"] = time.perf_counter() - t
+            current = run.save(CUSTOMER_PARTS[0], lambda: stay)
+            closed = run.save(CUSTOMER_PARTS[1], lambda: gone)
+        before = lake.image(s, CUSTOMER_PARTS[1], before=day)
+        fresh["gold.dim_customer"] = current.unionByName(closed if before is None else before.unionByName(closed))
+    for source, name in (("merchants", "merchant"), ("payment_methods", "payment_method")):
+        if source in sources:
+            clean = silver.silver_merchants if source == "merchants" else silver.silver_payment_methods
+            rows = run.save(f"silver.{source}", lambda: clean(read_bronze(s, bronze, source, day), day))  # noqa: B023
+            table = f"gold.dim_{name}"
+            fresh[table] = run.save(table, lambda: gold.load_type1(name, lake.image(s, table, before=day), rows, day, stage=run.scratch))  # noqa: B023
     if "transactions" in sources:
-        txn = _save(s, lake, "silver.transactions", day,
-                    silver.silver_transactions(read_bronze(s, bronze, "transactions", day), day),
-                    partition_by=["txn_year", "txn_month"])
-        _save(s, lake, "gold.dim_date", day, dim_date_covering(txn, "txn_date"))
-        dims = [lake.read(s, n) for n in ("gold.dim_customer", "gold.dim_merchant", "gold.dim_payment_method")]
-        # With every dimension broadcast the fact plan has no shuffle: each task
-        # reads silver files of one or a few months and writes those months, so
-        # the file layout carries over and a rebalance would only add a full
-        # shuffle of the largest table.  Shuffle joins scatter months: rebalance.
-        all_broadcast = all(fits(d, DEFAULT_MAX_BROADCAST_ROWS) for d in dims)
-        _save(s, lake, "gold.fact_transaction", day, gold.fact_transaction(txn, *dims, day),
-              partition_by=["txn_year", "txn_month"], rebalance=not all_broadcast)
+        feed = read_bronze(s, bronze, "transactions", day)
+
+        def transactions() -> DataFrame:
+            out = silver.silver_transactions(feed, day)
+            stored = lake.other_days(s, "silver.transactions", day)
+            return out if stored is None else out.join(stored.select("transaction_id"), "transaction_id", "left_anti").select(*out.columns)
+
+        txn = run.save("silver.transactions", transactions, **months)
+        run.profile("dq_rejects", silver.transaction_rejects(feed), "rows_in", limits)
+
+        def days() -> DataFrame:
+            if calendar is not None:
+                return dim_date(s, *calendar)
+            known = lake.image(s, "gold.dim_date")
+            span = known.agg(F.min("full_date").cast("string"), F.max("full_date").cast("string")).first() if known is not None else (None, None)
+            return dim_date_covering(txn, "txn_date", also=tuple(span) if span[0] else None)
+
+        cal = run.save("gold.dim_date", days)
+        dims = [dimension(n) for n in ("gold.dim_customer", "gold.dim_merchant", "gold.dim_payment_method")]
+        fact = run.save("gold.fact_transaction", lambda: gold.fact_transaction(txn, *dims, day), **months)
+        run.profile("fact_quality", gold.fact_quality(fact, cal), "total_rows", limits)
+    lake.commit(s, run.images)
     return lake
 
 
@@ -120,20 +260,29 @@ DAY1_FEEDS = {"customers", "merchants", "payment_methods"}
 DAY2_FEEDS = {"customers", "customer_updates", "merchants", "payment_methods", "transactions"}
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> Lakehouse:
-    """The two-day scenario over the test tables in ``sf_dir`` (see module docstring)."""
+def land_day1(spark: SparkSession, lake: Lakehouse, sf_dir: str) -> None:
+    land(spark, lake, "customers", fixtures.raw_customers(spark, sf_dir, 1), DAY1)
+    land(spark, lake, "merchants", fixtures.raw_merchants(spark, sf_dir, 1), DAY1)
+    land(spark, lake, "payment_methods", fixtures.raw_payment_methods(spark, sf_dir, 1), DAY1)
+
+
+def land_day2(spark: SparkSession, lake: Lakehouse, sf_dir: str, part: str = "all") -> None:
+    """``part``: which transactions arrive, see ``fixtures.raw_transactions``."""
+    land(spark, lake, "customers", fixtures.raw_customers(spark, sf_dir, 2), DAY2)
+    land(spark, lake, "customer_updates", fixtures.raw_customer_updates(spark, sf_dir), DAY2)
+    land(spark, lake, "merchants", fixtures.raw_merchants(spark, sf_dir, 2), DAY2)
+    land(spark, lake, "payment_methods", fixtures.raw_payment_methods(spark, sf_dir, 2), DAY2)
+    land(spark, lake, "transactions", fixtures.raw_transactions(spark, sf_dir, part), DAY2)
+
+
+def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None, part: str = "all", **options) -> Lakehouse:
+    """The two-day scenario over the test tables in ``sf_dir`` (see module docstring; ``options``: of ``load_day``)."""
     lake = Lakehouse(root or new_table_path(spark, "lakehouse"))
-    s, d = spark, sf_dir.rstrip("/")
-    land(s, lake, "customers", fixtures.raw_customers(s, d, 1), DAY1)
-    land(s, lake, "merchants", fixtures.raw_merchants(s, d, 1), DAY1)
-    land(s, lake, "payment_methods", fixtures.raw_payment_methods(s, d, 1), DAY1)
-    load_day(s, lake, DAY1, DAY1_FEEDS)
-    land(s, lake, "customers", fixtures.raw_customers(s, d, 2), DAY2)
-    land(s, lake, "customer_updates", fixtures.raw_customer_updates(s, d), DAY2)
-    land(s, lake, "merchants", fixtures.raw_merchants(s, d, 2), DAY2)
-    land(s, lake, "payment_methods", fixtures.raw_payment_methods(s, d, 2), DAY2)
-    land(s, lake, "transactions", fixtures.raw_transactions(s, d), DAY2)
-    return load_day(s, lake, DAY2, DAY2_FEEDS)
+    d = sf_dir.rstrip("/")
+    land_day1(spark, lake, d)
+    load_day(spark, lake, DAY1, DAY1_FEEDS, **options)
+    land_day2(spark, lake, d, part)
+    return load_day(spark, lake, DAY2, DAY2_FEEDS, **options)
 
 
 # (layer, table, lakehouse entry) reported by ``layer_counts``; bronze counts

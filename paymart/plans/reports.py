@@ -7,7 +7,7 @@ table to the dimension and aggregates by the report's attributes.  Sums,
 counts and distinct counts are exact under this rewrite: every surrogate key
 belongs to exactly one dimension row.
 
-Money sums are exact decimals reported as DOUBLE; averages and rates are
+Money leaves as exact DECIMAL sums; averages and rates are DECIMAL(22,2),
 rounded HALF_UP on exact values (``paymart.functions.money``).
 """
 
@@ -55,10 +55,10 @@ def monthly_gmv(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         "month_name",
         "month",
         "total_transactions",
-        F.col("_amt").cast("double").alias("gross_merchandise_value"),
-        F.col("_fee").cast("double").alias("total_platform_revenue"),
-        F.col("_cb").cast("double").alias("total_cashback"),
-        F.col("_net").cast("double").alias("net_revenue"),
+        F.col("_amt").alias("gross_merchandise_value"),
+        F.col("_fee").alias("total_platform_revenue"),
+        F.col("_cb").alias("total_cashback"),
+        F.col("_net").alias("net_revenue"),
         round_avg("_amt", "total_transactions").alias("avg_transaction_value"),
     ).orderBy("year", "month")
 
@@ -87,8 +87,8 @@ def top_merchants(fact: DataFrame, dim_merchant: DataFrame, k: int = 10) -> Data
             "category",
             "city",
             "total_transactions",
-            F.col("_amt").cast("double").alias("total_gmv"),
-            F.col("_fee").cast("double").alias("total_revenue"),
+            F.col("_amt").alias("total_gmv"),
+            F.col("_fee").alias("total_revenue"),
             round_avg("_amt", "total_transactions").alias("avg_txn_value"),
             "failed_transactions",
             pct_rate("failed_transactions", "_rows").alias("failure_rate_pct"),
@@ -121,8 +121,8 @@ def payment_method_success(fact: DataFrame, dim_payment: DataFrame) -> DataFrame
         "failed_txns",
         pct_rate("successful_txns", "_rows").alias("success_rate_pct"),
         round_avg("_amt", "total_transactions").alias("avg_txn_amount"),
-        F.col("_fee").cast("double").alias("total_revenue"),
-    ).orderBy(F.col("total_transactions").desc())
+        F.col("_fee").alias("total_revenue"),
+    ).orderBy(F.col("total_transactions").desc(), "method_name", "method_type")
 
 
 def segment_revenue(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -147,13 +147,13 @@ def segment_revenue(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
         "kyc_tier",
         "unique_customers",
         "total_transactions",
-        F.col("_amt").cast("double").alias("total_gmv"),
-        F.col("_fee").cast("double").alias("total_revenue"),
+        F.col("_amt").alias("total_gmv"),
+        F.col("_fee").alias("total_revenue"),
         round_avg("_amt", "total_transactions").alias("avg_txn_value"),
         round_avg("_amt", "unique_customers").alias("gmv_per_customer"),
         "fraud_transactions",
         pct_rate("fraud_transactions", "_rows").alias("fraud_rate_pct"),
-    ).orderBy(F.col("total_revenue").desc())
+    ).orderBy(F.col("total_revenue").desc_nulls_last(), "customer_segment", "kyc_tier")
 
 
 def kyc_point_in_time(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -170,10 +170,10 @@ def kyc_point_in_time(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
         F.col("kyc_tier").alias("kyc_tier_at_time_of_txn"),
         "total_transactions",
         "unique_customers",
-        F.col("_amt").cast("double").alias("total_gmv"),
-        F.col("_fee").cast("double").alias("total_revenue"),
+        F.col("_amt").alias("total_gmv"),
+        F.col("_fee").alias("total_revenue"),
         round_avg("_amt", "total_transactions").alias("avg_txn_value"),
-    ).orderBy(F.col("total_revenue").desc())
+    ).orderBy(F.col("total_revenue").desc_nulls_last(), "kyc_tier_at_time_of_txn")
 
 
 def version_split(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -188,5 +188,5 @@ def version_split(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
         F.col("kyc_tier").alias("kyc_tier_at_txn_time"),
         "is_current",
         "transactions",
-        F.col("_amt").cast("double").alias("gmv"),
+        F.col("_amt").alias("gmv"),
     ).orderBy("kyc_tier_at_txn_time", "is_current")

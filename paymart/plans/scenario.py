@@ -88,7 +88,7 @@ class Warehouse:
         ))
 
     def merchants(self, snapshot: int) -> DataFrame:
-        day = DAY1 if snapshot == 1 else DAY2
+        day = DAY2 if snapshot == 2 else DAY1
         return silver.silver_merchants(self.bronze("merchants", day, snapshot), day)
 
     def payment_methods(self, snapshot: int) -> DataFrame:
@@ -110,7 +110,8 @@ class Warehouse:
 
     @cached_property
     def dim_merchant(self) -> DataFrame:
-        return self.stage("dim_merchant", gold.load_type1("merchant", self.dim_merchant_day1, self.merchants(2), DAY2))
+        return self.stage("dim_merchant", gold.load_type1(
+            "merchant", self.dim_merchant_day1, self.merchants(2), DAY2, stage=lambda rows: self.stage("scd1_rows", rows)))
 
     @cached_property
     def dim_payment_day1(self) -> DataFrame:
@@ -119,7 +120,9 @@ class Warehouse:
     @cached_property
     def dim_payment(self) -> DataFrame:
         return self.stage(
-            "dim_payment", gold.load_type1("payment_method", self.dim_payment_day1, self.payment_methods(2), DAY2)
+            "dim_payment",
+            gold.load_type1("payment_method", self.dim_payment_day1, self.payment_methods(2), DAY2,
+                            stage=lambda rows: self.stage("scd1_rows", rows)),
         )
 
     @cached_property

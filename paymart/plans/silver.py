@@ -8,14 +8,14 @@ the deduplication, which is the only shuffle (on the natural key).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paymart.functions.casts import to_date, to_decimal, to_int
 from paymart.functions.clean import initcap_trim, lower_trim, trim, upper_trim
 from paymart.operators.dedupe import dedupe_latest, total_order
 from paymart.operators.quality import VALID_STATUSES, count_if, drop_null_keys, is_valid_transaction
-from paymart.schemas import SILVER_COLUMNS
+from paymart.schemas import RAW_COLUMNS, SILVER_COLUMNS
 from paymart.sources.bronze import load_stamp
 
 # NULL replacements of the silver layer.
@@ -150,22 +150,22 @@ def net_revenue(df: DataFrame) -> DataFrame:
     )
 
 
-# Survivor of duplicate transaction ids: latest date, then largest amount,
-# then the remaining columns ascending (NULLs last in every position).
+# Survivor of duplicate transaction ids: latest date, then largest amount, then
+# the other business columns ascending (NULLs last in every position).  Derived
+# columns and the constants of a load day decide nothing and are added after.
 TXN_DEDUPE_FIRST = ["txn_date", "txn_amount"]
 
 
 def dedupe_transactions(df: DataFrame) -> DataFrame:
-    return dedupe_latest(df, ["transaction_id"], total_order(df, ["transaction_id"], TXN_DEDUPE_FIRST))
+    business = df.select(*RAW_COLUMNS["transactions"])
+    return dedupe_latest(df, ["transaction_id"], total_order(business, ["transaction_id"], TXN_DEDUPE_FIRST))
 
 
 def silver_transactions(bronze: DataFrame, as_of: str) -> DataFrame:
     df = fill_transaction_defaults(typed_transactions(bronze))
     df = drop_null_keys(df, ["transaction_id", "customer_id", "merchant_id"])
-    df = df.filter(is_valid_transaction())
-    df = net_revenue(df)
-    df = dedupe_transactions(df)
-    return _stamp(df, as_of).select(*SILVER_COLUMNS["transactions"])
+    df = dedupe_transactions(df.filter(is_valid_transaction()))
+    return _stamp(net_revenue(df), as_of).select(*SILVER_COLUMNS["transactions"])
 
 
 def transaction_rejects(bronze: DataFrame) -> DataFrame:
@@ -220,6 +220,7 @@ def typed_customer_updates(raw: DataFrame) -> DataFrame:
     )
 
 
+# What an update may change.
 UPDATE_COLUMNS = ["kyc_tier", "wallet_limit", "customer_segment", "city", "state"]
 
 
@@ -258,13 +259,11 @@ def apply_customer_updates(
     if on_duplicate == "latest":
         upd = dedupe_latest(upd, ["customer_id"], total_order(upd, ["customer_id"], ["updated_date"]))
     elif on_duplicate == "error":
-        # The check is folded into the join key so the optimizer cannot prune it.
-        n = F.count(F.lit(1)).over(Window.partitionBy("customer_id"))
-        upd = upd.withColumn(
-            "customer_id",
-            F.when(n > 1, F.raise_error(F.concat(F.lit("several updates for customer "), F.col("customer_id"))))
-            .otherwise(F.col("customer_id")),
-        )
+        # Counted map-side per id, so a repeated id is one row per task; the check is
+        # folded into the join key, where the optimizer cannot prune it.
+        per_id = upd.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*UPDATE_COLUMNS)).alias("_u"))
+        several = F.raise_error(F.concat(F.lit("several updates for customer "), F.col("customer_id")))
+        upd = per_id.select(F.when(F.col("_n") > 1, several).otherwise(F.col("customer_id")).alias("customer_id"), "_u.*")
     else:
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
     u = upd.select(

@@ -3,10 +3,12 @@
 ``queries()`` maps a name to ``f(spark, sf_dir) -> DataFrame``.  Each query
 builds the two-day warehouse lazily from the tables in ``sf_dir``
 (``plans.scenario``) and returns the frame of one operator, so its work grows
-with the tables.  Money leaves as DOUBLE (exact decimal sums converted once)
-so that results compare across engines; the library itself keeps DECIMAL.
-A few queries write tables (CSV landing, bronze, partitioned fact, the whole
-pipeline) under the shared storage root and return what they read back.
+with the tables.  Queries of a single operator read whole tables (snapshot 0);
+those of the merges and the pipeline read two differing snapshots, which is what
+they are about.  Money leaves as DOUBLE here (exact decimals converted once) so
+that results compare across engines; the library itself keeps DECIMAL.  A few
+queries write tables (CSV landing, bronze, partitioned fact, the whole pipeline)
+under the shared storage root and return what they read back.
 """
 
 from __future__ import annotations
@@ -22,15 +24,18 @@ from paymart.functions.clean import initcap_trim, lower_trim, trim, upper_trim
 from paymart.functions.dates import date_key
 from paymart.functions.hashing import record_hash
 from paymart.operators import scd2 as scd2_ops
+from paymart.operators.calendar import dim_date
 from paymart.operators.joins import as_of_join, lookup_join
 from paymart.operators.keys import dense_keys
 from paymart.operators.quality import drop_null_keys, valid_transactions
 from paymart.plans import gold, pipeline, reports, silver
 from paymart.plans.scenario import Warehouse
-from paymart.schemas import CUSTOMER_TRACKED, DIM_CUSTOMER_COLUMNS, FACT_COLUMNS, MERCHANT_TRACKED, bronze_schema
+from paymart.plans.views import register_views
+from paymart.schemas import CUSTOMER_TRACKED, DIM_CUSTOMER_COLUMNS, FACT_COLUMNS, MERCHANT_TRACKED
+from paymart.sources import fixtures
 from paymart.sources.bronze import add_audit_columns, ingest_csv, read_bronze
 from paymart.sources.csv import read_csv_strings, write_csv
-from paymart.sources.fixtures import DAY1, DAY2
+from paymart.sources.fixtures import DAY1, DAY2, DAY3
 from paymart.sources.storage import new_table_path, read_table, write_table
 from paymart.streaming.landing import stream_landing_to_bronze
 
@@ -93,13 +98,32 @@ def q_bronze_stream(spark, sf_dir):
     write_csv(w.raw("transactions"), f"{root}/landing/load_date={DAY2}")
     q = stream_landing_to_bronze(spark, "transactions", f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint")
     q.awaitTermination()
-    return read_table(spark, f"{root}/bronze", bronze_schema("transactions"))
+    return read_bronze(spark, f"{root}/bronze", "transactions")
+
+
+def q_bronze_stream_then_batch(spark, sf_dir):
+    """One day arrives by the stream, another by the batch ingest; the table holds both."""
+    w = _w(spark, sf_dir)
+    root = new_table_path(spark, "stream")
+    path = write_csv(w.raw("transactions"), f"{root}/landing/load_date={DAY1}")
+    args = (spark, "transactions", f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint")
+    stream_landing_to_bronze(*args).awaitTermination()
+    ingest_csv(spark, "transactions", path, f"{root}/bronze", DAY2)
+    return read_bronze(spark, f"{root}/bronze", "transactions")
+
+
+def q_bronze_reordered_header(spark, sf_dir):
+    """Files with reversed columns and one more: columns go by header name."""
+    raw = _w(spark, sf_dir).raw("transactions")
+    other = raw.select(F.lit("x").alias("batch_no"), *reversed(raw.columns))
+    path = write_csv(other, new_table_path(spark, "landing-transactions"))
+    return add_audit_columns(read_csv_strings(spark, path, "transactions"), "transactions", DAY2)
 
 
 # ---- scalar functions ------------------------------------------------------------
 
 def q_cast_int(spark, sf_dir):
-    r = _w(spark, sf_dir).raw("customers")
+    r = _w(spark, sf_dir).raw("customers", 0)
     return r.select("customer_id", F.col("wallet_limit").alias("wallet_limit_text"), to_int("wallet_limit").alias("wallet_limit"))
 
 
@@ -118,7 +142,7 @@ def q_cast_date(spark, sf_dir):
 
 
 def q_clean_strings(spark, sf_dir):
-    r = _w(spark, sf_dir).raw("customers")
+    r = _w(spark, sf_dir).raw("customers", 0)
     return r.select(
         "customer_id", trim("full_name").alias("full_name"), lower_trim("email").alias("email"),
         initcap_trim("city").alias("city"), upper_trim("state").alias("state"),
@@ -128,7 +152,7 @@ def q_clean_strings(spark, sf_dir):
 
 def q_fill_defaults(spark, sf_dir):
     w = _w(spark, sf_dir)
-    m = silver.fill_merchant_defaults(silver.typed_merchants(w.bronze("merchants", DAY2, 2)))
+    m = silver.fill_merchant_defaults(silver.typed_merchants(w.bronze("merchants", DAY1, 0)))
     return m.select("merchant_id", "city", "state", "is_active")
 
 
@@ -168,26 +192,30 @@ def q_date_key(spark, sf_dir):
 
 
 def q_record_hash(spark, sf_dir):
-    m = _w(spark, sf_dir).merchants(2)
+    m = _w(spark, sf_dir).merchants(0)
     return m.select(
         "merchant_id", record_hash(MERCHANT_TRACKED).alias("record_hash"),
         record_hash(MERCHANT_TRACKED, null_safe=True).alias("record_hash_null_safe"),
     )
 
 
+def _whole_customers(w: Warehouse) -> DataFrame:
+    return silver.silver_customers(w.bronze("customers", DAY1, 0), DAY1)
+
+
 def q_surrogate_key(spark, sf_dir):
-    c = _w(spark, sf_dir).customers_day1.select("customer_id")
+    c = _whole_customers(_w(spark, sf_dir)).select("customer_id")
     return dense_keys(c, "customer_id", "customer_key")
 
 
 # ---- silver tables ---------------------------------------------------------------
 
 def q_silver_customers(spark, sf_dir):
-    return _w(spark, sf_dir).customers_day1
+    return _whole_customers(_w(spark, sf_dir))
 
 
 def q_silver_merchants(spark, sf_dir):
-    return _w(spark, sf_dir).merchants(1)
+    return _w(spark, sf_dir).merchants(0)
 
 
 def q_silver_payment_methods(spark, sf_dir):
@@ -205,8 +233,8 @@ def q_merge_update_only(spark, sf_dir):
 def q_dq_rejects_dims(spark, sf_dir):
     w = _w(spark, sf_dir)
     parts = [
-        silver.key_rejects(w.bronze("customers", DAY2, 2), "customers", "customer_id"),
-        silver.key_rejects(w.bronze("merchants", DAY2, 2), "merchants", "merchant_id"),
+        silver.key_rejects(w.bronze("customers", DAY2, 0), "customers", "customer_id"),
+        silver.key_rejects(w.bronze("merchants", DAY2, 0), "merchants", "merchant_id"),
         silver.key_rejects(w.bronze("payment_methods", DAY2, 2), "payment_methods", "method_id"),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -214,7 +242,7 @@ def q_dq_rejects_dims(spark, sf_dir):
 
 def q_update_matches(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return silver.update_matches(w.customers_day2_before_updates, w.raw("customer_updates"))
+    return silver.update_matches(_whole_customers(w), w.raw("customer_updates"))
 
 
 def q_dq_rejects(spark, sf_dir):
@@ -351,6 +379,38 @@ def q_fact_quality(spark, sf_dir):
     return gold.fact_quality(w.fact, w.dim_date)
 
 
+# The calendar of these two ends before the last transactions.
+SHORT_CALENDAR = ("1992-01-01", "1996-12-31")
+
+
+def q_fact_quality_short_calendar(spark, sf_dir):
+    return gold.fact_quality(_w(spark, sf_dir).fact, dim_date(spark, *SHORT_CALENDAR))
+
+
+def q1_short_calendar(spark, sf_dir):
+    """Q1 joins the calendar, so facts outside it drop out."""
+    return as_doubles(reports.monthly_gmv(_w(spark, sf_dir).fact, dim_date(spark, *SHORT_CALENDAR)))
+
+
+def q_fact_shared_method_code(spark, sf_dir):
+    """Two payment methods share a code: the fact keeps its grain and takes the smaller method id."""
+    w = _w(spark, sf_dir)
+    shared = w.dim_payment.withColumn("method_code", F.when(F.col("method_id") == "PM-002", F.lit("UPI")).otherwise(F.col("method_code")))
+    return as_doubles(gold.fact_transaction(w.transactions, w.dim_customer, w.dim_merchant, shared, DAY2))
+
+
+def q_payment_code_conflicts(spark, sf_dir):
+    shared = _w(spark, sf_dir).dim_payment.withColumn("method_code", F.when(F.col("method_id") == "PM-002", F.lit("UPI")).otherwise(F.col("method_code")))
+    return gold.payment_code_conflicts(shared)
+
+
+def q_fact_spread_joins(spark, sf_dir):
+    """The fact with every dimension over the broadcast bound: sort-merge joins, every frequent key spread."""
+    w = _w(spark, sf_dir)
+    return as_doubles(gold.fact_transaction(
+        w.transactions, w.dim_customer, w.dim_merchant, w.dim_payment, DAY2, max_broadcast_rows=0, hot_key_rows=20, salt_buckets=8))
+
+
 def q_layer_row_counts(spark, sf_dir):
     w = _w(spark, sf_dir)
     frames = {
@@ -377,36 +437,110 @@ def q_pipeline_end_to_end(spark, sf_dir):
     return pipeline.layer_counts(pipeline.lakehouse_frames(spark, lake))
 
 
+def _stored(spark, sf_dir) -> pipeline.Lakehouse:
+    """The two-day warehouse as the daily loads store it, once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STORED:
+        _STORED[key] = pipeline.run_pipeline(spark, sf_dir)
+    return _STORED[key]
+
+
+_STORED: dict[tuple[str, str], pipeline.Lakehouse] = {}
+
+
+def q_pipeline_fact(spark, sf_dir):
+    return as_doubles(_stored(spark, sf_dir).read(spark, "gold.fact_transaction").select(*FACT_COLUMNS))
+
+
+def q_pipeline_dim_customer(spark, sf_dir):
+    return _stored(spark, sf_dir).read(spark, "gold.dim_customer")
+
+
+def q_pipeline_dim_payment(spark, sf_dir):
+    return _stored(spark, sf_dir).read(spark, "gold.dim_payment_method")
+
+
+def q_pipeline_silver_customers(spark, sf_dir):
+    return _stored(spark, sf_dir).read(spark, "silver.customers")
+
+
+def q_pipeline_silver_merchants(spark, sf_dir):
+    return _stored(spark, sf_dir).read(spark, "silver.merchants")
+
+
+def q_pipeline_quality(spark, sf_dir):
+    """The profile that the day's load recorded."""
+    found = _stored(spark, sf_dir).quality[DAY2]
+    row = {**found["dq_rejects"], **found["fact_quality"]}
+    return spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} long" for c in row))
+
+
+def q_pipeline_rerun_day(spark, sf_dir):
+    """Day 2 loaded twice: the customer dimension with its history, unchanged."""
+    lake = pipeline.run_pipeline(spark, sf_dir)
+    return pipeline.load_day(spark, lake, DAY2, pipeline.DAY2_FEEDS).read(spark, "gold.dim_customer")
+
+
+def q_pipeline_reopen(spark, sf_dir):
+    """Day 1 by one warehouse object, day 2 by another that only knows the folder."""
+    root = new_table_path(spark, "lakehouse")
+    first = pipeline.Lakehouse(root)
+    pipeline.land_day1(spark, first, sf_dir.rstrip("/"))
+    pipeline.load_day(spark, first, DAY1, pipeline.DAY1_FEEDS)
+    second = pipeline.Lakehouse.open(spark, root)
+    pipeline.land_day2(spark, second, sf_dir.rstrip("/"))
+    pipeline.load_day(spark, second, DAY2, pipeline.DAY2_FEEDS)
+    return pipeline.Lakehouse.open(spark, root).read(spark, "gold.dim_customer")
+
+
+def q_fact_two_days(spark, sf_dir):
+    """Transactions arrive on two days, with ids in common: the facts of both days, each id once."""
+    lake = pipeline.run_pipeline(spark, sf_dir, part="first")
+    pipeline.land(spark, lake, "transactions", fixtures.raw_transactions(spark, sf_dir.rstrip("/"), "second"), DAY3)
+    pipeline.load_day(spark, lake, DAY3, {"transactions"})
+    return as_doubles(lake.read(spark, "gold.fact_transaction").select(*FACT_COLUMNS))
+
+
+def q_sql_views_q5b(spark, sf_dir):
+    """The version comparison in SQL over the registered views of the stored warehouse."""
+    register_views(spark, _stored(spark, sf_dir))
+    return as_doubles(spark.sql(
+        "SELECT c.kyc_tier AS kyc_tier_at_txn_time, c.is_current, count(f.transaction_id) AS transactions, sum(f.txn_amount) AS gmv"
+        " FROM fact_transaction f JOIN dim_customer c ON f.customer_key = c.customer_key"
+        " GROUP BY c.kyc_tier, c.is_current ORDER BY c.kyc_tier, c.is_current"
+    ))
+
+
 # ---- reports -----------------------------------------------------------------------
 
 def q1_monthly_gmv(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return reports.monthly_gmv(w.fact, w.dim_date)
+    return as_doubles(reports.monthly_gmv(w.fact, w.dim_date))
 
 
 def q2_top_merchants(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return reports.top_merchants(w.fact, w.dim_merchant)
+    return as_doubles(reports.top_merchants(w.fact, w.dim_merchant))
 
 
 def q3_payment_methods(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return reports.payment_method_success(w.fact, w.dim_payment)
+    return as_doubles(reports.payment_method_success(w.fact, w.dim_payment))
 
 
 def q4_segment_revenue(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return reports.segment_revenue(w.fact, w.dim_customer)
+    return as_doubles(reports.segment_revenue(w.fact, w.dim_customer))
 
 
 def q5_kyc_point_in_time(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return reports.kyc_point_in_time(w.fact, w.dim_customer)
+    return as_doubles(reports.kyc_point_in_time(w.fact, w.dim_customer))
 
 
 def q5b_version_split(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return reports.version_split(w.fact, w.dim_customer)
+    return as_doubles(reports.version_split(w.fact, w.dim_customer))
 
 
 QUERIES: dict[str, Query] = {
@@ -459,6 +593,23 @@ QUERIES: dict[str, Query] = {
     "fact_quality": q_fact_quality,
     "layer_row_counts": q_layer_row_counts,
     "pipeline_end_to_end": q_pipeline_end_to_end,
+    "bronze_stream_then_batch": q_bronze_stream_then_batch,
+    "bronze_reordered_header": q_bronze_reordered_header,
+    "fact_quality_short_calendar": q_fact_quality_short_calendar,
+    "q1_short_calendar": q1_short_calendar,
+    "fact_shared_method_code": q_fact_shared_method_code,
+    "payment_code_conflicts": q_payment_code_conflicts,
+    "fact_spread_joins": q_fact_spread_joins,
+    "pipeline_fact": q_pipeline_fact,
+    "pipeline_dim_customer": q_pipeline_dim_customer,
+    "pipeline_dim_payment": q_pipeline_dim_payment,
+    "pipeline_silver_customers": q_pipeline_silver_customers,
+    "pipeline_silver_merchants": q_pipeline_silver_merchants,
+    "pipeline_quality": q_pipeline_quality,
+    "pipeline_rerun_day": q_pipeline_rerun_day,
+    "pipeline_reopen": q_pipeline_reopen,
+    "fact_two_days": q_fact_two_days,
+    "sql_views_q5b": q_sql_views_q5b,
     "q1_monthly_gmv": q1_monthly_gmv,
     "q2_top_merchants": q2_top_merchants,
     "q3_payment_methods": q3_payment_methods,

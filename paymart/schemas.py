@@ -56,7 +56,7 @@ def bronze_schema(source: str) -> StructType:
     return string_schema(RAW_COLUMNS[source] + AUDIT_COLUMNS)
 
 
-# Silver column order per table (audit columns are carried through).
+# Silver column order per table (audit columns are carried through).
 SILVER_COLUMNS: dict[str, list[str]] = {
     "customers": RAW_COLUMNS["customers"] + ["is_active"] + AUDIT_COLUMNS + ["silver_loaded_at"],
     "merchants": RAW_COLUMNS["merchants"] + AUDIT_COLUMNS + ["silver_loaded_at"],
@@ -67,7 +67,8 @@ SILVER_COLUMNS: dict[str, list[str]] = {
     + ["silver_loaded_at"],
 }
 
-# Type-2 customer dimension: attributes whose change opens a new version.
+# Tracked attributes (their order enters the record hash) and the
+# column lists of the star schema.  A change of a customer's opens a new version.
 CUSTOMER_TRACKED = ["kyc_tier", "wallet_limit", "customer_segment", "city", "state"]
 MERCHANT_TRACKED = ["merchant_name", "category", "sub_category", "city", "state", "is_active"]
 PAYMENT_TRACKED = ["method_name", "method_type", "is_active"]

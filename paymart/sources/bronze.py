@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +39,22 @@ def ingest_csv(spark: SparkSession, source: str, csv_path: str, bronze_root: str
     return write_table(df, path, partition_by=["load_date"], dynamic=True, rebalance=False)
 
 
+def stream_path(bronze_root: str, source: str) -> str:
+    """Where the streaming landing keeps its part of a bronze table (its commit log rules that folder alone)."""
+    return f"{bronze_root}/{BRONZE_TABLES[source]}_stream"
+
+
 def read_bronze(spark: SparkSession, bronze_root: str, source: str, load_date: str | None = None) -> DataFrame:
-    """Read a bronze table (optionally one load date, pruned at the partition level)."""
-    df = read_table(spark, f"{bronze_root}/{BRONZE_TABLES[source]}", bronze_schema(source))
-    if load_date is not None:
-        df = df.filter(F.col("load_date") == load_date)
-    return df.select(*RAW_COLUMNS[source], *AUDIT_COLUMNS)
+    """Read a bronze table, batch and streamed part (optionally one load date, pruned at the partition level)."""
+    schema = bronze_schema(source)
+    parts = []
+    for path in (f"{bronze_root}/{BRONZE_TABLES[source]}", stream_path(bronze_root, source)):
+        try:
+            parts.append(read_table(spark, path, schema).select(*RAW_COLUMNS[source], *AUDIT_COLUMNS))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    if not parts:
+        raise FileNotFoundError(f"no bronze table of {source} under {bronze_root}")
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return df if load_date is None else df.filter(F.col("load_date") == load_date)

@@ -4,20 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paymart.schemas import raw_schema
+from paymart.schemas import RAW_COLUMNS, string_schema
+
+
+def header_columns(spark: SparkSession, path: str, source: str) -> list[str]:
+    """The columns of landed files in file order, from a header line; all raw columns of ``source`` must be there."""
+    found = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in RAW_COLUMNS[source] if c not in found]
+    if missing:
+        raise ValueError(f"{source} files under {path}: no column {', '.join(missing)} in header {found}")
+    return found
 
 
 def read_csv_strings(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Scan landed CSV with the declared all-string schema of ``source``.
+    """Scan landed CSV as strings, columns by header name.
 
-    A declared schema avoids the extra inference pass over the files and keeps
-    every value as text, so casting rules live in the silver layer.
+    The header gives the file order and the declared column list selects from
+    it, so reordered and additional columns are fine and a missing one is an
+    error.  Every value stays text: casting rules live in the silver layer.
+    Files of one landing must agree: ``enforceSchema`` off makes Spark compare
+    each file's header and fail on another one.
     """
+    columns = header_columns(spark, path, source)
     return (
-        spark.read.schema(raw_schema(source))
+        spark.read.schema(string_schema(columns))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .csv(path)
+        .select(*RAW_COLUMNS[source])
     )
 
 

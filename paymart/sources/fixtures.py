@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 DAY1 = "1995-01-01"
 DAY2 = "1998-07-01"
 UPDATES_DATE = "1998-06-30"
+# Fixed value: a third load day, for transactions only.
+DAY3 = "1998-07-02"
 
 # Raw KYC tier text by key % 3 (dirty case and spaces on purpose).
 KYC_RAW = [" basic", "Full", "PREMIUM "]
@@ -125,16 +127,18 @@ def _customer_rows(base: DataFrame, updates: bool) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> DataFrame:
-    """Snapshot 1 lacks keys divisible by 11 (they arrive on day 2); snapshot 2
-    lacks keys divisible by 23 (gone from the source, kept by the dimension)."""
+    """Snapshot 0 holds every customer.  Snapshot 1 lacks keys divisible by 11 (they
+    arrive on day 2); snapshot 2 lacks keys divisible by 23 (gone from the
+    source, kept by the dimension)."""
     base = _customers_base(spark, sf_dir)
     k = F.col("c_custkey")
-    base = base.filter(k % 11 != 0) if snapshot == 1 else base.filter(k % 23 != 0)
+    if snapshot:
+        base = base.filter(k % 11 != 0) if snapshot == 1 else base.filter(k % 23 != 0)
     return _customer_rows(base, updates=False)
 
 
 def raw_customer_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """About one customer in seven changes tier, wallet limit and segment."""
+    """About one customer in seven changes tier, wallet limit and segment (the feed's own rule)."""
     base = _customers_base(spark, sf_dir).filter(F.col("c_custkey") % 7 == 0)
     return _customer_rows(base, updates=True)
 
@@ -142,8 +146,9 @@ def raw_customer_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_merchants(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> DataFrame:
     """Suppliers as merchants; pairs (2j, 2j+1) share name, category and city.
 
-    Snapshot 1 lacks keys divisible by 13.  Snapshot 2 has them, lacks keys
-    divisible by 11 and moves keys divisible by 5 to category 'health'.
+    Snapshot 0 holds every merchant.  Snapshot 1 lacks keys divisible by 13.
+    Snapshot 2 has them, lacks keys divisible by 11 and moves keys divisible by
+    5 to category 'health'.
     """
     k = F.col("s_suppkey")
     even = k - k % 2
@@ -151,7 +156,8 @@ def raw_merchants(spark: SparkSession, sf_dir: str, snapshot: int = 1) -> DataFr
     if snapshot == 2:
         category = F.when(k % 5 == 0, F.lit("health")).otherwise(category)
     df = _read(spark, sf_dir, "supplier").select("s_suppkey")
-    df = df.filter(k % 13 != 0) if snapshot == 1 else df.filter(k % 11 != 0)
+    if snapshot:
+        df = df.filter(k % 13 != 0) if snapshot == 1 else df.filter(k % 11 != 0)
     return df.select(
         merchant_id(k).alias("merchant_id"),
         F.concat(F.lit(" Merchant "), even.cast("string")).alias("merchant_name"),
@@ -193,12 +199,18 @@ def raw_payment_methods(spark: SparkSession, sf_dir: str, snapshot: int = 1) ->
     )
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as transactions; ``(orderkey, linenumber)`` repeats, so ids repeat."""
+def raw_transactions(spark: SparkSession, sf_dir: str, part: str = "all") -> DataFrame:
+    """Line items as transactions; ``(orderkey, linenumber)`` repeats, so ids repeat.
+
+    The feed may arrive in two parts, ``first`` and ``second``, that share
+    about a third of the rows and, as ids repeat, more of the ids.
+    """
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
+    if part != "all":
+        li = li.filter(F.col("l_partkey") % 3 != (2 if part == "first" else 0))
     od = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     pk = F.col("l_partkey")
     price = F.col("l_extendedprice").cast("decimal(10,2)")

@@ -70,7 +70,7 @@ def write_table(
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read a parquet table; a declared schema also types partition columns."""
+    """Read a parquet table; a declared schema types partition columns and lets a table without rows be read."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)

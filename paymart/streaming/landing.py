@@ -17,27 +17,30 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField
 
-from paymart.schemas import RAW_COLUMNS, raw_schema
+from paymart.schemas import RAW_COLUMNS, string_schema
+from paymart.sources.bronze import stream_path
+from paymart.sources.csv import header_columns
 
 
 def stream_landing_to_bronze(
     spark: SparkSession,
     source: str,
     landing_dir: str,
-    bronze_path: str,
+    bronze_root: str,
     checkpoint_dir: str,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start an available-now stream from ``landing_dir`` into ``bronze_path``.
+    """Start an available-now stream from ``landing_dir`` into the bronze table of ``source``.
 
     ``landing_dir`` holds ``load_date=YYYY-MM-DD`` subdirectories of header
-    CSV files with the raw columns of ``source``.  Returns the started query
-    (call ``awaitTermination()``).
+    CSV files; columns go by header name (see ``read_csv_strings``).  The rows
+    land in a folder of their own next to the batch part, and ``read_bronze``
+    reads both.  Returns the started query (call ``awaitTermination()``).
     """
-    schema = raw_schema(source).add(StructField("load_date", StringType(), True))
-    reader = spark.readStream.schema(schema).option("header", True)
+    columns = [c for c in header_columns(spark, landing_dir, source) if c != "load_date"]
+    schema = string_schema([*columns, "load_date"])
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.csv(landing_dir)
@@ -52,5 +55,5 @@ def stream_landing_to_bronze(
         .partitionBy("load_date")
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
-        .start(bronze_path)
+        .start(stream_path(bronze_root, source))
     )
