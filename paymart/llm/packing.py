@@ -67,8 +67,8 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
     end = np.array([END_ID], tokens.dtype)
     for batch in batches:
         rows: list[list] = [[] for _ in _PIECE]
-        for doc, raw in zip(batch.column(0).to_pylist(), tokens.encode(batch.column(1).to_pylist()), strict=False):
-            ids = np.concatenate((np.frombuffer(raw, tokens.dtype), end))
+        for doc, found in zip(batch.column(0).to_pylist(), tokens.encode(batch.column(1)), strict=True):
+            ids = np.concatenate((found, end))
             for start, length, tier in route(len(ids)):
                 part = ids[start : start + length]
                 crumb = length < tier == TIERS[-1]
