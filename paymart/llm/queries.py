@@ -31,7 +31,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_rans_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = rans.encoded_path(spark)
     rans.write_ids(table(spark, sf_dir, "documents"), path)
-    return rans.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return rans.read_ids(spark, path, digest=True)
 
 
 def op6_cap_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

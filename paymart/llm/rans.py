@@ -33,9 +33,9 @@ from paymart.llm.tokens import encoder, tokenizer_path
 from paymart.sources.storage import new_table_path
 
 SCALE = 20
-LANES = 256
+LANES = 1024
 EVERY = 256
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 20
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 
@@ -128,15 +128,15 @@ def _tokens(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
     tokens = encoder(path)
     end = np.array([END_ID], tokens.dtype).tobytes()
     for batch in batches:
-        ids = [raw + end for raw in tokens.encode(batch.column(1).to_pylist())][: batch.num_rows]
+        ids = [found.tobytes() + end for found in tokens.encode(batch.column(1))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
 
 def _counted(batches: Iterator[pa.RecordBatch], dtype: str) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for value in batch.column(0):
-            got = np.bincount(np.frombuffer(value.as_buffer(), dtype))
+        if batch.num_rows:
+            got = np.bincount(np.concatenate([np.frombuffer(value.as_buffer(), dtype) for value in batch.column(0)]))
             if len(got) > len(counts):
                 counts = np.pad(counts, (0, len(got) - len(counts)))
             counts[: len(got)] += got
@@ -213,7 +213,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     blocks.write.parquet(f"{path}/blocks")
 
 
-def _decoded(batches: Iterator[pa.RecordBatch], freq: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _decoded(batches: Iterator[pa.RecordBatch], freq: np.ndarray, digest: bool) -> Iterator[pa.RecordBatch]:
     table = Table(freq)
     for batch in batches:
         for row in batch.to_pylist():
@@ -227,14 +227,18 @@ def _decoded(batches: Iterator[pa.RecordBatch], freq: np.ndarray) -> Iterator[pa
             ends = np.cumsum(row["lengths"])
             starts = ends - row["lengths"]
             parts = [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            last = pa.array([zlib.crc32(p) for p in parts], pa.int64()) if digest else pa.array(parts, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["first"] + row["shard_start"]), pa.array(row["lengths"], pa.int64()), pa.array(parts, pa.binary())],
-                names=["doc_id", "start", "n_tokens", "ids"],
+                [pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["first"] + row["shard_start"]), pa.array(row["lengths"], pa.int64()), last],
+                names=["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"],
             )
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids as little-endian unsigned 32-bit integers), one row per document of the files."""
+def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids as little-endian unsigned 32-bit integers), one row per document of the files.
+
+    ``digest``: ids_crc32, the checksum of a document's ids, in place of the ids.
+    """
     table = spark.read.schema("id long, freq long").parquet(f"{path}/table").collect()  # one row an id of the vocabulary
     freq = np.zeros(max((r["id"] for r in table), default=-1) + 1, np.uint64)
     for r in table:
@@ -243,7 +247,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     sizes = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n"))  # one row a shard
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start"))
-    return blocks.join(F.broadcast(starts), "shard").mapInArrow(functools.partial(_decoded, freq=freq), "doc_id long, start long, n_tokens long, ids binary")
+    return blocks.join(F.broadcast(starts), "shard").mapInArrow(
+        functools.partial(_decoded, freq=freq, digest=digest), "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary")
+    )
 
 
 def encoded_path(spark: SparkSession) -> str:
