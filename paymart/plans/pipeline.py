@@ -33,7 +33,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -158,16 +158,15 @@ class _Day:
         return read_table(self.spark, write_table(df, path), df.schema)
 
     def save(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None, rebalance: bool = True) -> DataFrame:
-        """Build and write one image.  Its rows are observed while the write runs (no second pass)."""
+        """Build and write one image; its rows are counted from the files' footers."""
         t = time.perf_counter()
         df = build()
         path = f"{self.lake.root}/{name.replace('.', '/')}/load_day={self.day}/image={uuid.uuid4().hex[:12]}"
-        seen = Observation(f"{name}@{self.day}")
-        write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by, rebalance=rebalance)
+        write_table(df, path, partition_by=partition_by, rebalance=rebalance)
+        stored = read_table(self.spark, path, df.schema)
+        self.images.append(Image(0, name, self.day, path, stored.count(), df.schema.json()))
         self.lake.seconds[f"{name}@{self.day}"] = time.perf_counter() - t
-        rows = seen.get["rows"] if df.schema else 0
-        self.images.append(Image(0, name, self.day, path, rows, df.schema.json()))
-        return read_table(self.spark, path, df.schema)
+        return stored
 
     def profile(self, name: str, df: DataFrame, total: str, fail_above: dict[str, float]) -> None:
         t = time.perf_counter()

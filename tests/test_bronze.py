@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from paymart.schemas import RAW_COLUMNS
@@ -50,7 +51,25 @@ def test_stream_landing_is_exactly_once(spark):
     write_csv(df.limit(1), f"{root}/landing/load_date=2024-01-02")
     stream_landing_to_bronze(*args).awaitTermination()
     stream_landing_to_bronze(*args).awaitTermination()  # nothing new: nothing added
-    b = spark.read.parquet(f"{root}/bronze")
+    b = read_bronze(spark, f"{root}/bronze", "payment_methods")
     counts = {r.load_date: r["count"] for r in b.groupBy(F.col("load_date").cast("string").alias("load_date")).count().collect()}
     assert counts == {"2024-01-01": 2, "2024-01-02": 1}
     assert b.filter(F.col("load_timestamp") == "2024-01-02 00:00:00").count() == 1
+
+
+def test_columns_go_by_header_name(spark):
+    raw = spark.createDataFrame([("UPI", "PM-1", "x", "upi", "1", "instant")], "method_name string, method_id string, extra string, method_code string, is_active string, method_type string")
+    path = write_csv(raw, new_table_path(spark, "csv-test"))
+    got = read_csv_strings(spark, path, "payment_methods").collect()
+    assert [tuple(r) for r in got] == [("PM-1", "upi", "UPI", "instant", "1")]
+    with pytest.raises(ValueError, match="method_code"):
+        read_csv_strings(spark, write_csv(raw.drop("method_code"), new_table_path(spark, "csv-test")), "payment_methods")
+
+
+def test_files_of_one_landing_must_agree(spark):
+    one = spark.createDataFrame([("PM-1", "upi", "UPI", "instant", "1")], ", ".join(f"{c} string" for c in RAW_COLUMNS["payment_methods"]))
+    path = new_table_path(spark, "csv-test")
+    one.coalesce(1).write.option("header", True).csv(path)
+    one.select(*reversed(one.columns)).coalesce(1).write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_strings(spark, path, "payment_methods").collect()

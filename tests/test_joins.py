@@ -2,7 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from paymart.operators.joins import as_of_join, checked_broadcast, lookup_join
+from paymart.operators.joins import as_of_join, checked_broadcast, fits, hot_keys, lookup_join
 
 D = datetime.date
 
@@ -85,3 +85,53 @@ def test_salting_spreads_a_customer_with_a_third_of_all_facts(spark):
             spark.conf.set(k, v)
     assert plain >= hot_rows             # without salting one task holds every hot fact
     assert salted < hot_rows / 2         # with salting they spread over several tasks
+
+
+def _biggest_task(spark, build, partitions=64):
+    """Rows of the largest reduce task, with broadcasts and AQE off."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return max(r["count"] for r in build().groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _merchant_facts(spark, hot):
+    rows = spark.range(9000).select(
+        F.concat(F.lit("t"), F.col("id")).alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.concat(F.lit("M"), F.col("id") % 300)).alias("merchant_id"),
+    )
+    dim = spark.range(300).select(F.concat(F.lit("M"), F.col("id")).alias("merchant_id"), F.col("id").alias("merchant_key"))
+    return rows, dim.union(spark.createDataFrame([("HOT", 999)], "merchant_id string, merchant_key long"))
+
+
+def test_lookup_spreads_a_hot_merchant(spark):
+    facts, dim = _merchant_facts(spark, "HOT")
+    plain = _biggest_task(spark, lambda: lookup_join(facts, dim, "merchant_id", max_broadcast_rows=0, hot_key_rows=10**9))
+    spread = _biggest_task(spark, lambda: lookup_join(facts, dim, "merchant_id", max_broadcast_rows=0, hot_key_rows=1000, salt_buckets=16))
+    assert plain >= 3000 and spread < 1500
+    out = lookup_join(facts, dim, "merchant_id", max_broadcast_rows=0, hot_key_rows=1000, salt_buckets=16)
+    assert out.count() == 9000 and out.filter("merchant_key = 999").count() == 3000
+
+
+def test_missing_keys_are_spread_and_kept(spark):
+    facts, dim = _merchant_facts(spark, None)
+    assert _biggest_task(spark, lambda: lookup_join(facts, dim, "merchant_id", max_broadcast_rows=0, hot_key_rows=10**9)) < 1000
+    out = lookup_join(facts, dim, "merchant_id", max_broadcast_rows=0, hot_key_rows=10**9)
+    assert out.count() == 9000 and out.filter("merchant_key is null").count() == 3000
+
+
+def test_any_number_of_hot_keys_is_fine(spark):
+    facts, _ = _merchant_facts(spark, "HOT")
+    # 200 keys have 30 rows each, one has 3000: with at most 10 hot keys the threshold rises to 900 rows
+    assert hot_keys(facts, "merchant_id", hot_key_rows=1, max_hot_keys=10).collect() == [("HOT",)]
+    assert hot_keys(facts.limit(0), "merchant_id").count() == 0
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    narrow = spark.range(1000)
+    assert fits(narrow, 1000) and not fits(narrow, 999) and not fits(narrow, 1000, max_bytes=1000)
