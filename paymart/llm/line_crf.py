@@ -8,8 +8,10 @@ base rules did not reject it.
 
 The field is trained here, on a bounded sample of labelled documents (the
 ``TRAIN_DOCS`` of each class with the smallest hash of their id, and of these
-the first ``TRAIN_LINES`` lines); a line inherits its document's label.  Scoring
-covers every line of every document.  Without labels of both classes the
+the first ``TRAIN_LINES`` lines); a line inherits its document's label.  As that
+alone would never show a change of label, as many sequences are added in which
+a good document has the lines of a bad one inside.  Scoring covers every line of
+every document.  Without labels of both classes the
 weights are zero and every line is content.
 """
 
@@ -114,19 +116,18 @@ class Crf:
         return cls(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)), np.zeros(2))
 
     @classmethod
-    def fit(cls, sequences: list[np.ndarray], labels: list[int], rounds: int = 150, rate: float = 0.1, ridge: float = 1e-3) -> Crf:
+    def fit(cls, sequences: list[np.ndarray], labels: list[np.ndarray], weight: np.ndarray, rounds: int = 80, rate: float = 0.15, ridge: float = 1e-3) -> Crf:
         """Maximum likelihood by gradient steps; expected counts by forward and backward sums over all sequences at once."""
-        if len(set(labels)) < 2:
-            return cls.blank()
         length = np.array([len(s) for s in sequences])
         top = int(length.max())
         x = np.zeros((len(sequences), top, N_FEATURES))
         for i, s in enumerate(sequences):
             x[i, : len(s)] = s
         there = np.arange(top)[None, :] < length[:, None]
-        y = np.repeat(np.array(labels)[:, None], top, axis=1)
+        y = np.zeros((len(sequences), top), np.int64)
+        for i, own in enumerate(labels):
+            y[i, : len(own)] = own
         gold = np.stack([(y == k) & there for k in (0, 1)], axis=2).astype(float)
-        weight = np.array([0.5 / max(1, (np.array(labels) == k).sum()) for k in (0, 1)])[labels]  # classes weigh alike
         flat = np.zeros(N_FEATURES * 2 + 4 + 2)
         slope, square = np.zeros_like(flat), np.zeros_like(flat)
         shape = lambda v: cls(v[: N_FEATURES * 2].reshape(-1, 2), v[N_FEATURES * 2 : -2].reshape(2, 2), v[-2:])
@@ -196,9 +197,22 @@ def train(docs: DataFrame, labels: DataFrame) -> Crf:
         docs.select("doc_id", "text").join(F.broadcast(of[0].union(of[1])), F.col("doc_id") == F.col("label_id"))
         .select("quality", "text").mapInArrow(_observed, "quality int, bits array<long>").collect()
     )
-    rows = [r for r in sorted(rows) if r["bits"]]
     unpack = lambda bits: (np.array(bits)[:, None] >> np.arange(N_FEATURES)) & 1
-    return Crf.fit([unpack(r["bits"]) for r in rows], [r["quality"] for r in rows])
+    bad, good = ([unpack(r["bits"]) for r in sorted(rows) if r["bits"] and r["quality"] == k] for k in (0, 1))
+    return Crf.fit(*training_set(good, bad)) if good and bad else Crf.blank()
+
+
+def training_set(good: list[np.ndarray], bad: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Sequences, labels and weights: both classes, and good documents with a bad one inside; each of the three weighs the same."""
+    ones, zeros = [np.ones(len(s), int) for s in good], [np.zeros(len(s), int) for s in bad]
+    mixed, marks = [], []
+    for k in range(max(len(good), len(bad))):
+        g, b = good[k % len(good)], bad[k % len(bad)]
+        cut = len(g) // 2
+        mixed.append(np.concatenate((g[:cut], b, g[cut:])))
+        marks.append(np.concatenate((np.ones(cut, int), np.zeros(len(b), int), np.ones(len(g) - cut, int))))
+    weight = np.concatenate([np.full(n, 1 / (3 * n)) for n in (len(good), len(bad), len(mixed))])
+    return [*good, *bad, *mixed], [*ones, *zeros, *marks], weight
 
 
 def _judged(batches: Iterator[pa.RecordBatch], crf: Crf) -> Iterator[pa.RecordBatch]:
