@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import groups, shuffle_partitions, staged
+from paymart.llm.common import groups, shuffle_partitions, staged, tidy
 from paymart.llm.components import connected_components
 
 CODES = 4
@@ -93,6 +93,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+@tidy
 def _listed(batches: Iterator[pa.RecordBatch], codes: int, words: int, list_size: int) -> Iterator[pa.RecordBatch]:
     """(node, dim, vector) to (node, dim, vector, filters)."""
     for batch in batches:
@@ -120,6 +121,7 @@ def _shared_before(x: np.ndarray, y: np.ndarray, lists: list[np.ndarray], this:
     return out
 
 
+@tidy
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups (filter, dim, i, j) of (block, node, weight, vector, filters) to rows (node, links, other): other is a link of a forest, or null."""
     for group in groups(batches, ("filter", "dim", "i", "j")):

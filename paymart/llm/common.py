@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -53,6 +55,32 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library: it keeps what it has
+        return None
+
+
+def tidy(stage: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A batch function that hands freed memory back to the system when its partition is done.
+
+    Python workers live on for later stages; without this each keeps the most it ever held.
+    """
+
+    @functools.wraps(stage)
+    def run(batches: Iterator[pa.RecordBatch], *args, **kwargs) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from stage(batches, *args, **kwargs)
+        finally:
+            pa.default_memory_pool().release_unused()
+            libc = _libc()
+            if libc is not None and hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return run
+
+
 def texts_of(column: pa.Array) -> Iterator[np.ndarray | None]:
     """The UTF-8 bytes of each value (no copy), None for null."""
     column = column.cast(pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else pa.large_string())

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import WordHashes, mix64, texts_of, word_bounds
+from paymart.llm.common import WordHashes, mix64, texts_of, tidy, word_bounds
 
 TRAIN_DOCS = 1000
 TRAIN_LINES = 64
@@ -180,22 +180,27 @@ class Crf:
         return path[::-1]
 
 
+@tidy
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(quality, text) to (quality, features of the first TRAIN_LINES lines as bits)."""
+    """(label_id, quality, text) to (label_id, quality, features of the first TRAIN_LINES lines as bits)."""
     lines = Lines()
     bit = 1 << np.arange(N_FEATURES)
     for batch in batches:
-        rows = [(lines(text)[1][:TRAIN_LINES] @ bit).tolist() for text in texts_of(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["quality", "bits"])
+        rows = [(lines(text)[1][:TRAIN_LINES] @ bit).tolist() for text in texts_of(batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["label_id", "quality", "bits"])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Crf:
-    """Fit on at most 2 x TRAIN_DOCS documents; labels: (doc_id, quality 0/1), others ignored."""
-    known = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("quality")).where("label_id is not null")
+    """Fit on at most 2 x TRAIN_DOCS documents; labels: (doc_id, quality 0/1), others ignored.
+
+    Of rows that repeat an id, one is taken (the smallest by its features), so the sample stays bounded.
+    """
+    known = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality")).where("label_id is not null")
     of = [known.where(F.col("quality") == k).orderBy(F.xxhash64("label_id"), "label_id").limit(TRAIN_DOCS) for k in (0, 1)]
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(of[0].union(of[1])), F.col("doc_id") == F.col("label_id"))
-        .select("quality", "text").mapInArrow(_observed, "quality int, bits array<long>").collect()
+        .select("label_id", "quality", "text").mapInArrow(_observed, "label_id long, quality int, bits array<long>")
+        .groupBy("label_id").agg(F.min(F.struct("quality", "bits")).alias("row")).select("row.*").collect()
     )
     unpack = lambda bits: (np.array(bits)[:, None] >> np.arange(N_FEATURES)) & 1
     bad, good = ([unpack(r["bits"]) for r in sorted(rows) if r["bits"] and r["quality"] == k] for k in (0, 1))
@@ -215,6 +220,7 @@ def training_set(good: list[np.ndarray], bad: list[np.ndarray]) -> tuple[list[np
     return [*good, *bad, *mixed], [*ones, *zeros, *marks], weight
 
 
+@tidy
 def _judged(batches: Iterator[pa.RecordBatch], crf: Crf) -> Iterator[pa.RecordBatch]:
     """Puts the verdict columns in place of the last column, the text."""
     lines = Lines()
@@ -244,6 +250,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+@tidy
 def _survivors(batches: Iterator[pa.RecordBatch], crf: Crf, text_at: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         judged = next(_judged(iter([pa.RecordBatch.from_arrays([batch.column(text_at)], names=["text"])]), crf))

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paymart.llm.common import WordHashes, groups, mix64, shuffle_partitions, staged, texts_of, word_bounds
+from paymart.llm.common import WordHashes, groups, mix64, shuffle_partitions, staged, texts_of, tidy, word_bounds
 from paymart.llm.components import connected_components
 
 WORDS = 5
@@ -122,6 +122,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (equal / (16 * a.shape[-1]) - chance) / (1 - chance)
 
 
+@tidy
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingles = Shingles()
     for batch in batches:
@@ -146,6 +147,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@tidy
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node wanted, text) to (node, sorted hashes, wide signature), where the text has that node."""
     shingles = Shingles()
@@ -162,6 +164,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@tidy
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -169,6 +172,7 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(estimate(a, b))], names=["node", "center", "share"])
 
 
+@tidy
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keeps pairs with 100 * intersection >= 75 * union on full sets."""
     for batch in batches:
@@ -204,6 +208,7 @@ class _Block:
                 yield part, two, share
 
 
+@tidy
 def _best_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each member off the commonest label, its most similar member of another label, if over the margin."""
     for group in groups(batches, ("key", "i", "j")):
@@ -218,6 +223,7 @@ def _best_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+@tidy
 def _all_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every pair of members of different labels over the margin, in the first band that the two share."""
     for group in groups(batches, ("key", "i", "j")):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import staged
+from paymart.llm.common import staged, tidy
 from paymart.llm.tokens import encoder, tokenizer_path
 
 TIERS = (2048, 1024, 512, 256)
@@ -62,6 +62,7 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+@tidy
 def _cut(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     tokens = encoder(path)
     end = np.array([END_ID], tokens.dtype)

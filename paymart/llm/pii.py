@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import texts_of
+from paymart.llm.common import texts_of, tidy
 
 KINDS = ("email", "date", "card", "phone", "ssn", "ip")
 KEY = b"paymart-demonstration-key"
@@ -210,6 +210,7 @@ def pseudonyms(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int, i
     return "".join([*out, text[at:]]), [(kind, a, b) for a, b, kind, _ in sorted(found)]
 
 
+@tidy
 def _replaced(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         column = batch.column(1)

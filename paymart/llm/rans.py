@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paymart.llm.common import shuffle_partitions, staged
+from paymart.llm.common import shuffle_partitions, staged, tidy
 from paymart.llm.tokens import encoder, tokenizer_path
 from paymart.sources.storage import new_table_path
 
@@ -124,6 +124,7 @@ class Table:
         return ids.reshape(-1)[: n - first * EVERY * LANES]
 
 
+@tidy
 def _tokens(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     tokens = encoder(path)
     end = np.array([END_ID], tokens.dtype).tobytes()
@@ -156,6 +157,7 @@ _BLOCK_DDL = (
 )
 
 
+@tidy
 def _encoded(batches: Iterator[pa.RecordBatch], freq: np.ndarray, dtype: str) -> Iterator[pa.RecordBatch]:
     """Rows (shard, doc_id, ids) of one shard in order to its blocks."""
     table = Table(freq)
@@ -213,6 +215,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     blocks.write.parquet(f"{path}/blocks")
 
 
+@tidy
 def _decoded(batches: Iterator[pa.RecordBatch], freq: np.ndarray, digest: bool) -> Iterator[pa.RecordBatch]:
     table = Table(freq)
     for batch in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import texts_of
+from paymart.llm.common import texts_of, tidy
 
 KINDS = ("assign", "access", "hex", "jwt", "key")
 MIN_VALUE, MIN_ACCESS, MIN_HEX, MIN_ENCODED = 8, 16, 32, 48
@@ -186,6 +186,7 @@ def scan(data: np.ndarray | None) -> tuple[list[Span], list[tuple[int, int]]]:
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
+@tidy
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in scan(t)[0]] for t in texts_of(batch.column(1))]
@@ -228,6 +229,7 @@ def hidden(text: str, hide: list[tuple[int, int]], mask: str = "[SECRET]") -> st
     return "".join([*out, text[at:]])
 
 
+@tidy
 def _redacted(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         column, new = batch.column(at), {}
