@@ -10,38 +10,49 @@ completions, so a partial path has an exact bound and the search is best first.
 Gumbel noise on all complete segmentations would rank them like sampling
 without replacement.  It is drawn top down instead: the best of a set passes
 its value to the subset that holds it, and the rest of the set gets a Gumbel
-value of its log mass truncated below it.  The frontier after one path is, for
-each step of the path, "the same until here, then another piece"; the highest
-of the frontier is completed next, ``k`` times.  The highest value left over is
-the threshold that inclusion scores refer to: 1 - exp(-exp(log_p - threshold)).
+value of its log mass truncated below it.  The search keeps sets "leaves this
+path at some step" on its frontier, one a path, with their values.  The set of
+highest value is opened next: the step is drawn by the mass that leaves there,
+then another piece, and the path is completed; what is left of the set and what
+leaves the new path go back with values below.  After ``k`` paths the highest
+value left over is the threshold that inclusion scores refer to:
+1 - exp(-exp(log_p - threshold)).
 
 Pieces never cross a space or a line feed, so the lattice is a chain of
-words; equal words of a group of texts share their part.  Random numbers are
-hashes of (row key, sample, word, step): results do not depend on how rows are
-grouped or which task runs.
+words, and equal words share their part (up to KEEP words a worker process,
+then it starts anew).  Random numbers are
+hashes of (row key, sample, word, step): but for the last digits of sums, results
+do not depend on how rows are grouped or which task runs.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
+import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from paymart.llm.common import mix64
+from paymart.llm.common import mix64, tidy
 from paymart.llm.tokens import tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 SAMPLES = 3
 SEED = 20240607
-GROUP_CHARS = 3 << 20
+GROUP_CHARS = 1 << 20
+KEEP = 400_000
 ZIPF_SHIFT = 2.7
 _UNIT = re.compile("▁[^▁\n]*|[^▁\n]+|\n")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_LATIN = re.compile(f"[{_LETTERS}]")
 _TOP = 1 << 21  # above any code point
 
 
@@ -79,10 +90,25 @@ class Vocabulary:
         self.keys = np.array(sorted(tree), np.int64)
         self.next = np.array([tree[k] for k in self.keys.tolist()], np.int64)
         self.piece, self.score = np.array(piece, np.int64), np.array(score)
+        apart = {chr(c) for c in range(0x21, 0x7F) if not chr(c).isalpha()}
+        for i in plain:
+            text = self.model.id_to_piece(i)
+            for a, b in zip(text, text[1:], strict=False):
+                apart -= {a} if _LATIN.match(b) else {b} if _LATIN.match(a) else set()
+        marks = re.escape("".join(sorted(apart)))
+        self.simple = re.compile(f"[{_LETTERS}{marks} \n]*") if apart else None
+        self.parts = re.compile(f"▁?[{_LETTERS}]+|▁?[{marks}]+|▁|\n") if apart else None
         self.first = np.full(1 << 16, -1, np.int64)  # children of the root
         for k in self.keys[self.keys < 1 << 16].tolist():
             self.first[k] = tree[k]
 
+    def units(self, text: str) -> list[str]:
+        """The parts of a text that no piece crosses: words, cut again between letters and marks where no piece joins the two."""
+        if not text:
+            return []
+        parts = self.parts if self.simple is not None and self.simple.fullmatch(text) else _UNIT
+        return parts.findall("▁" + text.replace(" ", "▁"))
+
     def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
         key = node * _TOP + char
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
@@ -92,16 +118,47 @@ class Vocabulary:
         return [int(self.byte_ids[b]) for b in char.encode()]
 
 
-class Lattice:
-    """The lattices of some words: edges by node, their pieces and chances, and the log mass of each word."""
+class Lattices:
+    """The lattices of words, kept for later texts: edges by node, longest first, with their pieces and chances.
+
+    ``upto`` is the chance of an edge and those before it at its node.
+    """
 
-    def __init__(self, words: list[str], vocabulary: Vocabulary) -> None:
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.nodes = self.edges = 0
+        self.base, self.end = np.empty(0, np.int64), np.empty(0, np.int64)  # of each word
+        self.at = np.zeros(1, np.int32)  # of each node
+        self.size, self.piece = np.empty(0, np.uint8), np.empty(0, np.int32)  # of each edge
+        self.log_p = np.empty(0)
+        self.log_rest, self.upto = np.empty(0, np.float32), np.empty(0, np.float32)
+
+    def indices(self, cut: list[list[str]]) -> list[list[int]]:
+        """Numbers of the words of some texts; unknown words are added."""
+        here = set().union(*cut)
+        new = here.difference(self.known)
+        if new and len(self.known) + len(new) > KEEP:
+            self.clear()
+            new = here
+        if new:
+            words = list(new)
+            first = len(self.known)
+            self._add(words)
+            self.known.update(zip(words, range(first, first + len(words)), strict=True))
+        get = self.known.__getitem__
+        return [list(map(get, one)) for one in cut]
+
+    def _add(self, words: list[str]) -> None:
+        vocabulary = self.vocabulary
         lengths = np.array([len(w) for w in words], np.int64)
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
         starts = np.cumsum(lengths) - lengths
         word = np.repeat(np.arange(len(words)), lengths)
         node_of = np.arange(len(chars)) + word  # a word of n characters has n + 1 nodes
-        self.base = starts + np.arange(len(words))
         left = (starts + lengths)[word] - np.arange(len(chars))  # characters to the end of the word
         nodes = len(chars) + len(words)
 
@@ -132,86 +189,97 @@ class Lattice:
         ids = np.where(code < 0x80, vocabulary.byte_ids[np.minimum(code, 127)], -1 - code)  # several bytes: minus the character
         found.append((bare, 1, ids, wide * vocabulary.byte_score))
 
-        counts = np.zeros(nodes + 1, np.int64)
+        counts = np.zeros(nodes, np.int64)
         for at, *_ in found:
             counts[node_of[at]] += 1
-        self.at = np.concatenate(([0], np.cumsum(counts[:-1])))
-        edges = int(self.at[-1])
-        self.size, self.piece, score = np.empty(edges, np.int64), np.empty(edges, np.int64), np.empty(edges)
-        cursor = self.at[:-1].copy()
-        for at, size, piece, value in found:
+        ends = np.cumsum(counts)
+        edges = int(ends[-1])
+        sizes, pieces, score = np.empty(edges, np.uint8), np.empty(edges, np.int32), np.empty(edges)
+        cursor = ends.copy()
+        for at, long, piece, value in found:
+            cursor[node_of[at]] -= 1
             slot = cursor[node_of[at]]
-            self.size[slot], self.piece[slot], score[slot] = size, piece, value
-            cursor[node_of[at]] += 1
-        counts = np.diff(self.at)
+            sizes[slot], pieces[slot], score[slot] = long, piece, value
+        begin = ends - counts
 
         mass = np.zeros(nodes)
         src = np.repeat(np.arange(nodes), counts)
-        order = np.argsort(np.minimum(left, 32767).astype(np.int16), kind="stable") if len(left) and left.max() < 32767 else np.argsort(left, kind="stable")
-        ends = np.searchsorted(left[order], np.arange(1, int(left.max()) + 2)) if len(left) else []
+        far = int(left.max())
+        order = np.argsort(left.astype(np.int16) if far < 32767 else left, kind="stable")
+        bounds = np.searchsorted(left[order], np.arange(1, far + 2))
         value = np.empty(edges)
-        for a, b in zip(ends[:-1], ends[1:], strict=True):  # nodes by distance to the end of their word
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):  # nodes by distance to the end of their word
             own = node_of[order[a:b]]
             n = counts[own]
             first = np.cumsum(n) - n
-            e = np.arange(int(n.sum())) + np.repeat(self.at[own] - first, n)
-            v = score[e] + mass[src[e] + self.size[e]]
+            e = np.arange(int(n.sum())) + np.repeat(begin[own] - first, n)
+            v = score[e] + mass[src[e] + sizes[e]]
             value[e] = v
             top = np.maximum.reduceat(v, first)
             mass[own] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, n)), first))
-        self.chance = np.exp(value - mass[src])
-        self.src, self.counts = src, counts
-        self.total = np.concatenate(([0.0], np.cumsum(self.chance)))
-        self.mass = mass[self.base] if len(words) else np.empty(0)
-        self.end = self.base + lengths
+        log_p = value - mass[src]
+        chance = np.exp(log_p)
+        with np.errstate(divide="ignore"):
+            log_rest = np.where(counts[src] > 1, np.log1p(-np.minimum(chance, 1.0)), -np.inf)
+
+        base = self.nodes + starts + np.arange(len(words))
+        join = lambda old, new: np.concatenate((old, new.astype(old.dtype)))
+        self.base, self.end = join(self.base, base), join(self.end, base + lengths)
+        self.at = join(self.at, self.edges + ends)
+        self.size, self.piece = join(self.size, sizes), join(self.piece, pieces)
+        self.log_p, self.log_rest = join(self.log_p, log_p), join(self.log_rest, log_rest)
+        run = np.concatenate(([0.0], np.cumsum(chance)))
+        self.upto = join(self.upto, run[1:] - run[begin][src])
+        self.nodes += nodes
+        self.edges += edges
 
     def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """An edge of each node, by its chance."""
-        first, last = self.at[node], self.at[node + 1]
-        low, high = self.total[first], self.total[last]
-        e = np.searchsorted(self.total, low + u * (high - low), side="right") - 1
-        return np.clip(e, first, last - 1)
+        """An edge of each node, by its chance.  Long pieces come first and are the likeliest, so few looks are needed."""
+        e, last = self.at[node].astype(np.int64), self.at[node + 1].astype(np.int64) - 1
+        on = np.flatnonzero((self.upto[e] <= u) & (e < last))
+        while len(on):
+            now = e[on] + 1
+            e[on] = now
+            on = on[(self.upto[now] <= u[on]) & (now < last[on])]
+        return e
 
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _uniform(seed: np.ndarray, place: np.ndarray | int, sample: int, step: int) -> np.ndarray:
-    """Numbers in (0, 1) from (row seed, place, sample, step)."""
-    fixed = hashlib.blake2b(f"{SEED}:{sample}:{step}".encode(), digest_size=8).digest()
-    h = mix64(np.atleast_1d(np.asarray(place, np.uint64)) * _GOLDEN ^ np.asarray(seed, np.uint64))
-    h = mix64(h + np.frombuffer(fixed, np.uint64))
-    return (np.right_shift(h, np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
-
+def _row_seed(seed: np.ndarray, place: np.ndarray | int) -> np.ndarray:
+    return mix64(np.atleast_1d(np.asarray(place, np.uint64)) * _GOLDEN ^ np.asarray(seed, np.uint64))
 
-def _gumbel(seed: np.ndarray, place: np.ndarray | int, sample: int, step: int) -> np.ndarray:
-    return -np.log(-np.log(_uniform(seed, place, sample, step)))
 
+def _uniform(row_seed: np.ndarray, sample: int, step: int) -> np.ndarray:
+    """Numbers in (0, 1) from (row seed and place, sample, step)."""
+    fixed = hashlib.blake2b(f"{SEED}:{sample}:{step}".encode(), digest_size=8).digest()
+    h = mix64(row_seed + np.frombuffer(fixed, np.uint64))
+    return (np.right_shift(h, np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
-#: Values of ``step`` of draws that are not steps of a word: frontier noise, the root, leaving a path, what is then left.
-_FRONT, _ROOT, _LEAVE, _REST = -1, -2, -3, -4
 
+def _gumbel(row_seed: np.ndarray, sample: int, step: int) -> np.ndarray:
+    return -np.log(-np.log(_uniform(row_seed, sample, step)))
 
-class _Path:
-    """Steps from some step of a text on: word place, node, edge, chance, and the frontier value at each."""
 
-    def __init__(self, place: np.ndarray, node: np.ndarray, edge: np.ndarray, chance: np.ndarray) -> None:
-        self.place, self.node, self.edge, self.chance = place, node, edge, chance
+#: Values of ``step`` of draws that are not steps of a word: what leaves a new path, the root, where and how to leave
+#: a path, what is then left of its set.
+_FRONT, _ROOT, _STEP, _LEAVE, _REST = -1, -2, -3, -4, -5
 
 
-def _walk(lat: Lattice, node: np.ndarray, end: np.ndarray, seed: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _walk(lat: Lattices, node: np.ndarray, end: np.ndarray, row_seed: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Draws each word from its node to its end: (word row, node, edge) of all steps in the order of the text."""
     node = node.copy()
-    live = np.argsort(node, kind="stable")  # close words together, so that look-ups stay close
-    live = live[node[live] < end[live]]
+    live = np.flatnonzero(node < end)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     steps = np.zeros(len(node), np.int64)
     while len(live):
         at = node[live]
-        e = lat.draw(at, _uniform(seed[live], place[live], sample, len(out)))
+        e = lat.draw(at, _uniform(row_seed[live], sample, len(out)))
         out.append((live, at, e))
         steps[live] += 1
-        node[live] = at = at + lat.size[e]
+        at = at + lat.size[e]
+        node[live] = at
         live = live[at < end[live]]
     first = np.cumsum(steps) - steps
     total = int(steps.sum())
@@ -221,104 +289,121 @@ def _walk(lat: Lattice, node: np.ndarray, end: np.ndarray, seed: np.ndarray, pla
     return np.repeat(np.arange(len(node)), steps), nodes, edges
 
 
-def sample_texts(texts: list[str], seeds: list[int], vocabulary: Vocabulary, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
-    """For each text at most ``k`` distinct segmentations, best first: (edges' piece ids, log_p, perturbed value, inclusion)."""
-    words: dict = {}
-    cut = [_UNIT.findall("▁" + t.replace(" ", "▁")) if t else [] for t in texts]
-    for one in cut:
-        words.update(dict.fromkeys(one))
-    words = dict(zip(words, range(len(words)), strict=True))
-    lists = [list(map(words.__getitem__, one)) for one in cut]
-    lat = Lattice(list(words), vocabulary)
-    n_words = np.array([len(x) for x in lists], np.int64)
-    unit = np.array([u for x in lists for u in x], np.int64)
-    text_at = np.concatenate(([0], np.cumsum(n_words)))
-    doc = np.repeat(np.arange(len(texts)), n_words)
+class _Wave:
+    """One sample of every text that has one: the steps drawn for it, and the set that leaves its path.
+
+    The steps of text ``i`` are rows ``at[i]`` to ``at[i + 1]``; they follow the first ``skip[i]`` steps
+    of sample ``of[i]``, whose log chance is ``before[i]``.  ``weight`` is the mass, relative to that,
+    that leaves the path at each step; ``value`` the perturbed value of all that leaves it.
+    """
+
+    def __init__(self, lat: Lattices, texts: int, docs: np.ndarray, doc: np.ndarray, place: np.ndarray, node: np.ndarray, edge: np.ndarray,
+                 noise: np.ndarray, before: np.ndarray, top: np.ndarray, skip: np.ndarray, of: np.ndarray) -> None:
+        self.place, self.node, self.edge, self.skip, self.of, self.top, self.before = place, node, edge, skip, of, top, before
+        self.at = np.searchsorted(doc, np.arange(texts + 1))
+        run = np.concatenate(([0.0], np.cumsum(lat.log_p[edge])))
+        start = run[self.at[:-1]]
+        self.log_p = run[self.at[1:]] - start + before
+        self.path = run[:-1] - np.repeat(start, np.diff(self.at))  # log chance of the steps before each step
+        self.weight = np.exp(self.path + lat.log_rest[edge])
+        self.sums = np.concatenate(([0.0], np.cumsum(self.weight)))
+        total = np.zeros(texts)
+        some = np.flatnonzero(self.at[1:] > self.at[:-1])
+        if len(some):
+            total[some] = np.add.reduceat(self.weight, self.at[some])
+        self.there = np.zeros(texts, bool)
+        self.there[docs] = True
+        self.value = np.where(self.there, _below(top, before, total, noise), -np.inf)
+        self.taken: dict[int, set[int]] = {}
+
+    def draw(self, i: int, u: float) -> int:
+        """A step of text ``i``, by the mass that leaves its path there."""
+        a, b = int(self.at[i]), int(self.at[i + 1])
+        weight = self.weight[a:b]
+        sums = self.sums[a : b + 1] if not self.taken else np.concatenate(([0.0], np.cumsum(weight)))
+        r = int(np.searchsorted(sums, sums[0] + u * (sums[-1] - sums[0]), side="right")) - 1
+        r = min(max(r, 0), b - a - 1)
+        return a + (r if weight[r] > 0 else int(weight.argmax()))
+
+
+def _below(top: np.ndarray, before: np.ndarray, mass: np.ndarray, noise: np.ndarray) -> np.ndarray:
+    """The perturbed value of sets of a relative mass, truncated below ``top``; -inf for empty ones."""
+    with np.errstate(divide="ignore"):
+        return np.where(mass > 0, -np.logaddexp(-top, -(before + np.log(mass) + noise)), -np.inf)
+
+
+def sample_texts(texts: list[str], seeds: list[int], lat: Lattices, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
+    """For each text at most ``k`` distinct segmentations, best first: (pieces of the edges, log_p, perturbed value, inclusion)."""
+    count = len(texts)
+    lists = lat.indices([lat.vocabulary.units(t) for t in texts])
+    text_at = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+    unit = np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(text_at[-1]))
+    doc = np.repeat(np.arange(count), np.diff(text_at))
     place = np.arange(len(unit)) - text_at[doc]
     seed = np.array(seeds, np.uint64)
-    base, end, row_seed = lat.base[unit], lat.end[unit], seed[doc]
+    text_seed = _row_seed(seed, 0)
+    base, end, row_seed = lat.base[unit], lat.end[unit], _row_seed(seed[doc], place)
+    zero, none = np.zeros(count), np.zeros(count, np.int64)
 
-    def paths(docs: np.ndarray, rows: np.ndarray, nodes: np.ndarray, sample: int) -> dict[int, _Path]:
-        row, at, e = _walk(lat, nodes, end[rows], row_seed[rows], place[rows], sample)
-        row = rows[row]
-        cuts = np.searchsorted(doc[row], np.stack([docs, docs + 1])).tolist()
-        chance, where = lat.chance[e], place[row]
-        return {int(i): _Path(where[a:b], at[a:b], e[a:b], chance[a:b]) for i, a, b in zip(docs, *cuts, strict=True)}
-
-    def frontier(i: int, path: _Path, sample: int, before: float, top: float, skip: int) -> np.ndarray:
-        """Perturbed value, at each step of the path, of the set that leaves it there."""
-        own = np.log(path.chance)
-        so_far = before + np.cumsum(own) - own
-        with np.errstate(divide="ignore"):
-            rest = np.where(lat.counts[path.node] > 1, np.log(np.maximum(0, 1 - path.chance)), -np.inf)
-        noise = _gumbel(seed[i], np.arange(skip, skip + len(own)), sample, _FRONT)
-        free = so_far + rest + noise
-        return -np.logaddexp(-top, -free)
-
-    def leave(path_nodes: np.ndarray, taken: set[int], node: int, u: float) -> tuple[int, float, float]:
-        """Another edge of ``node`` than those taken: (edge, its chance, chance of what is then left)."""
-        free = [e for e in range(int(lat.at[node]), int(lat.at[node + 1])) if e not in taken]
-        chances = lat.chance[free]
-        total = float(chances.sum())
-        pick = min(int(np.searchsorted(np.cumsum(chances), u * total, side="right")), len(free) - 1)
-        return free[pick], float(chances[pick]), total - float(chances[pick]) if len(free) > 1 else 0.0
-
-    everything = np.arange(len(unit))
-    first = paths(np.arange(len(texts)), everything, base, 0)
-    done: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float, float]]] = []
-    fronts: list[list] = []
-    for i in range(len(texts)):
-        path = first[i]
-        top = float(_gumbel(seed[i], 0, 0, _ROOT)[0])
-        done.append([(path.place, path.node, path.edge, path.chance, float(np.log(path.chance).sum()), top)])
-        values = frontier(i, path, 0, 0.0, top, 0)
-        fronts.append([(values, 0, 0, {})])  # values by step, sample, first step they stand for, edges taken by step
+    row, node, edge = _walk(lat, base, end, row_seed, 0)
+    top = _gumbel(text_seed, 0, _ROOT)
+    waves = [_Wave(lat, count, np.arange(count), doc[row], place[row], node, edge, _gumbel(text_seed, 0, _FRONT), zero, top, none, none)]
     for sample in range(1, k):
-        docs, rows, nodes, joins = [], [], [], {}
-        for i in range(len(texts)):
-            best = max(((float(v.max()), s, int(v.argmax())) for v, s, *_ in fronts[i] if len(v)), default=(-np.inf, 0, 0))
-            if best[0] == -np.inf:
-                continue
-            value, of, step = best
-            values, _, skip, taken = fronts[i][of]
-            places, path_nodes, edges, chances, *_ = done[i][of]
-            at = skip + step
-            node, word = int(path_nodes[at]), int(places[at])
-            gone = taken.setdefault(at, {int(edges[at])})
-            edge, chance, left = leave(path_nodes, gone, node, float(_uniform(seed[i], at, sample, _LEAVE)[0]))
-            gone.add(edge)
-            before = float(np.log(chances[:at]).sum())
-            free = before + np.log(left) + float(_gumbel(seed[i], at, sample, _REST)[0]) if left > 0 else -np.inf
-            values[step] = -np.logaddexp(-value, -free)  # what leaves the path here by yet another edge
-            joins[i] = (of, at, node, word, edge, chance, before, value)
-            row = int(text_at[i]) + word
-            docs.append(i)
-            rows.append(np.arange(row, int(text_at[i + 1])))
-            nodes.append(np.concatenate(([node + int(lat.size[edge])], base[row + 1 : int(text_at[i + 1])])))
-        if not docs:
+        values = np.stack([w.value for w in waves])
+        of, top = values.argmax(axis=0), values.max(axis=0)
+        docs = np.flatnonzero(top > -np.inf)
+        if not len(docs):
             break
-        new = paths(np.array(docs), np.concatenate(rows), np.concatenate(nodes), sample)
-        for i in docs:
-            of, at, node, word, edge, chance, before, value = joins[i]
-            places, path_nodes, edges, chances, *_ = done[i][of]
-            tail = new[i]
-            whole = [
-                np.concatenate((a[:at], [b], c))
-                for a, b, c in ((places, word, tail.place), (path_nodes, node, tail.node), (edges, edge, tail.edge), (chances, chance, tail.chance))
-            ]
-            reached = before + float(np.log(chance))
-            values = frontier(i, tail, sample, reached, value, at + 1)
-            done[i].append((*whole, reached + float(np.log(tail.chance).sum()), value))
-            while len(fronts[i]) < sample:
-                fronts[i].append((np.empty(0), len(fronts[i]), 0, {}))
-            fronts[i].append((values, sample, at + 1, {}))
-    out = []
-    for i in range(len(texts)):
-        threshold = max((float(v.max()) for v, *_ in fronts[i] if len(v)), default=-np.inf)
+        step, leave, rest = _uniform(text_seed, sample, _STEP), _uniform(text_seed, sample, _LEAVE), _gumbel(text_seed, sample, _REST)
+        before, skip = np.zeros(count), np.zeros(count, np.int64)
+        first_place, first_node, first_edge = np.zeros(count, np.int64), np.zeros(count, np.int64), np.zeros(count, np.int64)
+        left_mass = [np.zeros(count) for _ in waves]
+        for i in docs.tolist():
+            wave = waves[of[i]]
+            r = wave.draw(i, float(step[i]))
+            n, e = int(wave.node[r]), int(wave.edge[r])
+            gone = wave.taken.setdefault(r, {e})
+            free = [x for x in range(int(lat.at[n]), int(lat.at[n + 1])) if x not in gone]
+            chances = np.exp(lat.log_p[free]).tolist()
+            mark, pick = leave[i] * sum(chances), 0
+            while pick < len(free) - 1 and mark >= chances[pick]:
+                mark -= chances[pick]
+                pick += 1
+            gone.add(free[pick])
+            wave.weight[r] = math.exp(wave.path[r]) * (sum(chances[:pick]) + sum(chances[pick + 1 :]))
+            left_mass[of[i]][i] = wave.weight[wave.at[i] : wave.at[i + 1]].sum()
+            before[i] = wave.before[i] + wave.path[r] + math.log(chances[pick])
+            skip[i] = r - wave.at[i] + wave.skip[i]
+            first_place[i], first_node[i], first_edge[i] = wave.place[r], n, free[pick]
+        for s, wave in enumerate(waves):  # what is left of an opened set keeps a value below the one just used
+            opened = docs[of[docs] == s]
+            wave.value[opened] = _below(top[opened], wave.before[opened], left_mass[s][opened], rest[opened])
+        begin = text_at[docs] + first_place[docs]
+        n_rows = text_at[docs + 1] - begin
+        rows = np.arange(int(n_rows.sum())) + np.repeat(begin - (np.cumsum(n_rows) - n_rows), n_rows)
+        nodes = base[rows]
+        nodes[np.cumsum(n_rows) - n_rows] = first_node[docs] + lat.size[first_edge[docs]]
+        row, node, edge = _walk(lat, nodes, end[rows], row_seed[rows], sample)
+        row = rows[row]
+        wave = _Wave(lat, count, docs, doc[row], place[row], node, edge, _gumbel(text_seed, sample, _FRONT), before, top, skip + 1, of)
+        wave.first_edge = first_edge
+        waves.append(wave)
+
+    threshold = np.stack([w.value for w in waves]).max(axis=0)
+    out: list[list[tuple[np.ndarray, float, float, float]]] = []
+    for i in range(count):
+        paths: list[np.ndarray | None] = []
         rows_of = []
-        for *_, edges, _, log_p, value in done[i]:
-            inclusion = 1.0 if threshold == -np.inf else float(-np.expm1(-np.exp(min(700.0, log_p - threshold))))
-            rows_of.append((lat.piece[np.asarray(edges, np.int64)], log_p, value, inclusion))
+        for s, wave in enumerate(waves):
+            if not wave.there[i]:
+                paths.append(None)
+                continue
+            own = wave.edge[wave.at[i] : wave.at[i + 1]]
+            path = own if s == 0 else np.concatenate((paths[wave.of[i]][: wave.skip[i] - 1], [wave.first_edge[i]], own))
+            paths.append(path)
+            log_p = float(wave.log_p[i])
+            inclusion = 1.0 if threshold[i] == -np.inf else -math.expm1(-math.exp(min(700.0, log_p - threshold[i])))
+            rows_of.append((lat.piece[path], log_p, float(wave.top[i]), inclusion))
         out.append(rows_of)
     return out
 
@@ -339,22 +424,31 @@ def vocabulary_of(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@functools.lru_cache(4)
+def lattices_of(path: str) -> Lattices:
+    """One set of lattices a model and worker process."""
+    return Lattices(vocabulary_of(path))
+
+
 _SAMPLE = pa.schema(
     [("doc_id", pa.int64()), ("sample", pa.int32()), ("n_pieces", pa.int64()), ("log_p", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64()), ("ids", pa.binary())]
 )
+_DIGEST = pa.schema([*list(_SAMPLE)[:-1], pa.field("ids_crc32", pa.int64())])
 
 
-def _sampled(batches: Iterator[pa.RecordBatch], path: str, k: int) -> Iterator[pa.RecordBatch]:
-    vocabulary = vocabulary_of(path)
+@tidy
+def _sampled(batches: Iterator[pa.RecordBatch], path: str, k: int, digest: bool) -> Iterator[pa.RecordBatch]:
+    lattices = lattices_of(path)
+    schema = _DIGEST if digest else _SAMPLE
 
     def flush(keys: list, texts: list[str]) -> pa.RecordBatch:
-        rows: list[list] = [[] for _ in _SAMPLE]
-        for key, samples in zip(keys, sample_texts(texts, [seed_of(x) for x in keys], vocabulary, k), strict=True):
+        rows: list[list] = [[] for _ in schema]
+        for key, samples in zip(keys, sample_texts(texts, [seed_of(x) for x in keys], lattices, k), strict=True):
             for r, (pieces, log_p, value, inclusion) in enumerate(samples):
-                ids = expand(pieces, vocabulary)
-                for column, v in zip(rows, (key, r, len(ids), log_p, value, inclusion, ids.astype("<u4").tobytes()), strict=True):
+                ids = expand(pieces, lattices.vocabulary).astype("<u4").tobytes()
+                for column, v in zip(rows, (key, r, len(ids) // 4, log_p, value, inclusion, zlib.crc32(ids) if digest else ids), strict=True):
                     column.append(v)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _SAMPLE, strict=True)], schema=_SAMPLE)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
 
     for batch in batches:
         keys, texts, size = [], [], 0
@@ -369,16 +463,16 @@ def _sampled(batches: Iterator[pa.RecordBatch], path: str, k: int) -> Iterator[p
             yield flush(keys, texts)
 
 
-def sample_segmentations(docs: DataFrame, k: int = SAMPLES, model: str | None = None) -> DataFrame:
+def sample_segmentations(docs: DataFrame, k: int = SAMPLES, model: str | None = None, digest: bool = False) -> DataFrame:
     """At most ``k`` distinct segmentations of each text, sampled without replacement and seeded by doc_id.
 
     doc_id, sample (0 is the highest perturbed value), n_pieces, log_p, perturbed, inclusion, ids
-    (little-endian unsigned 32-bit).  Null and empty texts have the one empty segmentation (inclusion 1).
+    (little-endian unsigned 32-bit; ``digest``: their checksum ids_crc32 in place).  Null and empty texts have the one empty segmentation (inclusion 1).
     Rows with equal ids (or null ids) share a seed.  Other columns are ignored.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        functools.partial(_sampled, path=model or tokenizer_path(MODEL), k=k),
-        "doc_id long, sample int, n_pieces long, log_p double, perturbed double, inclusion double, ids binary",
+        functools.partial(_sampled, path=model or tokenizer_path(MODEL), k=k, digest=digest),
+        "doc_id long, sample int, n_pieces long, log_p double, perturbed double, inclusion double, " + ("ids_crc32 long" if digest else "ids binary"),
     )
 
 
@@ -391,5 +485,5 @@ def _joined(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
 
 def decode_ids(sampled: DataFrame, model: str | None = None) -> DataFrame:
     """``sampled`` with the text that its ids (last column) stand for."""
-    schema = sampled.schema.add("decoded", "string")
+    schema = StructType([*sampled.schema.fields, StructField("decoded", StringType())])
     return sampled.mapInArrow(functools.partial(_joined, path=model or tokenizer_path(MODEL)), schema)

@@ -54,8 +54,7 @@ def op8_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sampled = lattice.sample_segmentations(table(spark, sf_dir, "documents"))
-    return sampled.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return lattice.sample_segmentations(table(spark, sf_dir, "documents"), digest=True)
 
 
 def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
