@@ -27,10 +27,10 @@ from paymart.llm.common import mix64
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-TABLE_BITS = 20
-FULL = 600_000
+TABLE_BITS = 21
+FULL = 1_200_000
 LONG_FULL = 50_000
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 2 << 20
 KEY = 23
 
 _SPACE, _FEED, _LETTER, _DIGIT, _MARK, _BAD = range(6)
