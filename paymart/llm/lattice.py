@@ -48,7 +48,7 @@ MODEL = "piece_bpe_32k.model"
 SAMPLES = 3
 SEED = 20240607
 GROUP_CHARS = 1 << 20
-KEEP = 400_000
+KEEP = 600_000
 ZIPF_SHIFT = 2.7
 _UNIT = re.compile("▁[^▁\n]*|[^▁\n]+|\n")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
