@@ -11,10 +11,9 @@ Dimension images and the silver customer snapshots are *staged* so that each
 is computed once per query even though several steps read it (the broadcast
 size check, the joins, the next day's merge):
 
-* ``stage="cache"`` (default): ``persist(MEMORY_AND_DISK)``; the first action
-  fills it, a lost block is recomputed from its (deterministic) lineage;
-* ``stage="write"``: written as parquet under the shared storage root and
-  read back, as the pipeline does; this also cuts the lineage;
+* ``stage="write"`` (default): written as parquet under the shared storage root
+  and read back, as the pipeline does; this also cuts the lineage, so a lost
+  executor recomputes from the last table, and nothing stays cached;
 * ``stage=None``: fully lazy.
 
 Silver transactions and the fact stay lazy.
@@ -24,7 +23,6 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from paymart.operators.calendar import dim_date_covering
@@ -41,7 +39,7 @@ class Warehouse:
         spark: SparkSession,
         sf_dir: str,
         initial_start: str = "created_date",
-        stage: str | None = "cache",
+        stage: str | None = "write",
         **fact_options,
     ):
         self.spark = spark
@@ -52,10 +50,8 @@ class Warehouse:
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Stage a frame that several later steps read (see module docstring)."""
-        if self.staging == "cache":
-            return df.persist(StorageLevel.MEMORY_AND_DISK)
         if self.staging == "write":
-            return read_table(self.spark, write_table(df, new_table_path(self.spark, name)))
+            return read_table(self.spark, write_table(df, new_table_path(self.spark, name)), df.schema)
         return df
 
     # ---- raw and bronze ------------------------------------------------------

@@ -57,8 +57,7 @@ def _w(spark: SparkSession, sf_dir: str, **opts) -> Warehouse:
     """The scenario for ``sf_dir``, shared by all default-option queries of a session.
 
     Its staged frames (dimension images, silver customer snapshots) are then
-    built, size-checked and persisted once per session instead of once per
-    query.  A new session (new application id) gets a fresh scenario.
+    built and written once per session instead of once per query.  A new session (new application id) gets a fresh scenario.
     """
     if opts:
         return Warehouse(spark, sf_dir, **opts)

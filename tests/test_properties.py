@@ -55,8 +55,8 @@ def test_scd2_history_invariants(spark, hist):
     assert sorted(again.collect()) == sorted(rows)
 
 
-def _half_up(num: int, den: int, scale: int) -> float:
-    return float((Decimal(num) / Decimal(den)).quantize(Decimal(1).scaleb(-scale), rounding=ROUND_HALF_UP))
+def _half_up(num: int, den: int, scale: int) -> Decimal:
+    return (Decimal(num) / Decimal(den)).quantize(Decimal(1).scaleb(-scale), rounding=ROUND_HALF_UP)
 
 
 @SETTINGS
