@@ -251,7 +251,9 @@ def load_day(
         dims = [dimension(n) for n in ("gold.dim_customer", "gold.dim_merchant", "gold.dim_payment_method")]
         fact = run.save("gold.fact_transaction", lambda: gold.fact_transaction(txn, *dims, day), **months)
         run.profile("fact_quality", gold.fact_quality(fact, cal), "total_rows", limits)
+    t = time.perf_counter()
     lake.commit(s, run.images)
+    lake.seconds[f"catalog@{day}"] = time.perf_counter() - t
     return lake
 
 
