@@ -135,11 +135,11 @@ class Lakehouse:
         return out
 
 
-def land(spark: SparkSession, lake: Lakehouse, source: str, df: DataFrame, day: str) -> None:
-    """Land one feed for ``day`` as CSV and ingest it into its bronze table."""
+def land(spark: SparkSession, lake: Lakehouse, source: str, feed: DataFrame | Callable[[], DataFrame], day: str) -> None:
+    """Land one feed (or what builds it) for ``day`` as CSV and ingest it into its bronze table."""
     csv_path = f"{lake.root}/landing/{day}/{source}"
     t = time.perf_counter()
-    write_csv(df, csv_path)
+    write_csv(feed() if callable(feed) else feed, csv_path)
     lake.seconds[f"landing.{source}.{day}"] = time.perf_counter() - t
     t = time.perf_counter()
     ingest_csv(spark, source, csv_path, f"{lake.root}/bronze", day)
@@ -262,18 +262,18 @@ DAY2_FEEDS = {"customers", "customer_updates", "merchants", "payment_methods", "
 
 
 def land_day1(spark: SparkSession, lake: Lakehouse, sf_dir: str) -> None:
-    land(spark, lake, "customers", fixtures.raw_customers(spark, sf_dir, 1), DAY1)
-    land(spark, lake, "merchants", fixtures.raw_merchants(spark, sf_dir, 1), DAY1)
-    land(spark, lake, "payment_methods", fixtures.raw_payment_methods(spark, sf_dir, 1), DAY1)
+    land(spark, lake, "customers", lambda: fixtures.raw_customers(spark, sf_dir, 1), DAY1)
+    land(spark, lake, "merchants", lambda: fixtures.raw_merchants(spark, sf_dir, 1), DAY1)
+    land(spark, lake, "payment_methods", lambda: fixtures.raw_payment_methods(spark, sf_dir, 1), DAY1)
 
 
 def land_day2(spark: SparkSession, lake: Lakehouse, sf_dir: str, part: str = "all") -> None:
     """``part``: which transactions arrive, see ``fixtures.raw_transactions``."""
-    land(spark, lake, "customers", fixtures.raw_customers(spark, sf_dir, 2), DAY2)
-    land(spark, lake, "customer_updates", fixtures.raw_customer_updates(spark, sf_dir), DAY2)
-    land(spark, lake, "merchants", fixtures.raw_merchants(spark, sf_dir, 2), DAY2)
-    land(spark, lake, "payment_methods", fixtures.raw_payment_methods(spark, sf_dir, 2), DAY2)
-    land(spark, lake, "transactions", fixtures.raw_transactions(spark, sf_dir, part), DAY2)
+    land(spark, lake, "customers", lambda: fixtures.raw_customers(spark, sf_dir, 2), DAY2)
+    land(spark, lake, "customer_updates", lambda: fixtures.raw_customer_updates(spark, sf_dir), DAY2)
+    land(spark, lake, "merchants", lambda: fixtures.raw_merchants(spark, sf_dir, 2), DAY2)
+    land(spark, lake, "payment_methods", lambda: fixtures.raw_payment_methods(spark, sf_dir, 2), DAY2)
+    land(spark, lake, "transactions", lambda: fixtures.raw_transactions(spark, sf_dir, part), DAY2)
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None, part: str = "all", **options) -> Lakehouse:
