@@ -184,13 +184,14 @@ def _numbers(text: str) -> Iterator[tuple[int, int, str, str]]:
 def pseudonyms(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with every validated value replaced, and (kind, start, end) of each in the text given."""
     found: list[tuple[int, int, str, str]] = []
-    at = text.find("@")
+    end, at = 0, text.find("@")
     while at >= 0:
-        m = _EMAIL.search(text, max(0, at - 64), len(text))
+        m = _EMAIL.search(text, max(end, at - 64))  # a local part has 64 characters at most
         if m is None:
             break
         found.append((m.start(), m.end(), "email", _email(key, m[0])))
-        at = text.find("@", m.end())
+        end = m.end()
+        at = text.find("@", end)
     taken = {k for a, b, *_ in found for k in range(a, b)}
     numbers = _numbers(text)
     one = next(numbers, None)

@@ -151,6 +151,19 @@ def test_values_keep_their_format_and_stay_linked(spark):
     assert pii.pseudonymize(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_several_addresses_in_a_text():
+    close = "write to ann@x.com or bob@y.com"
+    new, spans = pii.pseudonyms(close)
+    assert spans == [("email", 9, 18), ("email", 22, 31)]
+    assert re.fullmatch(r"write to [a-z]{3}@x\.com or [a-z]{3}@y\.com", new) and "ann" not in new and "bob" not in new
+    texts = [
+        "ann@x.com @ bob@y.com", "@ @@ ann@x.com@ bob@y.com @", "ann@x.com,bob@y.com;ann@x.com", "ann@x.com " + "z" * 100 + " @home bob@y.com",
+        "l" * 64 + "@x.com " + "l" * 65 + "@x.com", "a@b.com " * 5_000, "@" * 5_000,
+    ]
+    for text in texts:
+        assert [s[1:] for s in pii.pseudonyms(text)[1]] == [m.span() for m in pii._EMAIL.finditer(text)]
+
+
 # ---- shards ---------------------------------------------------------------------------
 
 def test_matrix_has_exact_sums_and_the_right_means():
