@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paymart.llm.common import WordHashes, groups, mix64, shuffle_partitions, staged, texts_of, tidy, word_bounds
@@ -334,12 +334,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, any others) that stay: of each group of near copies the one of smallest doc_id.
 
-    Blank texts are in no group and all stay.  Of rows that repeat a doc_id within a group, the one of
-    smallest text stays.  A row without an id goes by a number made from its text, above usual ids.
+    Rows are judged one by one, whatever their ids: unrelated texts that share a doc_id all stay.  Blank
+    texts are in no group and all stay.  Of rows that repeat the smallest doc_id within a group, the one
+    of smallest text hash stays.  Rows without an id come after all others of their group.
     """
-    nameless = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), nameless))
-    found = near_duplicates(keyed, id_col="_key").where("kept").groupBy(F.col("doc_id").alias("_kept")).agg(F.max("n_shingles").alias("_shingles"))
-    stay = keyed.join(found, keyed["_key"] == found["_kept"])
-    first = F.row_number().over(Window.partitionBy("_key").orderBy("text"))
-    return stay.withColumn("_nth", first).where("_nth = 1 OR _shingles = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # numbers are written before use, so that a row has the same one in every later stage
+    own = staged(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_hash", F.xxhash64("text")), "numbered")
+    found = near_duplicates(own, id_col="_row").select(F.col("doc_id").alias("_of"), F.col("component_id").alias("_group"))
+    order = F.struct(F.col("doc_id").isNull().alias("_last"), F.col("doc_id").cast("long").alias("_id"), "_hash", "_row")
+    first = (
+        own.select("_row", order.alias("_order")).join(found, F.col("_row") == F.col("_of"))
+        .groupBy("_group").agg(F.min("_order").alias("_first")).select(F.col("_first._row").alias("_stays"))
+    )
+    return own.join(first, own["_row"] == first["_stays"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

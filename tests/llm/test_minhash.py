@@ -107,6 +107,19 @@ def test_keep_one_keeps_columns_and_one_row_a_group(documents):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 8]
 
 
+def test_keep_one_judges_rows_of_one_id_apart(documents):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    rows = [
+        (5, one), (5, two), (5, "  "), (5, None), (5, two),  # unrelated and blank texts under an id, and a true copy
+        (2, one + " tail"),  # a near copy of smaller id
+        (7, three), (7, ""), (None, two), (None, "no id, own words"), (None, "no id, other text"), (None, "no id, own words"),
+    ]
+    kept = minhash.keep_one(documents([t for _, t in rows], [d for d, _ in rows]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(5, two), (5, "  "), (5, None), (2, one + " tail"), (7, three), (7, ""), (None, "no id, own words"), (None, "no id, other text")], key=str
+    )
+
+
 def test_components_of_long_chains_stars_and_loops(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(1000, k) for k in range(1001, 1100)]
