@@ -6,10 +6,13 @@ more kinds are reported only after structural confirmation:
 
 * ``jwt``: three base64url parts; the first decodes to a JSON object with a
   string ``alg``, the second to a JSON object;
-* ``key``: base64 or hex text (a PEM body's line breaks are skipped) that
-  decodes to a DER key (RSA, EC, PKCS#8 or a public key) whose nested lengths
+* ``key``: base64 or hex text of at least 36 bytes that decodes to a DER key
+  (RSA, DSA, EC, PKCS#8, encrypted PKCS#8 or a public key) whose nested lengths
   add up exactly, or to an OpenSSH private key whose length-prefixed fields
-  fit.
+  fit.  A PEM body's line breaks are skipped, real ones and those written as a
+  backslash and a letter.  Without a BEGIN line a key may be wrapped over lines,
+  of which the first of a block has 16 characters at least; its own length
+  fields say on which line it ends.
 
 Cheap byte tests pick the texts worth a pattern; every text is read whole.
 Offsets are code points, ends are exclusive.
@@ -19,9 +22,11 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
+import itertools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +36,24 @@ from pyspark.sql import functions as F
 from paymart.llm.common import texts_of, tidy
 
 KINDS = ("assign", "access", "hex", "jwt", "key")
-MIN_VALUE, MIN_ACCESS, MIN_HEX, MIN_ENCODED = 8, 16, 32, 48
+MIN_VALUE, MIN_ACCESS, MIN_HEX = 8, 16, 32
+MIN_LINE, MIN_KEY = 16, 36  # characters of a wrapped key's first line; decoded bytes of a key
 _NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-_PEM = re.compile(r"-----BEGIN ([A-Z ]+)-----\s*([A-Za-z0-9+/=\s]+?)\s*-----END \1-----")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_ENCODED)
-_ANY_HEX = re.compile(r"[0-9A-Fa-f]{%d,}" % (2 * MIN_ENCODED))
+_PEM = re.compile(r"-----BEGIN ([A-Z ]+)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/])++)-----END \1-----")
+_BREAK = r"(?:[\r\n]|\\+[rn])++(?:[\x20\t]|\\+t)*+"
+_BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_HEX_LINE = re.compile(r"[0-9A-Fa-f]+")
+_BASE64 = re.compile(
+    r"(?:(?<=\\[nrt])|(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nrt]))[A-Za-z0-9+/_-]{%d,}+(?:%s[A-Za-z0-9+/_-]++)*+={0,2}" % (MIN_LINE, _BREAK)
+)
+_ANY_HEX = re.compile(r"[0-9A-Fa-f]{%d,}+(?:%s[0-9A-Fa-f]++)*+" % (MIN_LINE, _BREAK))
+_BREAKS = re.compile(_BREAK)
+_ESCAPED = re.compile(r"\\+([nrt/])")
+_OPENSSH = b"openssh-key-v1\x00"
 _ENCODED = np.zeros(256, bool)
 _ENCODED[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=.")] = True
 
@@ -76,7 +90,7 @@ def _children(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
 
 
 def is_der_key(data: bytes) -> bool:
-    """RSA (public or private), EC private, PKCS#8 or SubjectPublicKeyInfo, by its nested elements."""
+    """RSA (public or private), DSA or EC private, PKCS#8 (plain or encrypted) or SubjectPublicKeyInfo, by its nested elements."""
     outer = _element(data, 0, len(data))
     if outer is None or outer[0] != 0x30 or outer[2] != len(data):
         return False
@@ -84,6 +98,8 @@ def is_der_key(data: bytes) -> bool:
     if not parts:
         return False
     tags = [p[0] for p in parts]
+    if tags == [0x02] * 6:  # DSA private key: version 0, three parameters, both keys
+        return data[parts[0][1] : parts[0][2]] == b"\x00" and parts[1][2] - parts[1][1] >= 32
     if len(tags) >= 2 and set(tags) == {0x02}:  # RSA: modulus and exponents, or a leading version 0 and eight numbers
         return len(tags) == 2 and parts[0][2] - parts[0][1] >= 32 or len(tags) >= 9 and parts[0][2] - parts[0][1] == 1
     if tags[:2] == [0x02, 0x04]:  # EC private key: version 1 and an octet string
@@ -91,16 +107,18 @@ def is_der_key(data: bytes) -> bool:
     named = lambda p: bool(inside := _children(data, p[1], p[2])) and inside[0][0] == 0x06
     if tags[:3] == [0x02, 0x30, 0x04]:  # PKCS#8: version, algorithm, key
         return parts[0][2] - parts[0][1] == 1 and named(parts[1])
+    if tags == [0x30, 0x04]:  # encrypted PKCS#8: algorithm with its parameters (a plain digest has none), encrypted key
+        inside = _children(data, parts[0][1], parts[0][2])
+        return bool(inside) and [p[0] for p in inside] == [0x06, 0x30] and parts[1][2] - parts[1][1] >= 16
     if tags == [0x30, 0x03]:  # public key: algorithm, bit string
         return named(parts[0]) and parts[1][2] - parts[1][1] >= 16
     return False
 
 
 def is_openssh_key(data: bytes) -> bool:
-    magic = b"openssh-key-v1\x00"
-    if not data.startswith(magic):
+    if not data.startswith(_OPENSSH):
         return False
-    at, fields = len(magic), 0
+    at, fields = len(_OPENSSH), 0
     while fields < 3:  # cipher, key derivation and its options
         if at + 4 > len(data):
             return False
@@ -113,6 +131,24 @@ def is_key(data: bytes) -> bool:
     return is_der_key(data) or is_openssh_key(data)
 
 
+def _whole_size(data: bytes) -> int | None:
+    """Bytes of the key that ``data`` begins with, by its own length fields; None if they do not tell."""
+    if data[:1] == b"\x30" and len(data) >= 2:
+        wide = data[1] & 0x7F if data[1] & 0x80 else 0
+        return (2 + wide + int.from_bytes(data[2 : 2 + wide], "big") if wide else 2 + data[1]) if wide <= 4 else None
+    if not is_openssh_key(data):
+        return None
+    at = len(_OPENSSH)
+    for count in (3, 1):  # cipher, derivation, options; then as many public keys as said, and the private part
+        if count == 1:
+            count, at = int.from_bytes(data[at : at + 4], "big") + 1, at + 4
+        for _ in range(count):
+            if at + 4 > len(data):
+                return None
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at if at <= len(data) else None
+
+
 def _from_base64(text: str) -> bytes | None:
     body = re.sub(r"\s+", "", text).rstrip("=").replace("-", "+").replace("_", "/")
     try:
@@ -130,21 +166,71 @@ def _is_object(text: str, need: str | None = None) -> bool:
     return isinstance(value, dict) and (need is None or isinstance(value.get(need), str))
 
 
+def _from_hex(text: str) -> bytes | None:
+    return bytes.fromhex(text) if len(text) % 2 == 0 else None
+
+
+def _plain(m: re.Match) -> str:
+    """What an escape in a PEM body stands for: a slash, or white space."""
+    return "/" if m[1] == "/" else ""
+
+
+def _lines(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """(start, end) of the lines of a block, without their breaks."""
+    breaks = [m.span() for m in _BREAKS.finditer(text, start, end)]
+    return list(zip([start, *(b for _, b in breaks)], [*(a for a, _ in breaks), end], strict=True))
+
+
+def _keys_in(text: str, start: int, end: int, line: re.Pattern, starts: tuple[str, ...], decoded: Callable[[str], bytes | None], bits: int) -> list[Span]:
+    """Spans of the keys in a block of encoded lines: each begins a line and ends one, as its own lengths say."""
+    lines = _lines(text, start, end)
+    bodies = [line.match(text, a, b)[0] for a, b in lines]
+    upto = [0, *itertools.accumulate(map(len, bodies))]
+    found, free = [], 0
+    for i, body in enumerate(bodies):
+        if i < free or not body.startswith(starts):
+            continue
+        head = "".join(bodies[i : i + 4])[:16]  # a tag and its length take 6 bytes at most
+        if head.startswith(starts[0]):
+            size = _whole_size(decoded(head[: len(head) // 4 * 4]) or b"")
+            if size is None or size < MIN_KEY:
+                continue
+            last = bisect.bisect_left(upto, upto[i] + -(-8 * size // bits), i + 1)
+            if last == len(upto) or upto[last] != upto[i] + -(-8 * size // bits):
+                continue
+        else:  # lines of one length and a shorter one at most
+            last = i + 1
+            while last < len(bodies) and len(bodies[last - 1]) == len(body) >= len(bodies[last]):
+                last += 1
+            size = _whole_size(decoded("".join(bodies[i:last])) or b"")
+            if size is not None:
+                last = min(last, bisect.bisect_left(upto, upto[i] + -(-8 * size // bits), i + 1))
+        data = decoded("".join(bodies[i:last]))
+        if data is None and last - i > 1:
+            last -= 1
+            data = decoded("".join(bodies[i:last]))
+        if data is not None and len(data) >= MIN_KEY and is_key(data):
+            found.append((lines[i][0], lines[last - 1][1]))
+            free = last
+    return found
+
+
 def confirmed(text: str) -> list[Span]:
     found = [("jwt", *m.span()) for m in _JWT.finditer(text) if _is_object(m[1], "alg") and _is_object(m[2])]
     taken = []
     for m in _PEM.finditer(text):
-        if (data := _from_base64(m[2])) and is_key(data):
-            found.append(("key", *m.span()))
-            taken.append(m.span())
-    free = lambda m: not any(a < m.end() and m.start() < b for a, b in taken)
-    for m in _BASE64.finditer(text):
-        if free(m) and (data := _from_base64(m[0])) and is_key(data):
+        if (data := _from_base64(_ESCAPED.sub(_plain, m[2]))) and is_key(data):
             found.append(("key", *m.span()))
             taken.append(m.span())
-    for m in _ANY_HEX.finditer(text):
-        if free(m) and len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
-            found.append(("key", *m.span()))
+    free = lambda start, end: not any(a < end and start < b for a, b in taken)
+    for pattern, line, starts, decoded, bits in (
+        (_BASE64, _BASE64_LINE, ("M", "b3BlbnNzaC1rZXkt"), _from_base64, 6),
+        (_ANY_HEX, _HEX_LINE, ("30", _OPENSSH[:8].hex(), _OPENSSH[:8].hex().upper()), _from_hex, 4),
+    ):
+        for m in pattern.finditer(text):
+            keys = [k for k in _keys_in(text, m.start(), m.end(), line, starts, decoded, bits) if free(*k)]
+            found += [("key", *k) for k in keys]
+            taken += keys
     return found
 
 
@@ -163,7 +249,7 @@ def scan(data: np.ndarray | None) -> tuple[list[Span], list[tuple[int, int]]]:
     access = b"AKIA" in raw
     run = _longest_encoded(data)
     pem = b"-----BEGIN " in raw
-    if not (named or access or run >= MIN_HEX or pem):
+    if not (named or access or run >= MIN_LINE or pem):
         return [], []
     text = raw.decode("utf-8", "replace")
     found: list[Span] = []
@@ -177,7 +263,7 @@ def scan(data: np.ndarray | None) -> tuple[list[Span], list[tuple[int, int]]]:
         found += [("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
     if run >= MIN_HEX:
         found += [("hex", *m.span()) for m in _HEX.finditer(text) if len(m[0]) >= MIN_HEX]
-    if run >= MIN_ENCODED or pem or b"eyJ" in raw:
+    if run >= MIN_LINE or pem or b"eyJ" in raw:
         found += confirmed(text)
     found.sort(key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return found, hide + [s[1:] for s in found if s[0] != "assign"]

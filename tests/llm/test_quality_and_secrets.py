@@ -164,6 +164,46 @@ def test_keys_are_confirmed_by_their_structure(data):
     assert secrets.scan(np.frombuffer(("a " + pem).encode(), np.uint8))[0] == [("key", 2, 2 + len(pem))]
 
 
+DSA = der(0x30, der(2, b"\x00"), *[der(2, b"\x00" + bytes([65 + k]) * n) for k, n in enumerate((64, 20, 64, 64, 20))])
+SEALED = der(0x30, der(0x30, der(6, b"\x2a\x86\x48"), der(0x30, der(4, b"s" * 8), der(2, b"\x08\x00"))), der(4, b"z" * 64))
+SHORT_EC = der(0x30, der(2, b"\x01"), der(4, b"e" * 32))
+FULL_OPENSSH = OPENSSH[:-40] + b"".join(len(x).to_bytes(4, "big") + x for x in (b"p" * 51, b"k" * 160))
+
+
+def key_spans(text):
+    return [s for s in secrets.scan(np.frombuffer(text.encode(), np.uint8))[0] if s[0] == "key"]
+
+
+@pytest.mark.parametrize("data", [rsa_key(), PKCS8, PUBLIC, DSA, SEALED, FULL_OPENSSH])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n"])
+def test_keys_over_real_and_escaped_lines(data, end):
+    assert secrets.is_key(data) and not secrets.is_key(data[1:])
+    encoded = base64.b64encode(data).decode()
+    for width in (64, 76, 40):
+        body = end.join(re.findall(f".{{1,{width}}}", encoded))
+        pem = f"-----BEGIN PRIVATE KEY-----{end}{body}{end}-----END PRIVATE KEY-----{end}"
+        text = '{"é": "' + pem + '", "x": 1}'
+        assert key_spans(text) == [("key", 7, 7 + len(pem) - len(end))]
+        text = f"words{end}here:{end}{body}{end}more words"
+        at = text.index(body)
+        assert key_spans(text) == [("key", at, at + len(body))]
+        wrapped = end.join(re.findall(f".{{1,{width}}}", data.hex().upper()))
+        assert key_spans(f"x {wrapped}{end}y") == [("key", 2, 2 + len(wrapped))]
+
+
+def test_short_keys_in_hex_and_what_is_no_key():
+    ed25519 = der(0x30, der(0x30, der(6, b"\x2b\x65\x70")), der(3, b"\x00" + b"k" * 32))
+    assert (len(ed25519), len(SHORT_EC)) == (44, 39)
+    for data in (ed25519, SHORT_EC):
+        assert key_spans(f"a {data.hex().upper()} b") == [("key", 2, 2 + 2 * len(data))]
+        assert key_spans(f"a {base64.b64encode(data).decode()} b") == [("key", 2, 2 + len(base64.b64encode(data)))]
+    digest = der(0x30, der(0x30, der(6, b"\x60\x86\x48"), der(5)), der(4, b"d" * 32))
+    assert not secrets.is_key(digest) and not secrets.is_key(DSA[:-1])
+    assert key_spans("MIIEabcdefghijklmnop\n" * 5_000) == [] and key_spans("-----BEGIN X-----" + " " * 40_000) == []
+    escaped = base64.b64encode(PKCS8[:-3] + b"\xff\xff\xff").decode().replace("/", "\\/")
+    assert "\\/" in escaped and len(key_spans(f"-----BEGIN PRIVATE KEY-----\\n{escaped}\\n-----END PRIVATE KEY-----")) == 1
+
+
 def test_tokens_need_a_header_and_encodings_need_a_key():
     text = f"auth {jwt()} no {jwt({'typ': 'x'})} " + base64.b64encode(b"just some long text, nothing secret at all here" * 2).decode()
     assert secrets.scan(np.frombuffer(text.encode(), np.uint8))[0] == [("jwt", 5, 5 + len(jwt()))]
