@@ -8,6 +8,10 @@ domain again), and written back in the same format: lengths, separators,
 letter classes, check digits and the calendar hold.  The permutation depends on
 key and kind only, so equal values get equal pseudonyms in every document and
 different ones stay different; ``Feistel.back`` undoes it for who holds the key.
+
+A slash date is read as day/month, and as month/day if that is no date; days up
+to the 12th and days after it are permuted apart, so that a pseudonym is read in
+the same order.  A phone without separators needs a ``+`` (8 to 15 digits).
 """
 
 from __future__ import annotations
@@ -37,9 +41,11 @@ _NUMBER = re.compile(
     r"|(?P<ip>(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))"
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     r"|(?P<card>(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9]))"
-    r"|(?P<phone>(?:\+[0-9]{1,3}[ .-]?|(?<![0-9+])(?<![0-9][ .-]))(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{4}(?![0-9]|-[0-9]))",
+    r"|(?P<phone>(?<![0-9A-Za-z+])\+[1-9][0-9]{7,14}(?![0-9]|-[0-9])|(?:\+[0-9]{1,3}[ .-]?|(?<![0-9+])(?<![0-9][ .-]))(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{4}(?![0-9]|-[0-9]))",
     re.ASCII,
 )
+#: Country codes of one and two digits; all others have three.
+_CODE = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})", re.ASCII)
 _IS_MARK = np.zeros(256, bool)
 _IS_MARK[list(b"0123456789@")] = True
 
@@ -117,7 +123,7 @@ def _card(key: bytes, text: str) -> str | None:
 
 
 def _phone(key: bytes, text: str) -> str | None:
-    at = re.match(r"\+[0-9]{1,3}", text)
+    at = _CODE.match(text) if text[1:].isdigit() else re.match(r"\+[0-9]{1,3}", text)
     code, own = (at[0], text[at.end() :]) if at else ("", text)  # the country code stays
     return code + _refill(own, _permuted(key, "phone", _digits(own)))
 
@@ -142,14 +148,20 @@ def _ip(key: bytes, text: str) -> str | None:
 
 def _date(key: bytes, text: str) -> str | None:
     form = "%Y-%m-%d" if text[4] == "-" else "%d/%m/%Y" if text[2] == "/" else "%d.%m.%Y"
+    if text[2] == "/" and int(text[:2]) <= 12 < int(text[3:5]):
+        form = "%m/%d/%Y"
     try:
-        day = datetime.datetime.strptime(text, form).date().toordinal()
+        date = datetime.datetime.strptime(text, form).date()
     except ValueError:
         return None
-    if not _FIRST_DAY <= day <= _LAST_DAY:
+    if not _FIRST_DAY <= date.toordinal() <= _LAST_DAY:
         return None
-    day = _permutation(key, "date", _LAST_DAY - _FIRST_DAY + 1)(day - _FIRST_DAY) + _FIRST_DAY
-    return datetime.date.fromordinal(day).strftime(form)
+    late = date.day > 12
+    while True:  # the walk goes on until the image is as late in its month, so that its order can be told as well
+        day = _permutation(key, "date", _LAST_DAY - _FIRST_DAY + 1)(date.toordinal() - _FIRST_DAY)
+        date = datetime.date.fromordinal(day + _FIRST_DAY)
+        if (date.day > 12) == late:
+            return date.strftime(form)
 
 
 def _email(key: bytes, text: str) -> str | None:

@@ -164,6 +164,21 @@ def test_several_addresses_in_a_text():
         assert [s[1:] for s in pii.pseudonyms(text)[1]] == [m.span() for m in pii._EMAIL.finditer(text)]
 
 
+def test_month_first_dates_and_phones_without_separators():
+    new, spans = pii.pseudonyms("on 12/25/2020, 25/12/2020 and 2020-12-25, not 13/25/2020 or 02/30/2020")
+    assert [s[0] for s in spans] == ["date"] * 3
+    first, second, third = re.findall(r"[0-9/-]{10}", new)[:3]
+    day = datetime.datetime.strptime(first, "%m/%d/%Y")
+    assert day.day > 12 and day == datetime.datetime.strptime(second, "%d/%m/%Y") == datetime.datetime.fromisoformat(third) != datetime.datetime(2020, 12, 25)
+    days = [datetime.date(2020, 1, 1) + datetime.timedelta(k) for k in range(366)]
+    slashed = {d.strftime("%d/%m/%Y") for d in days} | {d.strftime("%m/%d/%Y") for d in days if d.day > 12}
+    assert len({pii.pseudonyms(t)[0] for t in slashed}) == len(slashed)
+    new, spans = pii.pseudonyms("call +15551234567 or +1 555 123 4567, +442079460958; 3+15551234567 +1234567")
+    assert [s[0] for s in spans] == ["phone"] * 3
+    one, two, three = re.fullmatch(r"call \+1(\d{10}) or \+1 (\d{3} \d{3} \d{4}), \+44(\d{10}); 3\+15551234567 \+1234567", new).groups()
+    assert one == two.replace(" ", "") != "5551234567" and three != "2079460958"
+
+
 # ---- shards ---------------------------------------------------------------------------
 
 def test_matrix_has_exact_sums_and_the_right_means():
