@@ -8,7 +8,7 @@ base rules did not reject it.
 
 The field is trained here, on a bounded sample of labelled documents (the
 ``TRAIN_DOCS`` of each class with the smallest hash of their id, and of these
-the first ``TRAIN_LINES`` lines); a line inherits its document's label.  As that
+a run of ``TRAIN_LINES`` lines from anywhere in the text); a line inherits its document's label.  As that
 alone would never show a change of label, as many sequences are added in which
 a good document has the lines of a bad one inside.  Scoring covers every line of
 every document.  Without labels of both classes the
@@ -180,20 +180,33 @@ class Crf:
         return path[::-1]
 
 
+def _run(features: np.ndarray, hashed: int) -> np.ndarray:
+    """TRAIN_LINES lines in a row, or all of a shorter text."""
+    n = len(features)
+    at = hashed % (n + TRAIN_LINES - 1) - (TRAIN_LINES - 1)
+    at = max(0, min(at, n - TRAIN_LINES))
+    return features[at : at + TRAIN_LINES]
+
+
 @tidy
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label_id, quality, text) to (label_id, quality, features of the first TRAIN_LINES lines as bits)."""
+    """(label_id, quality, text) to (label_id, quality, features of a run of TRAIN_LINES lines as bits).
+
+    Where the run lies is up to a hash of the id; the head and the foot of a text are reached like its middle.
+    """
     lines = Lines()
     bit = 1 << np.arange(N_FEATURES)
     for batch in batches:
-        rows = [(lines(text)[1][:TRAIN_LINES] @ bit).tolist() for text in texts_of(batch.column(2))]
+        hashed = mix64(batch.column(0).to_numpy().view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)).tolist()
+        rows = [(_run(lines(text)[1], h) @ bit).tolist() for h, text in zip(hashed, texts_of(batch.column(2)), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["label_id", "quality", "bits"])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Crf:
     """Fit on at most 2 x TRAIN_DOCS documents; labels: (doc_id, quality 0/1), others ignored.
 
-    Of rows that repeat an id, one is taken (the smallest by its features), so the sample stays bounded.
+    A document gives a run of at most TRAIN_LINES lines from anywhere in it.  Of rows that repeat an id,
+    one is taken (the smallest by its features), so the sample stays bounded.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality")).where("label_id is not null")
     of = [known.where(F.col("quality") == k).orderBy(F.xxhash64("label_id"), "label_id").limit(TRAIN_DOCS) for k in (0, 1)]

@@ -9,6 +9,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from paymart.llm import line_crf, secrets
@@ -87,6 +88,20 @@ def test_keep_quality_returns_rows_as_they_came(spark, labelled):
     assert kept.columns == ["doc_id", "text", "kept"] and {r.doc_id for r in kept.collect()} == want
 
 
+def test_training_reads_lines_from_anywhere():
+    text = "\n".join([f"plain line {k} of words." for k in range(300)] + ["### $$$ &&& %%%"] * 100)
+    ids = list(range(200))
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([1] * 200, pa.int32()), pa.array([text] * 200)], names=["label_id", "quality", "text"])
+    rows = next(line_crf._observed(iter([batch]))).column(2).to_pylist()
+    whole = (line_crf.Lines()(np.frombuffer(text.encode(), np.uint8))[1] @ (1 << np.arange(line_crf.N_FEATURES))).tolist()
+    assert all(len(r) == line_crf.TRAIN_LINES for r in rows)
+    assert whole[: line_crf.TRAIN_LINES] in rows and whole[-line_crf.TRAIN_LINES :] in rows
+    foot = sum(whole[-1] in r for r in rows)
+    assert 30 < foot < 120
+    short = batch.slice(0, 1).set_column(2, "text", pa.array(["one\ntwo"]))
+    assert [len(r) for r in next(line_crf._observed(iter([short]))).column(2).to_pylist()] == [2]
+
+
 def test_viterbi_finds_the_best_path():
     r = np.random.default_rng(2)
     for _ in range(50):
