@@ -2,6 +2,7 @@
 
 import datetime
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -193,6 +194,19 @@ def test_matrix_has_exact_sums_and_the_right_means():
     assert (huge.sum(axis=1) == [3 * 10**9, 10**9]).all() and (huge.sum(axis=0) == 2 * 10**9).all()
 
 
+def test_counts_follow_the_hypergeometric_law_at_any_size():
+    random = np.random.default_rng(5)
+    few = [int(shards._draw(random, np.array([10**7, 2 * 10**9 - 10**7]), 100)[0]) for _ in range(4000)]
+    for k in range(3):  # 100 draws at a share of 1 in 200
+        assert abs(few.count(k) / 4000 - math.comb(100, k) * 0.005**k * 0.995 ** (100 - k)) < 0.035
+    small = [int(shards._draw(random, np.array([7, 5]), 6)[0]) for _ in range(4000)]
+    for k in range(1, 7):
+        assert abs(small.count(k) / 4000 - math.comb(7, k) * math.comb(5, 6 - k) / math.comb(12, 6)) < 0.035
+    large = np.array([shards._draw(random, np.array([10**12] * 2), 10**10)[0] for _ in range(300)], float)
+    spread = np.sqrt(10**10 / 4 * (1 - 10**10 / (2 * 10**12)))
+    assert abs(large.mean() - 5e9) < 5 * spread / np.sqrt(300) and 0.8 < large.std() / spread < 1.2
+
+
 def test_every_row_lands_once_in_a_shard_of_exact_size(spark):
     rows = [(i if i % 5 else None, f"t{i % 7}", "clash") for i in range(1003)] + [(1, "same", "clash")] * 500
     table = spark.createDataFrame(rows, "doc_id long, text string, shard string")
