@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import hashlib
 import os
 import tempfile
 import zipfile
@@ -129,24 +130,30 @@ def word_bounds(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordHashes:
-    """64-bit hashes of all words of a text at once: differences of a prefix sum of byte times power."""
+    """64-bit hashes of all words of a text at once.
 
-    BASE = 0x9E3779B97F4A7C15 | 1
-
-    def __init__(self) -> None:
-        self._grow(1 << 12)
+    A word is read eight bytes at a time and every step is a bijection of the running value, so words of
+    eight bytes at most never collide with one another, and no pattern of bytes cancels out.  Words of
+    more than ``LONG`` bytes are hashed by blake2b.
+    """
 
-    def _grow(self, n: int) -> None:
-        inverse = pow(self.BASE, -1, 1 << 64)
-        one = np.ones(1, np.uint64)
-        self.power = np.cumprod(np.concatenate((one, np.full(n, self.BASE, np.uint64))), dtype=np.uint64)
-        self.inverse = np.cumprod(np.concatenate((one, np.full(n, inverse, np.uint64))), dtype=np.uint64)
+    LONG = 64
+    _STEP = np.uint64(0xD6E8FEB86659FD93)
+    _LOW = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
     def __call__(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        n = len(text)
-        if n >= len(self.power):
-            self._grow(2 * n)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * self.power[:n], out=total[1:])
-        value = (total[ends] - total[starts]) * self.inverse[starts]
-        return mix64(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        padded = np.zeros(len(text) + 8, np.uint8)
+        padded[: len(text)] = text
+        eight = np.ndarray((len(text) + 1,), np.dtype("<u8"), padded.data, strides=(1,))
+        size = ends - starts
+        value = mix64(eight[starts] & self._LOW[np.minimum(size, 8)]) + size.astype(np.uint64) * self._STEP
+        rest, at = np.flatnonzero((size > 8) & (size <= self.LONG)), 8
+        while len(rest):
+            here = eight[starts[rest] + at] & self._LOW[np.minimum(size[rest] - at, 8)]
+            value[rest] = mix64((value[rest] ^ here) * self._STEP)
+            at += 8
+            rest = rest[size[rest] > at]
+        for k in np.flatnonzero(size > self.LONG).tolist():
+            word = hashlib.blake2b(text[starts[k] : ends[k]].tobytes(), digest_size=8)
+            value[k] = int.from_bytes(word.digest(), "little")
+        return mix64(value)
