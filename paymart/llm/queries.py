@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paymart.llm import caps, chat, lattice, line_crf, minhash, packing, pii, rans, secrets, shards
+from paymart.llm import caps, chat, lattice, line_crf, merkle, minhash, packing, pii, rans, repeats, secrets, shards, spelling
 from paymart.llm.common import table
 
 
@@ -61,6 +61,18 @@ def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+def op12_spelling_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.corpus_words(table(spark, sf_dir, "documents")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_line_quality": op2_line_quality,
@@ -72,4 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_uniform_shards": op8_uniform_shards,
     "op9_gumbel_segmentations": op9_gumbel_segmentations,
     "op10_hierarchical_packing": op10_hierarchical_packing,
+    "op11_level_doubling": op11_level_doubling,
+    "op12_spelling_tiles": op12_spelling_tiles,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
