@@ -12,8 +12,9 @@ window repeats only if its anchor gram does; an anchor serves 9 windows on
 average.  An anchor occurrence is one row
 
     h0, h1   hashes of the 9 and 18 words from the anchor on (inside each of its windows)
-    span     hash of all words of its windows, and ``low``..``high``, their offsets
-    d, th, p the document (id and hash of id and text) and the anchor's word
+    span     hash of all words of its windows and of their offsets
+    d, th    the document: id, and hash of id and text
+    place    the anchor's word, and smallest and largest offset of its windows, in one long
 
 and passes the levels as that one row.  At full length equal (h0, span) are one
 class, whose windows are the same.  Windows of a class with several occurrences
@@ -32,14 +33,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import IS_WORD, WordHashes, mix64, staged, texts_of, tidy, word_bounds
+from paymart.llm.common import IS_WORD, WordHashes, mix64, staged, tidy
 
 WINDOW = 35
 LEVELS = 2
 BUCKETS = 64
+TOGETHER = 1 << 18  # bytes of texts that are worked on at once (a longer text is taken alone)
 _LEFT, _RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -79,59 +82,82 @@ def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
-class _Text:
-    """Word bounds and window hashes of texts."""
+class _Texts:
+    """Texts that lie one after the other in a column's buffer, taken together: words, bounds and window hashes.
 
-    def __init__(self, window: int, levels: int) -> None:
-        self.sizes, self.words = lengths(window, levels), WordHashes()
-        self.reach = window - self.sizes[-2] + 1
-
-    def windows(self, text: np.ndarray | None) -> list[np.ndarray] | None:
-        if text is None:
-            return None
-        starts, ends = word_bounds(text)
-        if len(starts) < self.sizes[-1]:
-            return None
-        return window_hashes(self.words(text, starts, ends), self.sizes)
+    ``at``: byte offsets of the texts, ``low``: number of the first word of each (and of the end).
+    """
 
-    def anchors(self, text: np.ndarray | None) -> tuple[np.ndarray, ...] | None:
-        """(place, smallest offset, largest offset, span, level hashes...) of the anchors."""
-        found = self.windows(text)
-        if found is None:
-            return None
-        *short, full = found
-        at = leftmost_minima(short[0][: len(full) + self.reach - 1], self.reach)
-        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        last = np.append(first[1:], len(at)) - 1
-        place = at[first]
+    def __init__(self, data: np.ndarray, at: np.ndarray) -> None:
+        self.data, self.at = data, at
+        self.is_word = IS_WORD[data]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[at] = True
+        rest = ~self.is_word
+        self.starts = np.flatnonzero(self.is_word & (cut[:-1] | np.concatenate(([True], rest[:-1])))) if len(data) else np.empty(0, np.int64)
+        self.ends = np.flatnonzero(self.is_word & (cut[1:] | np.concatenate((rest[1:], [True])))) + 1 if len(data) else np.empty(0, np.int64)
+        self.low = np.searchsorted(self.starts, at)
+        self.of = np.repeat(np.arange(len(at) - 1), np.diff(self.low))  # word -> its text
+
+    def windows(self, hashes: WordHashes, sizes: list[int]) -> list[np.ndarray]:
+        return window_hashes(hashes(self.data, self.starts, self.ends), sizes)
+
+    def anchors(self, hashes: WordHashes, sizes: list[int]) -> tuple[np.ndarray, ...]:
+        """(text, place, smallest offset, largest offset, span, level hashes...) of the anchors."""
+        window = sizes[-1]
+        at = np.flatnonzero(np.arange(window, len(self.of) + window) <= self.low[1:][self.of])  # windows that lie in one text
+        if not len(at):
+            return tuple(np.empty(0, np.int64) for _ in range(4 + len(sizes)))
+        *short, full = self.windows(hashes, sizes)
+        place = leftmost_minima(short[0], window - sizes[-2] + 1)[at]
+        first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+        last = np.append(first[1:], len(place)) - 1
+        place, first, last = place[first], at[first], at[last]
         low, high = place - last, place - first
         span = _joined(_joined(full[first], full[last]), (low * 64 + high).astype(np.uint64))
-        return (place, low, high, span, *(h[place] for h in short))
+        of = self.of[place]
+        return (of, place - self.low[of], low, high, span, *(h[place] for h in short))
+
+
+def _taken(column: pa.Array) -> Iterator[tuple[int, int, _Texts]]:
+    """(first row, row after the last, texts) of a column, some texts at a time; a null is an empty text."""
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    _, offsets, data = column.buffers()
+    n = len(column)
+    if not n:
+        return
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    low = 0
+    while low < n:
+        high = max(low + 1, int(np.searchsorted(at, at[low] + TOGETHER, side="right")) - 1)
+        yield low, high, _Texts(data[at[low] : at[high]], at[low : high + 1] - at[low])
+        low = high
 
 
 def _anchors(window: int, levels: int):
-    names = ["d", "th", "p", "low", "high", "span", *(f"h{k}" for k in range(levels))]
+    names = ["d", "th", "place", "span", *(f"h{k}" for k in range(levels))]
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = _Text(window, levels)
+        hashes, sizes = WordHashes(), lengths(window, levels)
         for batch in batches:
-            found, of = [], []
-            for k, text in enumerate(texts_of(batch.column(2))):
-                anchors = texts.anchors(text)
-                if anchors is not None:
-                    found.append(anchors)
-                    of.append(np.full(len(anchors[0]), k))
-            if not found:
-                continue
-            of = pa.array(np.concatenate(of))
-            place, low, high, *hashes = (np.concatenate(c) for c in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(of), batch.column(1).take(of), *(pa.array(c.astype(np.int32)) for c in (place, low, high)),
-                 *(pa.array(c.view(np.int64)) for c in hashes)], names=names,
-            )
-
-    return run, "d long, th long, p int, low int, high int, span long" + "".join(f", h{k} long" for k in range(levels))
+            for low, _, texts in _taken(batch.column(2)):
+                of, place, least, most, *found = texts.anchors(hashes, sizes)
+                if len(of):
+                    row = pa.array(of + low)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(row), batch.column(1).take(row), pa.array(place << 12 | least << 6 | most),
+                         *(pa.array(h.view(np.int64)) for h in found)], names=names,
+                    )
+
+    return run, "d long, th long, place long, span long" + "".join(f", h{k} long" for k in range(levels))
+
+
+def _lists(column: pa.Array, low: int, high: int) -> tuple[np.ndarray, pa.StructArray]:
+    """Which of the rows low..high - 1 each element of their lists belongs to (from 0), and the elements."""
+    rows = column.slice(low, high - low)
+    return np.repeat(np.arange(high - low), pc.fill_null(pc.list_value_length(rows), 0).to_numpy()), rows.flatten()
 
 
 def _listed(window: int, levels: int):
@@ -139,15 +165,16 @@ def _listed(window: int, levels: int):
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = _Text(window, levels)
+        hashes, sizes = WordHashes(), lengths(window, levels)
         for batch in batches:
-            for text, asked in zip(texts_of(batch.column(0)), batch.column(1), strict=True):
-                rows = asked.values
-                place, low, high, h0, span, n = (rows.field(c).to_numpy() for c in ("p", "low", "high", "h0", "span", "n"))
-                many = high - low + 1
+            for low, high, texts in _taken(batch.column(0)):
+                of, asked = _lists(batch.column(1), low, high)
+                place, h0, span, n = (asked.field(c).to_numpy() for c in ("place", "h0", "span", "n"))
+                least, most = place >> 6 & 63, place & 63
+                many = most - least + 1
                 row = np.repeat(np.arange(len(place)), many)
-                offset = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + low[row]
-                full = texts.windows(text)[-1][place[row] - offset]
+                offset = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + least[row]
+                full = texts.windows(hashes, sizes)[-1][texts.low[of[row]] + (place[row] >> 12) - offset]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h0[row]), pa.array(span[row]), pa.array(n[row]), pa.array(offset.astype(np.int32)), pa.array(full.view(np.int64))],
                     names=["h0", "span", "n", "o", "w"],
@@ -156,43 +183,47 @@ def _listed(window: int, levels: int):
     return run, "h0 long, span long, n long, o int, w long"
 
 
-def _cut(text: np.ndarray | None, starts: np.ndarray, window: int) -> tuple[int, list[tuple[int, int]], bytes]:
-    """Words, word spans that the windows cover, and the other words joined by one space."""
-    if text is None:
-        return 0, [], b""
-    begin, end = word_bounds(text)
-    edge = np.zeros(len(begin) + 1, np.int32)
+def _cut(texts: _Texts, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and next word of each run of words that the windows cover (within one text), and the bytes and offsets of the rest."""
+    n = len(texts.starts)
+    edge = np.zeros(n + 1, np.int32)
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + window, -1)
     gone = np.cumsum(edge)[:-1] > 0
-    turn = np.diff(np.concatenate(([False], gone, [False])).astype(np.int8))
-    spans = list(zip(np.flatnonzero(turn == 1).tolist(), np.flatnonzero(turn == -1).tolist(), strict=True))
-    keep = IS_WORD[text]
-    for a, b in spans:
-        keep[begin[a] : end[b - 1]] = False
-    out, space = text.copy(), end[~gone][:-1]  # the byte after a word that is followed by another one
-    out[space], keep[space] = 0x20, True
-    return len(begin), spans, out[keep].tobytes()
-
-
-def _rest(window: int):
+    new = np.concatenate(([True], texts.of[1:] != texts.of[:-1])) if n else np.empty(0, bool)
+    begin = np.flatnonzero(gone & (new | np.concatenate(([True], ~gone[:-1])))) if n else np.empty(0, np.int64)
+    after = np.flatnonzero(gone & np.concatenate((new[1:] | ~gone[1:], [True]))) + 1 if n else np.empty(0, np.int64)
+    keep = texts.is_word.astype(np.int8)
+    sign = np.zeros(len(keep) + 1, np.int8)  # +1 from the first byte of a run that goes to the end of its last word
+    sign[texts.starts[begin]] += 1
+    np.subtract.at(sign, texts.ends[after - 1], 1)
+    keep = (keep > 0) & (np.cumsum(sign, dtype=np.int8)[:-1] == 0)
+    out = texts.data.copy()
+    stays = np.flatnonzero(~gone)
+    followed = stays[:-1][texts.of[stays[:-1]] == texts.of[stays[1:]]]  # the byte after such a word is of its text
+    out[texts.ends[followed]], keep[texts.ends[followed]] = 0x20, True
+    total = np.concatenate(([0], np.cumsum(keep)))
+    return begin, after, out[keep], total[texts.at]
+
+
+def _rest(window: int, reach: int):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.arange(reach)
         for batch in batches:
-            words, spans, kept = [], [], []
-            for text, found in zip(texts_of(batch.column(1)), batch.column(2), strict=True):
-                starts = np.empty(0, np.int64)
-                if found.is_valid and len(found.values):
-                    place, mask = (found.values.field(c).to_numpy() for c in ("p", "mask"))
-                    starts = np.concatenate([place[mask >> o & 1 == 1] - o for o in range(63)])
-                n, cut, text = _cut(text, starts, window)
-                words.append(n)
-                spans.append([{"start": a, "end": b} for a, b in cut])
-                kept.append(text)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "spans", "kept"],
-            )
+            for low, high, texts in _taken(batch.column(1)):
+                of, found = _lists(batch.column(2), low, high)
+                row, offset = np.nonzero(found.field("mask").to_numpy()[:, None] >> bits & 1)
+                place = found.field("place").to_numpy() >> 12
+                begin, after, kept, ends = _cut(texts, texts.low[of[row]] + place[row] - offset, window)
+                text = texts.of[begin]
+                spans = pa.StructArray.from_arrays([pa.array(begin - texts.low[text]), pa.array(after - texts.low[text])], names=["start", "end"])
+                many = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=high - low))))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(low, high - low), pa.array(np.diff(texts.low)), pa.ListArray.from_arrays(pa.array(many.astype(np.int32)), spans),
+                     pa.StringArray.from_buffers(high - low, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(kept))],
+                    names=["doc_id", "n_words", "spans", "kept"],
+                )
 
     return run, "doc_id long, n_words long, spans array<struct<start: long, end: long>>, kept string"
 
@@ -217,17 +248,17 @@ def _repeated(rows: DataFrame, key: str) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS) -> DataFrame | None:
-    """(d, th, p, mask) of ``docs`` (d, th, text): the window at word p - o repeats where mask has bit o; None if no window can."""
+    """(d, th, place, mask) of ``docs`` (d, th, text): the window o words before the anchor repeats where mask has bit o; None if no window can."""
     run, schema = _anchors(window, levels)
-    rows = docs.mapInArrow(run, schema).withColumn("bucket", _bucket("d", "th", "p"))
+    rows = docs.mapInArrow(run, schema).withColumn("bucket", _bucket("d", "th", "place"))
     for level in range(levels):
         rows = staged(_repeated(rows, f"h{level}"), f"repeats-level{level}")
         if rows.isEmpty():
             return None
     sub = _bucket("span")
-    occurrence = F.struct("d", "th", "p", "bucket")
+    occurrence = F.struct("d", "th", "place")
     classes = staged(
-        rows.groupBy("h0", "span", "low", "high").agg(F.count("*").alias("n"), F.min(occurrence).alias("one"), _bits(F.col("bucket"))),
+        rows.groupBy("h0", "span").agg(F.count("*").alias("n"), F.min(occurrence).alias("one"), _bits(F.col("bucket"))),
         "repeats-classes",
     )
     beside = (
@@ -236,7 +267,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS
     )
     asked = (
         classes.withColumn("sub", sub).join(beside, ["h0", "sub"], "left_semi")
-        .groupBy("one.d", "one.th").agg(F.collect_list(F.struct("one.p", "low", "high", "h0", "span", "n")).alias("asked"))
+        .groupBy("one.d", "one.th").agg(F.collect_list(F.struct("one.place", "h0", "span", "n")).alias("asked"))
     )
     run, schema = _listed(window, levels)
     listed = staged(docs.join(asked, ["d", "th"]).select("text", "asked").mapInArrow(run, schema), "repeats-windows").withColumn("sub", sub)
@@ -245,11 +276,11 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS
         listed.where("n = 1").join(several.select("h0", "o", "w", _each("bits").alias("sub")), ["h0", "o", "w", "sub"], "left_semi")
         .groupBy("h0", "span").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("mask"))
     )
-    every = F.expr("shiftleft(1L, high + 1) - shiftleft(1L, low)")
+    every = F.expr("shiftleft(1L, cast(one.place & 63 as int) + 1) - shiftleft(1L, cast(shiftright(one.place, 6) & 63 as int))")
     decided = classes.where("n > 1").select("h0", "span", every.alias("mask"), "bits").unionByName(
         classes.where("n = 1").select("h0", "span", "bits").join(some, ["h0", "span"]).select("h0", "span", "mask", "bits")
     )
-    return rows.join(decided.select("h0", "span", "mask", _each("bits").alias("bucket")), ["h0", "span", "bucket"]).select("d", "th", "p", "mask")
+    return rows.join(decided.select("h0", "span", "mask", _each("bits").alias("bucket")), ["h0", "span", "bucket"]).select("d", "th", "place", "mask")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,12 +298,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS,
         F.coalesce(id_, F.lit(0)).alias("d"), F.xxhash64(id_, F.col(text_col)).alias("th"),
     )
     found = repeated_windows(own.select("d", "th", "text"), window, levels)
-    run, schema = _rest(window)
-    none = F.lit(None).cast("array<struct<p: int, mask: long>>")
+    run, schema = _rest(window, window - lengths(window, levels)[-2] + 1)
+    none = F.lit(None).cast("array<struct<place: long, mask: long>>")
     if found is None:
         return own.select("doc_id", "text", none.alias("found")).mapInArrow(run, schema)
     # a set, so that rows that repeat send each of their anchors once
-    places = found.groupBy("d", "th").agg(F.collect_set(F.struct("p", "mask")).alias("found"))
+    places = found.groupBy("d", "th").agg(F.collect_set(F.struct("place", "mask")).alias("found"))
     return own.join(places, ["d", "th"], "left").select("doc_id", "text", "found").mapInArrow(run, schema)
 
 
