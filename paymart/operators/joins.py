@@ -1,9 +1,10 @@
 """Dimension lookups and the point-in-time (as-of) join.
 
 Broadcast policy: a dimension is broadcast only after a measured check that it
-holds at most ``max_rows`` rows and that rows times row width stay below
-``MAX_BROADCAST_BYTES``.  The check is a plain distributed ``count()`` (nearly
-metadata-only on a stored parquet table).  Above the bound the join is a
+holds at most ``max_rows`` rows and that its rows, fixed-width columns and the
+bytes of its text, stay below ``MAX_BROADCAST_BYTES``.  The check is one
+distributed aggregate; a caller that recorded rows and longest text when it wrote
+the table passes them to ``known_to_fit`` instead.  Above the bound the join is a
 shuffle join; the result is the same.
 
 Skew policy of the shuffle joins (``spread_join``): a merchant or customer may
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 from paymart.sources.storage import new_table_path, read_table, write_table
 
@@ -32,19 +33,21 @@ DEFAULT_SALT_BUCKETS = 64
 DEFAULT_MAX_HOT_KEYS = 1_000_000
 
 
-def _width(kind: DataType) -> int:
-    """Bytes of a value in a broadcast table: generous for text, exact for fixed-width types."""
-    return 64 if isinstance(kind, StringType) else 16
-
-
 def row_width(schema: StructType) -> int:
-    return 16 + sum(_width(f.dataType) for f in schema.fields)
+    """Bytes of a row in a broadcast table without the bytes of its text."""
+    return 16 + 16 * len(schema.fields)
 
 
 def fits(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes (one distributed count)."""
-    most = min(max_rows, max_bytes // row_width(df.schema))
-    return most > 0 and df.count() <= most
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes, its text measured (one distributed aggregate)."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(text, F.lit(0)).cast("bigint")), F.lit(0))).first()
+    return rows <= max_rows and rows * row_width(df.schema) + size <= max_bytes
+
+
+def known_to_fit(rows: int, longest: int, columns: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """``fits`` from recorded figures: rows, bytes of the longest text of a row, columns."""
+    return rows <= max_rows and rows * (16 + 16 * columns + longest) <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

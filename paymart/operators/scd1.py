@@ -40,10 +40,15 @@ def scd1_initial(
     columns: Sequence[str],
     as_of: str,
     null_safe: bool = False,
+    offset: int | None = None,
+    rows_known: int | None = None,
 ) -> DataFrame:
-    """First image: every source row, its hash, a dense key and the load stamp."""
+    """First image: every source row, its hash, a dense key and the load stamp.
+
+    ``offset``: the key to start after; ``rows_known``: a known bound on the source rows (see ``dense_keys``).
+    """
     h = with_record_hash(src, tracked, null_safe).withColumn("updated_at", F.lit(load_stamp(as_of)))
-    return dense_keys(h, natural_key, key_col).select(*columns)
+    return dense_keys(h, natural_key, key_col, offset, rows=rows_known).select(*columns)
 
 
 def scd1_merge(
@@ -56,12 +61,16 @@ def scd1_merge(
     as_of: str,
     stage: Stage | None = None,
     null_safe: bool = False,
+    offset: int | None = None,
+    rows_known: int | None = None,
 ) -> DataFrame:
     """Next image after upserting ``src`` into ``old`` (see module rules).
 
     One full outer join yields every row of the next image, inserts without a
     key.  They are read three times (kept rows, key counts, numbering);
     ``stage`` may materialise them once (write and re-read, or persist).
+    ``offset``: the key to start after, if the caller knows it (default: the
+    largest of ``old``); ``rows_known``: a known bound on the source rows.
     """
     value_cols = [c for c in columns if c != key_col]
     s = with_record_hash(src, tracked, null_safe).withColumn("updated_at", F.lit(load_stamp(as_of)))
@@ -77,5 +86,5 @@ def scd1_merge(
     if stage is not None:
         rows = stage(rows)
     inserts = rows.filter(F.col(key_col).isNull()).drop(key_col)
-    inserts = dense_keys(inserts, natural_key, key_col, offset=max_key(old, key_col)).select(*columns)
+    inserts = dense_keys(inserts, natural_key, key_col, offset=max_key(old, key_col) if offset is None else offset, rows=rows_known).select(*columns)
     return rows.filter(F.col(key_col).isNotNull()).select(*columns).unionByName(inserts)

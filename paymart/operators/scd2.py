@@ -54,15 +54,17 @@ def scd2_initial(
     as_of: str,
     initial_start: str = "created_date",
     null_safe: bool = False,
+    offset: int | None = None,
+    rows_known: int | None = None,
 ) -> DataFrame:
-    """First image: one open, current version per source row."""
+    """First image: one open, current version per source row (``offset``, ``rows_known``: see ``scd1_initial``)."""
     h = (
         with_record_hash(src, tracked, null_safe)
         .withColumn("effective_start", _first_start(initial_start, as_of))
         .withColumn("effective_end", F.lit(None).cast("date"))
         .withColumn("is_current", F.lit(1))
     )
-    return dense_keys(h, natural_key, key_col).select(*columns)
+    return dense_keys(h, natural_key, key_col, offset, rows=rows_known).select(*columns)
 
 
 def _joined(image: DataFrame, src: DataFrame, natural_key: str, tracked: Sequence[str], columns: Sequence[str], as_of: str, null_safe: bool = False):
@@ -157,7 +159,7 @@ def scd2_inserts(image, src, natural_key, key_col, tracked, columns, as_of, init
 
 def scd2_step(
     current: DataFrame, src: DataFrame, natural_key, key_col, tracked, columns, as_of, initial_start="created_date",
-    stage: Stage | None = None, null_safe: bool = False,
+    stage: Stage | None = None, null_safe: bool = False, offset: int | None = None, rows_known: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(next current versions, versions this load closes), from the current versions alone.
 
@@ -166,14 +168,15 @@ def scd2_step(
     current version (a closed one is followed by a newer one with a larger
     key), so numbering goes on without the history too.  The emitted rows feed
     four consumers; ``stage`` may materialise them once (write and re-read, or
-    persist).
+    persist).  ``offset``: the key to start after, if the caller knows it;
+    ``rows_known``: a known bound on the source rows.
     """
     rows = _emitted(current, src, natural_key, key_col, tracked, columns, as_of, initial_start, null_safe)
     if stage is not None:
         rows = stage(rows)
     kind = F.col("_kind")
     fresh = rows.filter(kind == "insert").drop(key_col, "_kind")
-    inserts = dense_keys(fresh, natural_key, key_col, offset=max_key(current, key_col)).select(*columns)
+    inserts = dense_keys(fresh, natural_key, key_col, offset=max_key(current, key_col) if offset is None else offset, rows=rows_known).select(*columns)
     stay = rows.filter(kind.isin("keep", "replaced")).select(*columns).unionByName(inserts)
     return stay, rows.filter(kind == "expired").select(*columns)
 

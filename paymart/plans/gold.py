@@ -15,7 +15,7 @@ no-op that still costs a join); membership in the calendar is reported by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paymart.functions.dates import date_key
@@ -51,12 +51,15 @@ DIMENSIONS = {
 }
 
 
-def load_type1(name: str, old: DataFrame | None, silver: DataFrame, as_of: str, stage=None, null_safe: bool = False) -> DataFrame:
-    """Initial load when there is no image yet, else an SCD1 merge (``stage``: see ``scd1_merge``)."""
+def load_type1(
+    name: str, old: DataFrame | None, silver: DataFrame, as_of: str, stage=None, null_safe: bool = False,
+    offset: int | None = None, rows_known: int | None = None,
+) -> DataFrame:
+    """Initial load when there is no image yet, else an SCD1 merge (``stage``, ``offset``, ``rows_known``: see ``scd1_merge``)."""
     nk, key, tracked, cols = DIMENSIONS[name]
     if old is None:
-        return scd1_initial(silver, nk, key, tracked, cols, as_of, null_safe)
-    return scd1_merge(old, silver, nk, key, tracked, cols, as_of, stage, null_safe)
+        return scd1_initial(silver, nk, key, tracked, cols, as_of, null_safe, offset, rows_known)
+    return scd1_merge(old, silver, nk, key, tracked, cols, as_of, stage, null_safe, offset, rows_known)
 
 
 def load_customers(
@@ -70,11 +73,15 @@ def load_customers(
 
 
 def step_customers(
-    current: DataFrame, silver: DataFrame, as_of: str, initial_start: str = "created_date", stage=None, null_safe: bool = False
+    current: DataFrame | None, silver: DataFrame, as_of: str, initial_start: str = "created_date", stage=None, null_safe: bool = False,
+    offset: int | None = None, rows_known: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(next current versions, versions closed by this load) of the customer dimension."""
+    """(next current versions, versions closed by this load) of the customer dimension; without an image, the first one."""
     nk, key, tracked, cols = DIMENSIONS["customer"]
-    return scd2_step(current, silver, nk, key, tracked, cols, as_of, initial_start, stage, null_safe)
+    if current is None:
+        first = scd2_initial(silver, nk, key, tracked, cols, as_of, initial_start, null_safe, offset, rows_known)
+        return first, first.limit(0)
+    return scd2_step(current, silver, nk, key, tracked, cols, as_of, initial_start, stage, null_safe, offset, rows_known)
 
 
 def with_date_key(txn: DataFrame) -> DataFrame:
@@ -108,15 +115,19 @@ def fact_transaction(
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+    small: dict[str, bool] | None = None,
 ) -> DataFrame:
-    """Hot merchants and customers are counted on ``txn`` itself, before any join, and only if a join has to shuffle."""
+    """Hot merchants and customers are counted on ``txn`` itself, before any join, and only if a join has to shuffle.
+
+    ``small``: by join key, whether the dimension may be broadcast, if the caller knows its size.
+    """
     merchants = dim_merchant.select("merchant_id", "merchant_key")
     payments = payment_lookup(dim_payment)
     customers = dim_customer.select("customer_id", "customer_key", "effective_start", "effective_end")
     steps = {}
     for dim, key in ((merchants, "merchant_id"), (payments, "method_code"), (customers, "customer_id")):
-        small = fits(dim, max_broadcast_rows)
-        steps[key] = {"small": small, "hot": None if small else hot_keys(txn, key, hot_key_rows, max_hot_keys), "salt_buckets": salt_buckets}
+        few = fits(dim, max_broadcast_rows) if small is None else small[key]
+        steps[key] = {"small": few, "hot": None if few else hot_keys(txn, key, hot_key_rows, max_hot_keys), "salt_buckets": salt_buckets}
     t = with_date_key(txn)
     t = lookup_join(t, merchants, "merchant_id", **steps["merchant_id"])
     t = lookup_join(t, payments, "method_code", **steps["method_code"])
@@ -124,6 +135,13 @@ def fact_transaction(
     return t.withColumn("created_at", F.lit(load_stamp(as_of))).select(*FACT_COLUMNS)
 
 
+def fact_metrics(in_calendar: Column) -> dict[str, Column]:
+    """The counts of ``fact_quality`` that need no shuffle; ``in_calendar``: whether the calendar has the fact's date."""
+    missing = {f"null_{k}": count_if(F.col(k).isNull()) for k in ("customer_key", "merchant_key", "payment_method_key", "date_key")}
+    outside = F.col("date_key").isNotNull() & ~F.coalesce(in_calendar, F.lit(False))
+    return {"total_rows": F.count(F.lit(1)).cast("bigint"), **missing, "date_key_not_in_calendar": count_if(outside)}
+
+
 def fact_quality(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """One-pass profile: NULL keys, calendar misses and the fact grain.
 
@@ -131,13 +149,5 @@ def fact_quality(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     size check.
     """
     cal = dim_date.select("date_key", F.lit(True).alias("_in_calendar"))
-    f = lookup_join(fact, cal, "date_key")
-    return f.agg(
-        F.count(F.lit(1)).cast("bigint").alias("total_rows"),
-        count_if(F.col("customer_key").isNull()).alias("null_customer_key"),
-        count_if(F.col("merchant_key").isNull()).alias("null_merchant_key"),
-        count_if(F.col("payment_method_key").isNull()).alias("null_payment_method_key"),
-        count_if(F.col("date_key").isNull()).alias("null_date_key"),
-        count_if(F.col("date_key").isNotNull() & F.col("_in_calendar").isNull()).alias("date_key_not_in_calendar"),
-        F.count_distinct("transaction_id").cast("bigint").alias("distinct_transactions"),
-    )
+    counts = [c.alias(n) for n, c in fact_metrics(F.col("_in_calendar")).items()]
+    return lookup_join(fact, cal, "date_key").agg(*counts, F.count_distinct("transaction_id").cast("bigint").alias("distinct_transactions"))

@@ -26,18 +26,24 @@ merchant and payment-method snapshot 1) and load day 1; land the day-2 feeds
 
 from __future__ import annotations
 
+import dataclasses
+import functools
 import json
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from paymart.operators.calendar import dim_date, dim_date_covering
+from paymart.operators.calendar import EARLIEST, LATEST, dim_date
+from paymart.operators.id_index import admitted, bucket_count, id_filters
+from paymart.operators.joins import checked_broadcast, known_to_fit
+from paymart.operators.keys import SMALL_ROWS
 from paymart.plans import gold, silver
 from paymart.sources import fixtures
 from paymart.sources.bronze import ingest_csv, read_bronze
@@ -45,11 +51,21 @@ from paymart.sources.csv import write_csv
 from paymart.sources.fixtures import DAY1, DAY2
 from paymart.sources.storage import new_table_path, read_table, write_table
 
-CATALOG = "seq long, name string, day string, path string, rows long, schema string"
+CATALOG = "seq long, name string, day string, path string, rows long, schema string, max_key long, longest long"
 
 # Tables kept by load day; all others are snapshots read at their latest day.
-BY_DAY = {"silver.transactions", "gold.fact_transaction", "gold.dim_customer_closed"}
+ID_FILTERS = "silver.transaction_id_filters"
+BY_DAY = {"silver.transactions", ID_FILTERS, "gold.fact_transaction", "gold.dim_customer_closed"}
 CUSTOMER_PARTS = ("gold.dim_customer_current", "gold.dim_customer_closed")
+BY_MONTH = {"silver.transactions", "gold.fact_transaction"}
+MONTHS = ["txn_year", "txn_month"]
+# Surrogate key and looked-up text of the dimensions; the catalog keeps the largest and the longest.
+KEYS = {
+    "gold.dim_customer_current": ("customer_key", "customer_id"),
+    "gold.dim_customer_closed": ("customer_key", "customer_id"),
+    "gold.dim_merchant": ("merchant_key", "merchant_id"),
+    "gold.dim_payment_method": ("payment_method_key", "method_code"),
+}
 
 
 class DataQualityError(ValueError):
@@ -64,6 +80,8 @@ class Image:
     path: str
     rows: int
     schema: str
+    max_key: int | None = None
+    longest: int | None = None
 
 
 @dataclass
@@ -92,7 +110,7 @@ class Lakehouse:
         seq = max((i.seq for i in self.images.values()), default=0)
         for n, image in enumerate(images, 1):
             image.seq = seq + n
-        rows = [(i.seq, i.name, i.day, i.path, i.rows, i.schema) for i in images]
+        rows = [dataclasses.astuple(i) for i in images]
         spark.createDataFrame(rows, CATALOG).coalesce(1).write.mode("append").parquet(f"{self.root}/_catalog")
         for image in images:
             self.images[image.name, image.day] = image
@@ -106,18 +124,26 @@ class Lakehouse:
             return None
         schema = StructType.fromJson(json.loads(found[-1].schema))
         reader = spark.read.schema(schema).option("basePath", f"{self.root}/{name.replace('.', '/')}")
-        return reader.parquet(*[i.path for i in found]).select(*schema.names)
+        return reader.parquet(*[p for i in found for p in i.path.split("\n")]).select(*schema.names)
+
+    def used(self, name: str, until: str | None = None, before: str | None = None) -> list[Image]:
+        """The images that make up a table as of a day."""
+        days = [d for d in self.days(name) if (until is None or d <= until) and (before is None or d < before)]
+        return [self.images[name, d] for d in (days if name in BY_DAY else days[-1:])]
+
+    def image_rows(self, name: str, until: str | None = None, before: str | None = None) -> int:
+        return sum(i.rows for i in self.used(name, until, before))
+
+    def largest_key(self, name: str, but: str | None = None) -> int:
+        """The largest surrogate key of all images, those of the day ``but`` aside."""
+        return max((i.max_key or 0 for (n, d), i in self.images.items() if n == name and d != but), default=0)
 
     def image(self, spark: SparkSession, name: str, until: str | None = None, before: str | None = None) -> DataFrame | None:
         """A table as of a day (``until``: that day included), or None if it has no image yet."""
-        days = [d for d in self.days(name) if (until is None or d <= until) and (before is None or d < before)]
         if name == "gold.dim_customer":
             current, closed = (self.image(spark, part, until, before) for part in CUSTOMER_PARTS)
             return current if closed is None or current is None else current.unionByName(closed)
-        return self._load(spark, name, days if name in BY_DAY else days[-1:])
-
-    def other_days(self, spark: SparkSession, name: str, day: str) -> DataFrame | None:
-        return self._load(spark, name, [d for d in self.days(name) if d != day])
+        return self._load(spark, name, [i.day for i in self.used(name, until, before)])
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         found = self.image(spark, name)
@@ -130,8 +156,7 @@ class Lakehouse:
         """Rows of each stored table: of its latest image, or of all days."""
         out: dict[str, int] = {}
         for name in {n for n, _ in self.images}:
-            days = self.days(name)
-            out[name] = sum(self.images[name, d].rows for d in (days if name in BY_DAY else days[-1:]))
+            out[name] = self.image_rows(name)
         return out
 
 
@@ -146,38 +171,298 @@ def land(spark: SparkSession, lake: Lakehouse, source: str, feed: DataFrame | Ca
     lake.seconds[f"bronze.{source}.{day}"] = time.perf_counter() - t
 
 
-class _Day:
-    """The tables one load writes; visible to later steps of the load at once, to others after ``commit``."""
+class _Load:
+    """One load of a day: the images it makes are visible to its later steps at once, to others after ``commit``.
 
-    def __init__(self, spark: SparkSession, lake: Lakehouse, day: str) -> None:
-        self.spark, self.lake, self.day = spark, lake, day
-        self.images: list[Image] = []
+    ``lake`` is the warehouse as it was, ``work`` with what this load made so far.
+    """
+
+    def __init__(self, spark: SparkSession, lake: Lakehouse, day: str, rebalance: bool) -> None:
+        self.spark, self.lake, self.day, self.rebalance = spark, lake, day, rebalance
+        self.work = Lakehouse(lake.root, dict(lake.images))
+        self.made: dict[tuple[str, str], Image] = {}
+        self.rekeyed: list[tuple[str, DataFrame]] = []  # (column of transactions, ids) whose facts of later days change
 
     def scratch(self, df: DataFrame) -> DataFrame:
         path = f"{self.lake.root}/_work/{self.day}-{uuid.uuid4().hex[:12]}"
         return read_table(self.spark, write_table(df, path), df.schema)
 
-    def save(self, name: str, build: Callable[[], DataFrame], partition_by: list[str] | None = None, rebalance: bool = True) -> DataFrame:
-        """Build and write one image; its rows are counted from the files' footers."""
-        t = time.perf_counter()
+    def save(
+        self, name: str, build: Callable[[], DataFrame], day: str | None = None, metrics: dict[str, Column] | None = None, kept: list[str] = ()
+    ) -> tuple[DataFrame, dict]:
+        """Build and write one image; returns it and what was counted while it was written (``rows`` and ``metrics``).
+
+        The counts are taken in the last stage, above the rebalance, where every row passes once.
+        ``kept``: month folders of an older image that stay part of this one.
+        """
+        t, day = time.perf_counter(), day or self.day
         df = build()
-        path = f"{self.lake.root}/{name.replace('.', '/')}/load_day={self.day}/image={uuid.uuid4().hex[:12]}"
-        write_table(df, path, partition_by=partition_by, rebalance=rebalance)
-        stored = read_table(self.spark, path, df.schema)
-        self.images.append(Image(0, name, self.day, path, stored.count(), df.schema.json()))
-        self.lake.seconds[f"{name}@{self.day}"] = time.perf_counter() - t
-        return stored
-
-    def profile(self, name: str, df: DataFrame, total: str, fail_above: dict[str, float]) -> None:
+        months = MONTHS if name in BY_MONTH else None
+        path = f"{self.lake.root}/{name.replace('.', '/')}/load_day={day}/image={uuid.uuid4().hex[:12]}"
+        key, text = KEYS.get(name, (None, None))
+        counted = {"rows": F.count(F.lit(1)), **(metrics or {})}
+        if key is not None:
+            counted |= {"max_key": F.max(key), "longest": F.max(F.octet_length(text))}
+        seen = Observation()
+        out = df.hint("rebalance", *months) if months and self.rebalance else df
+        write_table(out.observe(seen, *[c.alias(n) for n, c in counted.items()]), path, partition_by=months, rebalance=False)
+        found = {**dict.fromkeys(counted), **seen.get}
+        image = Image(0, name, day, "\n".join([path, *kept]), found["rows"] or 0, df.schema.json(), found.get("max_key"), found.get("longest"))
+        self.work.images[name, day] = self.made[name, day] = image
+        stored = self.work._load(self.spark, name, [day])
+        if kept:
+            image.rows = stored.count()
+        self.lake.seconds[f"{name}@{day}"] = time.perf_counter() - t
+        return stored, found | {"rows": image.rows}
+
+    def staging(self, *rows: int) -> Callable[[DataFrame], DataFrame] | None:
+        """Frames that several steps read are written first, unless they are small: then they are made again."""
+        return None if sum(rows) <= SMALL_ROWS else self.scratch
+
+    # ---- dimensions ----------------------------------------------------------
+    def customers(self, sources: set[str]) -> None:
+        s, day, bronze = self.spark, self.day, f"{self.lake.root}/bronze"
+
+        def clean() -> DataFrame:
+            out = silver.silver_customers(read_bronze(s, bronze, "customers", day), day)
+            if "customer_updates" in sources:
+                updates = read_bronze(s, bronze, "customer_updates", day).drop("load_timestamp", "source_file", "load_date")
+                out = silver.apply_customer_updates(out, updates, day)
+            return out
+
+        rows, seen = self.save("silver.customers", clean)
+        current, closed = CUSTOMER_PARTS
+        step = lambda old, src, on, many: gold.step_customers(
+            old, src, on, stage=self.staging(many, self.work.image_rows(current, before=on)),
+            offset=self.work.largest_key(current, day), rows_known=many,
+        )
+        stay, gone = step(self.work.image(s, current, before=day), rows, day, seen["rows"])
+        later = [d for d in self.lake.days(current) if d > day]
+        if not later:
+            self.save(current, lambda: stay)
+            self.save(closed, lambda: gone)
+            return
+        stay, gone = self.scratch(stay), self.scratch(gone)
+        prior, old_gone = self.lake.image(s, current, until=day), self.lake._load(s, closed, [d for d in self.lake.days(closed) if d == day])
+        ids = self.changed(prior, stay, "customer_id", "customer_key")
+        self.save(current, lambda: _spliced(prior, stay, ids, "customer_id"))
+        self.save(closed, lambda: _spliced(old_gone, gone, ids, "customer_id"))
+        for on in later:
+            src = self.work._load(s, "silver.customers", [on]).join(ids, "customer_id", "left_semi")
+            base = self.work.image(s, current, before=on).join(ids, "customer_id", "left_semi")
+            stay, gone = gold.step_customers(
+                base, src, on, stage=self.scratch, offset=self.work.largest_key(current), rows_known=self.lake.images["silver.customers", on].rows)
+            olds = [self.lake._load(s, part, [on]) for part in CUSTOMER_PARTS]
+            self.save(current, lambda: _spliced(olds[0], stay, ids, "customer_id"), on)  # noqa: B023
+            self.save(closed, lambda: _spliced(olds[1], gone, ids, "customer_id"), on)  # noqa: B023
+        self.rekeyed.append(("customer_id", ids))
+
+    def type1(self, source: str, name: str) -> None:
+        s, day, table = self.spark, self.day, f"gold.dim_{name}"
+        clean = silver.silver_merchants if source == "merchants" else silver.silver_payment_methods
+        rows, seen = self.save(f"silver.{source}", lambda: clean(read_bronze(s, f"{self.lake.root}/bronze", source, day), day))
+        natural, key, *_ = gold.DIMENSIONS[name]
+        before = self.work.image(s, table, before=day)
+        merged = gold.load_type1(
+            name, before, rows, day, stage=self.staging(seen["rows"], self.work.image_rows(table, before=day)),
+            offset=self.work.largest_key(table, day), rows_known=seen["rows"],
+        )
+        later = [d for d in self.lake.days(table) if d > day]
+        if not later:
+            self.save(table, lambda: merged)
+            return
+        # a row that a later day brought keeps the key it has there, so its facts stay as they are
+        latest, prior = self.lake.image(s, table), self.lake.image(s, table, until=day)
+        merged = self.scratch(_with_keys(merged, latest, natural, key))
+        ids = self.changed(prior, merged, natural, key)
+        self.save(table, lambda: _spliced(prior, merged, ids, natural))
+        for on in later:
+            src = self.work._load(s, f"silver.{source}", [on]).join(ids, natural, "left_semi")
+            base = self.work.image(s, table, before=on).join(ids, natural, "left_semi")
+            offset, old = self.work.largest_key(table), self.lake._load(s, table, [on])
+            follow = _with_keys(gold.load_type1(name, base, src, on, stage=self.scratch, offset=offset), latest, natural, key)
+            self.save(table, lambda: _spliced(old, follow, ids, natural), on)  # noqa: B023
+        if name == "merchant":
+            self.rekeyed.append((natural, self.scratch(ids.join(latest.select(natural), natural, "left_anti"))))
+        else:  # facts look payment methods up by their code
+            both = self.work.image(s, table).unionByName(latest).join(ids, natural, "left_semi")
+            self.rekeyed.append(("method_code", self.scratch(both.where("method_code is not null").select("method_code").distinct())))
+
+    def changed(self, old: DataFrame | None, new: DataFrame, natural: str, key: str) -> DataFrame:
+        """The ids whose rows differ in anything but the surrogate key, or are in one of the images only."""
+        if old is None:
+            return self.scratch(new.select(natural).distinct())
+        row = F.struct(*[c for c in new.columns if c != key])
+        one = old.select(F.col(natural).alias("_id"), row.alias("_old"))
+        two = new.select(natural, row.alias("_new"))
+        both = two.join(one, F.col(natural) == F.col("_id"), "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
+        return self.scratch(both.select(F.coalesce(natural, "_id").alias(natural)).distinct())
+
+    # ---- transactions and facts ----------------------------------------------
+    def transactions(self, limits: dict[str, float]) -> None:
+        s, day, name = self.spark, self.day, "silver.transactions"
+        feed = read_bronze(s, f"{self.lake.root}/bronze", "transactions", day)
+        rejects = Observation()
+        rows = silver.silver_transactions(feed, day, rejects)
+        earlier = [d for d in self.lake.days(name) if d < day]
+        repeats = 0
+        if earlier:
+            rows = self.scratch(rows)
+            known = self.stored_ids(rows, earlier)
+            if known is not None:
+                repeats = known.count()
+                rows = rows.join(checked_broadcast(known), "transaction_id", "left_anti").select(*rows.columns)
+        old = self.lake._load(s, name, [d for d in self.lake.days(name) if d == day])
+        sane = F.col("txn_date").between(F.lit(EARLIEST).cast("date"), F.lit(LATEST).cast("date"))
+        span = {"first": F.min(F.when(sane, F.col("txn_date"))), "last": F.max(F.when(sane, F.col("txn_date")))}
+        stored, seen = self.save(name, lambda: rows, metrics=span)
+        self.span = (seen["first"], seen["last"])
+        self.save(ID_FILTERS, lambda: id_filters(stored, "transaction_id", bucket_count(seen["rows"])))
         t = time.perf_counter()
-        counts = df.first().asDict()
-        self.lake.seconds[f"{name}@{self.day}"] = time.perf_counter() - t
+        # a map task that ran again (a lost executor) is counted again; the feed's footers tell
+        found = {k: int(v) for k, v in rejects.get.items()}
+        if found.get("rows_in") != feed.count():
+            found = silver.transaction_rejects(feed).first().asDict()
+        order = ("rows_in", "null_key_rejects", "negative_amount_rejects", "invalid_status_rejects", "rows_valid")
+        profile = {**{k: found[k] for k in order}, "distinct_valid_ids": seen["rows"] + repeats, "amount_defaulted": found["amount_defaulted"]}
+        self.profile("dq_rejects", profile, "rows_in", limits)
+        self.lake.seconds[f"dq_rejects@{day}"] = time.perf_counter() - t
+        later = [d for d in self.lake.days(name) if d > day]
+        if later:
+            self.moved(old, stored, later)
+
+    def stored_ids(self, rows: DataFrame, days: list[str]) -> DataFrame | None:
+        """The ids of ``rows`` that earlier days stored; None if the days' filters admit none.
+
+        Only ids that a filter admits are looked up, and only in the days whose filters admitted some.
+        """
+        s, name = self.spark, "silver.transactions"
+        filters = functools.reduce(DataFrame.unionByName, [self.lake._load(s, ID_FILTERS, [d]).withColumn("of", F.lit(d)) for d in days])
+        counts = sorted(r["buckets"] for r in filters.select("buckets").distinct().collect())  # powers of two: some dozens at most
+        if not counts:
+            return None
+        found = self.scratch(admitted(rows.select("transaction_id"), "transaction_id", filters, counts))
+        where = sorted(r["of"] for r in found.select("of").distinct().collect())
+        if not where:
+            return None
+        asked = checked_broadcast(self.scratch(found.select("transaction_id").distinct()))
+        return self.scratch(self.lake._load(s, name, where).select("transaction_id").join(asked, "transaction_id", "left_semi").distinct())
+
+    def moved(self, old: DataFrame | None, new: DataFrame, later: list[str]) -> None:
+        """An id belongs to the first day that brought it: later days give up what this day holds now, and take back what it dropped."""
+        s, name = self.spark, "silver.transactions"
+        none = new.select("transaction_id").limit(0)
+        was = none if old is None else old.select("transaction_id")
+        gained = self.scratch(new.select("transaction_id").join(was, "transaction_id", "left_anti"))
+        dropped = self.scratch(was.join(new.select("transaction_id"), "transaction_id", "left_anti"))
+        self.rekeyed.append(("transaction_id", gained.unionByName(dropped)))
+        back = not dropped.isEmpty()
+        for on in later:
+            held = self.lake._load(s, name, [on])
+            extra = None
+            if back:
+                feed = silver.silver_transactions(read_bronze(s, f"{self.lake.root}/bronze", "transactions", on), on)
+                before = self.work._load(s, name, [d for d in self.work.days(name) if d < on]).select("transaction_id")
+                extra = self.scratch(feed.join(dropped, "transaction_id", "left_semi").join(before, "transaction_id", "left_anti").select(*held.columns))
+            lost = held.join(gained, "transaction_id", "left_semi")
+            months = _months(lost if extra is None else lost.select(*MONTHS).unionByName(extra.select(*MONTHS)))
+            if months:
+                rest = held.where(_in_months(months)).join(gained, "transaction_id", "left_anti").select(*held.columns)
+                stored, _ = self.save(name, lambda: rest if extra is None else rest.unionByName(extra), on, kept=self.other_months(name, on, months))  # noqa: B023
+                self.save(ID_FILTERS, lambda: id_filters(stored, "transaction_id", bucket_count(self.work.images[name, on].rows)), on)  # noqa: B023
+
+    def other_months(self, name: str, day: str, months: list[tuple]) -> list[str]:
+        """The month folders of the day's stored image but for ``months`` (some hundreds at most)."""
+        image = self.lake.images[name, day]
+        files = self.spark.read.schema(StructType.fromJson(json.loads(image.schema))).parquet(*image.path.split("\n"))
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1)
+        named = {f"txn_year={_folder(y)}/txn_month={_folder(m)}" for y, m in months}
+        return sorted(r[0] for r in files.select(folder.alias("f")).distinct().collect() if "/".join(r[0].split("/")[-2:]) not in named)
+
+    def calendar(self, bounds: tuple[str, str] | None) -> tuple:
+        """Write the calendar; returns its first and last day."""
+        def days() -> DataFrame:
+            if bounds is not None:
+                return dim_date(self.spark, *bounds)
+            known = self.lake.image(self.spark, "gold.dim_date")
+            ends = [d for d in self.span if d is not None]
+            if known is not None:
+                ends += [d for d in known.agg(F.min("full_date"), F.max("full_date")).first() if d is not None]
+            if not ends:
+                return dim_date(self.spark, "2000-01-02", "2000-01-01")  # no days
+            return dim_date(self.spark, f"{min(ends).year:04d}-01-01", f"{max(ends).year:04d}-12-31")
+
+        _, seen = self.save("gold.dim_date", days, metrics={"first": F.min("full_date"), "last": F.max("full_date")})
+        return seen["first"], seen["last"]
+
+    def fact_of(self, txn: DataFrame, day: str) -> DataFrame:
+        dims = [self.work.image(self.spark, n, until=day) for n in ("gold.dim_customer", "gold.dim_merchant", "gold.dim_payment_method")]
+        small = {}
+        for column, names, columns in (
+            ("customer_id", CUSTOMER_PARTS, 4), ("merchant_id", ("gold.dim_merchant",), 2), ("method_code", ("gold.dim_payment_method",), 2),
+        ):
+            used = [i for n in names for i in self.work.used(n, until=day)]
+            small[column] = known_to_fit(sum(i.rows for i in used), max((i.longest or 0 for i in used), default=0), columns)
+        return gold.fact_transaction(txn, *dims, day, small=small)
+
+    def facts(self, cal: tuple, limits: dict[str, float]) -> None:
+        txn = self.work._load(self.spark, "silver.transactions", [self.day])
+        metrics = gold.fact_metrics(F.col("txn_date").between(F.lit(cal[0]), F.lit(cal[1])))
+        _, seen = self.save("gold.fact_transaction", lambda: self.fact_of(txn, self.day), metrics=metrics)
+        profile = {k: seen[k] or 0 for k in metrics}
+        # the joins keep every transaction: as many facts as transactions of distinct ids are one fact an id
+        many = self.work.images["silver.transactions", self.day].rows
+        if profile["total_rows"] != many:
+            many = self.work._load(self.spark, "gold.fact_transaction", [self.day]).select("transaction_id").distinct().count()
+        self.profile("fact_quality", {**profile, "distinct_transactions": many}, "total_rows", limits)
+
+    def later_facts(self) -> None:
+        """Facts of other days whose ids this load moved or whose dimension rows it changed: their months are built anew."""
+        name = "gold.fact_transaction"
+        for day in [d for d in self.lake.days(name) if d >= self.day and (name, d) not in self.made]:
+            held, txn = (t._load(self.spark, "silver.transactions", [day]) for t in (self.lake, self.work))
+            hit = [
+                t.join(ids, column, "left_semi").select(*MONTHS)
+                for column, ids in self.rekeyed for t in ((held, txn) if column == "transaction_id" else (txn,))
+            ]
+            months = _months(functools.reduce(DataFrame.unionByName, hit)) if hit else []
+            if months:
+                self.save(name, lambda: self.fact_of(txn.where(_in_months(months)), day), day, kept=self.other_months(name, day, months))  # noqa: B023
+
+    def profile(self, name: str, counts: dict[str, int], total: str, fail_above: dict[str, float]) -> None:
         self.lake.quality.setdefault(self.day, {})[name] = counts
         for metric, share in fail_above.items():
             if counts.get(metric, 0) > share * counts[total]:
                 raise DataQualityError(f"{self.day}: {metric} is {counts[metric]} of {counts[total]} rows, over {share:.2%}")
 
 
+def _spliced(old: DataFrame | None, new: DataFrame, ids: DataFrame, natural: str) -> DataFrame:
+    """``old`` with the rows of ``ids`` taken from ``new``."""
+    part = new.join(ids, natural, "left_semi").select(*new.columns)
+    return part if old is None else old.join(ids, natural, "left_anti").select(*new.columns).unionByName(part)
+
+
+def _with_keys(rows: DataFrame, known: DataFrame, natural: str, key: str) -> DataFrame:
+    """``rows`` with the surrogate keys that ``known`` has for their ids."""
+    keys = known.select(F.col(natural).alias("_id"), F.col(key).alias("_key"))
+    j = rows.join(keys, F.col(natural) == F.col("_id"), "left")
+    return j.withColumn(key, F.coalesce("_key", key)).select(*rows.columns)
+
+
+def _months(rows: DataFrame) -> list[tuple]:
+    """The (year, month) that occur, some hundreds at most."""
+    return [tuple(r) for r in rows.select(*MONTHS).distinct().collect()]
+
+
+def _in_months(months: list[tuple]) -> Column:
+    each = [F.col(MONTHS[0]).eqNullSafe(F.lit(y)) & F.col(MONTHS[1]).eqNullSafe(F.lit(m)) for y, m in months]
+    return functools.reduce(lambda a, b: a | b, each)
+
+
+def _folder(value: int | None) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
+
 def load_day(
     spark: SparkSession,
     lake: Lakehouse,
@@ -187,72 +472,31 @@ def load_day(
     fail_above: dict[str, float] | None = None,
     calendar: tuple[str, str] | None = None,
 ) -> Lakehouse:
-    """One daily run over the feeds in ``sources`` landed in bronze for ``day``.
+    """One daily run over the feeds in ``sources`` landed in bronze for ``day``, which may be any day.
 
     ``rebalance``: size the month files of transactions and facts by a shuffle
     (without it they follow the tasks).  ``fail_above``: profile count -> largest
     share of the rows.  ``calendar``: its first and last day (default: the whole
     years of all transactions so far).
-    """
-    s, bronze, limits = spark, f"{lake.root}/bronze", fail_above or {}
-    run = _Day(s, lake, day)
-    months = {"partition_by": ["txn_year", "txn_month"], "rebalance": rebalance}
-    fresh: dict[str, DataFrame] = {}
 
-    def dimension(name: str) -> DataFrame:
-        return fresh[name] if name in fresh else lake.image(s, name, until=day)
-
-    if "customers" in sources:
-        def customers() -> DataFrame:
-            out = silver.silver_customers(read_bronze(s, bronze, "customers", day), day)
-            if "customer_updates" in sources:
-                updates = read_bronze(s, bronze, "customer_updates", day).drop("load_timestamp", "source_file", "load_date")
-                out = silver.apply_customer_updates(out, updates, day)
-            return out
-
-        cust = run.save("silver.customers", customers)
-        old = lake.image(s, CUSTOMER_PARTS[0], before=day)
-        if old is None:
-            current = run.save(CUSTOMER_PARTS[0], lambda: gold.load_customers(None, cust, day))
-            closed = run.save(CUSTOMER_PARTS[1], lambda: current.limit(0))
-        else:
-            t = time.perf_counter()
-            stay, gone = gold.step_customers(old, cust, day, stage=run.scratch)
-            lake.seconds[f"gold.dim_customer_join@{day}"] = time.perf_counter() - t
-            current = run.save(CUSTOMER_PARTS[0], lambda: stay)
-            closed = run.save(CUSTOMER_PARTS[1], lambda: gone)
-        before = lake.image(s, CUSTOMER_PARTS[1], before=day)
-        fresh["gold.dim_customer"] = current.unionByName(closed if before is None else before.unionByName(closed))
-    for source, name in (("merchants", "merchant"), ("payment_methods", "payment_method")):
-        if source in sources:
-            clean = silver.silver_merchants if source == "merchants" else silver.silver_payment_methods
-            rows = run.save(f"silver.{source}", lambda: clean(read_bronze(s, bronze, source, day), day))  # noqa: B023
-            table = f"gold.dim_{name}"
-            fresh[table] = run.save(table, lambda: gold.load_type1(name, lake.image(s, table, before=day), rows, day, stage=run.scratch))  # noqa: B023
+    The dimensions and the transactions do not depend on one another and are
+    loaded side by side.
+    """
+    run, limits = _Load(spark, lake, day, rebalance), fail_above or {}
+    steps = {
+        "customers": lambda: run.customers(sources),
+        "merchants": lambda: run.type1("merchants", "merchant"),
+        "payment_methods": lambda: run.type1("payment_methods", "payment_method"),
+        "transactions": lambda: run.transactions(limits),
+    }
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for step in [pool.submit(f) for source, f in steps.items() if source in sources]:
+            step.result()
     if "transactions" in sources:
-        feed = read_bronze(s, bronze, "transactions", day)
-
-        def transactions() -> DataFrame:
-            out = silver.silver_transactions(feed, day)
-            stored = lake.other_days(s, "silver.transactions", day)
-            return out if stored is None else out.join(stored.select("transaction_id"), "transaction_id", "left_anti").select(*out.columns)
-
-        txn = run.save("silver.transactions", transactions, **months)
-        run.profile("dq_rejects", silver.transaction_rejects(feed), "rows_in", limits)
-
-        def days() -> DataFrame:
-            if calendar is not None:
-                return dim_date(s, *calendar)
-            known = lake.image(s, "gold.dim_date")
-            span = known.agg(F.min("full_date").cast("string"), F.max("full_date").cast("string")).first() if known is not None else (None, None)
-            return dim_date_covering(txn, "txn_date", also=tuple(span) if span[0] else None)
-
-        cal = run.save("gold.dim_date", days)
-        dims = [dimension(n) for n in ("gold.dim_customer", "gold.dim_merchant", "gold.dim_payment_method")]
-        fact = run.save("gold.fact_transaction", lambda: gold.fact_transaction(txn, *dims, day), **months)
-        run.profile("fact_quality", gold.fact_quality(fact, cal), "total_rows", limits)
+        run.facts(run.calendar(calendar), limits)
+    run.later_facts()
     t = time.perf_counter()
-    lake.commit(s, run.images)
+    lake.commit(spark, list(run.made.values()))
     lake.seconds[f"catalog@{day}"] = time.perf_counter() - t
     return lake
 

@@ -8,7 +8,7 @@ the deduplication, which is the only shuffle (on the natural key).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paymart.functions.casts import to_date, to_decimal, to_int
@@ -161,13 +161,36 @@ def dedupe_transactions(df: DataFrame) -> DataFrame:
     return dedupe_latest(df, ["transaction_id"], total_order(business, ["transaction_id"], TXN_DEDUPE_FIRST))
 
 
-def silver_transactions(bronze: DataFrame, as_of: str) -> DataFrame:
-    df = fill_transaction_defaults(typed_transactions(bronze))
+def _filled_transactions(bronze: DataFrame) -> DataFrame:
+    typed = typed_transactions(bronze).withColumn("_amount_defaulted", F.col("txn_amount").isNull())
+    return fill_transaction_defaults(typed)
+
+
+def silver_transactions(bronze: DataFrame, as_of: str, rejects: Observation | None = None) -> DataFrame:
+    """``rejects``: takes the counts of ``reject_metrics`` while the frame is computed."""
+    df = _filled_transactions(bronze)
+    if rejects is not None:
+        df = df.observe(rejects, *[c.alias(n) for n, c in reject_metrics().items()])
     df = drop_null_keys(df, ["transaction_id", "customer_id", "merchant_id"])
     df = dedupe_transactions(df.filter(is_valid_transaction()))
     return _stamp(net_revenue(df), as_of).select(*SILVER_COLUMNS["transactions"])
 
 
+def _reject_classes() -> dict[str, Column]:
+    null_key = F.col("transaction_id").isNull() | F.col("customer_id").isNull() | F.col("merchant_id").isNull()
+    negative = ~null_key & (F.col("txn_amount") < 0)
+    bad_status = ~null_key & ~negative & ~F.coalesce(F.col("txn_status").isin(*VALID_STATUSES), F.lit(False))
+    return {
+        "null_key_rejects": null_key, "negative_amount_rejects": negative, "invalid_status_rejects": bad_status,
+        "rows_valid": ~null_key & ~negative & ~bad_status, "amount_defaulted": F.col("_amount_defaulted"),
+    }
+
+
+def reject_metrics() -> dict[str, Column]:
+    """The counts of the transaction rules that need no shuffle, over rows as ``silver_transactions`` reads them."""
+    return {"rows_in": F.count(F.lit(1)).cast("bigint"), **{name: count_if(c) for name, c in _reject_classes().items()}}
+
+
 def transaction_rejects(bronze: DataFrame) -> DataFrame:
     """One-pass reject profile of the transaction rules, in rule order.
 
@@ -175,21 +198,10 @@ def transaction_rejects(bronze: DataFrame) -> DataFrame:
     counts rows whose amount was missing or unparsable and became 0.00; such
     rows are kept, as the rules accept a 0.00 amount.
     """
-    typed = typed_transactions(bronze).withColumn("_amount_defaulted", F.col("txn_amount").isNull())
-    f = fill_transaction_defaults(typed)
-    null_key = F.col("transaction_id").isNull() | F.col("customer_id").isNull() | F.col("merchant_id").isNull()
-    negative = ~null_key & (F.col("txn_amount") < 0)
-    bad_status = ~null_key & ~negative & ~F.coalesce(F.col("txn_status").isin(*VALID_STATUSES), F.lit(False))
-    passed = ~null_key & ~negative & ~bad_status
-    return f.agg(
-        F.count(F.lit(1)).cast("bigint").alias("rows_in"),
-        count_if(null_key).alias("null_key_rejects"),
-        count_if(negative).alias("negative_amount_rejects"),
-        count_if(bad_status).alias("invalid_status_rejects"),
-        count_if(passed).alias("rows_valid"),
-        F.count_distinct(F.when(passed, F.col("transaction_id"))).cast("bigint").alias("distinct_valid_ids"),
-        count_if(F.col("_amount_defaulted")).alias("amount_defaulted"),
-    )
+    counts = {n: c.alias(n) for n, c in reject_metrics().items()}
+    last = counts.pop("amount_defaulted")
+    ids = F.count_distinct(F.when(_reject_classes()["rows_valid"], F.col("transaction_id"))).cast("bigint").alias("distinct_valid_ids")
+    return _filled_transactions(bronze).agg(*counts.values(), ids, last)
 
 
 def key_rejects(bronze: DataFrame, table: str, key: str) -> DataFrame:

@@ -29,14 +29,15 @@ def add_audit_columns(df: DataFrame, source: str, load_date: str, load_timestamp
 def ingest_csv(spark: SparkSession, source: str, csv_path: str, bronze_root: str, load_date: str) -> str:
     """Land one CSV source into its bronze table for ``load_date``.
 
-    Dynamic partition overwrite: re-running a day replaces that day only and
-    earlier days stay (full audit trail).  One day is one partition value and
-    the CSV splits already size the output files, so no rebalance shuffle is
-    added.  Returns the table path.
+    The day's own folder is overwritten: re-running a day replaces that day only,
+    also by a feed that has no rows any more, and earlier days stay (full audit
+    trail).  The CSV splits already size the output files, so no shuffle is added.
+    Returns the table path.
     """
     path = f"{bronze_root}/{BRONZE_TABLES[source]}"
     df = add_audit_columns(read_csv_strings(spark, csv_path, source), source, load_date)
-    return write_table(df, path, partition_by=["load_date"], dynamic=True, rebalance=False)
+    write_table(df.drop("load_date"), f"{path}/load_date={load_date}")
+    return path
 
 
 def stream_path(bronze_root: str, source: str) -> str:
