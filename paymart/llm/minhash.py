@@ -127,7 +127,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingles = Shingles()
     for batch in batches:
         sizes, nodes, sigs, keys, at = [], [], [], [], [0]
-        for text in texts_of(batch.column(1)):
+        for text in texts_of(batch.column(2)):
             found = shingles(text)
             sizes.append(len(found))
             if len(found):
@@ -141,9 +141,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at.append(at[-1] + (BANDS if len(found) else 0))
         flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()),
+            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()),
              pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))],
-            names=["doc_id", "n_shingles", "node", "sig", "keys"],
+            names=["doc_id", "text_hash", "n_shingles", "node", "sig", "keys"],
         )
 
 
@@ -275,9 +275,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows are returned as often as they come.  Other columns of ``docs`` are ignored.
     """
     spark = docs.sparkSession
-    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     signed = staged(
-        text.mapInArrow(_signed, "doc_id long, n_shingles long, node long, sig binary, keys array<long>"), "minhash"
+        text.mapInArrow(_signed, "doc_id long, text_hash long, n_shingles long, node long, sig binary, keys array<long>"), "minhash"
     )
     bands = signed.select(F.explode("keys").alias("key"), "node")
     several = (
@@ -289,9 +289,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = staged(signed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("sig").alias("sig"), F.min("keys").alias("keys")), "sigs")
 
     one = signed.groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    wanted = one.join(nodes, "node", "left_semi")
+    # one text of each set, found by id and text hash: an id that many rows share fetches no other texts
+    wanted = (
+        signed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+        .select("node", F.col("one.doc_id").alias("of"), F.col("one.text_hash").alias("hash"))
+    )
     sets = staged(
-        text.join(wanted, text["doc_id"].eqNullSafe(wanted["first_id"])).select("node", "text")
+        text.join(wanted, text["doc_id"].eqNullSafe(wanted["of"]) & (text["text_hash"] == wanted["hash"])).select("node", "text")
         .mapInArrow(_sets, "node long, hashes binary, wide binary")
         .groupBy("node").agg(F.min("hashes").alias("hashes"), F.min("wide").alias("wide")),
         "sets",

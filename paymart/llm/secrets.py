@@ -42,7 +42,8 @@ _NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+# a JSON object begins with a brace or with white space, so its base64 with one of these letters
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=([eCDI][A-Za-z0-9_-]+)\.([eCDI][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*))")
 _PEM = re.compile(r"-----BEGIN ([A-Z ]+)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/])++)-----END \1-----")
 _BREAK = r"(?:[\r\n]|\\+[rn])++(?:[\x20\t]|\\+t)*+"
 _BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
@@ -132,21 +133,49 @@ def is_key(data: bytes) -> bool:
 
 
 def _whole_size(data: bytes) -> int | None:
-    """Bytes of the key that ``data`` begins with, by its own length fields; None if they do not tell."""
+    """Bytes of the DER key that ``data`` begins with, by its length field; None if it does not tell."""
     if data[:1] == b"\x30" and len(data) >= 2:
         wide = data[1] & 0x7F if data[1] & 0x80 else 0
         return (2 + wide + int.from_bytes(data[2 : 2 + wide], "big") if wide else 2 + data[1]) if wide <= 4 else None
-    if not is_openssh_key(data):
-        return None
+    return None
+
+
+def _openssh_size(read: Callable[[int, int], bytes | None], most: int) -> tuple[bool, int | None]:
+    """Whether the fields up to the number of keys are there, and the bytes of the key if all its fields are.
+
+    ``read(at, n)`` gives bytes of the key; only the length fields are read.  ``most``: no field ends behind it.
+    """
+    def number(at: int) -> int | None:
+        data = read(at, 4) if at + 4 <= most else None
+        return int.from_bytes(data, "big") if data is not None and len(data) == 4 else None
+
     at = len(_OPENSSH)
-    for count in (3, 1):  # cipher, derivation, options; then as many public keys as said, and the private part
-        if count == 1:
-            count, at = int.from_bytes(data[at : at + 4], "big") + 1, at + 4
-        for _ in range(count):
-            if at + 4 > len(data):
-                return None
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-    return at if at <= len(data) else None
+    if read(0, at) != _OPENSSH:
+        return False, None
+    keys = None
+    for _ in range(3):  # cipher, key derivation and its options
+        size = number(at)
+        if size is None:
+            return False, None
+        at += 4 + size
+    keys = number(at)
+    if keys is None or not 1 <= keys <= 64:
+        return False, None
+    at += 4
+    for _ in range(keys + 1):  # public keys, the private part
+        size = number(at)
+        if size is None:
+            return True, None
+        at += 4 + size
+    return True, at if at <= most else None
+
+
+def _part(text: str, start: int, at: int, n: int, decoded: Callable[[str], bytes | None], bits: int) -> bytes | None:
+    """Bytes ``at`` to ``at + n`` of what is encoded from character ``start`` on."""
+    chars, size = (4, 3) if bits == 6 else (2, 1)
+    first, skip = at // size * chars, at % size
+    data = decoded(text[start + first : start + first + -(-(skip + n) // size) * chars])
+    return data[skip : skip + n] if data is not None and len(data) >= skip + n else None
 
 
 def _from_base64(text: str) -> bytes | None:
@@ -186,6 +215,7 @@ def _keys_in(text: str, start: int, end: int, line: re.Pattern, starts: tuple[st
     lines = _lines(text, start, end)
     bodies = [line.match(text, a, b)[0] for a, b in lines]
     upto = [0, *itertools.accumulate(map(len, bodies))]
+    whole = "".join(bodies)
     found, free = [], 0
     for i, body in enumerate(bodies):
         if i < free or not body.startswith(starts):
@@ -198,11 +228,13 @@ def _keys_in(text: str, start: int, end: int, line: re.Pattern, starts: tuple[st
             last = bisect.bisect_left(upto, upto[i] + -(-8 * size // bits), i + 1)
             if last == len(upto) or upto[last] != upto[i] + -(-8 * size // bits):
                 continue
-        else:  # lines of one length and a shorter one at most
+        else:  # lines of one length and a shorter one at most, and no more than the fields ask for
+            header, size = _openssh_size(lambda at, n: _part(whole, upto[i], at, n, decoded, bits), len(whole) - upto[i])  # noqa: B023
+            if not header:
+                continue
             last = i + 1
             while last < len(bodies) and len(bodies[last - 1]) == len(body) >= len(bodies[last]):
                 last += 1
-            size = _whole_size(decoded("".join(bodies[i:last])) or b"")
             if size is not None:
                 last = min(last, bisect.bisect_left(upto, upto[i] + -(-8 * size // bits), i + 1))
         data = decoded("".join(bodies[i:last]))
@@ -216,7 +248,11 @@ def _keys_in(text: str, start: int, end: int, line: re.Pattern, starts: tuple[st
 
 
 def confirmed(text: str) -> list[Span]:
-    found = [("jwt", *m.span()) for m in _JWT.finditer(text) if _is_object(m[1], "alg") and _is_object(m[2])]
+    found, end = [], 0
+    for m in _JWT.finditer(text):
+        if m.start() >= end and _is_object(m[1], "alg") and _is_object(m[2]):
+            end = m.end(3)
+            found.append(("jwt", m.start(), end))
     taken = []
     for m in _PEM.finditer(text):
         if (data := _from_base64(_ESCAPED.sub(_plain, m[2]))) and is_key(data):
@@ -263,7 +299,7 @@ def scan(data: np.ndarray | None) -> tuple[list[Span], list[tuple[int, int]]]:
         found += [("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
     if run >= MIN_HEX:
         found += [("hex", *m.span()) for m in _HEX.finditer(text) if len(m[0]) >= MIN_HEX]
-    if run >= MIN_LINE or pem or b"eyJ" in raw:
+    if run >= MIN_LINE or pem:  # the shortest signed token is longer
         found += confirmed(text)
     found.sort(key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return found, hide + [s[1:] for s in found if s[0] != "assign"]

@@ -127,3 +127,18 @@ def test_components_of_long_chains_stars_and_loops(spark):
     got = {r.node: r.label for r in connected_components(links).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 1000 for i in range(1000, 1100)}, 6: 6, 7: 6}
     assert connected_components(links.where(F.lit(False))).count() == 0
+
+
+def test_words_that_cancel_out_in_polynomials_differ(documents):
+    """Thue-Morse words of 1,024 bytes have one polynomial value modulo 2**64, whatever the base."""
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    got = minhash.near_duplicates(documents([f"{a} one two three four", f"{b} one two three four"])).collect()
+    assert {r["component_id"] for r in got} == {0, 1}
+
+
+def test_many_rows_without_an_id(documents):
+    texts = [f"word{i} " * 3 + " ".join(f"x{i}y{k}" for k in range(30)) for i in range(40)]
+    rows = [t for t in texts for _ in range(2)]
+    got = minhash.near_duplicates(documents(rows, [None] * len(rows))).collect()
+    assert len(got) == 80 and {r["component_id"] for r in got} == {None}

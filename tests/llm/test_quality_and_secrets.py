@@ -232,3 +232,23 @@ def test_redaction_masks_values_and_keeps_columns(spark):
     assert out[1].text == 'a token = "[SECRET]" b' and out[1].n_chars == len(out[1].text)
     assert out[2].text == "plain" and out[3].text is None and out[1].spans == "x"
     assert secrets.hidden("abcdef", [(1, 3), (2, 4)]) == "a[SECRET]ef"
+
+
+def test_many_lines_like_keys_take_linear_time():
+    import time
+
+    body = base64.b64encode(b"openssh-key-v1\x00" + bytes(33)).decode()
+    magic = "\n".join(["b3BlbnNzaC1rZXktdjEAAAAAB" + "A" * 39] * 2600)  # 168 KB
+    for text in (magic, "\n".join([body] * 2600)):
+        t = time.perf_counter()
+        secrets.scan(np.frombuffer(text.encode(), np.uint8))
+        assert time.perf_counter() - t < 2
+
+
+def test_signed_tokens_whatever_their_spaces_and_neighbours():
+    part = lambda s: base64.urlsafe_b64encode(s.encode()).decode().rstrip("=")
+    for header in ('{ "alg":"HS256"}', ' {"alg":"HS256"}', '\n{"alg" : "none"}', '{"typ":"JWT","alg":"RS256"}'):
+        token = f'{part(header)}.{part(chr(9) + chr(123) + chr(34) + "sub" + chr(34) + ":1}")}.c2ln'
+        for text in (token, f"environment.{token}", f"see {token}, and {token}"):
+            spans = [s for s in secrets.scan(np.frombuffer(text.encode(), np.uint8))[0] if s[0] == "jwt"]
+            assert [text[a:b] for _, a, b in spans] == [token] * text.count(token)
