@@ -828,6 +828,19 @@ def oracle_sql() -> dict[str, str]:
     q["fact_two_days"] = _with(
         f"{_select_money('fact_a', FACT_OUT, _MONEY)} UNION ALL {_select_money('fact_b', FACT_OUT, _MONEY)}", ["fact_a", "fact_b"]
     )
+
+    def by_ids(fact: str) -> str:
+        return (
+            f"SELECT f.transaction_id, f.txn_date, CAST(f.txn_amount AS DOUBLE) AS txn_amount, CAST(f.net_revenue AS DOUBLE) AS net_revenue,"
+            f" f.created_at, c.customer_id, c.effective_start, c.effective_end, c.is_current, c.kyc_tier, m.merchant_id, m.category,"
+            f" m.updated_at, p.method_id, p.method_name FROM {fact} f LEFT JOIN dim_customer c ON c.customer_key = f.customer_key"
+            f" LEFT JOIN dim_merchant m ON m.merchant_key = f.merchant_key"
+            f" LEFT JOIN dim_payment p ON p.payment_method_key = f.payment_method_key"
+        )
+
+    q["pipeline_late_day"] = _with(by_ids("fact"), ["fact"])
+    q["fact_late_part"] = _with(f"{by_ids('fact_a')} UNION ALL {by_ids('fact_b')}", ["fact_a", "fact_b"])
+    q["bronze_empty_day"] = _with(f"SELECT *, {_audit('merchants', DAY2)} FROM raw_merchants_1", ["raw_merchants_1"])
     q["layer_row_counts"] = _layer_counts_sql()
     q["pipeline_end_to_end"] = q["layer_row_counts"]
 

@@ -118,13 +118,17 @@ class Lakehouse:
     def days(self, name: str) -> list[str]:
         return sorted(day for n, day in self.images if n == name)
 
-    def _load(self, spark: SparkSession, name: str, days: list[str]) -> DataFrame | None:
+    def _files(self, spark: SparkSession, name: str, days: list[str]) -> DataFrame:
+        """The stored rows of some days, their folders' values as further columns."""
         found = [self.images[name, d] for d in days]
-        if not found:
+        reader = spark.read.schema(StructType.fromJson(json.loads(found[-1].schema))).option("basePath", f"{self.root}/{name.replace('.', '/')}")
+        return reader.parquet(*[p for i in found for p in i.path.split("\n")])
+
+    def _load(self, spark: SparkSession, name: str, days: list[str]) -> DataFrame | None:
+        if not days:
             return None
-        schema = StructType.fromJson(json.loads(found[-1].schema))
-        reader = spark.read.schema(schema).option("basePath", f"{self.root}/{name.replace('.', '/')}")
-        return reader.parquet(*[p for i in found for p in i.path.split("\n")]).select(*schema.names)
+        names = StructType.fromJson(json.loads(self.images[name, days[-1]].schema)).names
+        return self._files(spark, name, days).select(*names)
 
     def used(self, name: str, until: str | None = None, before: str | None = None) -> list[Image]:
         """The images that make up a table as of a day."""
@@ -373,8 +377,7 @@ class _Load:
 
     def other_months(self, name: str, day: str, months: list[tuple]) -> list[str]:
         """The month folders of the day's stored image but for ``months`` (some hundreds at most)."""
-        image = self.lake.images[name, day]
-        files = self.spark.read.schema(StructType.fromJson(json.loads(image.schema))).parquet(*image.path.split("\n"))
+        files = self.lake._files(self.spark, name, [day])
         folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1)
         named = {f"txn_year={_folder(y)}/txn_month={_folder(m)}" for y, m in months}
         return sorted(r[0] for r in files.select(folder.alias("f")).distinct().collect() if "/".join(r[0].split("/")[-2:]) not in named)

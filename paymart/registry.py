@@ -500,13 +500,60 @@ def q_fact_two_days(spark, sf_dir):
     return as_doubles(lake.read(spark, "gold.fact_transaction").select(*FACT_COLUMNS))
 
 
+def _by_ids(spark, lake):
+    """The facts with the ids and versions that their keys stand for, whatever the numbers of the keys."""
+    customers, merchants, methods = (lake.read(spark, f"gold.dim_{n}") for n in ("customer", "merchant", "payment_method"))
+    rows = (
+        lake.read(spark, "gold.fact_transaction")
+        .join(customers.select("customer_key", "customer_id", "effective_start", "effective_end", "is_current", "kyc_tier"), "customer_key", "left")
+        .join(merchants.select("merchant_key", "merchant_id", "category", "updated_at"), "merchant_key", "left")
+        .join(methods.select("payment_method_key", "method_id", "method_name"), "payment_method_key", "left")
+    )
+    return as_doubles(rows.select(
+        "transaction_id", "txn_date", "txn_amount", "net_revenue", "created_at", "customer_id", "effective_start", "effective_end",
+        "is_current", "kyc_tier", "merchant_id", "category", "updated_at", "method_id", "method_name",
+    ))
+
+
+def q_pipeline_late_day(spark, sf_dir):
+    """Day 2 is loaded first and day 1 after it: the facts and versions of loading in order."""
+    lake, d = pipeline.Lakehouse(new_table_path(spark, "lakehouse")), sf_dir.rstrip("/")
+    pipeline.land_day2(spark, lake, d)
+    pipeline.load_day(spark, lake, DAY2, pipeline.DAY2_FEEDS)
+    pipeline.land_day1(spark, lake, d)
+    pipeline.load_day(spark, lake, DAY1, pipeline.DAY1_FEEDS)
+    return _by_ids(spark, lake)
+
+
+def q_fact_late_part(spark, sf_dir):
+    """Day 3 is loaded before day 2, whose transactions share ids with it and whose customers open new versions."""
+    lake, d = pipeline.Lakehouse(new_table_path(spark, "lakehouse")), sf_dir.rstrip("/")
+    pipeline.land_day1(spark, lake, d)
+    pipeline.load_day(spark, lake, DAY1, pipeline.DAY1_FEEDS)
+    pipeline.land(spark, lake, "transactions", fixtures.raw_transactions(spark, d, "second"), DAY3)
+    pipeline.load_day(spark, lake, DAY3, {"transactions"})
+    pipeline.land_day2(spark, lake, d, "first")
+    pipeline.load_day(spark, lake, DAY2, pipeline.DAY2_FEEDS)
+    return _by_ids(spark, lake)
+
+
+def q_bronze_empty_day(spark, sf_dir):
+    """Two days landed, then the first one again by a feed that has no rows any more."""
+    root, feed = new_table_path(spark, "bronze"), fixtures.raw_merchants(spark, sf_dir.rstrip("/"), 1)
+    for day, rows in ((DAY1, feed), (DAY2, feed), (DAY1, feed.limit(0))):
+        path = new_table_path(spark, "csv")
+        write_csv(rows, path)
+        ingest_csv(spark, "merchants", path, root, day)
+    return read_bronze(spark, root, "merchants")
+
+
 def q_sql_views_q5b(spark, sf_dir):
     """The version comparison in SQL over the registered views of the stored warehouse."""
     register_views(spark, _stored(spark, sf_dir))
     return as_doubles(spark.sql(
-        "SELECT c.kyc_tier AS kyc_tier_at_txn_time, c.is_current, count(f.transaction_id) AS transactions, sum(f.txn_amount) AS gmv"
-        " FROM fact_transaction f JOIN dim_customer c ON f.customer_key = c.customer_key"
-        " GROUP BY c.kyc_tier, c.is_current ORDER BY c.kyc_tier, c.is_current"
+        "WITH spent AS (SELECT customer_key, count(transaction_id) AS n, sum(txn_amount) AS amount FROM fact_transaction GROUP BY customer_key)"
+        " SELECT kyc_tier AS kyc_tier_at_txn_time, is_current, sum(n) AS transactions, sum(amount) AS gmv"
+        " FROM dim_customer JOIN spent USING (customer_key) GROUP BY ALL ORDER BY 1, 2"
     ))
 
 
@@ -608,6 +655,9 @@ QUERIES: dict[str, Query] = {
     "pipeline_rerun_day": q_pipeline_rerun_day,
     "pipeline_reopen": q_pipeline_reopen,
     "fact_two_days": q_fact_two_days,
+    "pipeline_late_day": q_pipeline_late_day,
+    "fact_late_part": q_fact_late_part,
+    "bronze_empty_day": q_bronze_empty_day,
     "sql_views_q5b": q_sql_views_q5b,
     "q1_monthly_gmv": q1_monthly_gmv,
     "q2_top_merchants": q2_top_merchants,

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.schemas import AUDIT_COLUMNS, BRONZE_TABLES, RAW_COLUMNS, bronze_schema
 from paymart.sources.csv import read_csv_strings
-from paymart.sources.storage import read_table, write_table
+from paymart.sources.storage import path_exists, read_table, write_table
 
 
 def load_stamp(as_of: str) -> str:
@@ -50,11 +49,8 @@ def read_bronze(spark: SparkSession, bronze_root: str, source: str, load_date: s
     schema = bronze_schema(source)
     parts = []
     for path in (f"{bronze_root}/{BRONZE_TABLES[source]}", stream_path(bronze_root, source)):
-        try:
+        if path_exists(spark, path):
             parts.append(read_table(spark, path, schema).select(*RAW_COLUMNS[source], *AUDIT_COLUMNS))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
     if not parts:
         raise FileNotFoundError(f"no bronze table of {source} under {bronze_root}")
     df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

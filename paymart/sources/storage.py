@@ -69,6 +69,12 @@ def write_table(
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked of its own file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Read a parquet table; a declared schema types partition columns and lets a table without rows be read."""
     r = spark.read

@@ -170,3 +170,108 @@ def test_null_safe_hash_reaches_the_merges(spark):
         image = scd1_initial(old, "id", "k", ["x", "y"], cols, "2024-01-01", null_safe=safe)
         row = scd1_merge(image, new, "id", "k", ["x", "y"], cols, "2024-01-02", null_safe=safe).first()
         assert (row.y == "1") is changed
+
+
+# ---- days in any order -------------------------------------------------------------
+
+
+def _dims(spark, lake, day, tiers, merchants=("M1",)):
+    pipeline.land(spark, lake, "customers", _customers(spark, tiers), day)
+    pipeline.land(spark, lake, "merchants", _feed(spark, "merchants", [(m, f"{m} of {day}", "c", "s", "c", "s", "1", "2024-01-01") for m in merchants]), day)
+    pipeline.land(spark, lake, "payment_methods", _feed(spark, "payment_methods", [("P1", "UPI", "u", "t", "1")]), day)
+    return {"customers", "merchants", "payment_methods"}
+
+
+FEEDS = {  # day -> customers' tiers, merchants, transactions (id, date, customer)
+    DAYS[0]: ({"C1": "BASIC", "C2": "FULL"}, ("M1",), [("T1", "2024-03-01", "C1"), ("T2", "2024-02-01", "C2"), ("T6", "2024-03-01", "C2")]),
+    DAYS[1]: ({"C1": "GOLD", "C3": "BASIC"}, ("M1", "M2"), [("T2", "2024-03-02", "C2"), ("T3", "2024-03-02", "C3"), ("T4", "2024-03-02", "C1")]),
+    DAYS[2]: ({"C1": "BASIC", "C2": "GOLD"}, ("M2", "M3"), [("T4", "2024-03-03", "C1"), ("T5", "2024-03-03", "C1"), ("T6", "2024-01-05", "C1"), ("T7", "2023-12-05", "C9")]),
+}
+
+
+def _load(spark, lake, day, feeds=FEEDS):
+    tiers, merchants, rows = feeds[day]
+    sources = _dims(spark, lake, day, tiers, merchants)
+    txn = [(i, c, merchants[-1], "UPI", d, "10.00", "1.00", "0.50", "SUCCESS", None, "0") for i, d, c in rows]
+    pipeline.land(spark, lake, "transactions", _feed(spark, "transactions", txn), day)
+    return pipeline.load_day(spark, lake, day, {*sources, "transactions"})
+
+
+def _contents(spark, lake):
+    """Versions, merchants and facts without the numbers of their keys."""
+    lake = pipeline.Lakehouse.open(spark, lake.root)
+    versions = lake.read(spark, "gold.dim_customer")
+    merchants = lake.read(spark, "gold.dim_merchant")
+    assert versions.select("customer_key").distinct().count() == versions.count()
+    facts = (
+        lake.read(spark, "gold.fact_transaction").join(versions, "customer_key", "left").join(merchants.withColumnRenamed("city", "m_city"), "merchant_key", "left")
+        .select("transaction_id", "txn_date", "created_at", "customer_id", "kyc_tier", "effective_start", "effective_end", "merchant_id", "updated_at")
+    )
+    return [sorted(map(tuple, df.collect()), key=str) for df in (versions.drop("customer_key"), merchants.drop("merchant_key"), facts)] + [
+        sorted(_ids(spark, lake, "silver.transactions")), lake.rows["gold.fact_transaction"]]
+
+
+def test_days_from_last_to_first_are_as_in_order(spark):
+    lakes = [pipeline.Lakehouse(new_table_path(spark, "lake-order")) for _ in range(2)]
+    for k in range(3):
+        _load(spark, lakes[0], DAYS[k])
+        _load(spark, lakes[1], DAYS[2 - k])
+    assert _contents(spark, lakes[1]) == _contents(spark, lakes[0])
+    # of the last day's facts, the month that no earlier day touches was not written again
+    first, *kept = lakes[1].images["gold.fact_transaction", DAYS[2]].path.split("\n")
+    assert [p.split("/")[-2:] for p in kept] == [["txn_year=2023", "txn_month=12"]] and not kept[0].startswith(first)
+
+
+def test_an_earlier_day_again_with_another_feed(spark):
+    lakes = [pipeline.Lakehouse(new_table_path(spark, "lake-again")) for _ in range(2)]
+    for k in range(3):
+        _load(spark, lakes[0], DAYS[k])
+    keys = {r.customer_id: r.customer_key for r in lakes[0].read(spark, "gold.dim_customer").where("customer_id = 'C3'").collect()}
+    other = {**FEEDS, DAYS[0]: ({"C1": "GOLD", "C4": "FULL"}, ("M1", "M3"), [("T1", "2024-03-01", "C1"), ("T4", "2024-03-01", "C4")])}
+    _load(spark, lakes[0], DAYS[0], other)  # T2 and T6 go to later days, T4 comes from one
+    for k in range(3):
+        _load(spark, lakes[1], DAYS[k], other)
+    assert _contents(spark, lakes[0]) == _contents(spark, lakes[1])
+    kept = lakes[0].read(spark, "gold.dim_customer").where("customer_id = 'C3'").first()
+    assert keys == {"C3": kept.customer_key}  # a customer that the day does not touch keeps its key
+
+
+def test_a_day_without_repeats_reads_no_earlier_id(spark, lake, monkeypatch):
+    _first_day(spark, lake)
+    read = []
+    load = pipeline.Lakehouse._load
+    monkeypatch.setattr(pipeline.Lakehouse, "_load", lambda self, s, name, days: (read.append((name, *days)), load(self, s, name, days))[1])
+    pipeline.land(spark, lake, "transactions", _transactions(spark, ["T7", "T8"]), DAYS[1])
+    pipeline.load_day(spark, lake, DAYS[1], {"transactions"})
+    assert ("silver.transactions", DAYS[0]) not in read
+    pipeline.land(spark, lake, "transactions", _transactions(spark, ["T1", "T9"]), DAYS[2])
+    read.clear()
+    pipeline.load_day(spark, lake, DAYS[2], {"transactions"})
+    assert ("silver.transactions", DAYS[0]) in read and ("silver.transactions", DAYS[1]) not in read
+    assert _ids(spark, lake) == ["T1", "T2", "T7", "T8", "T9"]
+
+
+def test_filters_admit_all_stored_ids_and_few_others(spark):
+    from paymart.operators.id_index import admitted, bucket_count, id_filters
+
+    ids = spark.range(20_000).select(F.concat(F.lit("T"), "id").alias("i"))
+    few = id_filters(ids, "i", bucket_count(20_000)).withColumn("of", F.lit("d"))
+    assert admitted(ids, "i", few, [8]).count() == 20_000
+    others = spark.range(20_000).select(F.concat(F.lit("U"), "id").alias("i"))
+    assert admitted(others, "i", few, [8]).count() < 600
+    assert admitted(others.limit(0), "i", few, [8]).count() == 0
+
+
+def test_two_days_take_few_jobs(spark):
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    pipeline.run_pipeline(spark, "/root/testdata/sf0.001")
+    assert jobs() - before <= 100
+
+
+def test_a_day_landed_again_without_rows(spark, lake):
+    root = f"{lake.root}/bronze"
+    pipeline.land(spark, lake, "customers", _customers(spark, {"C1": "A", "C2": "B"}), DAYS[0])
+    pipeline.land(spark, lake, "customers", _customers(spark, {"C1": "A"}), DAYS[1])
+    pipeline.land(spark, lake, "customers", _customers(spark, {"C1": "A"}).limit(0), DAYS[0])
+    assert [r.load_date for r in pipeline.read_bronze(spark, root, "customers").collect()] == [DAYS[1]]
