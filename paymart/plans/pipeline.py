@@ -185,7 +185,7 @@ class _Load:
         self.spark, self.lake, self.day, self.rebalance = spark, lake, day, rebalance
         self.work = Lakehouse(lake.root, dict(lake.images))
         self.made: dict[tuple[str, str], Image] = {}
-        self.rekeyed: list[tuple[str, DataFrame]] = []  # (column of transactions, ids) whose facts of later days change
+        self.rekeyed: list[tuple[str, DataFrame]] = []  # (column of transactions, ids) of moved ids and changed versions
 
     def scratch(self, df: DataFrame) -> DataFrame:
         path = f"{self.lake.root}/_work/{self.day}-{uuid.uuid4().hex[:12]}"
@@ -286,11 +286,6 @@ class _Load:
             offset, old = self.work.largest_key(table), self.lake._load(s, table, [on])
             follow = _with_keys(gold.load_type1(name, base, src, on, stage=self.scratch, offset=offset), latest, natural, key)
             self.save(table, lambda: _spliced(old, follow, ids, natural), on)  # noqa: B023
-        if name == "merchant":
-            self.rekeyed.append((natural, self.scratch(ids.join(latest.select(natural), natural, "left_anti"))))
-        else:  # facts look payment methods up by their code
-            both = self.work.image(s, table).unionByName(latest).join(ids, natural, "left_semi")
-            self.rekeyed.append(("method_code", self.scratch(both.where("method_code is not null").select("method_code").distinct())))
 
     def changed(self, old: DataFrame | None, new: DataFrame, natural: str, key: str) -> DataFrame:
         """The ids whose rows differ in anything but the surrogate key, or are in one of the images only."""
@@ -419,14 +414,30 @@ class _Load:
             many = self.work._load(self.spark, "gold.fact_transaction", [self.day]).select("transaction_id").distinct().count()
         self.profile("fact_quality", {**profile, "distinct_transactions": many}, "total_rows", limits)
 
+    def other_keys(self, table: str, column: str, lookup: Callable[[DataFrame], DataFrame], day: str) -> DataFrame | None:
+        """The values of ``column`` that facts of ``day`` looked up under another key than they would now."""
+        if self.work.used(table, until=day) == self.lake.used(table, until=day):
+            return None
+        now = lookup(self.work.image(self.spark, table, until=day))
+        value, key = now.columns
+        was = self.lake.image(self.spark, table, until=day)
+        if was is None:
+            return now.select(value)
+        old = lookup(was).select(F.col(value).alias("_value"), F.col(key).alias("_key"))
+        both = now.join(old, F.col(value) == F.col("_value"), "full_outer").where(~F.col(key).eqNullSafe(F.col("_key")))
+        return both.select(F.coalesce(value, "_value").alias(column))
+
     def later_facts(self) -> None:
         """Facts of other days whose ids this load moved or whose dimension rows it changed: their months are built anew."""
         name = "gold.fact_transaction"
         for day in [d for d in self.lake.days(name) if d >= self.day and (name, d) not in self.made]:
             held, txn = (t._load(self.spark, "silver.transactions", [day]) for t in (self.lake, self.work))
+            merchants = self.other_keys("gold.dim_merchant", "merchant_id", lambda d: d.select("merchant_id", "merchant_key"), day)
+            methods = self.other_keys("gold.dim_payment_method", "method_code", gold.payment_lookup, day)
+            found = [*self.rekeyed, ("merchant_id", merchants), ("method_code", methods)]
             hit = [
                 t.join(ids, column, "left_semi").select(*MONTHS)
-                for column, ids in self.rekeyed for t in ((held, txn) if column == "transaction_id" else (txn,))
+                for column, ids in found if ids is not None for t in ((held, txn) if column == "transaction_id" else (txn,))
             ]
             months = _months(functools.reduce(DataFrame.unionByName, hit)) if hit else []
             if months:
