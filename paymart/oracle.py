@@ -529,12 +529,14 @@ def _scd2_parts(prefix: str, img: str, src: str, day: str) -> None:
 _scd2_parts("scd2", "dim_customer_1", "silver_customers_2", DAY2)
 cte("dim_customer", ["scd2_merged"], "SELECT * FROM scd2_merged")
 _scd2_parts("scd2_rerun", "dim_customer", "silver_customers_2", DAY2)
+# Day 3 lands the first snapshot again: tiers that day 2 changed go back, their versions close.
+_scd2_parts("scd2_third", "dim_customer", "silver_customers_1", DAY3)
 
 # ---- fact ----------------------------------------------------------------------
 
 
 
-def _fact(txn: str, day: str, payments: str = "dim_payment") -> str:
+def _fact(txn: str, day: str, payments: str = "dim_payment", customers: str = "dim_customer", merchants: str = "dim_merchant") -> str:
     return f"""
     SELECT c.customer_key, m.merchant_key, p.payment_method_key,
            CAST(strftime(t.txn_date, '%Y%m%d') AS INTEGER) AS date_key,
@@ -542,9 +544,9 @@ def _fact(txn: str, day: str, payments: str = "dim_payment") -> str:
            t.platform_fee, t.cashback_amount, t.net_revenue, t.is_fraud_flag, t.txn_year, t.txn_month,
            {_stamp(day)} AS created_at, t.customer_id, t.merchant_id
     FROM {txn} t
-    LEFT JOIN dim_merchant m ON t.merchant_id = m.merchant_id
+    LEFT JOIN {merchants} m ON t.merchant_id = m.merchant_id
     LEFT JOIN {payments} p ON t.method_code = p.method_code
-    LEFT JOIN dim_customer c ON t.customer_id = c.customer_id AND t.txn_date >= c.effective_start
+    LEFT JOIN {customers} c ON t.customer_id = c.customer_id AND t.txn_date >= c.effective_start
                              AND (c.effective_end IS NULL OR t.txn_date <= c.effective_end)"""
 
 
@@ -552,6 +554,15 @@ _DIMS = ["dim_merchant", "dim_payment", "dim_customer"]
 cte("fact", ["silver_transactions", *_DIMS], _fact("silver_transactions", DAY2))
 cte("fact_a", ["silver_transactions_a", *_DIMS], _fact("silver_transactions_a", DAY2))
 cte("fact_b", ["silver_transactions_b", *_DIMS], _fact("silver_transactions_b", DAY3))
+cte("fact_b_third", ["silver_transactions_b", "scd2_third_merged", *_DIMS], _fact("silver_transactions_b", DAY3, customers="scd2_third_merged"))
+cte("fact_third", ["fact_a", "fact_b_third"], "SELECT * FROM fact_a UNION ALL SELECT * FROM fact_b_third")
+# Late customers without a creation date start on the day they arrive.
+cte(
+    "dim_customer_late",
+    ["dim_customer_1"],
+    f"SELECT * REPLACE (CASE WHEN created_date IS NULL AND CAST(regexp_extract(customer_id, '[0-9]+$') AS INTEGER) % 3 = 0 "
+    f"THEN DATE '{DAY3}' ELSE effective_start END AS effective_start) FROM dim_customer_1",
+)
 # Two methods with one code, and the lookup that takes the smaller method id.
 cte(
     "dim_payment_shared",
@@ -840,6 +851,12 @@ def oracle_sql() -> dict[str, str]:
 
     q["pipeline_late_day"] = _with(by_ids("fact"), ["fact"])
     q["fact_late_part"] = _with(f"{by_ids('fact_a')} UNION ALL {by_ids('fact_b')}", ["fact_a", "fact_b"])
+    q["fact_rekeyed"] = _with(
+        "SELECT t.transaction_id, t.txn_date, CAST(t.txn_amount AS DOUBLE) AS txn_amount, c.customer_id, c.effective_start, c.kyc_tier, "
+        "m.merchant_id, m.category FROM silver_transactions t LEFT JOIN dim_merchant_1 m ON t.merchant_id = m.merchant_id "
+        "LEFT JOIN dim_customer_late c ON t.customer_id = c.customer_id AND t.txn_date >= c.effective_start",
+        ["silver_transactions", "dim_customer_late", "dim_merchant_1"],
+    )
     q["bronze_empty_day"] = _with(f"SELECT *, {_audit('merchants', DAY2)} FROM raw_merchants_1", ["raw_merchants_1"])
     q["layer_row_counts"] = _layer_counts_sql()
     q["pipeline_end_to_end"] = q["layer_row_counts"]
@@ -889,8 +906,8 @@ def oracle_sql() -> dict[str, str]:
         ["fact", "dim_payment"],
     )
     dc = "COUNT(DISTINCT f.customer_key)"
-    q["q4_segment_revenue"] = _with(
-        f"""
+    def q4(fact: str, customers: str) -> str:
+        return f"""
         SELECT c.customer_segment, c.kyc_tier, {dc} AS unique_customers, {n} AS total_transactions,
                CAST(SUM(f.txn_amount) AS DOUBLE) AS total_gmv,
                CAST(SUM(f.platform_fee) AS DOUBLE) AS total_revenue,
@@ -898,24 +915,26 @@ def oracle_sql() -> dict[str, str]:
                {_avg('SUM(f.txn_amount)', dc)} AS gmv_per_customer,
                CAST(SUM(f.is_fraud_flag) AS BIGINT) AS fraud_transactions,
                {_pct('SUM(f.is_fraud_flag)', 'COUNT(*)')} AS fraud_rate_pct
-        FROM fact f JOIN dim_customer c ON f.customer_key = c.customer_key
+        FROM {fact} f JOIN {customers} c ON f.customer_key = c.customer_key
         WHERE c.is_current = 1
         GROUP BY c.customer_segment, c.kyc_tier
-        ORDER BY total_revenue DESC""",
-        ["fact", "dim_customer"],
-    )
-    q["q5_kyc_point_in_time"] = _with(
-        f"""
+        ORDER BY total_revenue DESC"""
+
+    def q5(fact: str, customers: str) -> str:
+        return f"""
         SELECT c.kyc_tier AS kyc_tier_at_time_of_txn, {n} AS total_transactions,
                COUNT(DISTINCT c.customer_id) AS unique_customers,
                CAST(SUM(f.txn_amount) AS DOUBLE) AS total_gmv,
                CAST(SUM(f.platform_fee) AS DOUBLE) AS total_revenue,
                {_avg('SUM(f.txn_amount)', n)} AS avg_txn_value
-        FROM fact f JOIN dim_customer c ON f.customer_key = c.customer_key
+        FROM {fact} f JOIN {customers} c ON f.customer_key = c.customer_key
         GROUP BY c.kyc_tier
-        ORDER BY total_revenue DESC""",
-        ["fact", "dim_customer"],
-    )
+        ORDER BY total_revenue DESC"""
+
+    q["q4_segment_revenue"] = _with(q4("fact", "dim_customer"), ["fact", "dim_customer"])
+    q["q5_kyc_point_in_time"] = _with(q5("fact", "dim_customer"), ["fact", "dim_customer"])
+    q["q4_incremental"] = _with(q4("fact_third", "scd2_third_merged"), ["fact_third", "scd2_third_merged"])
+    q["q5_bitmap_customers"] = _with(q5("fact_third", "scd2_third_merged"), ["fact_third", "scd2_third_merged"])
     q["q5b_version_split"] = _with(
         f"""
         SELECT c.kyc_tier AS kyc_tier_at_txn_time, c.is_current, {n} AS transactions,

@@ -15,6 +15,15 @@ and facts are kept by load day: reading them unites the days, and an id stored
 on another day is not loaded again.  Closed customer versions are kept by the
 day that closed them and are never rewritten.
 
+Late rows.  A fact whose customer or merchant is unknown on its day gets the key
+when the dimension row arrives: the missing ids of each day are stored by month,
+and only the months of a day that an arriving id concerns are written again.  Such
+a fact takes the customer version valid on its date in the latest images, however
+the days were ordered; payment methods stay as of the fact's own day.
+
+Report states.  Each day's facts are summed per customer version once, when they
+are written (``plans.states``); the segment and tier reports merge the states.
+
 Quality.  Each transaction day is profiled (rejects of the feed, NULL keys and
 calendar misses of the facts); ``fail_above`` stops the day, before anything of
 it becomes visible, when a count exceeds its share of the rows.
@@ -44,7 +53,7 @@ from paymart.operators.calendar import EARLIEST, LATEST, dim_date
 from paymart.operators.id_index import admitted, bucket_count, id_filters
 from paymart.operators.joins import checked_broadcast, known_to_fit
 from paymart.operators.keys import SMALL_ROWS
-from paymart.plans import gold, silver
+from paymart.plans import gold, silver, states
 from paymart.sources import fixtures
 from paymart.sources.bronze import ingest_csv, read_bronze
 from paymart.sources.csv import write_csv
@@ -55,7 +64,10 @@ CATALOG = "seq long, name string, day string, path string, rows long, schema str
 
 # Tables kept by load day; all others are snapshots read at their latest day.
 ID_FILTERS = "silver.transaction_id_filters"
-BY_DAY = {"silver.transactions", ID_FILTERS, "gold.fact_transaction", "gold.dim_customer_closed"}
+MISSING = "gold.fact_missing_ids"
+SPEND = "gold.customer_spend"
+TIER_CUSTOMERS = "gold.tier_customers"
+BY_DAY = {"silver.transactions", ID_FILTERS, "gold.fact_transaction", MISSING, SPEND, TIER_CUSTOMERS, "gold.dim_customer_closed"}
 CUSTOMER_PARTS = ("gold.dim_customer_current", "gold.dim_customer_closed")
 BY_MONTH = {"silver.transactions", "gold.fact_transaction"}
 MONTHS = ["txn_year", "txn_month"]
@@ -116,7 +128,7 @@ class Lakehouse:
             self.images[image.name, image.day] = image
 
     def days(self, name: str) -> list[str]:
-        return sorted(day for n, day in self.images if n == name)
+        return sorted(day for n, day in list(self.images) if n == name)  # tables load side by side
 
     def _files(self, spark: SparkSession, name: str, days: list[str]) -> DataFrame:
         """The stored rows of some days, their folders' values as further columns."""
@@ -140,7 +152,7 @@ class Lakehouse:
 
     def largest_key(self, name: str, but: str | None = None) -> int:
         """The largest surrogate key of all images, those of the day ``but`` aside."""
-        return max((i.max_key or 0 for (n, d), i in self.images.items() if n == name and d != but), default=0)
+        return max((i.max_key or 0 for (n, d), i in list(self.images.items()) if n == name and d != but), default=0)
 
     def image(self, spark: SparkSession, name: str, until: str | None = None, before: str | None = None) -> DataFrame | None:
         """A table as of a day (``until``: that day included), or None if it has no image yet."""
@@ -185,6 +197,7 @@ class _Load:
         self.spark, self.lake, self.day, self.rebalance = spark, lake, day, rebalance
         self.work = Lakehouse(lake.root, dict(lake.images))
         self.made: dict[tuple[str, str], Image] = {}
+        self.gaps: list[str] = []  # days whose missing ids are to be listed anew
         self.rekeyed: list[tuple[str, DataFrame]] = []  # (column of transactions, ids) of moved ids and changed versions
 
     def scratch(self, df: DataFrame) -> DataFrame:
@@ -245,6 +258,8 @@ class _Load:
         if not later:
             self.save(current, lambda: stay)
             self.save(closed, lambda: gone)
+            if any(d >= day for d in self.lake.days("gold.fact_transaction")):  # a day loaded again by another feed
+                self.rekeyed.append(("customer_id", self.scratch(self.moved_versions().select(F.col("id").alias("customer_id")).distinct())))
             return
         stay, gone = self.scratch(stay), self.scratch(gone)
         prior, old_gone = self.lake.image(s, current, until=day), self.lake._load(s, closed, [d for d in self.lake.days(closed) if d == day])
@@ -394,12 +409,21 @@ class _Load:
         return seen["first"], seen["last"]
 
     def fact_of(self, txn: DataFrame, day: str) -> DataFrame:
+        """Facts of ``day``: keys as its images have them; customers and merchants unknown then, as the latest images do."""
         dims = [self.work.image(self.spark, n, until=day) for n in ("gold.dim_customer", "gold.dim_merchant", "gold.dim_payment_method")]
+        late = {}
+        for at, (table, column) in enumerate((("gold.dim_customer", "customer_id"), ("gold.dim_merchant", "merchant_id"))):
+            names = CUSTOMER_PARTS if table == "gold.dim_customer" else (table,)
+            if any(d > day for d in self.work.days(names[0])):
+                newest, then = self.work.image(self.spark, table), dims[at]
+                if then is not None:
+                    newest = then.unionByName(newest.join(then.select(column), column, "left_anti").select(*newest.columns))
+                dims[at], late[column] = newest, [i for n in names for i in self.work.used(n)]
         small = {}
         for column, names, columns in (
             ("customer_id", CUSTOMER_PARTS, 4), ("merchant_id", ("gold.dim_merchant",), 2), ("method_code", ("gold.dim_payment_method",), 2),
         ):
-            used = [i for n in names for i in self.work.used(n, until=day)]
+            used = [i for n in names for i in self.work.used(n, until=day)] + late.get(column, [])
             small[column] = known_to_fit(sum(i.rows for i in used), max((i.longest or 0 for i in used), default=0), columns)
         return gold.fact_transaction(txn, *dims, day, small=small)
 
@@ -413,16 +437,113 @@ class _Load:
         if profile["total_rows"] != many:
             many = self.work._load(self.spark, "gold.fact_transaction", [self.day]).select("transaction_id").distinct().count()
         self.profile("fact_quality", {**profile, "distinct_transactions": many}, "total_rows", limits)
+        if profile["null_customer_key"] + profile["null_merchant_key"] or self.has_later_rows(self.day) or (MISSING, self.day) in self.lake.images:
+            self.gaps.append(self.day)
+
+    def has_later_rows(self, day: str) -> bool:
+        """Whether a customer or merchant image of a later day may have filled keys of facts of ``day``."""
+        return any(d > day for n in (CUSTOMER_PARTS[0], "gold.dim_merchant") for d in self.work.days(n))
+
+    def save_missing(self, day: str) -> None:
+        """The customer and merchant ids of the day's transactions that the images of the day do not have.
+
+        One row per column, id and month with the first and last date, so that a
+        row of a dimension that arrives later finds its facts without reading them.
+        """
+        txn, s = self.work._load(self.spark, "silver.transactions", [day]), self.spark
+
+        def missing() -> DataFrame:
+            parts = []
+            for table, column in (("gold.dim_customer", "customer_id"), ("gold.dim_merchant", "merchant_id")):
+                span = txn.groupBy(column, *MONTHS).agg(F.min("txn_date").alias("first_date"), F.max("txn_date").alias("last_date"))
+                known = self.work.image(s, table, until=day)
+                span = span.where(F.col(column).isNotNull())
+                span = span if known is None else span.join(known.select(column), column, "left_anti")
+                parts.append(span.select(
+                    F.lit(column).alias("id_column"), F.col(column).alias("id"), *MONTHS, "first_date", "last_date"))
+            return parts[0].unionByName(parts[1])
+
+        self.save(MISSING, missing, day)
+
+    def moved_versions(self) -> DataFrame | None:
+        """(id, from_date, to_date): where the customer versions of the latest images differ from those before this load.
+
+        A closed version lies in the image of the day that closed it, so only the
+        closed images of this load and the current ones can differ.
+        """
+        current, closed = CUSTOMER_PARTS
+        if not any((n, d) in self.made for n in CUSTOMER_PARTS for d in self.work.days(n)):
+            return None
+        days = [d for n, d in list(self.made) if n == closed]
+        far, sides = F.lit(LATEST).cast("date"), []
+        for lake in (self.lake, self.work):
+            frames = [lake.image(self.spark, current), lake._load(self.spark, closed, sorted(d for d in days if (closed, d) in lake.images))]
+            frames = [f.select("customer_id", "customer_key", "effective_start", "effective_end") for f in frames if f is not None]
+            sides.append(functools.reduce(DataFrame.unionByName, frames) if frames else None)
+        old, new = sides
+        if old is None:
+            old = new.limit(0)
+        new = new.select("*", F.lit(True).alias("_new"), F.coalesce("effective_end", far).alias("_new_end"))
+        old = old.select(
+            F.col("customer_id").alias("_id"), F.col("customer_key").alias("_key"), F.col("effective_start").alias("_start"),
+            F.lit(True).alias("_old"), F.coalesce("effective_end", far).alias("_old_end"))
+        same = (F.col("customer_id") == F.col("_id")) & (F.col("customer_key") == F.col("_key")) & F.col("effective_start").eqNullSafe(F.col("_start"))
+        both = new.join(old, same, "full_outer").where(~F.col("_new_end").eqNullSafe(F.col("_old_end")))
+        kept = F.col("_new") & F.col("_old")
+        return both.select(
+            F.coalesce("customer_id", "_id").alias("id"),
+            F.when(kept, F.date_add(F.least("_new_end", "_old_end"), 1)).otherwise(F.coalesce("effective_start", "_start")).alias("from_date"),
+            F.greatest("_new_end", "_old_end").alias("to_date"),
+        )
 
-    def other_keys(self, table: str, column: str, lookup: Callable[[DataFrame], DataFrame], day: str) -> DataFrame | None:
-        """The values of ``column`` that facts of ``day`` looked up under another key than they would now."""
+    def late_rows(self) -> None:
+        """Facts of earlier days whose customer or merchant was unknown then and is another now: their months are built anew."""
+        s, name = self.spark, "gold.fact_transaction"
+        days = [d for d in self.lake.days(MISSING) if d < self.day and (name, d) not in self.made]
+        versions = self.moved_versions()
+        table = "gold.dim_merchant"
+        merchants = None
+        if any(n == table for n, _ in self.made):
+            merchants = self.other_keys(table, "id", lambda d: d.select("merchant_id", "merchant_key"), None)
+        if not days or (versions is None and merchants is None):
+            return
+        gaps = functools.reduce(DataFrame.unionByName, [self.lake._load(s, MISSING, [d]).withColumn("of", F.lit(d)) for d in days])
+        hit = []
+        if versions is not None:
+            v = versions.select(F.col("id").alias("_id"), "from_date", "to_date")
+            meets = (F.col("id") == F.col("_id")) & (F.col("from_date") <= F.col("last_date")) & (F.col("to_date") >= F.col("first_date"))
+            hit.append(gaps.where("id_column = 'customer_id'").join(v, meets, "left_semi"))
+        if merchants is not None:
+            hit.append(gaps.where("id_column = 'merchant_id'").join(merchants, "id", "left_semi"))
+        found: dict[str, list[tuple]] = {}
+        for r in functools.reduce(DataFrame.unionByName, [h.select("of", *MONTHS) for h in hit]).distinct().collect():  # load days x months
+            found.setdefault(r["of"], []).append((r[MONTHS[0]], r[MONTHS[1]]))
+        for day, months in sorted(found.items()):
+            txn = self.work._load(s, "silver.transactions", [day])
+            self.save(name, lambda: self.fact_of(txn.where(_in_months(months)), day), day, kept=self.other_months(name, day, months))  # noqa: B023
+
+    def spending(self, day: str) -> None:
+        """The report states of a day."""
+        fact = self.work._load(self.spark, "gold.fact_transaction", [day])
+        spend, _ = self.save(SPEND, lambda: states.customer_spend(fact), day)
+        self.save(TIER_CUSTOMERS, lambda: states.tier_bitmaps(spend, self.work.image(self.spark, "gold.dim_customer")), day)
+
+    def summaries(self) -> None:
+        """Missing ids and report states of every day whose facts this load wrote, and of no other day."""
+        written = sorted(d for n, d in self.made if n == "gold.fact_transaction")
+        with ThreadPoolExecutor(4) as pool:
+            for step in [*(pool.submit(self.spending, d) for d in written), *(pool.submit(self.save_missing, d) for d in self.gaps)]:
+                step.result()
+
+    def other_keys(self, table: str, column: str, lookup: Callable[[DataFrame], DataFrame], day: str | None) -> DataFrame | None:
+        """The values of ``column`` that facts of ``day`` (None: of the latest images) looked up under another key than they would now."""
         if self.work.used(table, until=day) == self.lake.used(table, until=day):
             return None
         now = lookup(self.work.image(self.spark, table, until=day))
         value, key = now.columns
         was = self.lake.image(self.spark, table, until=day)
         if was is None:
-            return now.select(value)
+            return now.select(F.col(value).alias(column))
         old = lookup(was).select(F.col(value).alias("_value"), F.col(key).alias("_key"))
         both = now.join(old, F.col(value) == F.col("_value"), "full_outer").where(~F.col(key).eqNullSafe(F.col("_key")))
         return both.select(F.coalesce(value, "_value").alias(column))
@@ -442,6 +563,7 @@ class _Load:
             months = _months(functools.reduce(DataFrame.unionByName, hit)) if hit else []
             if months:
                 self.save(name, lambda: self.fact_of(txn.where(_in_months(months)), day), day, kept=self.other_months(name, day, months))  # noqa: B023
+                self.gaps.append(day)
 
     def profile(self, name: str, counts: dict[str, int], total: str, fail_above: dict[str, float]) -> None:
         self.lake.quality.setdefault(self.day, {})[name] = counts
@@ -509,6 +631,8 @@ def load_day(
     if "transactions" in sources:
         run.facts(run.calendar(calendar), limits)
     run.later_facts()
+    run.late_rows()
+    run.summaries()
     t = time.perf_counter()
     lake.commit(spark, list(run.made.values()))
     lake.seconds[f"catalog@{day}"] = time.perf_counter() - t

@@ -28,7 +28,7 @@ from paymart.operators.calendar import dim_date
 from paymart.operators.joins import as_of_join, lookup_join
 from paymart.operators.keys import dense_keys
 from paymart.operators.quality import drop_null_keys, valid_transactions
-from paymart.plans import gold, pipeline, reports, silver
+from paymart.plans import gold, pipeline, reports, silver, states
 from paymart.plans.scenario import Warehouse
 from paymart.plans.views import register_views
 from paymart.schemas import CUSTOMER_TRACKED, DIM_CUSTOMER_COLUMNS, FACT_COLUMNS, MERCHANT_TRACKED
@@ -537,6 +537,52 @@ def q_fact_late_part(spark, sf_dir):
     return _by_ids(spark, lake)
 
 
+def q_fact_rekeyed(spark, sf_dir):
+    """A third of the customers and half of the merchants arrive a day after their transactions: the facts get their keys then."""
+    lake, d = pipeline.Lakehouse(new_table_path(spark, "lakehouse")), sf_dir.rstrip("/")
+    customers, merchants = fixtures.raw_customers(spark, d, 1), fixtures.raw_merchants(spark, d, 1)
+    late = lambda column, of: F.coalesce(F.regexp_extract(column, r"\d+$", 0).cast("int") % of == 0, F.lit(False))
+    pipeline.land(spark, lake, "customers", customers.where(~late("customer_id", 3)), DAY1)
+    pipeline.land(spark, lake, "merchants", merchants.where(~late("merchant_id", 2)), DAY1)
+    pipeline.land(spark, lake, "payment_methods", fixtures.raw_payment_methods(spark, d, 1), DAY1)
+    pipeline.load_day(spark, lake, DAY1, pipeline.DAY1_FEEDS)
+    pipeline.land(spark, lake, "transactions", fixtures.raw_transactions(spark, d), DAY2)
+    pipeline.load_day(spark, lake, DAY2, {"transactions"})
+    pipeline.land(spark, lake, "customers", customers, DAY3)
+    pipeline.land(spark, lake, "merchants", merchants, DAY3)
+    pipeline.load_day(spark, lake, DAY3, {"customers", "merchants"})
+    return _by_ids(spark, lake).select("transaction_id", "txn_date", "txn_amount", "customer_id", "effective_start", "kyc_tier", "merchant_id", "category")
+
+
+def _three_days(spark, sf_dir) -> pipeline.Lakehouse:
+    """Transactions of day 2 before the customers of that day change tiers on day 3, whose transactions follow; once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "three")
+    if key not in _STORED:
+        lake, d = pipeline.Lakehouse(new_table_path(spark, "lakehouse")), sf_dir.rstrip("/")
+        pipeline.land_day1(spark, lake, d)
+        pipeline.load_day(spark, lake, DAY1, pipeline.DAY1_FEEDS)
+        pipeline.land_day2(spark, lake, d, "first")
+        pipeline.load_day(spark, lake, DAY2, pipeline.DAY2_FEEDS)
+        pipeline.land(spark, lake, "customers", fixtures.raw_customers(spark, d, 1), DAY3)
+        pipeline.land(spark, lake, "transactions", fixtures.raw_transactions(spark, d, "second"), DAY3)
+        pipeline.load_day(spark, lake, DAY3, {"customers", "transactions"})
+        _STORED[key] = lake
+    return _STORED[key]
+
+
+def q4_incremental(spark, sf_dir):
+    """Q4 over three days from the states that each day's facts left; versions closed on day 3 fall out."""
+    lake = _three_days(spark, sf_dir)
+    return as_doubles(states.segment_revenue(lake.read(spark, pipeline.SPEND), lake.read(spark, "gold.dim_customer")))
+
+
+def q5_bitmap_customers(spark, sf_dir):
+    """Q5 over three days, its distinct customers from bitmaps per day and tier."""
+    lake = _three_days(spark, sf_dir)
+    spend, bitmaps = lake.read(spark, pipeline.SPEND), lake.read(spark, pipeline.TIER_CUSTOMERS)
+    return as_doubles(states.kyc_point_in_time(spend, bitmaps, lake.read(spark, "gold.dim_customer")))
+
+
 def q_bronze_empty_day(spark, sf_dir):
     """Two days landed, then the first one again by a feed that has no rows any more."""
     root, feed = new_table_path(spark, "bronze"), fixtures.raw_merchants(spark, sf_dir.rstrip("/"), 1)
@@ -657,6 +703,9 @@ QUERIES: dict[str, Query] = {
     "fact_two_days": q_fact_two_days,
     "pipeline_late_day": q_pipeline_late_day,
     "fact_late_part": q_fact_late_part,
+    "fact_rekeyed": q_fact_rekeyed,
+    "q4_incremental": q4_incremental,
+    "q5_bitmap_customers": q5_bitmap_customers,
     "bronze_empty_day": q_bronze_empty_day,
     "sql_views_q5b": q_sql_views_q5b,
     "q1_monthly_gmv": q1_monthly_gmv,
