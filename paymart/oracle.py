@@ -804,7 +804,29 @@ def oracle_sql() -> dict[str, str]:
     q["join_dim_merchant"] = _with("SELECT transaction_id, merchant_id, merchant_key FROM fact", ["fact"])
     q["join_dim_payment"] = _with("SELECT transaction_id, method_code, payment_method_key FROM fact", ["fact"])
     q["point_in_time_join"] = _with("SELECT transaction_id, customer_id, txn_date, customer_key FROM fact", ["fact"])
-    q["as_of_join_salted"] = q["point_in_time_join"]
+    q["as_of_join_salted"] = q["as_of_join_ordered"] = q["point_in_time_join"]
+    # the planted rules of the audit query, then neighbours by lag
+    q["scd2_audit"] = _with(
+        """
+        SELECT customer_id, customer_key, effective_start, effective_end, previous_end, fault
+        FROM (SELECT *, unnest([
+                  CASE WHEN follows AND (previous_end IS NULL OR effective_start <= previous_end) THEN 'overlap' END,
+                  CASE WHEN follows AND effective_start > previous_end + 1 THEN 'gap' END,
+                  CASE WHEN follows AND customer_key <= previous_key THEN 'key_order' END,
+                  CASE WHEN effective_end < effective_start THEN 'reversed' END,
+                  CASE WHEN (effective_end IS NULL) <> (is_current = 1) THEN 'open_flag' END]) AS fault
+              FROM (SELECT *, row_number() OVER w > 1 AS follows, lag(effective_end) OVER w AS previous_end,
+                           lag(customer_key) OVER w AS previous_key
+                    FROM (SELECT customer_id, CASE WHEN customer_key % 7 = 0 THEN -customer_key ELSE customer_key END AS customer_key,
+                                 effective_start,
+                                 CASE customer_key % 5 WHEN 0 THEN effective_end - 3 WHEN 1 THEN effective_end + 4
+                                      ELSE effective_end END AS effective_end,
+                                 CASE WHEN customer_key % 11 = 0 THEN 1 - is_current ELSE is_current END AS is_current
+                          FROM dim_customer) p
+                    WINDOW w AS (PARTITION BY customer_id ORDER BY effective_start, customer_key)) l) f
+        WHERE fault IS NOT NULL""",
+        ["dim_customer"],
+    )
     q["fact_transaction"] = _with(_select_money("fact", FACT_OUT, _MONEY), ["fact"])
     q["fact_partition_roundtrip"] = q["fact_transaction"]
     def quality(cal: str) -> str:

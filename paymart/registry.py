@@ -27,6 +27,7 @@ from paymart.operators import scd2 as scd2_ops
 from paymart.operators.calendar import dim_date
 from paymart.operators.joins import as_of_join, lookup_join
 from paymart.operators.keys import dense_keys
+from paymart.operators.ordered import as_of_join_ordered, interval_audit
 from paymart.operators.quality import drop_null_keys, valid_transactions
 from paymart.plans import gold, pipeline, reports, silver, states
 from paymart.plans.scenario import Warehouse
@@ -362,6 +363,27 @@ def q_as_of_join_salted(spark, sf_dir):
     return _pit(spark, sf_dir, max_broadcast_rows=0, hot_key_rows=1, salt_buckets=8)
 
 
+def q_as_of_join_ordered(spark, sf_dir):
+    """The as-of join as one ordered stream of versions and facts."""
+    w = _w(spark, sf_dir)
+    versions = w.dim_customer.select("customer_id", "customer_key", "effective_start", "effective_end")
+    t = w.transactions.select("transaction_id", "customer_id", "txn_date")
+    return as_of_join_ordered(t, versions, key="customer_id", at="txn_date").select("transaction_id", "customer_id", "txn_date", "customer_key")
+
+
+def q_scd2_audit(spark, sf_dir):
+    """The customer history with planted faults: ends moved by rule of the key, flags flipped, keys turned round."""
+    k, end = F.col("customer_key"), F.col("effective_end")
+    planted = _w(spark, sf_dir).dim_customer.select(
+        "customer_id",
+        F.when(k % 7 == 0, -k).otherwise(k).alias("customer_key"),
+        "effective_start",
+        F.when(k % 5 == 0, F.date_sub(end, 3)).when(k % 5 == 1, F.date_add(end, 4)).otherwise(end).alias("effective_end"),
+        F.when(k % 11 == 0, 1 - F.col("is_current")).otherwise(F.col("is_current")).alias("is_current"),
+    )
+    return interval_audit(planted, "customer_id", "customer_key")
+
+
 def q_fact_transaction(spark, sf_dir):
     return as_doubles(_w(spark, sf_dir).fact)
 
@@ -680,6 +702,8 @@ QUERIES: dict[str, Query] = {
     "join_dim_payment": q_join_dim_payment,
     "point_in_time_join": q_point_in_time_join,
     "as_of_join_salted": q_as_of_join_salted,
+    "as_of_join_ordered": q_as_of_join_ordered,
+    "scd2_audit": q_scd2_audit,
     "fact_transaction": q_fact_transaction,
     "fact_partition_roundtrip": q_fact_partition_roundtrip,
     "fact_quality": q_fact_quality,
