@@ -884,7 +884,7 @@ def oracle_sql() -> dict[str, str]:
     q["pipeline_end_to_end"] = q["layer_row_counts"]
 
     n = "COUNT(f.transaction_id)"
-    def q1(cal: str) -> str:
+    def q1(cal: str, more: str = "") -> str:
         return f"""
         SELECT d.year, d.month_name, d.month, {n} AS total_transactions,
                CAST(SUM(f.txn_amount) AS DOUBLE) AS gross_merchandise_value,
@@ -893,11 +893,13 @@ def oracle_sql() -> dict[str, str]:
                CAST(SUM(f.net_revenue) AS DOUBLE) AS net_revenue,
                {_avg('SUM(f.txn_amount)', n)} AS avg_transaction_value
         FROM fact f JOIN {cal} d ON f.date_key = d.date_key
-        WHERE f.txn_status = 'SUCCESS'
+        WHERE f.txn_status = 'SUCCESS' {more}
         GROUP BY d.year, d.month, d.month_name
         ORDER BY d.year, d.month"""
 
     q["q1_monthly_gmv"] = _with(q1("dim_date"), ["fact", "dim_date"])
+    q["q1_range"] = _with(
+        q1("dim_date", "AND f.txn_date BETWEEN DATE '1994-11-16' AND DATE '1996-02-10'"), ["fact", "dim_date"])
     q["q1_short_calendar"] = _with(q1("short_dim_date"), ["fact", "short_dim_date"])
     failed = "SUM(CASE WHEN f.txn_status = 'FAILED' THEN 1 ELSE 0 END)"
     ok = "SUM(CASE WHEN f.txn_status = 'SUCCESS' THEN 1 ELSE 0 END)"

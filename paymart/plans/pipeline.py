@@ -167,6 +167,16 @@ class Lakehouse:
             raise KeyError(name)
         return found
 
+    def facts_between(self, spark: SparkSession, first: str, last: str) -> DataFrame:
+        """Facts dated ``first`` to ``last`` (both included), read from the month folders of that range only.
+
+        Facts without a date are in no range.
+        """
+        y, m, d = (F.col(c) for c in (*MONTHS, "txn_date"))
+        (y0, m0), (y1, m1) = ((int(x[:4]), int(x[5:7])) for x in (first, last))
+        folders = ((y > y0) | ((y == y0) & (m >= m0))) & ((y < y1) | ((y == y1) & (m <= m1)))
+        return self.read(spark, "gold.fact_transaction").where(folders & d.between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+
     @property
     def rows(self) -> dict[str, int]:
         """Rows of each stored table: of its latest image, or of all days."""

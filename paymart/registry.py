@@ -402,12 +402,19 @@ def q_fact_quality(spark, sf_dir):
 
 # The calendar of these two ends before the last transactions.
 SHORT_CALENDAR = ("1992-01-01", "1996-12-31")
+Q1_RANGE = ("1994-11-16", "1996-02-10")
 
 
 def q_fact_quality_short_calendar(spark, sf_dir):
     return gold.fact_quality(_w(spark, sf_dir).fact, dim_date(spark, *SHORT_CALENDAR))
 
 
+def q1_range(spark, sf_dir):
+    """Q1 of the facts between two dates, read from the stored months they lie in."""
+    lake = _stored(spark, sf_dir)
+    return as_doubles(reports.monthly_gmv(lake.facts_between(spark, *Q1_RANGE), lake.read(spark, "gold.dim_date")))
+
+
 def q1_short_calendar(spark, sf_dir):
     """Q1 joins the calendar, so facts outside it drop out."""
     return as_doubles(reports.monthly_gmv(_w(spark, sf_dir).fact, dim_date(spark, *SHORT_CALENDAR)))
@@ -728,6 +735,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_late_day": q_pipeline_late_day,
     "fact_late_part": q_fact_late_part,
     "fact_rekeyed": q_fact_rekeyed,
+    "q1_range": q1_range,
     "q4_incremental": q4_incremental,
     "q5_bitmap_customers": q5_bitmap_customers,
     "bronze_empty_day": q_bronze_empty_day,

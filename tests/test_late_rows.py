@@ -117,3 +117,15 @@ def test_bitmaps_hold_members_of_several_buckets(spark):
     both = parts[0].unionByName(parts[1]).unionByName(parts[2])
     assert {r.kyc_tier: r.members for r in states.distinct_members(both).collect()} == {None: 1, "FULL": 3}
     assert both.select(F.max(F.octet_length("members"))).first()[0] == 4096
+
+
+def test_a_date_range_reads_the_folders_of_its_months(spark, lake):
+    dates = ["2023-11-30", "2023-12-01", "2023-12-31", "2024-01-05", "2024-02-10", "2024-02-11", "2024-03-01", None]
+    _load(spark, lake, DAYS[0], C1, ["M1"], [(f"T{i}", "C1", "M1", d) for i, d in enumerate(dates)])
+    found = lake.facts_between(spark, "2023-12-02", "2024-02-10")
+    assert sorted(r.transaction_id for r in found.collect()) == ["T2", "T3", "T4"]
+    plan = found._jdf.queryExecution().executedPlan()
+    scans = [p for p in plan.collectLeaves().mkString("\n").split("\n") if "FileScan" in p]
+    assert scans and all("PartitionFilters: [" in p and "txn_year" in p.split("PartitionFilters: [")[1].split("PushedFilters")[0] for p in scans)
+    folders = found.select(F.regexp_extract("_metadata.file_path", "txn_year.*/", 0)).distinct().count()
+    assert folders == 3
