@@ -13,6 +13,7 @@ the Spark side too), averages and rates use the same exact HALF_UP rule.
 
 from __future__ import annotations
 
+from paymart.schemas import RAW_COLUMNS
 from paymart.sources.fixtures import DAY1, DAY2, DAY3, UPDATES_DATE
 
 # ---------------------------------------------------------------------------
@@ -224,6 +225,9 @@ def _raw_transactions(where: str = "TRUE") -> str:
 
 # The feed, and its two parts with rows in common.
 cte("raw_transactions", [], _raw_transactions())
+_AS_TEXT = [f"coalesce({c}, '')" for c in RAW_COLUMNS["transactions"]]
+cte("feed_lines", ["raw_transactions"],
+    f"SELECT *, {' || chr(44) || '.join(_AS_TEXT)} AS whole, {' || chr(44) || '.join(_AS_TEXT[:6])} AS cut, length(whole) % 10 AS kind FROM raw_transactions")
 cte("raw_transactions_a", [], _raw_transactions("l_partkey % 3 <> 2"))
 cte("raw_transactions_b", [], _raw_transactions("l_partkey % 3 <> 0"))
 
@@ -880,6 +884,16 @@ def oracle_sql() -> dict[str, str]:
         ["silver_transactions", "dim_customer_late", "dim_merchant_1"],
     )
     q["bronze_empty_day"] = _with(f"SELECT *, {_audit('merchants', DAY2)} FROM raw_merchants_1", ["raw_merchants_1"])
+    columns = RAW_COLUMNS["transactions"]
+    audit = ["load_timestamp", "source_file"]
+    q["bronze_quarantine"] = _with(
+        f"SELECT {', '.join(columns)}, {_audit('transactions', DAY2)}, NULL AS reason, NULL AS line, CAST(NULL AS INT) AS found_fields, "
+        f"CAST(NULL AS INT) AS expected_fields FROM feed_lines WHERE kind NOT IN (3, 5, 7) UNION ALL "
+        f"SELECT {', '.join(f'NULL AS {c}' for c in [*columns, *audit])}, '{DAY2}', CASE kind WHEN 7 THEN 'long' ELSE 'short' END, "
+        f"CASE kind WHEN 3 THEN cut WHEN 5 THEN chr(34) || cut ELSE whole || ',more' END, CASE kind WHEN 3 THEN 6 WHEN 5 THEN 1 ELSE {len(columns) + 1} END, "
+        f"{len(columns)} FROM feed_lines WHERE kind IN (3, 5, 7)",
+        ["feed_lines"],
+    )
     q["layer_row_counts"] = _layer_counts_sql()
     q["pipeline_end_to_end"] = q["layer_row_counts"]
 

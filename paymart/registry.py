@@ -34,7 +34,7 @@ from paymart.plans.scenario import Warehouse
 from paymart.plans.views import register_views
 from paymart.schemas import CUSTOMER_TRACKED, DIM_CUSTOMER_COLUMNS, FACT_COLUMNS, MERCHANT_TRACKED
 from paymart.sources import fixtures
-from paymart.sources.bronze import add_audit_columns, ingest_csv, read_bronze
+from paymart.sources.bronze import add_audit_columns, ingest_csv, read_bronze, read_quarantine
 from paymart.sources.csv import read_csv_strings, write_csv
 from paymart.sources.fixtures import DAY1, DAY2, DAY3
 from paymart.sources.storage import new_table_path, read_table, write_table
@@ -622,6 +622,29 @@ def q_bronze_empty_day(spark, sf_dir):
     return read_bronze(spark, root, "merchants")
 
 
+def _faulty_landing(spark, sf_dir) -> str:
+    """Transactions landed as text lines; lines of some lengths lose fields, gain one or open a quote that never closes."""
+    raw = _w(spark, sf_dir).raw("transactions")
+    fields = [F.coalesce(c, F.lit("")) for c in raw.columns]
+    line, short = F.concat_ws(",", *fields), F.concat_ws(",", *fields[:6])
+    kind = F.length(line) % 10
+    faulty = F.when(kind == 3, short).when(kind == 7, F.concat(line, F.lit(",more"))).when(kind == 5, F.concat(F.lit('"'), short)).otherwise(line)
+    path = new_table_path(spark, "landing-faulty")
+    raw.select(faulty.alias(",".join(raw.columns))).write.option("header", True).option("quote", "").option("sep", "\x01").option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
+def q_bronze_quarantine(spark, sf_dir):
+    """A feed with malformed lines: the good ones in bronze, the others in quarantine with what is wrong."""
+    root = new_table_path(spark, "bronze")
+    ingest_csv(spark, "transactions", _faulty_landing(spark, sf_dir), root, DAY2)
+    good, bad = read_bronze(spark, root, "transactions"), read_quarantine(spark, root, "transactions")
+    none = [F.lit(None).cast("string").alias(c) for c in bad.columns if c in ("reason", "line")]
+    counts = [F.lit(None).cast("int").alias(c) for c in ("found_fields", "expected_fields")]
+    return good.select(*good.columns, *none, *counts).unionByName(bad.drop("source", "landed_file", "first_field"), allowMissingColumns=True)
+
+
 def q_sql_views_q5b(spark, sf_dir):
     """The version comparison in SQL over the registered views of the stored warehouse."""
     register_views(spark, _stored(spark, sf_dir))
@@ -739,6 +762,7 @@ QUERIES: dict[str, Query] = {
     "q4_incremental": q4_incremental,
     "q5_bitmap_customers": q5_bitmap_customers,
     "bronze_empty_day": q_bronze_empty_day,
+    "bronze_quarantine": q_bronze_quarantine,
     "sql_views_q5b": q_sql_views_q5b,
     "q1_monthly_gmv": q1_monthly_gmv,
     "q2_top_merchants": q2_top_merchants,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from paymart.schemas import AUDIT_COLUMNS, BRONZE_TABLES, RAW_COLUMNS, bronze_schema
-from paymart.sources.csv import read_csv_strings
+from paymart.sources.csv import RESCUED, field_count, read_csv_rescued
 from paymart.sources.storage import path_exists, read_table, write_table
 
 
@@ -25,20 +26,66 @@ def add_audit_columns(df: DataFrame, source: str, load_date: str, load_timestamp
     )
 
 
+QUARANTINE_SCHEMA = StructType(
+    [
+        StructField("source", StringType()),
+        StructField("landed_file", StringType()),
+        StructField("reason", StringType()),
+        StructField("found_fields", IntegerType()),
+        StructField("expected_fields", IntegerType()),
+        StructField("first_field", StringType()),
+        StructField("line", StringType()),
+        StructField("load_date", StringType()),
+    ]
+)
+
+
 def ingest_csv(spark: SparkSession, source: str, csv_path: str, bronze_root: str, load_date: str) -> str:
     """Land one CSV source into its bronze table for ``load_date``.
 
     The day's own folder is overwritten: re-running a day replaces that day only,
     also by a feed that has no rows any more, and earlier days stay (full audit
     trail).  The CSV splits already size the output files, so no shuffle is added.
-    Returns the table path.
+    Lines that are malformed go to the quarantine table of the source instead,
+    one day's folder likewise.  They are counted while the good rows are written;
+    only a feed that has some is scanned a second time (a task run twice can only
+    raise the count, so none is missed).  Returns the table path.
     """
     path = f"{bronze_root}/{BRONZE_TABLES[source]}"
-    df = add_audit_columns(read_csv_strings(spark, csv_path, source), source, load_date)
+    rows = read_csv_rescued(spark, csv_path, source)
+    seen = Observation()
+    counted = rows.observe(seen, F.count(RESCUED).alias("malformed"))
+    df = add_audit_columns(counted.where(F.col(RESCUED).isNull()), source, load_date)
     write_table(df.drop("load_date"), f"{path}/load_date={load_date}")
+    rejects = f"{quarantine_path(bronze_root, source)}/load_date={load_date}"
+    if seen.get["malformed"] or path_exists(spark, rejects):
+        write_table(_rejected(rows, source), rejects)
     return path
 
 
+def _rejected(rows: DataFrame, source: str) -> DataFrame:
+    """Malformed lines with the file they came from and what is wrong with them."""
+    found = field_count(F.col(RESCUED))
+    reason = F.when(found < F.col("expected_fields"), "short").when(found > F.col("expected_fields"), "long").otherwise("unreadable")
+    return rows.where(F.col(RESCUED).isNotNull()).select(
+        F.lit(source).alias("source"), "landed_file", reason.alias("reason"), found.alias("found_fields"), "expected_fields",
+        F.col(RAW_COLUMNS[source][0]).alias("first_field"), F.col(RESCUED).alias("line"),  # Spark wants a parsed column beside the line
+    )
+
+
+def quarantine_path(bronze_root: str, source: str) -> str:
+    return f"{bronze_root}/{BRONZE_TABLES[source]}_quarantine"
+
+
+def read_quarantine(spark: SparkSession, bronze_root: str, source: str, load_date: str | None = None) -> DataFrame:
+    """Malformed lines of a source (optionally of one load date); no rows if no day had any."""
+    path = quarantine_path(bronze_root, source)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+    df = read_table(spark, path, QUARANTINE_SCHEMA)
+    return df if load_date is None else df.filter(F.col("load_date") == load_date)
+
+
 def stream_path(bronze_root: str, source: str) -> str:
     """Where the streaming landing keeps its part of a bronze table (its commit log rules that folder alone)."""
     return f"{bronze_root}/{BRONZE_TABLES[source]}_stream"

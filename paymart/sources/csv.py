@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from paymart.schemas import RAW_COLUMNS, string_schema
 
+#: Column that holds the text of a line whose number of fields differs from the header's, else NULL.
+RESCUED = "_rescued_line"
+
 
 def header_columns(spark: SparkSession, path: str, source: str) -> list[str]:
     """The columns of landed files in file order, from a header line; all raw columns of ``source`` must be there."""
@@ -36,6 +41,34 @@ def read_csv_strings(spark: SparkSession, path: str, source: str) -> DataFrame:
     )
 
 
+def read_csv_rescued(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """``read_csv_strings`` with two more columns: the line itself where it is malformed, and its file.
+
+    A line is malformed if it has fewer or more fields than the header (an
+    unclosed quote swallows fields, so it counts as short).  Whole lines are
+    parsed for that, so Spark's pruning of CSV columns is off.  Text after a line
+    break inside quotes is a line of its own, as in ``read_csv_strings``.
+    """
+    columns = header_columns(spark, path, source)
+    schema = StructType([*string_schema(columns), StructField(RESCUED, StringType())])
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", RESCUED)
+        .option("columnPruning", False)
+        .csv(path)
+        .select(*RAW_COLUMNS[source], RESCUED, F.lit(len(columns)).alias("expected_fields"), F.col("_metadata.file_name").alias("landed_file"))
+    )
+
+
+def field_count(line: Column) -> Column:
+    """Fields of a CSV line: separators outside quotes and one; an unclosed quote runs to the end of the line."""
+    bare = F.regexp_replace(line, r'(^|,)\s*"(?:[^"\\]|\\.)*(?:"|$)', "$1")
+    return (F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1).cast("int")
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """Land a string table as header CSV, keeping leading/trailing spaces."""
     (

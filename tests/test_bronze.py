@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paymart.schemas import RAW_COLUMNS
-from paymart.sources.bronze import ingest_csv, read_bronze
+from paymart.sources.bronze import ingest_csv, read_bronze, read_quarantine
 from paymart.sources.csv import read_csv_strings, write_csv
 from paymart.sources.storage import new_table_path, storage_root
 
@@ -73,3 +73,43 @@ def test_files_of_one_landing_must_agree(spark):
     one.select(*reversed(one.columns)).coalesce(1).write.mode("append").option("header", True).csv(path)
     with pytest.raises(Exception, match="(?i)header"):
         read_csv_strings(spark, path, "payment_methods").collect()
+
+
+def _land_lines(spark, lines):
+    path = new_table_path(spark, "csv-test")
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_malformed_lines_are_quarantined(spark):
+    head = ",".join(RAW_COLUMNS["payment_methods"])
+    lines = [head, "PM-1,upi,UPI,instant,1", "PM-2,upi", "PM-3,a,b,c,d,e,f", 'PM-4,"x,y",UPI,instant,1', '"PM-5,upi,UPI,instant,1', ",,,,", "", 'PM-6,"a,b",c']
+    root = new_table_path(spark, "bronze-test")
+    ingest_csv(spark, "payment_methods", _land_lines(spark, lines), root, "2024-01-01")
+    good = read_bronze(spark, root, "payment_methods").collect()
+    assert sorted((r.method_id or "", r.method_code or "") for r in good) == [("", ""), ("PM-1", "upi"), ("PM-4", "x,y")]
+    bad = {r.line: (r.reason, r.found_fields, r.expected_fields) for r in read_quarantine(spark, root, "payment_methods").collect()}
+    assert bad == {
+        "PM-2,upi": ("short", 2, 5), "PM-3,a,b,c,d,e,f": ("long", 7, 5),
+        '"PM-5,upi,UPI,instant,1': ("short", 1, 5), 'PM-6,"a,b",c': ("short", 3, 5),
+    }
+    one = read_quarantine(spark, root, "payment_methods").first()
+    assert one.landed_file.startswith("part-") and one.load_date == "2024-01-01" and one.source == "payment_methods"
+
+
+def test_quarantine_of_a_day_is_replaced_with_the_day(spark):
+    head, root = ",".join(RAW_COLUMNS["payment_methods"]), new_table_path(spark, "bronze-test")
+    assert read_quarantine(spark, root, "payment_methods").count() == 0
+    faulty, clean = _land_lines(spark, [head, "PM-1"]), _land_lines(spark, [head, "PM-1,upi,UPI,instant,1"])
+    for day, path in (("2024-01-01", faulty), ("2024-01-02", faulty), ("2024-01-01", clean)):
+        ingest_csv(spark, "payment_methods", path, root, day)
+    assert [r.load_date for r in read_quarantine(spark, root, "payment_methods").collect()] == ["2024-01-02"]
+    assert read_quarantine(spark, root, "payment_methods", "2024-01-01").count() == 0
+    assert read_bronze(spark, root, "payment_methods").count() == 1
+
+
+def test_columns_beyond_the_declared_count_as_fields(spark):
+    head, root = ",".join([*RAW_COLUMNS["payment_methods"], "extra"]), new_table_path(spark, "bronze-test")
+    ingest_csv(spark, "payment_methods", _land_lines(spark, [head, "PM-1,upi,UPI,instant,1,x", "PM-2,upi,UPI,instant,1"]), root, "2024-01-01")
+    assert [r.method_id for r in read_bronze(spark, root, "payment_methods").collect()] == ["PM-1"]
+    assert [(r.reason, r.found_fields, r.expected_fields) for r in read_quarantine(spark, root, "payment_methods").collect()] == [("short", 5, 6)]
