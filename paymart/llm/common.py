@@ -13,7 +13,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from paymart.sources.storage import new_table_path
 
@@ -52,6 +53,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, with as many underscores before it as no column of that name needs."""
+    taken = {c.lower() for c in columns}
+    while wanted in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
+def numbered_copies(rows: DataFrame, same: Column, number: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with the column ``number``: rows that agree in the hash ``same`` are numbered 0, 1, 2, ...; and the written input.
+
+    The numbers of a hash are gapless whatever the input's splits, so what is derived from (hash, number)
+    repeats on other splits if rows of one hash are interchangeable.  Copies are counted by the task that
+    wrote them, so no task gathers a hot hash.  The input is written first: places in it must stay.
+    """
+    key, task, line, before = (free_name(rows.columns, c) for c in ("same", "task", "line", "before"))
+    placed = staged(rows.withColumn(key, same).withColumn(task, F.spark_partition_id()).withColumn(line, F.monotonically_increasing_id()), name)
+    lower = Window.partitionBy(key).orderBy(task).rowsBetween(Window.unboundedPreceding, -1)  # one row a task
+    counts = placed.groupBy(key, task).agg(F.count("*").alias(before))
+    starts = counts.select(key, task, F.sum(before).over(lower).alias(before)).where(F.col(before) > 0)
+    rank = F.row_number().over(Window.partitionBy(key, task).orderBy(line)) - 1
+    numbered = placed.withColumn(number, rank).join(starts, [key, task], "left").select(
+        *[F.col(f"`{c}`") for c in rows.columns], (F.col(number) + F.coalesce(before, F.lit(0))).cast("long").alias(number)
+    )
+    return numbered, placed
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

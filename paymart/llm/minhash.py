@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import WordHashes, groups, mix64, shuffle_partitions, staged, texts_of, tidy, word_bounds
+from paymart.llm.common import WordHashes, free_name, groups, mix64, shuffle_partitions, staged, texts_of, tidy, word_bounds
 from paymart.llm.components import connected_components
 
 WORDS = 5
@@ -343,11 +343,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     of smallest text hash stays.  Rows without an id come after all others of their group.
     """
     # numbers are written before use, so that a row has the same one in every later stage
-    own = staged(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_hash", F.xxhash64("text")), "numbered")
-    found = near_duplicates(own, id_col="_row").select(F.col("doc_id").alias("_of"), F.col("component_id").alias("_group"))
-    order = F.struct(F.col("doc_id").isNull().alias("_last"), F.col("doc_id").cast("long").alias("_id"), "_hash", "_row")
+    line, digest = (free_name(docs.columns, c) for c in ("line", "text_hash"))
+    own = staged(docs.withColumn(line, F.monotonically_increasing_id()).withColumn(digest, F.xxhash64("text")), "numbered")
+    found = near_duplicates(own.select(F.col(line).alias("line"), "text"), id_col="line").select(F.col("doc_id").alias("of"), F.col("component_id").alias("group"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").cast("long").alias("id"), F.col(digest).alias("digest"), F.col(line).alias("line"))
     first = (
-        own.select("_row", order.alias("_order")).join(found, F.col("_row") == F.col("_of"))
-        .groupBy("_group").agg(F.min("_order").alias("_first")).select(F.col("_first._row").alias("_stays"))
+        own.select(F.col(line).alias("line"), order.alias("order")).join(found, F.col("line") == F.col("of"))
+        .groupBy("group").agg(F.min("order").alias("first")).select(F.col("first.line").alias("stays"))
     )
-    return own.join(first, own["_row"] == first["_stays"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return own.join(first, own[line] == first["stays"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,14 +6,17 @@ A document's ids (with its end id) are routed to tiers of context size 2048,
 * whole 2048-id runs are sequences of their own;
 * what is left is cut at powers of two into exact windows, until it is less than
   ``GAP`` short of a window (an *open* window of that tier) or shorter than 256
-  ids (a *crumb*, which carries its ids);
+  ids (a *crumb*); both carry their ids;
+* if the crumbs of a group cannot fill its open windows, the shortest windows
+  become crumbs until they can;
 * open windows are filled from the crumbs, long tiers first: the longest crumb
   that fits, and if none fits, a crumb is cut.  Crumbs left over are chained
   into 2048-id sequences, cut where one ends.
 
 Every sequence but the last of a group is therefore exactly full at a power of
-two.  Groups are a hash of the row, about ``GROUP`` pieces each whatever the
-size of the table, and are packed independently.  Within a group and a context
+two.  Groups are a hash of the piece and its number among equal ones, of about
+``GROUP`` pieces and ``GROUP_BYTES`` of ids that may be cut, whatever the size of the
+table and its splits, and are packed independently.  Within a group and a context
 size, sequences are ordered by attention cost (sum of squared piece lengths)
 and dealt to and fro over step groups of ``STEP`` tokens, so steps cost alike.
 """
@@ -29,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.common import staged, tidy
+from paymart.llm.common import numbered_copies, tidy
 from paymart.llm.tokens import encoder, tokenizer_path
 
 TIERS = (2048, 1024, 512, 256)
 GAP = 128
 GROUP = 40_000
+GROUP_BYTES = 48 << 20
 STEP = 16 * 2048
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
@@ -72,17 +76,16 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
             ids = np.concatenate((found, end))
             for start, length, tier in route(len(ids)):
                 part = ids[start : start + length]
-                crumb = length < tier == TIERS[-1]
-                for column, value in zip(rows, (doc, start, length, crc(part), len(ids), tier, part.astype("<u4").tobytes() if crumb else None), strict=True):
+                for column, value in zip(rows, (doc, start, length, crc(part), len(ids), tier, part.astype("<u4").tobytes() if length < tier else None), strict=True):
                     column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _PIECE, strict=True)], schema=_PIECE)
 
 
 class Crumbs:
-    """Pieces shorter than the last tier, by length: (piece, start within it)."""
+    """Pieces to fill gaps with, by length: (piece, start within it)."""
 
     def __init__(self) -> None:
-        self.by_length: list[list[tuple[int, int]]] = [[] for _ in range(TIERS[-1])]
+        self.by_length: list[list[tuple[int, int]]] = [[] for _ in range(TIERS[0])]
         self.there = 0  # bit k: there are crumbs of length k
 
     def put(self, piece: int, start: int, length: int) -> None:
@@ -117,31 +120,23 @@ def sequences(length: np.ndarray, tier: np.ndarray) -> list[list[tuple[int, int,
     """Sequences of (piece, start within it, length): every piece's ids once, none longer than the top tier."""
     top, last = TIERS[0], TIERS[-1]
     out = [[(i, 0, n)] for i, n in zip(np.flatnonzero(length == tier).tolist(), length[length == tier].tolist(), strict=True)]
+    is_open = (length < tier) & (tier > last)
+    is_crumb = (length < tier) & (tier == last)
+    windows = np.flatnonzero(is_open)
+    windows = windows[np.argsort(length[windows], kind="stable")]
+    lack = int((tier - length)[is_open].sum() - length[is_crumb].sum())
+    freed = np.concatenate(([0], np.cumsum(tier[windows])))  # a window that becomes a crumb gives its ids and asks for none
+    cut = int(np.searchsorted(freed, lack)) if lack > 0 else 0
+    is_open[windows[:cut]], is_crumb[windows[:cut]] = False, True
     crumbs = Crumbs()
-    for i in np.flatnonzero((length < tier) & (tier == last)).tolist():
+    for i in np.flatnonzero(is_crumb).tolist():
         crumbs.put(i, 0, int(length[i]))
-    short: list[int] = []
     for size in TIERS[:-1]:
-        for i in np.flatnonzero((length < tier) & (tier == size)).tolist():
+        for i in np.flatnonzero(is_open & (tier == size)).tolist():
             n = int(length[i])
-            if crumbs.there or size == top:
-                out.append([(i, 0, n), *crumbs.fill(size - n)])
-            else:
-                short.append(i)
+            out.append([(i, 0, n), *crumbs.fill(size - n)])
     while crumbs.there:
         out.append(crumbs.fill(top))
-    room: list[list] = []  # no crumbs left: short open windows share long sequences, first fit
-    for i in short:
-        n = int(length[i])
-        for one in room:
-            if one[0] >= n:
-                one[0] -= n
-                one[1].append((i, 0, n))
-                break
-        else:
-            room.append([top - n, [(i, 0, n)]])
-            room = room[-64:] if len(room) > 64 and not out.extend(r[1] for r in room[:-64]) else room
-    out.extend(r[1] for r in room)
     return out
 
 
@@ -150,7 +145,7 @@ def _context(total: int) -> int:
 
 
 def _pack(key: tuple, group: pa.Table) -> pa.Table:
-    group = group.combine_chunks()
+    group = group.combine_chunks().sort_by("place")
     length, tier = group.column("length").to_numpy(), group.column("tier").to_numpy()
     made = sequences(length, tier)
     start, crcs, total = (group.column(c).to_numpy() for c in ("start", "ids_crc32", "doc_tokens"))
@@ -188,15 +183,17 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     A document's pieces cover its ids once; pieces of a sequence are gapless from offset 0 and at most
     2048 ids.  A sequence is padded to ``context``: its own length at a tier's size, else 2048.  Null
     and empty texts are one end id.  Null and repeated doc ids are packed row by row (their pieces keep
-    the id); other columns of ``docs`` are ignored; no documents give no pieces.
+    the id); other columns of ``docs`` are ignored; no documents give no pieces.  The result is the same
+    however the input is split.
     """
     path = tokenizer or tokenizer_path(TOKENIZER)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, tier int, ids binary"
-    pieces = staged(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(functools.partial(_cut, path=path), schema), "pieces"
-    )
-    groups = max(1, -(-pieces.count() // GROUP))
-    keyed = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(groups)))
+    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(functools.partial(_cut, path=path), schema)
+    own = F.xxhash64("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    numbered, written = numbered_copies(pieces, own, "copy", "pieces")
+    size = written.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()
+    groups = max(1, -(-size[0] // GROUP), -(-size[1] // GROUP_BYTES))
+    keyed = numbered.withColumn("place", F.xxhash64(own, "copy")).withColumn("pack_group", F.pmod("place", F.lit(groups))).drop("copy")
     return keyed.groupBy("pack_group").applyInArrow(
         _pack,
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, context long, step_group long",

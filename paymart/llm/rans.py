@@ -193,7 +193,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], freq: np.ndarray, dtype: str) ->
 def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """Encode the documents (doc_id, text) into files under ``path``, in ascending doc_id order (nulls first).
 
-    Null and empty texts are one end id.  Repeated ids follow one another, ordered by their token ids.
+    Null and empty texts are one end id.  Repeated ids follow one another, ordered by a hash of their token ids.
     Other columns are ignored; an empty table gives empty files.
     """
     spark = docs.sparkSession
@@ -210,7 +210,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     freq = scaled(counts)
     rows = [(i, int(f)) for i, f in enumerate(freq) if f]
     spark.createDataFrame(rows, "id long, freq long").coalesce(1).write.parquet(f"{path}/table")
-    ordered = tokens.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
+    # a repeated id (a null one, say) is cut by a hash of its ids, equal rows by their place
+    by = ["doc_id", F.xxhash64("ids"), F.monotonically_increasing_id()]
+    ordered = tokens.repartitionByRange(shuffle_partitions(spark), *by).sortWithinPartitions("doc_id", F.xxhash64("ids"))
     blocks = ordered.select(F.spark_partition_id().alias("shard"), "doc_id", "ids").mapInArrow(functools.partial(_encoded, freq=freq, dtype=dtype), _BLOCK_DDL)
     blocks.write.parquet(f"{path}/blocks")
 

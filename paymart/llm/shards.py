@@ -1,7 +1,7 @@
 """Uniform shuffle into shards of exact size (operator 8), after the law ``rows``.
 
 Rows fall into P logical parts by a keyed hash of their key columns and their
-place in the input (so that equal rows spread as well).  Part sizes are counted, and one matrix of
+number among equal rows (so that these spread as well).  Part sizes are counted, and one matrix of
 part-to-shard counts is drawn from the multivariate hypergeometric law that a
 uniform shuffle into shards of fixed sizes follows (P x shards numbers, whatever
 the number of rows).  Each part is permuted by a keyed hash and cut at its row
@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paymart.llm.common import shuffle_partitions, staged
+from paymart.llm.common import numbered_copies, shuffle_partitions, staged
 
 SHARDS = 40
 SEED = 20240607
@@ -72,36 +72,38 @@ def uniform_shards(rows: DataFrame, key: list[str], shards: int = SHARDS, seed:
     """``rows`` with shard (0 .. shards - 1) and slot (gapless from 0 in each shard) added.
 
     ``key`` columns tell rows apart; rows equal in all of them are interchangeable, and any number of
-    them (and nulls) is fine.  The result repeats for the same input files and seed.
-    An empty table stays empty.  ``shard`` and ``slot`` replace columns of these names.
+    them (and nulls) is fine.  The result repeats for the same rows, seed and ``parts`` (by default from
+    the session's shuffle partitions), however the input is split.  An empty table stays empty.
+    ``shard`` and ``slot`` replace columns of these names, other names are free.
     """
     spark = rows.sparkSession
     parts = parts or max(8, 2 * shuffle_partitions(spark))
-    bare = rows.drop("shard", "slot", "_first", "_second", "_part", "_rank", "_at")
-    first = F.xxhash64(*key, F.monotonically_increasing_id(), F.lit(seed))
-    hashed = staged(bare.withColumn("_first", first).withColumn("_part", _high_bits(F.col("_first"), parts)), "shuffle")
+    bare = rows.drop("shard", "slot").select(
+        F.struct(*[F.col(f"`{c}`") for c in rows.drop("shard", "slot").columns]).alias("row"), F.xxhash64(*[F.col(f"`{k}`") for k in key]).alias("same")
+    )
+    copies, _ = numbered_copies(bare, F.col("same"), "copy", "shuffle")
+    first = copies.select("row", F.xxhash64("same", "copy", F.lit(seed)).alias("first"))
+    hashed = staged(first.withColumn("part", _high_bits(F.col("first"), parts)), "parts")
     sizes = np.zeros(parts, np.int64)
-    for r in hashed.groupBy("_part").count().collect():  # one row a part
-        sizes[r["_part"]] = r["count"]
+    for r in hashed.groupBy("part").count().collect():  # one row a part
+        sizes[r["part"]] = r["count"]
     total = int(sizes.sum())
     wanted = np.full(shards, total // shards) + (np.arange(shards) < total % shards)
     ends = np.cumsum(communication_matrix(sizes, wanted, seed), axis=1)
-    plan = spark.createDataFrame([(i, e.tolist()) for i, e in enumerate(ends)], "p int, ends array<long>")
+    plan = spark.createDataFrame([(i, e.tolist()) for i, e in enumerate(ends)], "part int, ends array<long>")
 
-    ranked = hashed.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy("_first", *key)).cast("long"))
+    ranked = hashed.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy("first")).cast("long"))
     # a row goes to the first shard whose cumulative count reaches its rank
     dealt = (
-        ranked.join(F.broadcast(plan), ranked["_part"] == plan["p"])
-        .withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("_rank"))).cast("int"))
-        .withColumn("_second", F.xxhash64("_first", F.lit(seed + 1))).drop("p", "ends", "_rank")
-        .withColumn("_part", _high_bits(F.col("_second"), parts))
+        ranked.join(F.broadcast(plan), "part")
+        .select("row", F.size(F.filter("ends", lambda e: e < F.col("rank"))).cast("int").alias("shard"), F.xxhash64("first", F.lit(seed + 1)).alias("second"))
+        .withColumn("part", _high_bits(F.col("second"), parts))
     )
     dealt = staged(dealt, "dealt")
-    counts = dealt.groupBy("shard", "_part").count()  # shards x parts rows
-    before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col("shard").alias("s"), F.col("_part").alias("p"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_at"))
-    rank = F.row_number().over(Window.partitionBy("shard", "_part").orderBy("_second", *key))
-    return (
-        dealt.withColumn("_rank", rank).join(F.broadcast(starts), (F.col("shard") == F.col("s")) & (F.col("_part") == F.col("p")))
-        .withColumn("slot", (F.col("_at") + F.col("_rank") - 1).cast("long")).drop("s", "p", "_at", "_rank", "_first", "_second", "_part")
+    counts = dealt.groupBy("shard", "part").count()  # shards x parts rows
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    rank = F.row_number().over(Window.partitionBy("shard", "part").orderBy("second"))
+    return dealt.withColumn("rank", rank).join(F.broadcast(starts), ["shard", "part"]).select(
+        "row.*", "shard", (F.col("start") + F.col("rank") - 1).cast("long").alias("slot")
     )

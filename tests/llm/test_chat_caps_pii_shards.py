@@ -3,12 +3,14 @@
 import datetime
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from paymart.llm import caps, chat, pii, shards
@@ -180,6 +182,40 @@ def test_month_first_dates_and_phones_without_separators():
     assert one == two.replace(" ", "") != "5551234567" and three != "2079460958"
 
 
+def test_planted_values_are_found_and_nothing_else(spark):
+    """Texts of plain words and planted values: the spans are known from the making, not from a pattern."""
+    r, texts, want = random.Random(11), [], []
+
+    def value():
+        kind = r.choice(["email", "ip", "date", "phone", "card", "none"])
+        if kind == "email":
+            return kind, f"{''.join(r.choices('abcxyz', k=6))}@host{r.randint(1, 9)}.org"
+        if kind == "ip":
+            return kind, ".".join(str(r.randint(0, 255)) for _ in range(4))
+        if kind == "date":
+            return kind, (datetime.date(1990, 1, 1) + datetime.timedelta(r.randint(0, 9000))).isoformat()
+        if kind == "phone":
+            return kind, f"+1 ({r.randint(200, 999)}) {r.randint(200, 999)}-{r.randint(0, 9999):04}"
+        if kind == "card":
+            digits = "4" + "".join(r.choices("0123456789", k=14))
+            return kind, next(digits + c for c in "0123456789" if luhn(digits + c))
+        return kind, r.choice(["2023-02-30", "300.1.2.999", "a@b", "12:30", "4539578763621487", "v1.2", "#5"])
+
+    for _ in range(300):
+        text, spans = "start", []
+        for _ in range(r.randint(0, 12)):
+            kind, found = value()
+            text += " " + r.choice(["word", "é🤗", "Zeile\nzwei"]) + " "
+            if kind != "none":
+                spans.append(f"{kind}:{len(text)}:{len(text) + len(found)}")
+            text += found
+        texts.append(text + r.choice(["", " end", "\n"]))
+        want.append(",".join(spans))
+    ids = [None if k % 3 == 0 else k % 50 for k in range(300)]  # null and repeated ids
+    rows = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    assert Counter((r.doc_id, r.spans) for r in pii.pseudonymize(rows).collect()) == Counter(zip(ids, want))
+
+
 # ---- shards ---------------------------------------------------------------------------
 
 def test_matrix_has_exact_sums_and_the_right_means():
@@ -221,3 +257,55 @@ def test_every_row_lands_once_in_a_shard_of_exact_size(spark):
     assert min(hot.values()) > 30  # equal rows spread over the shards
     assert shards.uniform_shards(table.limit(0), ["doc_id"], shards=8).count() == 0
     assert zlib.crc32(b"") == spark.range(1).select(F.crc32(F.lit("").cast("binary")).alias("c")).first().c
+
+
+def chained(*values, seed=42):
+    """The 64-bit hash of a chain of columns: each value's hash seeds the next one's; null leaves it."""
+    for v in values:
+        if v is not None:
+            seed = xxhash.xxh64(v.encode() if isinstance(v, str) else v, seed=seed % 2**64).intdigest()
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def long(v):
+    return None if v is None else v.to_bytes(8, "little", signed=True)
+
+
+def test_shards_as_by_hand(spark):
+    """Both permutations and the matrix applied to a list of rows."""
+    rows = [(i if i % 9 else None, f"t{i % 4}") for i in range(400)] + [(5, "same")] * 100
+    n, parts, seed = 6, 8, 77
+    seen, firsts = Counter(), []
+    for i, text in rows:
+        same = chained(long(i), text)
+        firsts.append((chained(long(same), long(seen[same]), seed.to_bytes(4, "little")), i, text))
+        seen[same] += 1
+
+    def part(h):
+        return min(((h >> 32) + 2**31) * parts // 2**32, parts - 1)
+
+    by_part = [sorted((f for f in firsts if part(f[0]) == p), key=lambda f: f[0]) for p in range(parts)]
+    wanted = np.array([len(rows) // n + (k < len(rows) % n) for k in range(n)])
+    matrix = shards.communication_matrix(np.array([len(p) for p in by_part]), wanted, seed)
+    dealt = [[] for _ in range(n)]
+    for own, sent in zip(by_part, matrix.tolist(), strict=True):
+        at = 0
+        for k, count in enumerate(sent):
+            dealt[k] += own[at : at + count]
+            at += count
+    want = Counter()
+    for k, own in enumerate(dealt):
+        own.sort(key=lambda f: chained(long(f[0]), (seed + 1).to_bytes(4, "little")))
+        want.update((i, text, k, slot) for slot, (_, i, text) in enumerate(own))
+    for split in (1, 5):
+        table = spark.createDataFrame(rows, "doc_id long, text string").repartition(split)
+        got = shards.uniform_shards(table, ["doc_id", "text"], shards=n, seed=seed, parts=parts)
+        assert Counter(map(tuple, got.select("doc_id", "text", "shard", "slot").collect())) == want
+
+
+def test_names_of_the_caller_are_free(spark):
+    names = ["p", "ends", "_first", "_second", "_part", "_rank", "_at", "same", "copy", "row", "part", "rank", "start", "first", "second", "a.b"]
+    rows = [tuple(f"{c}{i}" for c in names) for i in range(30)]
+    out = shards.uniform_shards(spark.createDataFrame(rows, names), ["row", "a.b"], shards=4)
+    assert out.columns == [*names, "shard", "slot"]
+    assert sorted(tuple(r)[:-2] for r in out.collect()) == sorted(rows)

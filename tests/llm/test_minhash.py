@@ -142,3 +142,11 @@ def test_many_rows_without_an_id(documents):
     rows = [t for t in texts for _ in range(2)]
     got = minhash.near_duplicates(documents(rows, [None] * len(rows))).collect()
     assert len(got) == 80 and {r["component_id"] for r in got} == {None}
+
+
+def test_keep_one_leaves_columns_of_any_name(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    names = "doc_id long, text string, _row long, _hash long, line long, text_hash long, _of long, stays long"
+    rows = [(1, text, 900, 1, 2, 3, 4, 5), (2, text, 901, 1, 2, 3, 4, 5), (3, "another text " * 9, 902, 1, 2, 3, 4, 5)]
+    out = minhash.keep_one(spark.createDataFrame(rows, names))
+    assert sorted(map(tuple, out.collect())) == [rows[0], rows[2]]

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from paymart.llm import lattice, packing, rans, tokens
@@ -85,6 +86,15 @@ def test_files_hold_every_document_in_order(spark, documents):
     assert crcs == {(r.start, zlib.crc32(r.ids)) for r in rows}
 
 
+def test_rows_of_one_id_are_cut_over_shards(spark, documents):
+    path = new_table_path(spark, "ids-test")
+    rans.write_ids(documents([f"text {k}" for k in range(300)] + ["same"] * 300, [None] * 600).repartition(4), path)
+    shards = spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(F.sum(F.size("doc_ids")).alias("n")).collect()
+    assert len(shards) > 4 and max(r.n for r in shards) < 300
+    rows = sorted(rans.read_ids(spark, path).collect(), key=lambda r: r.start)
+    assert len(rows) == 600 and all(a.start + a.n_tokens == b.start for a, b in itertools.pairwise(rows))
+
+
 def test_empty_table_and_damaged_block(spark, documents):
     path = new_table_path(spark, "ids-test")
     rans.write_ids(documents(["x"]).limit(0), path)
@@ -158,10 +168,43 @@ def test_routes_cover_and_end_in_windows():
 def test_sequences_without_crumbs_still_fit():
     for lengths, tiers in (([1000] * 7, [1024] * 7), ([2000, 500, 450], [2048, 512, 512]), ([10], [256]), ([], [])):
         made = packing.sequences(np.array(lengths, np.int64), np.array(tiers, np.int64))
-        assert sorted((i, n) for s in made for i, _, n in s) == sorted(enumerate(lengths))
+        whole = Counter()
+        for i, _, n in itertools.chain(*made):  # windows may be cut to fill others
+            whole[i] += n
+        assert sorted(whole.items()) == sorted(enumerate(lengths))
         assert all(sum(p[2] for p in s) <= 2048 for s in made)
 
 
+def test_windows_are_cut_where_crumbs_lack():
+    r = random.Random(3)
+    for lengths, tiers in (
+        ([1000] * 4000, [1024] * 4000), ([2000] * 50, [2048] * 50), ([400, 2000, 1000], [512, 2048, 1024]), ([1930] * 5 + [20], [2048] * 5 + [256]),
+        *(zip(*[(t - r.randint(1, 127), t) for t in r.choices((512, 1024, 2048), k=n)], strict=True) for n in (1, 2, 7, 300)),
+    ):
+        made = packing.sequences(np.array(lengths, np.int64), np.array(tiers, np.int64))
+        assert sum(sum(p[2] for p in s) not in packing.TIERS for s in made) <= 1
+        spans = defaultdict(list)
+        for i, at, n in itertools.chain(*made):
+            spans[i].append((at, n))
+        for i, length in enumerate(lengths):
+            at = 0
+            for start, n in sorted(spans[i]):
+                assert start == at and n > 0
+                at += n
+            assert at == length
+
+
+def test_packing_does_not_depend_on_splits(spark, documents, monkeypatch):
+    texts = ["alpha beta " * k for k in range(1, 90)] + ["same text"] * 300 + [None, ""] * 20
+    ids = [*range(89), *[7] * 150, *[None] * 150, *[3] * 40]
+    monkeypatch.setattr(packing, "GROUP", 100)
+    one, two = (
+        Counter(map(tuple, packing.pack(documents(t, i).repartition(n)).collect()))
+        for t, i, n in ((texts, ids, 2), (texts[::-1], ids[::-1], 7))
+    )
+    assert one == two
+
+
 # ---- sampled segmentations ----------------------------------------------------------
 
 @pytest.fixture(scope="module")
