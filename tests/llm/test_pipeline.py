@@ -52,5 +52,5 @@ def test_run_equals_its_stages(spark, sf_small, stages):
 
 def test_one_query_an_operator():
     names = [q for q in queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in names) == list(range(1, 14))
     assert "pipeline" in queries() and corpus_pipeline.ORACLE_SQL is None and "pipeline" not in oracle_sql()
