@@ -190,10 +190,11 @@ def land(spark: SparkSession, lake: Lakehouse, source: str, feed: DataFrame | Ca
     """Land one feed (or what builds it) for ``day`` as CSV and ingest it into its bronze table."""
     csv_path = f"{lake.root}/landing/{day}/{source}"
     t = time.perf_counter()
-    write_csv(feed() if callable(feed) else feed, csv_path)
+    rows = feed() if callable(feed) else feed
+    write_csv(rows, csv_path)
     lake.seconds[f"landing.{source}.{day}"] = time.perf_counter() - t
     t = time.perf_counter()
-    ingest_csv(spark, source, csv_path, f"{lake.root}/bronze", day)
+    ingest_csv(spark, source, csv_path, f"{lake.root}/bronze", day, rows.columns)
     lake.seconds[f"bronze.{source}.{day}"] = time.perf_counter() - t
 
 

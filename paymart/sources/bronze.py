@@ -40,7 +40,7 @@ QUARANTINE_SCHEMA = StructType(
 )
 
 
-def ingest_csv(spark: SparkSession, source: str, csv_path: str, bronze_root: str, load_date: str) -> str:
+def ingest_csv(spark: SparkSession, source: str, csv_path: str, bronze_root: str, load_date: str, columns: list[str] | None = None) -> str:
     """Land one CSV source into its bronze table for ``load_date``.
 
     The day's own folder is overwritten: re-running a day replaces that day only,
@@ -49,10 +49,11 @@ def ingest_csv(spark: SparkSession, source: str, csv_path: str, bronze_root: str
     Lines that are malformed go to the quarantine table of the source instead,
     one day's folder likewise.  They are counted while the good rows are written;
     only a feed that has some is scanned a second time (a task run twice can only
-    raise the count, so none is missed).  Returns the table path.
+    raise the count, so none is missed).  ``columns`` are the files' columns where the
+    caller knows them.  Returns the table path.
     """
     path = f"{bronze_root}/{BRONZE_TABLES[source]}"
-    rows = read_csv_rescued(spark, csv_path, source)
+    rows = read_csv_rescued(spark, csv_path, source, columns)
     seen = Observation()
     counted = rows.observe(seen, F.count(RESCUED).alias("malformed"))
     df = add_audit_columns(counted.where(F.col(RESCUED).isNull()), source, load_date)

@@ -41,15 +41,17 @@ def read_csv_strings(spark: SparkSession, path: str, source: str) -> DataFrame:
     )
 
 
-def read_csv_rescued(spark: SparkSession, path: str, source: str) -> DataFrame:
+def read_csv_rescued(spark: SparkSession, path: str, source: str, columns: list[str] | None = None) -> DataFrame:
     """``read_csv_strings`` with two more columns: the line itself where it is malformed, and its file.
 
     A line is malformed if it has fewer or more fields than the header (an
     unclosed quote swallows fields, so it counts as short).  Whole lines are
     parsed for that, so Spark's pruning of CSV columns is off.  Text after a line
     break inside quotes is a line of its own, as in ``read_csv_strings``.
+    ``columns`` in file order spare the job that reads a header line; files that
+    have another header are an error all the same.
     """
-    columns = header_columns(spark, path, source)
+    columns = columns or header_columns(spark, path, source)
     schema = StructType([*string_schema(columns), StructField(RESCUED, StringType())])
     return (
         spark.read.schema(schema)

@@ -113,3 +113,12 @@ def test_columns_beyond_the_declared_count_as_fields(spark):
     ingest_csv(spark, "payment_methods", _land_lines(spark, [head, "PM-1,upi,UPI,instant,1,x", "PM-2,upi,UPI,instant,1"]), root, "2024-01-01")
     assert [r.method_id for r in read_bronze(spark, root, "payment_methods").collect()] == ["PM-1"]
     assert [(r.reason, r.found_fields, r.expected_fields) for r in read_quarantine(spark, root, "payment_methods").collect()] == [("short", 5, 6)]
+
+
+def test_known_columns_are_held_against_the_header(spark):
+    cols, root = RAW_COLUMNS["payment_methods"], new_table_path(spark, "bronze-test")
+    path = _land_lines(spark, [",".join(cols), "PM-1,upi,UPI,instant,1"])
+    ingest_csv(spark, "payment_methods", path, root, "2024-01-01", cols)
+    assert read_bronze(spark, root, "payment_methods").count() == 1
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest_csv(spark, "payment_methods", path, root, "2024-01-01", cols[::-1])
