@@ -16,7 +16,10 @@ size check, the joins, the next day's merge):
   executor recomputes from the last table, and nothing stays cached;
 * ``stage=None``: fully lazy.
 
-Silver transactions and the fact stay lazy.
+Silver transactions and the fact stay lazy.  Steps that read the transactions more
+than once (calendar, hot keys, joins, the fact, layer counts) take
+``stored_transactions``, staged like the images, so that feed join and
+deduplication run once.
 """
 
 from __future__ import annotations
@@ -99,6 +102,10 @@ class Warehouse:
     def transactions(self) -> DataFrame:
         return silver.silver_transactions(self.bronze_transactions, DAY2)
 
+    @cached_property
+    def stored_transactions(self) -> DataFrame:
+        return self.stage("silver_transactions", self.transactions)
+
     # ---- gold ----------------------------------------------------------------
     @cached_property
     def dim_merchant_day1(self) -> DataFrame:
@@ -137,10 +144,10 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self.stage("dim_date", dim_date_covering(self.transactions, "txn_date"))
+        return self.stage("dim_date", dim_date_covering(self.stored_transactions, "txn_date"))
 
     @cached_property
     def fact(self) -> DataFrame:
         return gold.fact_transaction(
-            self.transactions, self.dim_customer, self.dim_merchant, self.dim_payment, DAY2, **self.fact_options
+            self.stored_transactions, self.dim_customer, self.dim_merchant, self.dim_payment, DAY2, **self.fact_options
         )

@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from paymart.plans.scenario import Warehouse
 from paymart.sources import csv, fixtures
 from paymart.sources.storage import new_table_path, write_table
 
@@ -42,3 +43,11 @@ def test_feed_join_meets_short_values(spark, sf_small):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     exchanged = [line for line in _plan(fixtures.raw_transactions(spark, sf_small)).splitlines() if "cast(l_extendedprice" in line]
     assert exchanged and all("l_orderkey" in line for line in exchanged)
+
+
+def test_transactions_are_deduplicated_once(spark, sf_small):
+    """Calendar, fact and counts read the stored rows; the feed is joined and deduplicated while these are written."""
+    w = Warehouse(spark, sf_small)
+    assert "Window" not in _plan(w.fact) and "Window" not in _plan(w.dim_date)
+    assert sorted(r[0] for r in w.stored_transactions.select("transaction_id").collect()) == sorted(r[0] for r in w.transactions.select("transaction_id").collect())
+    assert w.stored_transactions.dtypes == w.transactions.dtypes
