@@ -5,9 +5,10 @@ import os
 
 from pyspark.sql import functions as F
 
+from paymart.plans import pipeline
 from paymart.plans.scenario import Warehouse
 from paymart.sources import csv, fixtures
-from paymart.sources.storage import new_table_path, write_table
+from paymart.sources.storage import new_table_path, read_table, write_table
 
 
 def _plan(df):
@@ -51,3 +52,25 @@ def test_transactions_are_deduplicated_once(spark, sf_small):
     assert "Window" not in _plan(w.fact) and "Window" not in _plan(w.dim_date)
     assert sorted(r[0] for r in w.stored_transactions.select("transaction_id").collect()) == sorted(r[0] for r in w.transactions.select("transaction_id").collect())
     assert w.stored_transactions.dtypes == w.transactions.dtypes
+
+
+def test_facts_stay_in_the_months_they_are_read_from(spark, sf_small, monkeypatch):
+    plans = {}
+
+    def spy(df, path, *args, **options):
+        plans[path.split("/load_day=")[0].rsplit("/", 1)[-1]] = _plan(df)
+        return write_table(df, path, *args, **options)
+
+    monkeypatch.setattr(pipeline, "write_table", spy)
+    lake = pipeline.run_pipeline(spark, sf_small)
+    assert "Rebalance" not in plans["fact_transaction"]
+    above, below = plans["transactions"].split("Rebalance", 1)
+    assert "net_revenue" in above and "net_revenue" not in below
+    # a month has no more files than its transactions have, and the same rows
+    image = {n: read_table(spark, lake.images[n, pipeline.DAY2].path) for n in ("silver.transactions", "gold.fact_transaction")}
+    found = {}
+    for name, df in image.items():
+        parts = df.groupBy("txn_year", "txn_month").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col("_metadata.file_path")).alias("files"))
+        found[name] = {(r.txn_year, r.txn_month): (r.n, r.files) for r in parts.collect()}
+    silver, gold = found["silver.transactions"], found["gold.fact_transaction"]
+    assert silver.keys() == gold.keys() and all(silver[m][0] == gold[m][0] and silver[m][1] >= gold[m][1] for m in silver)
